@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, sharding
+from millrace.llm import chat, quality_rules, sharding
 from millrace.llm.common import read_table
 
 
@@ -75,12 +75,20 @@ FROM joined
 """
 
 
+def op1_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    q = quality_rules.measure(docs, "q")
+    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_tokens", "chars_per_token", "byte_share", "token_entropy")
+    return q.select("doc_id", *[F.col(f"q.{c}").alias(c) for c in names])
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = sharding.interleave(read_table(spark, sf_dir, "documents"), 40, seed=42)
     return out.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard", "source")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_fertility": op1_fertility,
     "op4_chat": op4_chat,
     "op10_sharding": op10_sharding,
 }
