@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, quality_rules, sharding
+from millrace.llm import chat, packing, quality_rules, sharding
 from millrace.llm.common import read_table
 
 
@@ -82,6 +82,10 @@ def op1_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q.select("doc_id", *[F.col(f"q.{c}").alias(c) for c in names])
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read_table(spark, sf_dir, "documents"), length=1024).drop("ids")
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = sharding.interleave(read_table(spark, sf_dir, "documents"), 40, seed=42)
     return out.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard", "source")
@@ -90,6 +94,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fertility": op1_fertility,
     "op4_chat": op4_chat,
+    "op9_packing": op9_packing,
     "op10_sharding": op10_sharding,
 }
 
