@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, packing, quality_rules, sharding
+from millrace.llm import chat, minhash, packing, quality_rules, sharding
 from millrace.llm.common import read_table
 
 
@@ -82,6 +82,36 @@ def op1_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q.select("doc_id", *[F.col(f"q.{c}").alias(c) for c in names])
 
 
+def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(read_table(spark, sf_dir, "documents"), percent=85)
+
+
+OP8_SQL = r"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct([array_to_string(w[i:i+4], ' ') FOR i IN range(1, len(w) - 3)]) END AS s
+  FROM words
+), shingles AS (
+  SELECT doc_id, unnest(s) AS shingle FROM sets
+), common AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n
+  FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL
+), links AS (
+  SELECT x, y FROM common JOIN sets a ON a.doc_id = x JOIN sets b ON b.doc_id = y
+  WHERE 100 * n >= 85 * (len(a.s) + len(b.s) - n)
+), ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links
+), reach AS (
+  WITH RECURSIVE r(doc_id, other) AS (
+    SELECT doc_id, doc_id FROM sets UNION SELECT r.doc_id, ways.y FROM r JOIN ways ON r.other = ways.x
+  ) SELECT doc_id, min(other) AS component_id FROM r GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept FROM sets JOIN reach USING (doc_id)
+"""
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"), length=1024).drop("ids")
 
@@ -94,8 +124,9 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fertility": op1_fertility,
     "op4_chat": op4_chat,
+    "op8_minhash": op8_minhash,
     "op9_packing": op9_packing,
     "op10_sharding": op10_sharding,
 }
 
-ORACLES: dict[str, str] = {"op4_chat": OP4_SQL}
+ORACLES: dict[str, str] = {"op4_chat": OP4_SQL, "op8_minhash": OP8_SQL}
