@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, minhash, packing, quality_rules, sharding, suffixes
+from millrace.llm import chat, classifier, minhash, packing, quality_rules, sharding, suffixes
 from millrace.llm.common import read_table
 
 
@@ -82,6 +82,10 @@ def op1_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q.select("doc_id", *[F.col(f"q.{c}").alias(c) for c in names])
 
 
+def op6_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classifier.classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op7_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = suffixes.repeated_passages(read_table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
@@ -129,6 +133,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fertility": op1_fertility,
     "op4_chat": op4_chat,
+    "op6_classifier": op6_classifier,
     "op7_suffixes": op7_suffixes,
     "op8_minhash": op8_minhash,
     "op9_packing": op9_packing,
