@@ -25,7 +25,7 @@ def attach(big: DataFrame, small: DataFrame, key: str, how: str = "inner") -> Da
     return left.join(right, "_join", how).drop("_join")
 
 
-def with_few(big: DataFrame, few: DataFrame, key: str, how: str = "inner", limit: int = BROADCAST_ROWS) -> DataFrame:
+def with_few(big: DataFrame, few: DataFrame, key: str | list[str], how: str = "inner", limit: int = BROADCAST_ROWS) -> DataFrame:
     """A join with a narrow side that is usually far smaller: counted, and broadcast only if it has at most ``limit`` rows."""
     if few.limit(limit + 1).count() <= limit:
         return big.join(F.broadcast(few), key, how)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, classifier, minhash, packing, quality_rules, sharding, suffixes
+from millrace.llm import chat, classifier, minhash, packing, quality_rules, sharding, suffixes, warc
 from millrace.llm.common import read_table
 
 
@@ -82,6 +82,27 @@ def op1_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q.select("doc_id", *[F.col(f"q.{c}").alias(c) for c in names])
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    written = warc.write_archives(read_table(spark, sf_dir, "pages"), warc.new_directory(spark))
+    read = warc.read_archives(written, with_payload=False)
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP5_SQL = """
+WITH p AS (
+  SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes, sha1(coalesce(html, '')) AS hex,
+    min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first
+  FROM pages
+)
+SELECT page_id, payload_bytes,
+  array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + ((CAST('0x' || substr(hex, 5 * (i // 4) + 1, 5) AS INTEGER) >> CAST(15 - 5 * (i % 4) AS INTEGER)) & 31), 1)), '') AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
+FROM p
+"""
+
+
 def op6_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classifier.classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
@@ -133,6 +154,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fertility": op1_fertility,
     "op4_chat": op4_chat,
+    "op5_warc": op5_warc,
     "op6_classifier": op6_classifier,
     "op7_suffixes": op7_suffixes,
     "op8_minhash": op8_minhash,
@@ -140,4 +162,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_sharding": op10_sharding,
 }
 
-ORACLES: dict[str, str] = {"op4_chat": OP4_SQL, "op8_minhash": OP8_SQL}
+ORACLES: dict[str, str] = {"op4_chat": OP4_SQL, "op5_warc": OP5_SQL, "op8_minhash": OP8_SQL}
