@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, classifier, minhash, packing, quality_rules, sharding, suffixes, warc
+from millrace.llm import chat, classifier, minhash, packing, quality_rules, sharding, suffixes, vectors_dedup, warc
 from millrace.llm.common import read_table
 
 
@@ -82,6 +82,30 @@ def op1_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q.select("doc_id", *[F.col(f"q.{c}").alias(c) for c in names])
 
 
+def op3_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors_dedup.near_vectors(read_table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
+OP3_SQL = """
+WITH v AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND vec_id IS NOT NULL
+), ok AS (
+  SELECT vec_id, label, e, sqrt(list_inner_product(e, e)) AS norm FROM v
+  WHERE len(list_filter(e, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM ok a JOIN ok b ON a.label = b.label AND len(a.e) = len(b.e) AND a.vec_id <> b.vec_id
+  WHERE list_inner_product(a.e, b.e) / (a.norm * b.norm) >= 0.93
+), reach AS (
+  WITH RECURSIVE r(vec_id, other) AS (
+    SELECT vec_id, vec_id FROM embeddings UNION SELECT r.vec_id, links.y FROM r JOIN links ON r.other = links.x
+  ) SELECT vec_id, min(other) AS component_id FROM r GROUP BY vec_id
+), n AS (SELECT x AS vec_id, count(*) AS n FROM links GROUP BY x)
+SELECT e.vec_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_links, component_id, e.vec_id = component_id AS kept
+FROM embeddings e JOIN reach USING (vec_id) LEFT JOIN n USING (vec_id)
+"""
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     written = warc.write_archives(read_table(spark, sf_dir, "pages"), warc.new_directory(spark))
     read = warc.read_archives(written, with_payload=False)
@@ -153,6 +177,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fertility": op1_fertility,
+    "op3_vectors": op3_vectors,
     "op4_chat": op4_chat,
     "op5_warc": op5_warc,
     "op6_classifier": op6_classifier,
@@ -162,4 +187,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_sharding": op10_sharding,
 }
 
-ORACLES: dict[str, str] = {"op4_chat": OP4_SQL, "op5_warc": OP5_SQL, "op8_minhash": OP8_SQL}
+ORACLES: dict[str, str] = {"op3_vectors": OP3_SQL, "op4_chat": OP4_SQL, "op5_warc": OP5_SQL, "op8_minhash": OP8_SQL}
