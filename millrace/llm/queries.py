@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, classifier, minhash, packing, quality_rules, sharding, suffixes, vectors_dedup, warc
+from millrace.llm import chat, classifier, minhash, packing, quality_rules, segmentations, sharding, suffixes, vectors_dedup, warc
 from millrace.llm.common import read_table
 
 
@@ -82,6 +82,13 @@ def op1_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q.select("doc_id", *[F.col(f"q.{c}").alias(c) for c in names])
 
 
+def op2_segmentations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = segmentations.sample(docs, 3)
+    ids = F.col("ids")
+    return out.select("doc_id", "rank", "log_prob", "perturbed", "inclusion", (F.length(ids) / 4).cast("long").alias("n_pieces"), F.crc32(ids).alias("ids_crc32"), F.crc32(segmentations.decode(ids)).alias("text_crc32"))
+
+
 def op3_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors_dedup.near_vectors(read_table(spark, sf_dir, "embeddings"), threshold=0.93)
 
@@ -177,6 +184,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fertility": op1_fertility,
+    "op2_segmentations": op2_segmentations,
     "op3_vectors": op3_vectors,
     "op4_chat": op4_chat,
     "op5_warc": op5_warc,
