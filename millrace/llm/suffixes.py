@@ -1,14 +1,15 @@
 """Operator 7: removal of repeated passages with a suffix array over many texts.
 
-The Burrows-Wheeler transform of a collection grows column by column: each round puts one more symbol of
-every string in front of the suffixes there are, which re-sorts the transform by that symbol and carries
-the common prefixes along. Where neighbouring suffixes share ``span`` bytes or more, the passage repeats.
+The suffixes of a collection are put in order column by column: each round puts one more symbol of every string
+in front of its suffix; sorting the symbols stably (the transform's column) gives the new order, and the common
+prefixes of neighbours are carried along. Where neighbours share ``span`` bytes or more, the passage repeats.
 
 A round for every byte of the longest text would be too many, and one transform of the whole corpus belongs to
 one machine. So texts are cut into overlapping strings in places that their content decides: every
 passage of ``span`` bytes has one anchor, its window's least hash, and equal passages have equal anchors. Strings around
-equal anchors meet in one bucket, whose transform is built in at most about 1.7 ``span`` rounds.
-Strings that are equal as a whole are first reduced to the earliest.
+equal anchors meet in one bucket and are lined up by them, so equal passages stand in one column; the
+transform is kept for the column at hand, and at most about 1.7 ``span`` rounds build it. Strings that are
+equal as a whole are first reduced to the earliest.
 """
 
 from __future__ import annotations
@@ -36,16 +37,17 @@ class Layout:
     gram: int = 32
     hot_strings: int = 20_000
     hot_in_batch: int = 2_000
-    bucket_strings: int = 1_500
+    bucket_strings: int = 4_000
 
 
 @dataclass
 class _Anchors:
-    """Anchors in order of place: document, first and last passage start that belong to it, hashes of it and of its string."""
+    """Anchors in order of place: document, first and last passage start that belong to it, its place, hashes of it and of its string."""
 
     doc: np.ndarray
     lo: np.ndarray
     hi: np.ndarray
+    at: np.ndarray
     gram: np.ndarray
     string: np.ndarray
 
@@ -54,7 +56,7 @@ def _anchors(data: np.ndarray, offs: np.ndarray, lay: Layout) -> _Anchors:
     n, window = len(data), lay.span - lay.gram + 1
     none = np.zeros(0, np.int64)
     if n < lay.span:
-        return _Anchors(none, none, none, none, none)
+        return _Anchors(none, none, none, none, none, none)
     prefix, prefix2 = tn.prefix_hash(data, tn.BASE), tn.prefix_hash(data, tn.BASE2)
     at = np.arange(n - lay.gram + 1)
     grams = tn.span_hash(prefix, tn.BASE, at, at + lay.gram)
@@ -85,7 +87,7 @@ def _anchors(data: np.ndarray, offs: np.ndarray, lay: Layout) -> _Anchors:
     shape = ((p - lo) << 20 | (hi - lo)).astype(np.uint64)
     string = tn.mix(tn.span_hash(prefix2, tn.BASE2, lo, hi + lay.span) ^ tn.mix(shape))
     doc = np.searchsorted(offs, lo, "right") - 1
-    return _Anchors(doc, lo - offs[doc], hi - offs[doc], grams[p].view(np.int64), string.view(np.int64))
+    return _Anchors(doc, lo - offs[doc], hi - offs[doc], p - offs[doc], grams[p].view(np.int64), string.view(np.int64))
 
 
 def _first_in_document(a: _Anchors) -> np.ndarray:
@@ -132,14 +134,15 @@ def _emit_anchors(lay: Layout):
 
 
 def _emit_strings(lay: Layout, buckets: int):
-    """The strings that share their anchor with others: bucket, rid, lo, hot, bytes."""
+    """The strings that share their anchor with others: bucket, rid, lo, at (the anchor's place in the string), hot, string."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, marks = batch["rid"].to_numpy(), batch["marks"].to_pylist()
+        for whole in batches:
+            marks = whole["marks"].to_pylist()
+            some = [i for i, m in enumerate(marks) if m and any(x & 6 for x in m)]
+            marks, batch = [marks[i] for i in some], whole.take(pa.array(some, pa.int64()))
+            ids = batch["rid"].to_numpy()
             for i, j in tn.slices(batch["text"]):
-                if not any(marks[i:j]):
-                    continue
                 data, offs = tn.buffers(batch["text"].slice(i, j - i))
                 a = _anchors(data, offs, lay)
                 flags = _marked(marks[i:j], a)
@@ -152,10 +155,10 @@ def _emit_strings(lay: Layout, buckets: int):
                 bucket = tn.mix(a.gram[take].view(np.uint64) + tn.mix(salt)) % np.uint64(buckets)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(bucket.astype(np.int64)), pa.array(ids[i:j][a.doc[take]]), pa.array(a.lo[take]), pa.array(hot),
-                        pa.array([raw[b:e] for b, e in zip(begin.tolist(), end.tolist())], pa.binary()),
+                        pa.array(bucket.astype(np.int64)), pa.array(ids[i:j][a.doc[take]]), pa.array(a.lo[take]), pa.array(a.at[take] - a.lo[take]),
+                        pa.array(hot), pa.array([raw[b:e] for b, e in zip(begin.tolist(), end.tolist())], pa.binary()),
                     ],
-                    ["bucket", "rid", "lo", "hot", "string"],
+                    ["bucket", "rid", "lo", "at", "hot", "string"],
                 )
 
     return run
@@ -175,33 +178,41 @@ def _marked(marks: list, a: _Anchors) -> np.ndarray:
     return flags
 
 
-def collection_order(data: np.ndarray, offs: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """All suffixes of a collection in order: string, length, and the prefix shared with the one before, up to ``most``.
+def column_order(data: np.ndarray, offs: np.ndarray, at: np.ndarray, most: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """For every column, from the last to the first: strings in the order of their suffixes there, the place in the string
+    where these begin, and the prefix each shares with the one before, up to ``most``.
 
-    Round r holds the suffixes of up to r symbols. Sorting the transform stably by symbol places what each
-    symbol stands in front of; two neighbours with one symbol share one more byte than what they stand in front of.
+    ``at`` is the place in each string that is lined up. A string joins where it ends, with an empty suffix, ahead of the others.
     """
-    m, lens = len(offs) - 1, np.diff(offs)
-    rounds = int(lens.max(initial=0))
-    symbols = np.full((m, rounds + 1), _END, dtype=np.uint8)
-    column = np.arange(rounds + 1)
-    inside = column < lens[:, None]
-    symbols[inside] = data[(offs[1:, None] - 1 - column)[inside]]
-    symbols = symbols.reshape(-1)
-    place = np.arange(m, dtype=np.int64) * (rounds + 1)  # of the symbol in front: string * (rounds + 1) + length
-    ends, shared = place.copy(), np.zeros(m, dtype=np.uint8)
-    for _ in range(rounds):
-        transform = symbols[place]
-        order = np.argsort(transform, kind="stable")
-        order = order[: len(order) - int(np.count_nonzero(transform == _END))]
-        sorted_ = transform[order]
-        same = np.flatnonzero(sorted_[1:] == sorted_[:-1])
-        grown = np.zeros(m + len(order), dtype=np.uint8)
+    column = at.max() - at  # of each string's first symbol
+    ends = column + np.diff(offs)
+    joining = np.argsort(ends, kind="stable")[::-1]
+    order, shared, joined = np.zeros(0, np.int64), np.zeros(0, np.uint8), 0
+    for c in range(int(ends.max()) - 1, -1, -1):
+        until = joined
+        while until < len(joining) and ends[joining[until]] == c + 1:
+            until += 1
+        order = np.concatenate([joining[joined:until], order])
+        shared = np.concatenate([np.zeros(until - joined, np.uint8), shared])
+        joined = until
+        stays = column[order] <= c
+        if not stays.all():  # strings that have been read to their first symbol leave
+            gone = np.flatnonzero(~stays)
+            for g in gone.tolist():
+                if g + 1 < len(shared):
+                    shared[g + 1] = min(shared[g], shared[g + 1])
+            order, shared = order[stays], shared[stays]
+        if not len(order):
+            continue
+        transform = data[offs[order] + c - column[order]]
+        step = np.argsort(transform, kind="stable")
+        symbols = transform[step]
+        same = np.flatnonzero(symbols[1:] == symbols[:-1])
+        grown = np.zeros(len(step), dtype=np.uint8)
         if len(same):
-            i, j = order[same] + 1, order[same + 1]
-            grown[m + 1 + same] = np.minimum(_least(shared, i, j) + 1, most)
-        place, shared = np.concatenate([ends, place[order] + 1]), grown
-    return place // (rounds + 1), place % (rounds + 1), shared
+            grown[same + 1] = np.minimum(_least(shared, step[same] + 1, step[same + 1]) + 1, most)
+        order, shared = order[step], grown
+        yield order, c - column[order], shared
 
 
 def _least(values: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -228,12 +239,15 @@ def _bucket(lay: Layout):
         offs = np.frombuffer(strings.buffers()[1], np.int32)[strings.offset : strings.offset + len(strings) + 1].astype(np.int64)
         data, offs = data[offs[0] : offs[-1]], offs - offs[0]
         rid, lo, hot = table["rid"].to_numpy(), table["lo"].to_numpy(), np.array(table["hot"].to_pylist(), dtype=bool)
-        sid, length, shared = collection_order(data, offs, lay.span)
-        group = np.cumsum(shared < lay.span)
-        full = length >= lay.span
-        sid, group = sid[full], group[full]
-        inner = offs[sid + 1] - length[full]
-        start = lo[sid] + inner - offs[sid]
+        size = np.diff(offs)
+        parts, groups = [], 0
+        for strings_, place, shared in column_order(data, offs, table["at"].to_numpy(), lay.span):
+            full = size[strings_] - place >= lay.span
+            group = np.cumsum(shared < lay.span) + groups
+            groups = int(group[-1]) + 1
+            parts.append((strings_[full], place[full], group[full]))
+        sid, place, group = (np.concatenate(x) for x in zip(*parts))
+        inner, start = offs[sid] + place, lo[sid] + place
         order = np.lexsort((start, rid[sid], group))
         sid, group, start, inner = sid[order], group[order], start[order], inner[order]
         first = np.ones(len(group), dtype=bool)
@@ -336,8 +350,11 @@ def repeated_passages(df: DataFrame, *, key: str = "doc_id", text: str = "text",
     marks = cut(marks.repartition(width, "rid").groupBy("rid").agg(F.collect_list("mark").alias("marks")))
     shared = marks.select(F.sum(F.size(F.filter("marks", lambda x: x.bitwiseAND(2) > 0))).alias("n")).first()["n"] or 0
     buckets = max(width, -(-shared // lay.bucket_strings))
-    texts = docs.repartition(width, "rid").join(marks, "rid", "left")
-    pieces = texts.select("rid", "text", "marks").mapInArrow(_emit_strings(lay, buckets), "bucket long, rid long, lo long, hot boolean, string binary")
+    # both uses of the texts take the same columns, so that Spark moves the texts once
+    texts = docs.select("rid", "doc_id", "text").repartition(width, "rid").join(marks, "rid", "left")
+    pieces = texts.select("rid", "doc_id", "text", "marks").mapInArrow(
+        _emit_strings(lay, buckets), "bucket long, rid long, lo long, at long, hot boolean, string binary"
+    )
     runs = pieces.groupBy("bucket").applyInArrow(_bucket(lay), "rid long, lo long, hi long, first boolean, hash1 long, hash2 long")
     # first ones of salted buckets are compared once more; a passage has at most one in each bucket. The other rows pass.
     runs = runs.withColumn("route", F.when(F.col("first"), F.col("hash1")).otherwise(F.col("rid")))
@@ -347,4 +364,4 @@ def repeated_passages(df: DataFrame, *, key: str = "doc_id", text: str = "text",
     output = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans"] + ["kept_text"] * with_text
     kinds = {"spans": "array<struct<start: long, end: long>>", "kept_sha256": "string", "kept_text": "string"}
     schema = ", ".join(f"{c} {kinds.get(c, 'long')}" for c in output)
-    return texts.join(runs, "rid", "left").select("doc_id", "text", "marks", "runs").mapInArrow(_judge(lay, output), schema)
+    return texts.join(runs, "rid", "left").select("rid", "doc_id", "text", "marks", "runs").mapInArrow(_judge(lay, output), schema)
