@@ -280,4 +280,4 @@ def classify(
 def keep(df: DataFrame, labels: DataFrame, *, key: str = "doc_id", **options) -> DataFrame:
     """The rows of ``df`` that are kept, with its columns. Rows of one key go if any of them is rejected."""
     rejected = classify(df, labels, key=key, **options).where("NOT kept").select(F.col("doc_id").alias(key)).distinct()
-    return df.join(cut(rejected), key, "left_anti").select(*[F.col(f"`{c}`") for c in df.columns])
+    return with_few(df, cut(rejected), key, "left_anti").select(*[F.col(f"`{c}`") for c in df.columns])

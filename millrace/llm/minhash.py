@@ -216,5 +216,5 @@ def near_duplicates(
 
 def keep(df: DataFrame, *, key: str = "doc_id", **options) -> DataFrame:
     """The rows of ``df`` that stay, with its columns: one document of each class, that of the smallest key."""
-    kept = near_duplicates(df, key=key, **options).where("NOT kept").select(F.col("doc_id").alias(f"{key}")).distinct()
-    return df.join(cut(kept), key, "left_anti").select(*[F.col(f"`{c}`") for c in df.columns])
+    copies = near_duplicates(df, key=key, **options).where("NOT kept").select(F.col("doc_id").alias(key)).distinct()
+    return with_few(df, cut(copies), key, "left_anti").select(*[F.col(f"`{c}`") for c in df.columns])

@@ -322,8 +322,10 @@ def _judge(lay: Layout, output: list[str]):
     return run
 
 
-def repeated_passages(df: DataFrame, *, key: str = "doc_id", text: str = "text", layout: Layout = Layout(), with_text: bool = False) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans, and kept_text if asked for; one row per row of ``df``.
+def repeated_passages(df: DataFrame, *, key: str = "doc_id", text: str = "text", layout: Layout = Layout(), with_row: bool = False) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans; one row per row of ``df``.
+
+    With ``with_row`` also kept_text, and row, a struct of the columns of ``df`` other than the text.
 
     A byte is removed if a passage of ``layout.span`` bytes that covers it also starts earlier, in a document of a smaller
     key or before in the same one. spans are the maximal removed runs (byte offsets). kept_text is the rest as
@@ -332,7 +334,9 @@ def repeated_passages(df: DataFrame, *, key: str = "doc_id", text: str = "text",
     text. ``key`` must be a long. An empty table gives an empty result; other columns are ignored.
     """
     lay, spark = layout, df.sparkSession
-    docs = df.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns if c != text]).alias("row")
+    docs = df.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"), *[row] * with_row)
+    carried = ["row"] * with_row
     ids = docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 OR doc_id IS NULL")
     if ids.limit(1).count():
         ordered = docs.orderBy(F.col("doc_id").asc_nulls_last(), F.col("text").asc_nulls_first())
@@ -351,8 +355,8 @@ def repeated_passages(df: DataFrame, *, key: str = "doc_id", text: str = "text",
     shared = marks.select(F.sum(F.size(F.filter("marks", lambda x: x.bitwiseAND(2) > 0))).alias("n")).first()["n"] or 0
     buckets = max(width, -(-shared // lay.bucket_strings))
     # both uses of the texts take the same columns, so that Spark moves the texts once
-    texts = docs.select("rid", "doc_id", "text").repartition(width, "rid").join(marks, "rid", "left")
-    pieces = texts.select("rid", "doc_id", "text", "marks").mapInArrow(
+    texts = docs.select("rid", "doc_id", "text", *carried).repartition(width, "rid").join(marks, "rid", "left")
+    pieces = texts.select("rid", "doc_id", "text", "marks", *carried).mapInArrow(
         _emit_strings(lay, buckets), "bucket long, rid long, lo long, at long, hot boolean, string binary"
     )
     runs = pieces.groupBy("bucket").applyInArrow(_bucket(lay), "rid long, lo long, hi long, first boolean, hash1 long, hash2 long")
@@ -361,7 +365,13 @@ def repeated_passages(df: DataFrame, *, key: str = "doc_id", text: str = "text",
     rank = F.row_number().over(Window.partitionBy("route", "first", "hash1", "hash2").orderBy("rid", "lo"))
     runs = runs.withColumn("rank", rank).where("NOT first OR rank > 1")
     runs = runs.groupBy("rid").agg(F.collect_list(F.shiftleft("lo", 32) + F.col("hi")).alias("runs"))
-    output = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans"] + ["kept_text"] * with_text
-    kinds = {"spans": "array<struct<start: long, end: long>>", "kept_sha256": "string", "kept_text": "string"}
+    output = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans"] + ["kept_text", "row"] * with_row
+    kinds = {"row": docs.schema["row"].dataType.simpleString() if with_row else "", "spans": "array<struct<start: long, end: long>>", "kept_sha256": "string", "kept_text": "string"}
     schema = ", ".join(f"{c} {kinds.get(c, 'long')}" for c in output)
-    return texts.join(runs, "rid", "left").select("rid", "doc_id", "text", "marks", "runs").mapInArrow(_judge(lay, output), schema)
+    return texts.join(runs, "rid", "left").select("rid", "doc_id", "text", "marks", "runs", *carried).mapInArrow(_judge(lay, output), schema)
+
+
+def remove(df: DataFrame, *, key: str = "doc_id", text: str = "text", layout: Layout = Layout()) -> DataFrame:
+    """``df`` with what repeats removed from its texts. No row goes, and a null text becomes an empty one."""
+    out = repeated_passages(df, key=key, text=text, layout=layout, with_row=True)
+    return out.select(*[F.col("kept_text").alias(text) if c == text else F.col(f"row.`{c}`").alias(c) for c in df.columns])
