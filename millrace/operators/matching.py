@@ -9,6 +9,7 @@ from collections.abc import Iterable, Mapping, Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def any_of(text: str, words: Sequence[str]) -> Column:
@@ -106,13 +107,13 @@ def longest_common_substring(a: str, b: str) -> int:
     return best
 
 
-@F.pandas_udf("int")
+@F.pandas_udf(T.IntegerType())
 def common_length(a: pd.Series, b: pd.Series) -> pd.Series:
     """Length of the longest common substring of short texts."""
     return pd.Series([0 if x is None or y is None else longest_common_substring(x, y) for x, y in zip(a, b)])
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _mended(raw: pd.Series) -> pd.Series:
     def mend(text):
         span = re.search(r"\{.*\}|\[.*\]", text or "", re.S)

@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator, Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def counts(df: DataFrame, key: str, text: str) -> DataFrame:
@@ -100,7 +101,7 @@ def enrich(df: DataFrame, judge: Callable[[pd.DataFrame], pd.DataFrame], schema:
 SENTENCE = re.compile(r"[^.!?]+[.!?]*\s*")
 
 
-@F.udtf(returnType="position int, sentence string")
+@F.udtf(returnType=T.StructType([T.StructField("position", T.IntegerType()), T.StructField("sentence", T.StringType())]))
 class Sentences:
     """Table function: the sentences of a text."""
 
