@@ -57,7 +57,8 @@ def interleave(
     by_source = df.groupBy(F.col(f"`{source}`").alias("_s")).agg(F.count("*").alias("_rows"))
     total = df.count()
     buckets = max(1, -(-total // rows_per_bucket))
-    rows = rows.withColumn("_b", F.pmod(F.shiftright("_h", 16), F.lit(buckets)))
+    # ranges of the hash, so that the number of buckets does not change the order
+    rows = rows.withColumn("_b", F.floor((F.shiftright("_h", 32) + 2**31) * F.lit(buckets) / F.lit(2**32)).cast("long"))
     rows = _ranked(rows, ["source"], "_b", ["_h", "doc_id", "text_crc32", "size"], "_rank")
     rows = rows.join(by_source, F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
     # (rank + 1/2) / rows as an integer on a scale of 2^40, so that equal fractions are equal on every machine
