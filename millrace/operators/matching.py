@@ -77,13 +77,13 @@ def normalised(text: Column) -> Column:
     return F.lower(F.regexp_replace(text, r"[^0-9A-Za-z#一-鿿]", ""))
 
 
-def grounded(docs: DataFrame, evidence: DataFrame, length: int) -> DataFrame:
-    """item_id, grounded: in how many documents the normalised beginning of each item stands.
+def grounded(docs: DataFrame, evidence: DataFrame) -> DataFrame:
+    """item_id, grounded: in how many documents each item's normalised text stands.
 
     Items and documents meet on 8-grams (on shorter ones for items of fewer characters, if there are any) and are then
     checked in full; nothing is compared pairwise.
     """
-    items = evidence.select("item_id", normalised(F.substring("text", 1, length)).alias("e")).where("e <> ''")
+    items = evidence.select("item_id", normalised(F.col("text")).alias("e")).where("e <> ''")
     sizes = [r[0] for r in items.select(F.least(F.length("e"), F.lit(8)).alias("n")).distinct().collect()]
     texts = docs.select("doc_id", normalised(F.col("text")).alias("t"))
 
