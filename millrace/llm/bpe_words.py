@@ -6,6 +6,7 @@ import re
 from array import array
 
 from millrace.llm import vocabulary
+from millrace.llm.common import of_worker
 
 # A blank between two characters that are no white space always begins a new pre-token of the byte-level BPE's
 # pattern, so texts can be cut there and their parts encoded apart, with the same tokens.
@@ -27,7 +28,7 @@ class _Parts(dict):
 class WordEncoder:
     """Encodes whole texts; at most about ``limit`` parts are remembered between texts."""
 
-    def __init__(self, path: str, limit: int = 400_000) -> None:
+    def __init__(self, path: str, limit: int = 120_000) -> None:
         bpe = vocabulary.byte_bpe(path)
         self.dtype = "<u2" if bpe.n_vocab < 1 << 16 else "<u4"
         self.limit = limit
@@ -47,11 +48,6 @@ class WordEncoder:
         return self.heads[head] + b"".join(map(self.words.__getitem__, words))
 
 
-_encoders: dict[str, WordEncoder] = {}
-
-
 def encoder(path: str) -> WordEncoder:
     """The encoder of this Python worker."""
-    if path not in _encoders:
-        _encoders[path] = WordEncoder(path)
-    return _encoders[path]
+    return of_worker(f"encoder {path}", lambda: WordEncoder(path))

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm import textnum as tn
-from millrace.llm.common import cut, shuffle_width
+from millrace.llm.common import cut, no_tables, shuffle_width, small_batches
 from millrace.llm.joins import attach, with_few
 
 ORDER = 4
@@ -57,6 +57,7 @@ def _grams(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counts of n-grams, summed over as many texts as a task can hold together."""
+    no_tables()
     held: list[tuple[np.ndarray, np.ndarray]] = []
     room = 0
 
@@ -151,6 +152,7 @@ def _pack(blocks: int):
     """The batch's rows by block, compressed: text moves between machines at a third of its size."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        no_tables()
         for batch in batches:
             table = pa.Table.from_batches([batch])
             block = batch["block"].to_numpy()
@@ -258,6 +260,7 @@ def classify(
     trusted text there is nothing to compare with, and every other row is kept. Repeated rows are scored alike; null keys
     have no label. An empty table gives an empty result. Other columns are ignored.
     """
+    small_batches(df.sparkSession)
     docs = df.select(F.col(f"`{key}`").alias("doc_id"), F.col(f"`{lang}`").alias("lang"), F.col(f"`{text}`").alias("text"))
     good = cut(labels.where(trusted).select(F.col(f"`{label_key}`").alias("doc_id")).where("doc_id IS NOT NULL").distinct())
     marked = with_few(docs, good.withColumn("trusted", F.lit(True)), "doc_id", "left").withColumn("trusted", F.coalesce("trusted", F.lit(False)))

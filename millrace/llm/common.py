@@ -32,6 +32,18 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Rows of whole texts that one Arrow batch holds; Spark's default of 10,000 would be as many MB as a text has hundreds of characters.
+TEXT_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound the Arrow batches of this session, which hold whole texts in the JVM and in the Python workers at once."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(name))
+    if now <= 0 or now > TEXT_ROWS:
+        spark.conf.set(name, str(TEXT_ROWS))
+
+
 def shuffle_width(spark: SparkSession, least: int = 1) -> int:
     """Partitions of a shuffle whose number Spark must not change."""
     return max(least, int(spark.conf.get("spark.sql.shuffle.partitions")))
@@ -44,3 +56,22 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def narrow(df: DataFrame, **columns: str) -> DataFrame:
     """Only the named columns, under the operator's own names; other columns, whatever they are called, stay behind."""
     return df.select(*[F.col(f"`{theirs}`").alias(ours) for ours, theirs in columns.items()])
+
+
+_held: dict[str, object] = {}
+
+
+def of_worker(name: str, make):
+    """What ``make`` returns, kept in this Python worker until another name is asked for.
+
+    Workers outlive stages; so only the tables of the operator at work take memory.
+    """
+    if name not in _held:
+        _held.clear()
+        _held[name] = make()
+    return _held[name]
+
+
+def no_tables() -> None:
+    """Let go of what of_worker() holds; for operators that keep no tables of their own."""
+    _held.clear()

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm import textnum as tn
-from millrace.llm.common import cut
+from millrace.llm.common import cut, no_tables, small_batches
 from millrace.llm.components import components
 from millrace.llm.joins import attach, with_few
 
@@ -58,6 +58,7 @@ def _sums(values: np.ndarray, offs: np.ndarray) -> np.ndarray:
 def _features(width: int, bands: int, rows: int, seed: int):
     @F.arrow_udf("struct<n: long, set_hi: long, set_lo: long, bands: array<long>>")
     def features(text: pa.Array) -> pa.Array:
+        no_tables()
         sizes, his, los, keys = [], [], [], []
         for h, offs in shingle_hashes(text, width):
             n = np.diff(offs)
@@ -84,6 +85,7 @@ def _features(width: int, bands: int, rows: int, seed: int):
 def _full_sets(width: int):
     @F.arrow_udf("binary")
     def full_sets(text: pa.Array) -> pa.Array:
+        no_tables()
         out = []
         for h, offs in shingle_hashes(text, width):
             raw = h.tobytes()
@@ -168,6 +170,7 @@ def near_duplicates(
     centre, and what does not link with the centre is compared with all of the family. With 20 bands of
     6, a pair at 0.85 goes unseen with probability 8e-5, at 0.80 with 0.2 %.
     """
+    small_batches(df.sparkSession)
     docs = df.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     f = F.col("f")
     whole = F.concat_ws(":", f["set_hi"], f["set_lo"], f["n"])

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from millrace.llm import textnum as tn
 from millrace.llm import vocabulary
 from millrace.llm.bpe_words import encoder
-from millrace.llm.common import cut, shuffle_width
+from millrace.llm.common import cut, shuffle_width, small_batches
 
 _DIMENSIONS, _BITS, _HASHED = 3, 16, 256
 
@@ -87,6 +87,7 @@ def encode(df: DataFrame, *, key: str = "doc_id", text: str = "text", vocabulary
 
     ids holds little-endian unsigned numbers of 2 bytes, or of 4 for vocabularies of over 65536. A null text is empty.
     """
+    small_batches(df.sparkSession)
     path = vocabulary_path or vocabulary.default_path("byte_bpe_50k.tiktoken")
     rows = df.select(F.col(f"`{key}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
@@ -128,16 +129,18 @@ def _packed(length: int):
     return run
 
 
-def pack(df: DataFrame, *, length: int = 1024, key: str = "doc_id", text: str = "text", vocabulary_path: str | None = None, end_id: int = 0, seed: int = 7) -> DataFrame:
+def pack(df: DataFrame, *, length: int = 1024, key: str = "doc_id", text: str = "text", vocabulary_path: str | None = None, end_id: int = 0, seed: int = 7, ids_per_range: int = 1 << 25) -> DataFrame:
     """Sequences of at most ``length`` ids, as pieces of documents.
 
     One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, ids (little-endian
     unsigned 32-bit). Each id of a document, its end id included, lies in exactly one piece. A null or empty text
     is its end id alone; repeated rows and null keys are documents like others, and ties on the curve are ordered by
-    key and ids. An empty table gives no piece. Other columns are ignored.
+    key and ids. An empty table gives no piece. Other columns are ignored. A range holds about ``ids_per_range`` ids at
+    most, so that its task stays small however large the corpus is.
     """
     encoded = cut(encode(df, key=key, text=text, vocabulary_path=vocabulary_path, end_id=end_id, seed=seed))
-    ranges = shuffle_width(df.sparkSession)
+    total = encoded.agg(F.sum("n_ids")).first()[0] or 0
+    ranges = shuffle_width(df.sparkSession, -(-total // ids_per_range))
     ordered = encoded.withColumn("tie", F.xxhash64("ids")).repartitionByRange(ranges, "curve", "doc_id", "tie").sortWithinPartitions("curve", "doc_id", "tie")
     kind = encoded.schema["doc_id"].dataType.simpleString()
     return ordered.select("doc_id", "n_ids", "ids").mapInArrow(

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm import textnum as tn
 from millrace.llm import vocabulary
+from millrace.llm.common import of_worker, small_batches
 
 
 @dataclass(frozen=True)
@@ -57,7 +58,7 @@ _WINDOW = 8
 class _Fertility:
     """Tokens of distinct words under both vocabularies; it starts anew beyond ``limit`` words, so its memory is bounded."""
 
-    def __init__(self, bpe_path: str, piece_path: str, limit: int = 500_000) -> None:
+    def __init__(self, bpe_path: str, piece_path: str, limit: int = 120_000) -> None:
         self.bpe, self.model, self.limit = vocabulary.byte_bpe(bpe_path), vocabulary.piece_model(piece_path), limit
         self.is_byte = np.zeros(self.model.get_piece_size(), dtype=np.int64)
         self.is_byte[list(vocabulary.byte_pieces(piece_path))] = 1
@@ -89,9 +90,6 @@ class _Fertility:
         return found
 
 
-_fertility: dict[tuple[str, str], _Fertility] = {}
-
-
 def _measure(data: np.ndarray, offs: np.ndarray, fertility: _Fertility) -> dict[str, np.ndarray]:
     n = len(offs) - 1
     out = {c: np.zeros(n, dtype=np.int64) for c in _COUNTS} | {"token_entropy": np.zeros(n), "latin": np.ones(n, dtype=bool)}
@@ -155,10 +153,8 @@ def _measure(data: np.ndarray, offs: np.ndarray, fertility: _Fertility) -> dict[
 def _measures(bpe_path: str, piece_path: str):
     @F.arrow_udf(_TYPE)
     def measure(text: pa.Array) -> pa.Array:
-        key = (bpe_path, piece_path)
-        if key not in _fertility:
-            _fertility[key] = _Fertility(*key)
-        parts = [_measure(*tn.buffers(text.slice(i, j - i)), _fertility[key]) for i, j in tn.slices(text)]
+        fertility = of_worker(f"fertility {bpe_path} {piece_path}", lambda: _Fertility(bpe_path, piece_path))
+        parts = [_measure(*tn.buffers(text.slice(i, j - i)), fertility) for i, j in tn.slices(text)]
         cols = [pa.array(np.concatenate([p[c] for p in parts]) if parts else [], pa.int64()) for c in _COUNTS]
         cols.append(pa.array(np.concatenate([p["token_entropy"] for p in parts]) if parts else [], pa.float64()))
         latin = np.concatenate([p["latin"] for p in parts]) if parts else np.zeros(0, bool)
@@ -187,6 +183,7 @@ def measure(
     text's script: latin if half of its code points or more are below U+0250, else other. Repeated
     rows get equal results; an empty table stays empty.
     """
+    small_batches(df.sparkSession)
     udf = _measures(bpe_path or vocabulary.default_path("byte_bpe_multi_50k.tiktoken"), piece_path or vocabulary.default_path("piece_bpe_32k.model"))
     m = F.col("_m")
     cpt = F.when(m["n_tokens"] > 0, m["word_chars"] / m["n_tokens"])
@@ -200,17 +197,20 @@ def measure(
     band = F.when(F.lit(False), F.lit(True))
     for name, b in bands.items():
         if name not in ("latin", "other"):
-            band = band.when(F.col(f"`{lang}`") == name, within(b))
+            band = band.when(F.col("_lang") == name, within(b))
     band = band.when(m["script"] == "latin", within(bands["latin"])).otherwise(within(bands["other"]))
     plain = [m[c].alias(c) for c in (*_COUNTS, "token_entropy", "script")]
     kept = ~failed & F.coalesce(band, F.lit(False))
-    others = [F.col(f"`{c}`") for c in df.columns if c != out]
-    return df.select(*others, udf(F.col(f"`{text}`")).alias("_m")).select(
-        *others, F.struct(*plain, cpt.alias("chars_per_token"), share.alias("byte_share"), failed.alias("base_failed"), kept.alias("kept")).alias(out)
-    )
+    others = [c for c in df.columns if c != out]
+    # the caller's columns travel in a struct, where their names cannot clash; the optimizer takes it apart again
+    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"), F.col(f"`{lang}`").alias("_lang"), udf(F.col(f"`{text}`")).alias("_m"))
+    measures = F.struct(*plain, cpt.alias("chars_per_token"), share.alias("byte_share"), failed.alias("base_failed"), kept.alias("kept"))
+    return rows.select(*[F.col("_row")[c].alias(c) for c in others], measures.alias(out))
 
 
 def keep(df: DataFrame, **options) -> DataFrame:
     """The rows that pass, with the columns of ``df`` alone. Options are those of measure()."""
-    columns = df.columns
-    return measure(df, "_quality", **options).where("_quality.kept").select(*[F.col(f"`{c}`") for c in columns])
+    columns, name = df.columns, "_quality"
+    while name in columns:
+        name += "_"
+    return measure(df, name, **options).where(F.col(name)["kept"]).select(*[F.col(f"`{c}`") for c in columns])

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm import textnum as tn
-from millrace.llm.common import cut, shuffle_width
+from millrace.llm.common import cut, no_tables, shuffle_width, small_batches
 
 _END = 255  # no UTF-8 byte
 
@@ -36,7 +36,7 @@ class Layout:
     span: int = 100
     gram: int = 32
     hot_strings: int = 20_000
-    hot_in_batch: int = 2_000
+    hot_in_batch: int = 200
     bucket_strings: int = 4_000
 
 
@@ -104,6 +104,7 @@ def _emit_anchors(lay: Layout):
     """Distinct strings of a batch: route, gram, string, rid, lo, hot; the earliest document of the batch stands for equal ones."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        no_tables()
         for batch in batches:
             ids = batch["rid"].to_numpy()
             parts = []
@@ -137,6 +138,7 @@ def _emit_strings(lay: Layout, buckets: int):
     """The strings that share their anchor with others: bucket, rid, lo, at (the anchor's place in the string), hot, string."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        no_tables()
         for whole in batches:
             marks = whole["marks"].to_pylist()
             some = [i for i, m in enumerate(marks) if m and any(x & 6 for x in m)]
@@ -275,6 +277,7 @@ def _judge(lay: Layout, output: list[str]):
     """The removed runs and what is left of every text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        no_tables()
         for whole in batches:
             for i, j in tn.slices(whole["text"]):
                 batch = whole.slice(i, j - i)
@@ -333,6 +336,7 @@ def repeated_passages(df: DataFrame, *, key: str = "doc_id", text: str = "text",
     empty text has no bytes. Rows of a null key come after all others; rows of equal keys are ordered by
     text. ``key`` must be a long. An empty table gives an empty result; other columns are ignored.
     """
+    small_batches(df.sparkSession)
     lay, spark = layout, df.sparkSession
     row = F.struct(*[F.col(f"`{c}`") for c in df.columns if c != text]).alias("row")
     docs = df.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"), *[row] * with_row)

@@ -74,7 +74,7 @@ def buffers(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[offs[0] : offs[-1]], offs - offs[0]
 
 
-def slices(array: pa.Array, limit: int = 1 << 20) -> Iterator[tuple[int, int]]:
+def slices(array: pa.Array, limit: int = 1 << 18) -> Iterator[tuple[int, int]]:
     """Row ranges of at most ``limit`` bytes of text, or of one row."""
     _, offs = buffers(array)
     i, n = 0, len(offs) - 1

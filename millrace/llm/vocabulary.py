@@ -8,7 +8,7 @@ import functools
 import public_tokenizers
 
 
-@functools.cache
+@functools.lru_cache(maxsize=1)
 def byte_bpe(path: str):
     """A byte-level BPE vocabulary in rank form."""
     import tiktoken

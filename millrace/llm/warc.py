@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import cut, shared_dir, shuffle_width
+from millrace.llm.common import cut, shared_dir, shuffle_width, small_batches
 from millrace.llm.joins import attach, with_few
 
 _MAGIC = b"\x1f\x8b\x08"
@@ -79,6 +79,7 @@ def write_archives(df: DataFrame, directory: str, *, key: str = "page_id", url:
     refers to it; rows that repeat the smallest key are held as well. A null url is empty. ``key`` must be a long.
     An empty table writes at most empty archives. Other columns are ignored.
     """
+    small_batches(df.sparkSession)
     pages = df.select(F.col(f"`{key}`").cast("long").alias("page_id"), F.col(f"`{url}`").alias("url"), F.col(f"`{html}`").alias("html"))
     pages = pages.withColumn("digest", F.sha1(F.coalesce("html", F.lit("")).cast("binary")))
     prints = pages.where(F.col("page_id").isNotNull() & (F.octet_length(F.coalesce("html", F.lit(""))) >= least_bytes)).select("page_id", "digest")
