@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm import textnum as tn
 from millrace.llm import vocabulary
+from millrace.llm.common import of_worker, small_batches
 
 _BLANK = "▁"
 _LITERAL = "\udfff"  # a U+2581 of the text itself; no valid text has this code point
@@ -87,7 +88,7 @@ def _pieces(path: str, alpha: float) -> _Pieces:
 class _Lattices:
     """Word lattices as flat tables. A node's edges stand together, with their probabilities summed up and offset by the node's number."""
 
-    def __init__(self, pieces: _Pieces, limit: int = 150_000) -> None:
+    def __init__(self, pieces: _Pieces, limit: int = 50_000) -> None:
         self.pieces, self.limit = pieces, limit
         self.forget()
 
@@ -95,11 +96,11 @@ class _Lattices:
         self.types: dict[str, int] = {}
         self.first, self.last = array("q"), array("q")  # nodes of each type
         self.begin = array("q", [0])  # of each node's edges, and where the last one's end
-        self.upto, self.to, self.piece, self.logp, self.rest = array("d"), array("q"), array("q"), array("d"), array("d")
+        self.upto, self.to, self.piece, self.logp, self.rest = array("d"), array("i"), array("i"), array("d"), array("f")
 
     def of(self, words: list[str]) -> np.ndarray:
         """The types of words; the lattices of new ones are built together."""
-        new = [w for w in dict.fromkeys(words) if w not in self.types]
+        new = list(set(words).difference(self.types))
         if new:
             self.types.update(zip(new, range(len(self.first), len(self.first) + len(new))))
             self._build(new)
@@ -115,76 +116,86 @@ class _Lattices:
         left = ends[word] - np.arange(n)  # characters from here to the word's end
         node = np.arange(n) + word  # every word has one node more than characters
         prefix = tn.prefix_hash(points, tn.BASE)
-        found = []
+        found, count = [], np.zeros(n, dtype=np.int64)  # edges, and how many of them each character has
         for size in range(1, int(min(p.longest, sizes.max())) + 1):
             at = np.flatnonzero(left >= size)
             hit, i = p.find(tn.span_hash(prefix, tn.BASE, at, at + size))
-            at = at[hit]
-            found.append((at, np.full(len(at), size), p.hash_weights[i], p.hash_ids[i]))
+            at, weight, piece = at[hit], p.hash_weights[i], p.hash_ids[i]
             if size == 1:  # where no piece makes a character its bytes do
                 bare = np.setdiff1d(np.arange(n), at, assume_unique=True)
                 character = np.where(points[bare] == ord(_LITERAL), ord(_BLANK), points[bare]).astype(np.int64)
-                count = 1 + (character > 0x7F) + (character > 0x7FF) + (character > 0xFFFF)
+                cost = p.last * (1 + (character > 0x7F) + (character > 0x7FF) + (character > 0xFFFF))
                 ids = np.where(character < 0x80, np.array(p.byte_ids)[np.minimum(character, 0x7F)], -1 - character)
-                found.append((bare, np.ones(len(bare), np.int64), p.last * count, ids))
-        at, size, weight, piece = (np.concatenate(x) for x in zip(*found))
-        # edges by distance from their word's end, then by node and size: every node comes after those it leads to
-        order = np.lexsort((size, at, left[at]))
-        at, size, weight, piece = at[order], size[order], weight[order], piece[order]
-        onward = node[at] + size
+                at, weight, piece = np.concatenate([at, bare]), np.concatenate([weight, cost]), np.concatenate([piece, ids])
+            found.append((at, count[at], size, weight, piece))
+            count[at] += 1
+        heads = np.cumsum(count) - count
+        edges = int(count.sum())
+        at = np.repeat(np.arange(n), count)
+        length, weight, piece = np.zeros(edges, np.int64), np.zeros(edges), np.zeros(edges, np.int64)
+        for where, rank, size, w, ids in found:  # by character and size
+            place = heads[where] + rank
+            length[place], weight[place], piece[place] = size, w, ids
+        onward = node[at] + length
         total = np.zeros(n + len(words))
-        heads = np.flatnonzero(np.diff(at, prepend=-1))  # the first edge of each node
-        many = np.diff(np.append(heads, len(at)))
-        levels = np.flatnonzero(np.diff(left[at[heads]], prepend=0))
-        for i, j in zip(levels.tolist(), [*levels[1:].tolist(), len(heads)]):
-            lo, hi = heads[i], heads[j] if j < len(heads) else len(at)
-            values, inner = weight[lo:hi] + total[onward[lo:hi]], heads[i:j] - lo
+        # by distance from the word's end: every node comes after those it leads to
+        order = np.argsort(left.astype(np.uint16) if left.max() < 1 << 16 else left, kind="stable")
+        many = count[order]
+        starts = np.cumsum(many) - many
+        levelled = np.arange(edges) + np.repeat(heads[order] - starts, many)
+        w, reach = weight[levelled], onward[levelled]
+        levels = np.flatnonzero(np.diff(left[order], prepend=0))
+        for i, j in zip(levels.tolist(), [*levels[1:].tolist(), n]):
+            lo, hi = starts[i], starts[j] if j < n else edges
+            values, inner = w[lo:hi] + total[reach[lo:hi]], starts[i:j] - lo
             best = np.maximum.reduceat(values, inner)
-            total[node[at[heads[i:j]]]] = best + np.log(np.add.reduceat(np.exp(values - np.repeat(best, many[i:j])), inner))
-        logp = np.minimum(weight + total[onward] - total[node[at]], 0.0)
+            total[node[order[i:j]]] = best + np.log(np.add.reduceat(np.exp(values - np.repeat(best, many[i:j])), inner))
+        # whole multiples of 2^-30, of which sums are exact and so do not depend on what stands beside a text
+        logp = np.round(np.minimum(weight + total[onward] - total[node[at]], 0.0) * 2**30) / 2**30
         share = np.exp(logp)
         running = np.cumsum(share)
-        upto = np.minimum(running - np.repeat(running[heads] - share[heads], many), 1.0)
-        upto[heads + many - 1] = 1.0
+        upto = np.minimum(running - np.repeat(running[heads] - share[heads], count), 1.0)
+        upto[heads + count - 1] = 1.0
         # what the other edges have: for a large share they are summed up, as 1 - share would lose its digits
         large = share > 0.5
-        others = np.repeat(np.add.reduceat(np.where(large, 0.0, share), heads), many)
+        others = np.repeat(np.add.reduceat(np.where(large, 0.0, share), heads), count)
         rest = np.where(large, others, 1.0 - share)
         # in the order of nodes; a word's last node has a place among the edges, but no edge
-        source = np.concatenate([node[at], ends + np.arange(len(words))])
-        place = np.argsort(source, kind="stable")
         base = len(self.begin) - 1
-        blank = np.zeros(len(words))
-        columns = (
-            (self.upto, np.concatenate([upto, blank + 1.0]) + source + base),
-            (self.to, np.concatenate([onward, ends + np.arange(len(words))]) + base),
-            (self.piece, np.concatenate([piece, np.zeros(len(words), np.int64)])),
-            (self.logp, np.concatenate([logp, blank])),
-            (self.rest, np.concatenate([rest, blank])),
-        )
-        self.begin.frombytes((np.cumsum(np.bincount(source, minlength=len(total))) + self.begin[-1]).tobytes())
-        for held, values in columns:
-            held.frombytes(np.ascontiguousarray(values[place]).tobytes())
+        place = np.arange(edges) + word[at]
+        last = np.cumsum(np.bincount(word, count, minlength=len(words)).astype(np.int64)) + np.arange(len(words))
+        ends_at = ends + np.arange(len(words))
+        per_node = np.ones(len(total), dtype=np.int64)
+        per_node[node] = count
+        self.begin.frombytes((np.cumsum(per_node) + self.begin[-1]).tobytes())
+        for held, values, finals in (
+            (self.upto, upto + node[at] + base, ends_at + base + 1.0), (self.to, onward + base, ends_at + base), (self.piece, piece, 0), (self.logp, logp, 0.0), (self.rest, rest, 0.0)
+        ):
+            column = np.zeros(edges + len(words), dtype=held.typecode)
+            column[place], column[last] = values, finals
+            held.frombytes(column.tobytes())
         self.first.frombytes((ends - sizes + np.arange(len(words)) + base).tobytes())
         self.last.frombytes((ends + np.arange(len(words)) + base).tobytes())
 
 
-def _uniform(*parts: np.ndarray | int) -> np.ndarray:
-    """Numbers in (0, 1) that depend on the parts alone."""
-    h = np.uint64(0x243F6A8885A308D3)
-    for part in parts:
-        h = tn.mix((np.asarray(part).astype(np.uint64) + h) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(0x632BE59BD9B4E019)) if np.ndim(part) or np.ndim(h) else np.uint64((int(h) * 31 + int(part)) & (2**64 - 1))
+def _uniform(seeds: np.ndarray, number: int) -> np.ndarray:
+    """Numbers in (0, 1), the ``number``-th of each seed."""
+    h = tn.mix(seeds + np.uint64(number * 0x9E3779B97F4A7C15 & (1 << 64) - 1))
     return ((h >> np.uint64(11)).astype(np.float64) + 0.5) / (1 << 53)
 
 
+#: Numbers of the draws of a word: 2^20 steps for each path, then the bounds of its regions.
+_STEPS, _BOUND = 1 << 20, 1 << 40
+
+
 class _Sampler:
     """Draws words' segmentations. The edges of what has been drawn stand in a pool; a segmentation is a range of it."""
 
     def __init__(self, lat: _Lattices) -> None:
         self.lat = lat
         # views: the tables must not grow while a sampler lives
-        self.first, self.last, self.to = (np.frombuffer(x, np.int64) for x in (lat.first, lat.last, lat.to))
-        self.upto, self.logp, self.rest = (np.frombuffer(x, np.float64) for x in (lat.upto, lat.logp, lat.rest))
+        tables = (lat.first, lat.last, lat.begin, lat.to, lat.upto, lat.logp, lat.rest)
+        self.first, self.last, self.begin, self.to, self.upto, self.logp, self.rest = (np.frombuffer(x, x.typecode) for x in tables)
         self.pools: list[np.ndarray] = []
         self.held = 0
 
@@ -192,19 +203,28 @@ class _Sampler:
         self.pools.append(edges)
         self.held += len(edges)
 
-    def draw(self, types: np.ndarray, *seeds: np.ndarray | int) -> tuple[np.ndarray, ...]:
+    def _edge(self, node: np.ndarray, u: np.ndarray) -> np.ndarray:
+        """The edge of each node at ``u``. The longest pieces, which come last, are the likeliest, so the search goes backwards."""
+        e, first, key = self.begin[node + 1] - 1, self.begin[node], node + u
+        open_ = np.arange(len(node))
+        while len(open_):
+            before = e[open_] - 1
+            open_ = open_[(before >= first[open_]) & (key[open_] <= self.upto[before])]
+            e[open_] -= 1
+        return e
+
+    def draw(self, types: np.ndarray, seeds: np.ndarray, path: int) -> tuple[np.ndarray, ...]:
         """Log probability, probability of all others, start and size in the pool of one segmentation of each word."""
         n = len(types)
         if not n:
             return np.zeros(0), np.zeros(0), np.zeros(0, np.int64), np.zeros(0, np.int64)
         by_type = np.argsort(types, kind="stable")  # so that the search walks through the tables in order
-        types, seeds = types[by_type], tuple(s[by_type] if np.ndim(s) else s for s in seeds)
+        types, seeds = types[by_type], seeds[by_type]
         node, end = self.first[types].copy(), self.last[types]
         logp, rest, size = np.zeros(n), np.zeros(n), np.zeros(n, dtype=np.int64)
         active, steps = np.flatnonzero(node != end), []
         while len(active):
-            u = _uniform(*[s[active] if np.ndim(s) else s for s in seeds], np.full(len(active), len(steps)))
-            e = np.searchsorted(self.upto, node[active] + u)
+            e = self._edge(node[active], _uniform(seeds[active], path * _STEPS + len(steps)))
             node[active] = self.to[e]
             rest[active] += np.exp(logp[active]) * self.rest[e]
             logp[active] += self.logp[e]
@@ -287,6 +307,7 @@ def top_segmentations(types: np.ndarray, offs: np.ndarray, rows: np.ndarray, lat
     n, words = len(offs) - 1, len(types)
     row = np.repeat(np.arange(n), np.diff(offs))
     index = np.arange(words) - offs[row]
+    seeds = tn.mix(rows[row] + (index.astype(np.uint64) + np.uint64(1)) * np.uint64(0xD1342543DE82EF95))
     begins, full = offs[:-1], offs[1:] > offs[:-1]
     logp = np.zeros((k, words))
     start, size = np.zeros((k, words), dtype=np.int64), np.zeros((k, words), dtype=np.int64)
@@ -294,7 +315,7 @@ def top_segmentations(types: np.ndarray, offs: np.ndarray, rows: np.ndarray, lat
     excluded: dict[tuple[int, int], list[tuple[int, ...]]] = {}  # there, if more than the path's own segmentation
     alive = np.ones(n, dtype=bool)
     parent, since = np.zeros(n, dtype=np.int64), np.full(n, -1, dtype=np.int64)
-    value = -np.log(-np.log(_uniform(rows, np.full(n, 1), np.full(n, 0))))  # the largest of all paths
+    value = -np.log(-np.log(_uniform(rows, 0)))  # the largest of all paths
     top = np.full(n, -np.inf)
     results = []
 
@@ -302,7 +323,7 @@ def top_segmentations(types: np.ndarray, offs: np.ndarray, rows: np.ndarray, lat
         before = np.concatenate([[0.0], np.cumsum(logp[r])])
         with np.errstate(divide="ignore"):
             location = before[at] - before[begins][row[at]] + np.log(rest)
-        bound[r, at] = _bounded(location, value[row[at]], _uniform(rows[row[at]], np.full(len(at), number), index[at]))
+        bound[r, at] = _bounded(location, value[row[at]], _uniform(seeds[at], _BOUND + number))
 
     for r in range(k):
         live = alive[row]
@@ -321,7 +342,7 @@ def top_segmentations(types: np.ndarray, offs: np.ndarray, rows: np.ndarray, lat
                 left.append(rest)
             sampler.keep(np.array([e for path in drawn for e in path], dtype=np.int64))
         fresh = np.flatnonzero(live & (index > since[row]))
-        logp[r, fresh], others, start[r, fresh], size[r, fresh] = sampler.draw(types[fresh], rows[row[fresh]], np.full(len(fresh), 2 + r), index[fresh])
+        logp[r, fresh], others, start[r, fresh], size[r, fresh] = sampler.draw(types[fresh], seeds[fresh], r)
         if r:  # what is left of the regions that this rank's paths come from lies below these paths' values
             for p in range(r):
                 mine = parent[who] == p
@@ -347,13 +368,10 @@ def top_segmentations(types: np.ndarray, offs: np.ndarray, rows: np.ndarray, lat
             since[row[at][::-1]] = index[at][::-1]  # the first, should two be equal
     pool = np.concatenate(sampler.pools)
     for result in results:
-        result["threshold"], result["pool"] = top[result["row"]], np.frombuffer(lat.piece, np.int64)[pool]
+        result["threshold"], result["pool"] = top[result["row"]], np.frombuffer(lat.piece, lat.piece.typecode)[pool].astype(np.int64)
     return results
 
 
-_worker: dict[tuple[str, float], _Lattices] = {}
-
-
 def _ids(codes: np.ndarray, pieces: _Pieces) -> np.ndarray:
     """Piece ids, with each character that no piece makes replaced by the pieces of its bytes."""
     if not (codes < 0).any():
@@ -367,9 +385,9 @@ def _ids(codes: np.ndarray, pieces: _Pieces) -> np.ndarray:
 def _sampled(path: str, alpha: float, k: int, seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = _pieces(path, alpha)
-        lat = _worker.setdefault((path, alpha), _Lattices(pieces))
+        lat = of_worker(f"lattices {path} {alpha}", lambda: _Lattices(pieces))
         for whole in batches:
-            for i, j in tn.slices(whole["text"], 2 << 20):
+            for i, j in tn.slices(whole["text"]):
                 batch = whole.slice(i, j - i)
                 if len(lat.types) > lat.limit:
                     lat.forget()
@@ -415,6 +433,7 @@ def sample(df: DataFrame, k: int, *, key: str = "doc_id", text: str = "text", mo
     empty text has one segmentation, of no pieces; a text with fewer than ``k`` has fewer rows. An empty table
     gives an empty result; other columns are ignored.
     """
+    small_batches(df.sparkSession)
     rows = df.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"), F.xxhash64(F.col(f"`{key}`")).alias("seed"))
     kind = rows.schema["key"].dataType.simpleString()
     run = _sampled(model_path or vocabulary.default_path("piece_bpe_32k.model"), alpha, k, seed)
