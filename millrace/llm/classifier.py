@@ -4,7 +4,9 @@ The model is trained on all trusted text. Counts, continuation counts, discounts
 that are joined by n-gram, sharded by Spark; no n-gram table is gathered on the driver or broadcast, except for those
 of single symbols, of which there are at most 2^15. Documents are dealt into blocks of text; each block asks for its
 distinct n-grams, gets their probabilities by joins, and scores its documents. A document is kept if its
-perplexity is at most ``slack`` times a quantile of the trusted documents of its language.
+perplexity is at most a quantile of the trusted documents of its language. For that quantile trusted documents are
+scored by models without their own counts: they are dealt into folds by their keys, and beside the model of all trusted
+text there is one for each fold, of the trusted text outside it. All models are rows of the same tables.
 """
 
 from __future__ import annotations
@@ -27,6 +29,11 @@ _BEGIN, _STOP, _FIRST = 1, 2, 3
 #: Code points from here on share what symbols are left: 2^15 in all.
 _SHARED_FROM = 0x7000
 _MASK = [(1 << (_BITS * n)) - 1 for n in range(ORDER + 1)]
+#: Trusted documents are dealt into so many folds, 7 at most: the bits above an n-gram tell its model, 0 for that of
+#: all trusted text, k for that of the text outside fold k.
+FOLDS = 5
+_TAG = _BITS * ORDER
+_TAGS = 7 << _TAG
 #: Perplexities are ranked on a scale of this many steps to a factor of e.
 _STEPS = 1000
 
@@ -56,7 +63,7 @@ def _grams(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of n-grams, summed over as many texts as a task can hold together."""
+    """Counts of n-grams, tagged with their text's fold, summed over as many texts as a task can hold together."""
     no_tables()
     held: list[tuple[np.ndarray, np.ndarray]] = []
     room = 0
@@ -68,8 +75,9 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         for i, j in tn.slices(batch["text"]):
-            grams, _ = _grams(*tn.buffers(batch["text"].slice(i, j - i)))
-            held.append(np.unique(grams, return_counts=True))
+            grams, offs = _grams(*tn.buffers(batch["text"].slice(i, j - i)))
+            folds = batch["fold"].slice(i, j - i).to_numpy()
+            held.append(np.unique(grams | np.repeat(folds << _TAG, np.diff(offs)), return_counts=True))
             room += len(held[-1][0])
             if room > 4_000_000:
                 yield merged()
@@ -78,22 +86,55 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield merged()
 
 
+def fold_of(key: str) -> Column:
+    """The fold, from 1, of a row's key."""
+    return F.pmod(F.xxhash64(key), F.lit(FOLDS)) + 1
+
+
 def count_grams(texts: DataFrame) -> DataFrame:
-    """(gram, c) of the column ``text``."""
-    return texts.select("text").where("text IS NOT NULL").mapInArrow(_counts, "gram long, c long").groupBy("gram").agg(F.sum("c").alias("c"))
+    """(gram, c) of the column ``text`` for every model; ``fold`` tells whose counts a text is left out of."""
+    folds = texts.select("fold", "text").where("text IS NOT NULL").mapInArrow(_counts, "gram long, c long").groupBy("gram").agg(F.sum("c").alias("c"))
+    fits = F.filter(F.array(*[F.lit(k).cast("long") for k in range(FOLDS + 1)]), lambda k: k != _model(F.col("gram")))
+    tagged = _suffix(F.col("gram"), ORDER, tagged=False).bitwiseOR(F.shiftleft("model", _TAG))
+    return folds.select("gram", "c", F.explode(fits).alias("model")).groupBy(tagged.alias("gram")).agg(F.sum("c").alias("c"))
+
+
+def _discounts(counts: DataFrame) -> list[list[float]]:
+    """By model: modified Kneser-Ney discounts of counts of 0, 1, 2, and 3 or more; plain ones where counts of counts are missing."""
+    seen: list[dict[int, int]] = [{} for _ in range(FOLDS + 1)]
+    for r in counts.where("c <= 4").groupBy(_model(F.col("gram")).alias("model"), "c").agg(F.count("*").alias("n")).collect():
+        seen[r["model"]][r["c"]] = r["n"]
+    out = []
+    for n in seen:
+        if any(not n.get(k) for k in (1, 2, 3, 4)):
+            out.append([0.0, 0.5, 1.0, 1.5])
+        else:
+            y = n[1] / (n[1] + 2 * n[2])
+            out.append([0.0] + [min(max(k - (k + 1) * y * n[k + 1] / n[k], 0.0), float(k)) for k in (1, 2, 3)])
+    return out
+
+
+def _model(gram: Column) -> Column:
+    return F.shiftright(gram, _TAG)
+
 
+def _of_model(values: list, model: Column) -> Column:
+    return F.element_at(F.array(*map(F.lit, values)), (model + 1).cast("int"))
 
-def _discounts(counts: DataFrame) -> list[float]:
-    """Modified Kneser-Ney discounts of counts of 0, 1, 2, and 3 or more; plain ones where counts of counts are missing."""
-    n = {r["c"]: r["n"] for r in counts.where("c <= 4").groupBy("c").agg(F.count("*").alias("n")).collect()}
-    if any(not n.get(k) for k in (1, 2, 3, 4)):
-        return [0.0, 0.5, 1.0, 1.5]
-    y = n[1] / (n[1] + 2 * n[2])
-    return [0.0] + [min(max(k - (k + 1) * y * n[k + 1] / n[k], 0.0), float(k)) for k in (1, 2, 3)]
 
+def _suffix(gram: Column, n: int, tagged: bool = True) -> Column:
+    return gram.bitwiseAND(F.lit(_MASK[n] | (_TAGS if tagged else 0)))
 
-def _suffix(gram: Column, n: int) -> Column:
-    return gram.bitwiseAND(F.lit(_MASK[n]))
+
+def _context(gram: Column, n: int) -> Column:
+    """All but the last symbol of an n-gram, with the same model."""
+    return F.shiftright(_suffix(gram, n, tagged=False), _BITS).bitwiseOR(gram.bitwiseAND(F.lit(_TAGS)))
+
+
+def _kinds(single: DataFrame) -> list[int]:
+    """By model: the number of symbols, and one for what is unknown."""
+    n = {r["model"]: r["n"] for r in single.groupBy(_model(F.col("gram")).alias("model")).agg(F.count("*").alias("n")).collect()}
+    return [n.get(k, 0) + 1 for k in range(FOLDS + 1)]
 
 
 def train(texts: DataFrame) -> dict[int, tuple[DataFrame, DataFrame]]:
@@ -101,19 +142,22 @@ def train(texts: DataFrame) -> dict[int, tuple[DataFrame, DataFrame]]:
     counts = {ORDER: cut(count_grams(texts))}
     for n in range(ORDER - 1, 0, -1):  # in how many distinct symbols' company an n-gram was seen
         counts[n] = cut(counts[n + 1].groupBy(_suffix(F.col("gram"), n).alias("gram")).agg(F.count("*").alias("c")))
-    kinds = counts[1].count() + 1
+    kinds = _kinds(counts[1])
+    which = _model(F.col("gram"))
     model: dict[int, tuple[DataFrame, DataFrame]] = {}
     for n in range(1, ORDER + 1):
-        d = _discounts(counts[n])
-        off = F.when(F.col("c") == 1, d[1]).when(F.col("c") == 2, d[2]).otherwise(d[3])
-        rows = counts[n].select("gram", "c", off.alias("off"), F.shiftright("gram", _BITS).alias("context"))
+        discounts = _discounts(counts[n])
+        d = lambda k, model: _of_model([x[k] for x in discounts], model)  # noqa: B023, E731
+        off = F.when(F.col("c") == 1, d(1, which)).when(F.col("c") == 2, d(2, which)).otherwise(d(3, which))
+        rows = counts[n].select("gram", "c", off.alias("off"), _context(F.col("gram"), n).alias("context"))
         by = rows.groupBy("context").agg(F.sum("c").alias("total"), F.count_if(F.col("c") == 1).alias("n1"), F.count_if(F.col("c") == 2).alias("n2"), F.count_if(F.col("c") > 2).alias("n3"))
         # sums of whole numbers, so that the order in which rows arrive cannot change a digit
-        gamma = (d[1] * F.col("n1") + d[2] * F.col("n2") + d[3] * F.col("n3")) / F.col("total")
+        of = _model(F.col("context"))
+        gamma = (d(1, of) * F.col("n1") + d(2, of) * F.col("n2") + d(3, of) * F.col("n3")) / F.col("total")
         contexts = cut(by.select("context", "total", gamma.alias("gamma")))
         rows = attach(rows, contexts, "context")
         if n == 1:
-            below = F.lit(1.0 / kinds)
+            below = _of_model([1.0 / k for k in kinds], which)
         else:
             lower = model[n - 1][0].select(F.col("gram").alias("lower"), F.col("p").alias("below"))
             rows = attach(rows.withColumn("lower", _suffix(F.col("gram"), n - 1)), lower, "lower")
@@ -124,22 +168,21 @@ def train(texts: DataFrame) -> dict[int, tuple[DataFrame, DataFrame]]:
 
 
 def probabilities(grams: DataFrame, model: dict[int, tuple[DataFrame, DataFrame]]) -> DataFrame:
-    """(gram, logp) for n-grams of the highest order, seen or not: back off where one is unseen."""
+    """(gram, logp) for n-grams of the highest order, tagged with their model, seen or not: back off where one is unseen."""
     q = grams.select("gram")
     single, start = model[1]
-    unknown = start.select(F.col("gamma").alias("_start"))
-    kinds = single.count() + 1
-    q = q.crossJoin(F.broadcast(unknown)) if start.limit(1).count() else q.withColumn("_start", F.lit(1.0))  # one row: that of the empty context
-    p = F.col("_start") / kinds
+    unknown = start.select(F.col("context").alias("_key"), F.col("gamma").alias("_start"))
+    q = q.withColumn("_key", F.col("gram").bitwiseAND(F.lit(_TAGS))).join(F.broadcast(unknown), "_key", "left")  # one row of a model: that of the empty context
+    p = F.coalesce("_start", F.lit(1.0)) / _of_model(_kinds(single), _model(F.col("gram")))
     for n in range(1, ORDER + 1):
         seen, contexts = model[n]
         q = q.withColumn("_key", _suffix(F.col("gram"), n))
         seen = seen.select(F.col("gram").alias("_key"), F.col("p").alias("_seen"))
-        # at most 2^15 single symbols, and contexts of one symbol, exist
+        # at most 2^15 single symbols, and contexts of one symbol, exist in each model
         q = q.join(F.broadcast(seen), "_key", "left") if n == 1 else attach(q, seen, "_key", "left")
         value = F.coalesce("_seen", p)
         if n > 1:
-            q = q.withColumn("_key", F.shiftright(_suffix(F.col("gram"), n), _BITS))
+            q = q.withColumn("_key", _context(F.col("gram"), n))
             contexts = contexts.select(F.col("context").alias("_key"), "gamma")
             q = q.join(F.broadcast(contexts), "_key", "left") if n == 2 else attach(q, contexts, "_key", "left")
             value = F.coalesce("_seen", F.coalesce("gamma", F.lit(1.0)) * F.col("_p"))
@@ -148,30 +191,26 @@ def probabilities(grams: DataFrame, model: dict[int, tuple[DataFrame, DataFrame]
     return q.select("gram", F.log("_p").alias("logp"))
 
 
-def _pack(blocks: int):
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The batch's rows by block, compressed: text moves between machines at a third of its size."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        no_tables()
-        for batch in batches:
-            table = pa.Table.from_batches([batch])
-            block = batch["block"].to_numpy()
-            order = np.argsort(block, kind="stable")
-            edges = np.flatnonzero(np.diff(block[order], prepend=-1))
-            out = []
-            for i, j in zip(edges.tolist(), [*edges[1:].tolist(), len(order)]):
-                sink = io.BytesIO()
-                part = table.take(pa.array(order[i:j])).drop_columns(["block"])
-                with pa.ipc.new_stream(sink, part.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
-                    writer.write_table(part)
-                out.append(sink.getvalue())
-            yield pa.RecordBatch.from_arrays([pa.array(block[order][edges]), pa.array(out, pa.binary())], ["block", "rows"])
-
-    return run
+    no_tables()
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        block = batch["block"].to_numpy()
+        order = np.argsort(block, kind="stable")
+        edges = np.flatnonzero(np.diff(block[order], prepend=-1))
+        out = []
+        for i, j in zip(edges.tolist(), [*edges[1:].tolist(), len(order)]):
+            sink = io.BytesIO()
+            part = table.take(pa.array(order[i:j])).drop_columns(["block"])
+            with pa.ipc.new_stream(sink, part.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+                writer.write_table(part)
+            out.append(sink.getvalue())
+        yield pa.RecordBatch.from_arrays([pa.array(block[order][edges]), pa.array(out, pa.binary())], ["block", "rows"])
 
 
 def _ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Distinct n-grams of each block; the input is sorted by block."""
+    """Distinct n-grams of each block, tagged with its model; the input is sorted by block."""
     held, current = [], None
 
     def asked() -> pa.RecordBatch:
@@ -184,8 +223,9 @@ def _ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield asked()
                 held = []
             current = block
-            texts = pa.ipc.open_stream(rows.as_buffer()).read_all()["text"].combine_chunks()
-            held += [np.unique(_grams(*tn.buffers(texts.slice(i, j - i)))[0]) for i, j in tn.slices(texts)]
+            table = pa.ipc.open_stream(rows.as_buffer()).read_all()
+            texts, tag = table["text"].combine_chunks(), table["model"][0].as_py() << _TAG
+            held += [np.unique(_grams(*tn.buffers(texts.slice(i, j - i)))[0] | tag) for i, j in tn.slices(texts)]
             if len(held) > 16:
                 held = [np.unique(np.concatenate(held))]
     if held:
@@ -199,40 +239,43 @@ def _score(left: pa.Table, right: pa.Table) -> pa.Table:
     out = []
     for rows in left["rows"].combine_chunks():
         table = pa.ipc.open_stream(rows.as_buffer()).read_all()
-        texts = table["text"].combine_chunks()
+        texts, tag = table["text"].combine_chunks(), table["model"][0].as_py() << _TAG
         counts, sums = [], []
         for i, j in tn.slices(texts):
             g, offs = _grams(*tn.buffers(texts.slice(i, j - i)))
-            distinct, which = np.unique(g, return_inverse=True)
+            distinct, which = np.unique(g | tag, return_inverse=True)
             values = logp[np.searchsorted(grams, distinct)][which]
             counts.append(np.diff(offs))
             sums.append(np.add.reduceat(values, offs[:-1]))
         join = lambda x: np.concatenate(x) if x else np.zeros(0)
         n = join(counts).astype(np.int64)
-        out.append(table.drop_columns(["text"]).append_column("n_symbols", pa.array(n)).append_column("log_perplexity", pa.array(-join(sums) / np.maximum(n, 1))))
+        out.append(table.drop_columns(["text", "model"]).append_column("n_symbols", pa.array(n)).append_column("log_perplexity", pa.array(-join(sums) / np.maximum(n, 1))))
     return pa.concat_tables(out)
 
 
 def perplexities(docs: DataFrame, model: dict[int, tuple[DataFrame, DataFrame]], block_bytes: int = 32 << 20) -> DataFrame:
-    """doc_id, lang, trusted, n_symbols, log_perplexity for rows (doc_id, lang, text, trusted) that have a text."""
-    total = docs.select(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(1, -(-total // block_bytes))
-    placed = docs.withColumn("block", F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(blocks)))
-    packed = placed.mapInArrow(_pack(blocks), "block long, rows binary").repartition(shuffle_width(docs.sparkSession), "block")
+    """doc_id, lang, held, n_symbols, log_perplexity for rows (doc_id, lang, text, model, held) that have a text."""
+    size = {r["model"]: r["size"] for r in docs.groupBy("model").agg(F.sum(F.octet_length("text")).alias("size")).collect()}
+    blocks = [max(1, -(-size.get(k, 0) // block_bytes)) for k in range(FOLDS + 1)]
+    first = np.cumsum([0, *blocks]).tolist()[:-1]
+    # a block holds texts for one model
+    block = _of_model(first, F.col("model")) + F.pmod(F.xxhash64("doc_id", F.length("text")), _of_model(blocks, F.col("model")))
+    placed = docs.withColumn("block", block.cast("long"))
+    packed = placed.mapInArrow(_pack, "block long, rows binary").repartition(shuffle_width(docs.sparkSession), "block")
     asked = packed.sortWithinPartitions("block").mapInArrow(_ask, "block long, gram long")
     answers = probabilities(asked.select("gram").distinct(), model)
     answered = attach(asked, answers, "gram").select("block", "gram", "logp")
-    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, lang string, trusted boolean, n_symbols long, log_perplexity double"
+    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, lang string, held boolean, n_symbols long, log_perplexity double"
     return packed.groupBy("block").cogroup(answered.groupBy("block")).applyInArrow(_score, schema)
 
 
 def limits(scored: DataFrame, quantile: float) -> DataFrame:
-    """(lang, limit): the least log perplexity, in steps, that a share ``quantile`` of the language's trusted rows does not exceed.
+    """(lang, limit): the least log perplexity, in steps, that a share ``quantile`` of the language's held-out rows does not exceed.
 
     The row of a null lang is over all languages. The histogram bounds what a group holds.
     """
     step = F.ceil(F.col("log_perplexity") * _STEPS).cast("long")
-    bins = scored.where("trusted").groupBy("lang", step.alias("step")).agg(F.sum(F.lit(1)).alias("n"))
+    bins = scored.where("held").groupBy("lang", step.alias("step")).agg(F.sum(F.lit(1)).alias("n"))
     every = bins.groupBy("step").agg(F.sum("n").alias("n")).withColumn("lang", F.lit(None).cast("string"))
     both = bins.where("lang IS NOT NULL").unionByName(every)
     w = Window.partitionBy("lang")
@@ -250,13 +293,13 @@ def classify(
     label_key: str = "doc_id",
     trusted: str = "quality = 1 AND toxic = 0",
     quantile: float = 0.99,
-    slack: float = 2.0,
 ) -> DataFrame:
     """doc_id, lang, n_symbols, log_perplexity, limit, kept; one row per row of ``df``.
 
     Trusted documents are those whose key has a label row for which ``trusted`` holds; all of them train. A row is kept if
-    its perplexity is at most ``slack`` times the quantile of its language's trusted rows; a language without trusted
-    rows, or a null one, is held against all trusted rows. A null or empty text has no perplexity and is not kept. Without any
+    its perplexity is at most the quantile of its language's trusted rows, each scored by a model of the trusted rows
+    outside its fold; if one fold holds all of them, by the model of all. A language without trusted rows, or a null one,
+    is held against all trusted rows. A null or empty text has no perplexity and is not kept. Without any
     trusted text there is nothing to compare with, and every other row is kept. Repeated rows are scored alike; null keys
     have no label. An empty table gives an empty result. Other columns are ignored.
     """
@@ -264,18 +307,22 @@ def classify(
     docs = df.select(F.col(f"`{key}`").alias("doc_id"), F.col(f"`{lang}`").alias("lang"), F.col(f"`{text}`").alias("text"))
     good = cut(labels.where(trusted).select(F.col(f"`{label_key}`").alias("doc_id")).where("doc_id IS NOT NULL").distinct())
     marked = with_few(docs, good.withColumn("trusted", F.lit(True)), "doc_id", "left").withColumn("trusted", F.coalesce("trusted", F.lit(False)))
-    marked = marked.select("doc_id", "lang", "text", "trusted")
+    marked = marked.select("doc_id", "lang", "text", "trusted", fold_of("doc_id").alias("fold"))
     blank = F.coalesce(F.length("text"), F.lit(0)) == 0
     model = train(marked.where("trusted"))
-    scored = cut(perplexities(marked.where(~blank), model))
+    known = [k if kinds > 1 else 0 for k, kinds in enumerate(_kinds(model[1][0]))]
+    whole = F.struct(F.lit(0).cast("long").alias("model"), F.lit(False).alias("held"))
+    without = F.struct(_of_model(known, F.col("fold")).cast("long").alias("model"), F.lit(True).alias("held"))
+    asked = marked.where(~blank).select("doc_id", "lang", "text", F.explode(F.when(F.col("trusted"), F.array(whole, without)).otherwise(F.array(whole))).alias("by"))
+    scored = cut(perplexities(asked.select("doc_id", "lang", "text", "by.model", "by.held"), model))
     bound = cut(limits(scored, quantile))
     pooled = bound.where("lang IS NULL").select(F.col("limit").alias("_pooled"))
     own = bound.where("lang IS NOT NULL")
     empty = marked.where(blank).select("doc_id", "lang", F.lit(0).cast("long").alias("n_symbols"), F.lit(None).cast("double").alias("log_perplexity"))
-    rows = scored.drop("trusted").unionByName(empty)
+    rows = scored.where("NOT held").drop("held").unionByName(empty)
     rows = with_few(rows, own, "lang", "left")
     rows = rows.join(F.broadcast(pooled.groupBy().agg(F.max("_pooled").alias("_pooled"))))
-    limit = F.coalesce("limit", "_pooled") + float(np.log(slack))
+    limit = F.coalesce("limit", "_pooled")
     kept = F.coalesce(F.col("log_perplexity") <= limit, F.col("log_perplexity").isNotNull())
     return rows.select("doc_id", "lang", "n_symbols", "log_perplexity", limit.alias("limit"), kept.alias("kept"))
 

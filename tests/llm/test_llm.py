@@ -259,6 +259,26 @@ def test_classifier_rejects_held_out_junk(spark):
     assert out.where("quality = 0 AND NOT kept").count() >= 0.4 * out.where("quality = 0").count()
 
 
+def test_classifier_limits_leave_own_counts_out(spark, docs):
+    docs = docs.where("length(text) BETWEEN 1 AND 2000")
+    rows = docs.withColumn("fold", classifier.fold_of("doc_id")).collect()
+    labels = spark.createDataFrame([(r.doc_id, int(r.doc_id % 3 > 0), 0) for r in rows], "doc_id long, quality int, toxic int")
+    good = [r for r in rows if r.doc_id % 3]
+    others = {f: brute.kneser_ney([r.text for r in good if r.fold != f]) for f in {r.fold for r in good}}
+    held = collections.defaultdict(list)
+    for r in good:
+        held[r.lang].append(others[r.fold](r.text))
+    held[None] = [x for v in held.values() for x in v]
+    want = {k: math.ceil(1000 * sorted(v)[math.ceil(0.99 * len(v)) - 1]) / 1000 for k, v in held.items()}
+    out = classifier.classify(docs, labels).collect()
+    assert len(out) == len(rows)
+    for r in out:
+        assert abs(r.limit - want[r.lang if r.lang in want else None]) < 1e-9
+        assert r.kept == (r.log_perplexity <= r.limit)
+    alone = classifier.classify(docs, labels.where(f"doc_id = {good[0].doc_id}")).collect()  # no other text to hold it against
+    assert all(r.kept for r in alone if r.doc_id == good[0].doc_id)
+
+
 @pytest.mark.parametrize("layout", [suffixes.Layout(20, 8), suffixes.Layout(20, 8, hot_strings=2, hot_in_batch=2, bucket_strings=5), suffixes.Layout(60, 16, hot_in_batch=3)])
 def test_repeated_passages(spark, docs, layout):
     got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffixes.repeated_passages(clashing(docs), layout=layout).collect()}
