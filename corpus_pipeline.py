@@ -11,7 +11,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import classifier, minhash, packing, quality_rules, suffixes
+from millrace.llm import classifier, minhash, packing, quality_rules, suffixes, vocabulary
 from millrace.llm.common import read_table, shared_dir
 
 
@@ -37,7 +37,7 @@ def remove_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of at most 1024 tokens, as pieces of documents along the curve."""
-    return packing.pack(docs, length=1024)
+    return packing.pack(docs, length=1024, added_path=vocabulary.default_path("byte_bpe_50k.json"))
 
 
 STAGES = [

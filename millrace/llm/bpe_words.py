@@ -26,17 +26,28 @@ class _Parts(dict):
 
 
 class WordEncoder:
-    """Encodes whole texts; at most about ``limit`` parts are remembered between texts."""
+    """Encodes whole texts; at most about ``limit`` parts are remembered between texts.
 
-    def __init__(self, path: str, limit: int = 120_000) -> None:
+    Texts are first split at ``added`` tokens, the longest where several begin, and what lies between is encoded apart.
+    """
+
+    def __init__(self, path: str, added: dict[str, int] | None = None, limit: int = 120_000) -> None:
         bpe = vocabulary.byte_bpe(path)
-        self.dtype = "<u2" if bpe.n_vocab < 1 << 16 else "<u4"
+        added = added or {}
+        self.dtype = "<u2" if max([bpe.n_vocab, *(i + 1 for i in added.values())]) <= 1 << 16 else "<u4"
         self.limit = limit
         code = "H" if self.dtype == "<u2" else "I"
+        self.added = {t: array(code, [i]).tobytes() for t, i in added.items()}
+        self.at_added = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")") if added else None
         self.heads, self.words = _Parts(bpe.encode_ordinary, code, ""), _Parts(bpe.encode_ordinary, code, " ")
 
     def encode(self, text: str) -> bytes:
         """The ids as little-endian numbers of type ``dtype``."""
+        if self.at_added is None or not self.at_added.search(text):
+            return self._plain(text)
+        return b"".join(self.added[t] if k % 2 else self._plain(t) for k, t in enumerate(self.at_added.split(text)))
+
+    def _plain(self, text: str) -> bytes:
         if not text:
             return b""
         if len(self.words) + len(self.heads) > self.limit:
@@ -48,6 +59,6 @@ class WordEncoder:
         return self.heads[head] + b"".join(map(self.words.__getitem__, words))
 
 
-def encoder(path: str) -> WordEncoder:
-    """The encoder of this Python worker."""
-    return of_worker(f"encoder {path}", lambda: WordEncoder(path))
+def encoder(path: str, added_path: str | None = None) -> WordEncoder:
+    """The encoder of this Python worker, with the added tokens of the json at ``added_path``."""
+    return of_worker(f"encoder {path} {added_path}", lambda: WordEncoder(path, vocabulary.added_tokens(added_path) if added_path else None))

@@ -65,9 +65,9 @@ def curve_keys(ids: np.ndarray, offs: np.ndarray, seed: int) -> np.ndarray:
     return hilbert_key(np.minimum((low + 4) / 8 * (1 << _BITS), (1 << _BITS) - 1).astype(np.int64))
 
 
-def _encoded(path: str, end_id: int, seed: int):
+def _encoded(path: str, added_path: str | None, end_id: int, seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(path)
+        enc = encoder(path, added_path)
         end = np.array([end_id], enc.dtype).tobytes()
         for whole in batches:
             for i, j in tn.slices(whole["text"]):
@@ -82,16 +82,18 @@ def _encoded(path: str, end_id: int, seed: int):
     return run
 
 
-def encode(df: DataFrame, *, key: str = "doc_id", text: str = "text", vocabulary_path: str | None = None, end_id: int = 0, seed: int = 7) -> DataFrame:
+def encode(df: DataFrame, *, key: str = "doc_id", text: str = "text", vocabulary_path: str | None = None, added_path: str | None = None, end_id: int = 0, seed: int = 7) -> DataFrame:
     """doc_id, curve, n_ids, ids: token ids of each whole text followed by ``end_id``, and the text's curve key.
 
     ids holds little-endian unsigned numbers of 2 bytes, or of 4 for vocabularies of over 65536. A null text is empty.
+    Added tokens of the tokenizer's json at ``added_path`` are found inside texts too, as tokenizers does; without it
+    they are plain text.
     """
     small_batches(df.sparkSession)
     path = vocabulary_path or vocabulary.default_path("byte_bpe_50k.tiktoken")
     rows = df.select(F.col(f"`{key}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(_encoded(path, end_id, seed), f"doc_id {kind}, curve long, n_ids long, ids binary")
+    return rows.mapInArrow(_encoded(path, added_path, end_id, seed), f"doc_id {kind}, curve long, n_ids long, ids binary")
 
 
 def _packed(length: int):
@@ -129,7 +131,7 @@ def _packed(length: int):
     return run
 
 
-def pack(df: DataFrame, *, length: int = 1024, key: str = "doc_id", text: str = "text", vocabulary_path: str | None = None, end_id: int = 0, seed: int = 7, ids_per_range: int = 1 << 25) -> DataFrame:
+def pack(df: DataFrame, *, length: int = 1024, key: str = "doc_id", text: str = "text", vocabulary_path: str | None = None, added_path: str | None = None, end_id: int = 0, seed: int = 7, ids_per_range: int = 1 << 25) -> DataFrame:
     """Sequences of at most ``length`` ids, as pieces of documents.
 
     One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, ids (little-endian
@@ -138,7 +140,7 @@ def pack(df: DataFrame, *, length: int = 1024, key: str = "doc_id", text: str =
     key and ids. An empty table gives no piece. Other columns are ignored. A range holds about ``ids_per_range`` ids at
     most, so that its task stays small however large the corpus is.
     """
-    encoded = cut(encode(df, key=key, text=text, vocabulary_path=vocabulary_path, end_id=end_id, seed=seed))
+    encoded = cut(encode(df, key=key, text=text, vocabulary_path=vocabulary_path, added_path=added_path, end_id=end_id, seed=seed))
     total = encoded.agg(F.sum("n_ids")).first()[0] or 0
     ranges = shuffle_width(df.sparkSession, -(-total // ids_per_range))
     ordered = encoded.withColumn("tie", F.xxhash64("ids")).repartitionByRange(ranges, "curve", "doc_id", "tie").sortWithinPartitions("curve", "doc_id", "tie")

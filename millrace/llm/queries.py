@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, classifier, minhash, packing, quality_rules, segmentations, sharding, suffixes, vectors_dedup, warc
+from millrace.llm import chat, classifier, minhash, packing, quality_rules, segmentations, sharding, suffixes, vectors_dedup, vocabulary, warc
 from millrace.llm.common import read_table
 
 
@@ -174,7 +174,8 @@ SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id, doc_id = comp
 
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(read_table(spark, sf_dir, "documents"), length=1024).drop("ids")
+    added = vocabulary.default_path("byte_bpe_50k.json")
+    return packing.pack(read_table(spark, sf_dir, "documents"), length=1024, added_path=added).drop("ids")
 
 
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

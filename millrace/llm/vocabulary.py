@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import functools
+import json
 
 import public_tokenizers
 
@@ -18,6 +19,17 @@ def byte_bpe(path: str):
     return tiktoken.Encoding(path, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
+@functools.cache
+def added_tokens(path: str) -> dict[str, int]:
+    """Ids of the tokens that a tokenizer's json adds to its vocabulary; they are found in texts before all else."""
+    with open(path, encoding="utf-8") as file:
+        added = json.load(file)["added_tokens"]
+    odd = [t["content"] for t in added if t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"]]
+    if odd:
+        raise ValueError(f"added tokens of {path} that do not match as they stand: {odd}")
+    return {t["content"]: t["id"] for t in added}
+
+
 @functools.cache
 def piece_model(path: str):
     import sentencepiece

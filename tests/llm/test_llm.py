@@ -362,6 +362,30 @@ def test_packing(spark, docs):
     assert packing.pack(df.limit(0)).count() == 0
 
 
+def test_packing_queries_take_added_tokens_inside_texts(spark, docs, tmp_path):
+    import corpus_pipeline
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    odd = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>  y ", "<|endoftext|", "\n<|endoftext|>\n<|endoftext|>é", " <|endoftext|> word " * 400]
+    texts = dict(enumerate([r.text for r in docs.collect()] + odd))
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    stage = dict(corpus_pipeline.STAGES)["packing"]
+    for out in (queries.QUERIES["op9_packing"](spark, str(tmp_path)), stage(spark, df, str(tmp_path))):
+        pieces = collections.defaultdict(list)
+        for p in out.collect():
+            pieces[p.doc_id].append((p.start, p.length, p.ids_crc32, p.doc_tokens))
+        for i, text in texts.items():
+            ids = np.array([*tokenizer.encode(text or "", add_special_tokens=False).ids, 0], "<u4")
+            at = 0
+            for start, length, crc, total in sorted(pieces[i]):
+                assert (start, total, crc) == (at, len(ids), zlib.crc32(ids[at : at + length].tobytes()))
+                at += length
+            assert at == len(ids)
+
+
 def test_hilbert_neighbours_touch():
     for dims, bits in ((2, 3), (3, 2)):
         points = np.array(list(itertools.product(range(1 << bits), repeat=dims)))
