@@ -324,6 +324,16 @@ def test_near_duplicates(spark, docs, percent):
     assert minhash.keep(docs).columns == docs.columns
 
 
+def test_near_duplicates_just_at_the_threshold_are_seen(spark):
+    rows = []
+    for i in range(4000):  # 28 of 35 shingles
+        words = [f"p{i}w{j}" for j in range(39)]
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(words[:32]))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert minhash.keep(df, percent=80).where("doc_id % 2 = 1").count() <= 2  # 20 bands leave 5 unseen
+    assert minhash.bands_for(85, 6) == 20
+
+
 def test_near_duplicates_of_odd_rows(spark):
     text = " ".join("abcdefgh")
     df = spark.createDataFrame([(3, text), (None, text), (5, text.upper()), (5, text), (6, None), (7, " \n"), (8, "a b"), (9, "A\tb")], "doc_id long, text string")
