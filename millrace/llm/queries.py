@@ -86,7 +86,7 @@ def op2_segmentations(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     out = segmentations.sample(docs, 3)
     ids = F.col("ids")
-    return out.select("doc_id", "rank", "log_prob", "perturbed", "inclusion", (F.length(ids) / 4).cast("long").alias("n_pieces"), F.crc32(ids).alias("ids_crc32"), F.crc32(segmentations.decode(ids)).alias("text_crc32"))
+    return out.select("doc_id", "rank", "log_prob", "perturbed", "inclusion", "log_inclusion", (F.length(ids) / 4).cast("long").alias("n_pieces"), F.crc32(ids).alias("ids_crc32"), F.crc32("text").alias("text_crc32"))
 
 
 def op3_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,12 +16,12 @@ from __future__ import annotations
 import functools
 import math
 import random
-import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,7 +31,6 @@ from millrace.llm.common import of_worker, small_batches
 
 _BLANK = "▁"
 _LITERAL = "\udfff"  # a U+2581 of the text itself; no valid text has this code point
-_CHUNK = re.compile(f"\n|{_BLANK}+[^{_BLANK}\n]*|[^{_BLANK}\n]+")
 
 
 def _points(text: str) -> np.ndarray:
@@ -59,25 +58,56 @@ class _Pieces:
                 # pieces that no merge makes have scores far below all ranks; they weigh as much as the last
                 self.weights[piece] = (i, max(-alpha * math.log(1 + max(-model.get_score(i), 0.0)), self.last))
                 self.bytes_.append(piece.replace(_BLANK, " ").encode())
-        self.longest = max(map(len, self.weights))
-        # the pieces by hash, to look up many substrings at once
-        line = "".join(self.weights)
-        sizes = np.array([len(piece) for piece in self.weights])
-        ends = np.cumsum(sizes)
-        hashes = tn.span_hash(tn.prefix_hash(_points(line), tn.BASE), tn.BASE, ends - sizes, ends)
-        order = np.argsort(hashes)
-        self.hashes = hashes[order]
-        self.hash_ids = np.array([i for i, _ in self.weights.values()])[order]
-        self.hash_weights = np.array([w for _, w in self.weights.values()])[order]
-        self.filter = np.zeros(1 << 20, dtype=bool)
-        self.filter[self.hashes >> np.uint64(44)] = True
-
-    def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Which hashes are those of pieces, and where these stand in the tables."""
-        maybe = np.flatnonzero(self.filter[hashes >> np.uint64(44)])
-        i = np.minimum(np.searchsorted(self.hashes, hashes[maybe]), len(self.hashes) - 1)
-        hit = self.hashes[i] == hashes[maybe]
-        return maybe[hit], i[hit]
+        self.sizes = np.array(list(map(len, self.bytes_)), dtype=np.int64)
+        self.begins = np.cumsum(self.sizes) - self.sizes
+        self.bytes_line = np.frombuffer(b"".join(self.bytes_), np.uint8)
+        self._index()
+
+    def _index(self) -> None:
+        """The trie of all pieces as a hash table of its edges, to walk it from many places of a text at once."""
+        trie: list[dict[int, int]] = [{}]
+        ids, weights = [-1], [0.0]
+        alphabet = {c: k + 1 for k, c in enumerate(sorted({ord(c) for piece in self.weights for c in piece}))}
+        for piece, (i, w) in self.weights.items():
+            at = 0
+            for c in piece:
+                onward, c = trie[at], alphabet[ord(c)]
+                if c not in onward:
+                    onward[c] = len(trie)
+                    trie.append({})
+                    ids.append(-1)
+                    weights.append(0.0)
+                at = onward[c]
+            ids[at], weights[at] = i, w
+        self.node_ids, self.node_weights = np.array(ids), np.array(weights)
+        self.classes = np.zeros(max(alphabet) + 2, dtype=np.int32)  # 0: no piece has the character
+        self.classes[list(alphabet)] = list(alphabet.values())
+        self.width = len(alphabet) + 1
+        keys = np.array([at * self.width + c for at, onward in enumerate(trie) for c in onward])
+        nodes = np.array([to for onward in trie for to in onward.values()])
+        slot = self._slot(keys)
+        order = np.argsort(slot, kind="stable")
+        self.keys, self.nodes = np.append(keys[order], -1), np.append(nodes[order], 0).astype(np.int32)
+        self.slots = np.full(1 << 20, -1, dtype=np.int32)
+        first, begin, many = np.unique(slot[order], return_index=True, return_counts=True)
+        self.slots[first] = begin
+        self.depth = int(many.max())
+
+    @staticmethod
+    def _slot(keys: np.ndarray) -> np.ndarray:
+        return (keys.view(np.uint64) * np.uint64(tn.BASE)) >> np.uint64(44)
+
+    def onward(self, nodes: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of the trie's nodes go on with a character, and where to."""
+        keys = nodes.astype(np.int64) * self.width + classes
+        at = self.slots[self._slot(keys)]
+        some = np.flatnonzero(at >= 0)
+        at, keys = at[some], keys[some]
+        hit = self.keys[at] == keys
+        for _ in range(self.depth - 1):
+            at = np.where(hit, at, np.minimum(at + 1, len(self.keys) - 1))
+            hit = self.keys[at] == keys
+        return some[hit], self.nodes[at[hit]]
 
 
 @functools.cache
@@ -88,7 +118,7 @@ def _pieces(path: str, alpha: float) -> _Pieces:
 class _Lattices:
     """Word lattices as flat tables. A node's edges stand together, with their probabilities summed up and offset by the node's number."""
 
-    def __init__(self, pieces: _Pieces, limit: int = 50_000) -> None:
+    def __init__(self, pieces: _Pieces, limit: int = 100_000) -> None:
         self.pieces, self.limit = pieces, limit
         self.forget()
 
@@ -98,12 +128,12 @@ class _Lattices:
         self.begin = array("q", [0])  # of each node's edges, and where the last one's end
         self.upto, self.to, self.piece, self.logp, self.rest = array("d"), array("i"), array("i"), array("d"), array("f")
 
-    def of(self, words: list[str]) -> np.ndarray:
-        """The types of words; the lattices of new ones are built together."""
-        new = list(set(words).difference(self.types))
+    def of(self, words: list[str], spell: Callable[[str], str] = str) -> np.ndarray:
+        """The types of words; the lattices of new ones, as ``spell`` spells them, are built together."""
+        new = [w for w in dict.fromkeys(words) if w not in self.types]
         if new:
             self.types.update(zip(new, range(len(self.first), len(self.first) + len(new))))
-            self._build(new)
+            self._build(list(map(spell, new)))
         return np.fromiter(map(self.types.__getitem__, words), np.int64, len(words))
 
     def _build(self, words: list[str]) -> None:
@@ -115,20 +145,25 @@ class _Lattices:
         word = np.repeat(np.arange(len(words)), sizes)
         left = ends[word] - np.arange(n)  # characters from here to the word's end
         node = np.arange(n) + word  # every word has one node more than characters
-        prefix = tn.prefix_hash(points, tn.BASE)
+        classes = p.classes[np.minimum(points, len(p.classes) - 1)]
         found, count = [], np.zeros(n, dtype=np.int64)  # edges, and how many of them each character has
-        for size in range(1, int(min(p.longest, sizes.max())) + 1):
-            at = np.flatnonzero(left >= size)
-            hit, i = p.find(tn.span_hash(prefix, tn.BASE, at, at + size))
-            at, weight, piece = at[hit], p.hash_weights[i], p.hash_ids[i]
+        at, state, size = np.arange(n), np.zeros(n, dtype=np.int32), 0
+        while len(at):
+            going, state = p.onward(state, classes[at + size])
+            at, size = at[going], size + 1
+            made = np.flatnonzero(p.node_ids[state] >= 0)
+            where, ends_in = at[made], state[made]
+            weight, piece = p.node_weights[ends_in], p.node_ids[ends_in]
             if size == 1:  # where no piece makes a character its bytes do
-                bare = np.setdiff1d(np.arange(n), at, assume_unique=True)
+                bare = np.setdiff1d(np.arange(n), where, assume_unique=True)
                 character = np.where(points[bare] == ord(_LITERAL), ord(_BLANK), points[bare]).astype(np.int64)
                 cost = p.last * (1 + (character > 0x7F) + (character > 0x7FF) + (character > 0xFFFF))
                 ids = np.where(character < 0x80, np.array(p.byte_ids)[np.minimum(character, 0x7F)], -1 - character)
-                at, weight, piece = np.concatenate([at, bare]), np.concatenate([weight, cost]), np.concatenate([piece, ids])
-            found.append((at, count[at], size, weight, piece))
-            count[at] += 1
+                where, weight, piece = np.concatenate([where, bare]), np.concatenate([weight, cost]), np.concatenate([piece, ids])
+            found.append((where, count[where], size, weight, piece))
+            count[where] += 1
+            more = left[at] > size
+            at, state = at[more], state[more]
         heads = np.cumsum(count) - count
         edges = int(count.sum())
         at = np.repeat(np.arange(n), count)
@@ -178,6 +213,31 @@ class _Lattices:
         self.last.frombytes((ends + np.arange(len(words)) + base).tobytes())
 
 
+def chunks(texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """The words of all texts, one after another, and how many each text has.
+
+    Every text gets a blank in front; a word is a line break, or blanks and what follows up to the next of either.
+    """
+    data, offs = tn.buffers(texts)
+    full = np.diff(offs) > 0
+    ends = offs[1:] + np.cumsum(full)
+    begins = np.concatenate([[0], ends[:-1]])
+    line = np.full(int(ends[-1]) if len(ends) else 0, 0x20, dtype=np.uint8)
+    line[np.arange(len(data)) + np.repeat(np.cumsum(full), np.diff(offs))] = data
+    stop, blank = line == 0x0A, line == 0x20
+    new = stop | blank
+    new[1:] = stop[1:] | stop[:-1] | (blank[1:] & ~blank[:-1])
+    new[begins[full]] = True
+    at = np.flatnonzero(new)
+    words = pa.Array.from_buffers(pa.string(), len(at), [None, pa.py_buffer(np.append(at, len(line)).astype(np.int32)), pa.py_buffer(line)])
+    return words.dictionary_encode(), np.diff(np.searchsorted(at, np.append(begins, len(line))))
+
+
+def _spelled(word: str) -> str:
+    """A text's word as pieces spell it: a blank is U+2581, and what is a U+2581 already matches no piece."""
+    return word.replace(_BLANK, _LITERAL).replace(" ", _BLANK)
+
+
 def _uniform(seeds: np.ndarray, number: int) -> np.ndarray:
     """Numbers in (0, 1), the ``number``-th of each seed."""
     h = tn.mix(seeds + np.uint64(number * 0x9E3779B97F4A7C15 & (1 << 64) - 1))
@@ -218,7 +278,8 @@ class _Sampler:
         n = len(types)
         if not n:
             return np.zeros(0), np.zeros(0), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        by_type = np.argsort(types, kind="stable")  # so that the search walks through the tables in order
+        # so that the search walks through the tables in order
+        by_type = np.sort((types << 32) | np.arange(n)) & 0xFFFFFFFF
         types, seeds = types[by_type], seeds[by_type]
         node, end = self.first[types].copy(), self.last[types]
         logp, rest, size = np.zeros(n), np.zeros(n), np.zeros(n, dtype=np.int64)
@@ -372,14 +433,45 @@ def top_segmentations(types: np.ndarray, offs: np.ndarray, rows: np.ndarray, lat
     return results
 
 
-def _ids(codes: np.ndarray, pieces: _Pieces) -> np.ndarray:
-    """Piece ids, with each character that no piece makes replaced by the pieces of its bytes."""
-    if not (codes < 0).any():
-        return codes.astype("<i4")
-    out: list[int] = []
-    for c in codes.tolist():
-        out += [c] if c >= 0 else [pieces.byte_ids[b] for b in chr(-1 - c).encode()]
-    return np.array(out, dtype="<i4")
+def _ids(codes: np.ndarray, offs: np.ndarray, pieces: _Pieces) -> tuple[np.ndarray, np.ndarray]:
+    """Piece ids and their offsets, with each character that no piece makes replaced by the pieces of its bytes."""
+    bare = np.flatnonzero(codes < 0)
+    if not len(bare):
+        return codes, offs
+    spelled = [[pieces.byte_ids[b] for b in chr(-1 - c).encode()] for c in codes[bare].tolist()]
+    many = np.ones(len(codes), dtype=np.int64)
+    many[bare] = list(map(len, spelled))
+    out = np.repeat(codes, many)
+    out[np.repeat(codes < 0, many)] = [i for ids in spelled for i in ids]
+    return out, np.concatenate([[0], np.cumsum(many)])[offs]
+
+
+def _texts(ids: np.ndarray, offs: np.ndarray, pieces: _Pieces) -> pa.Array:
+    """The texts that runs of piece ids stand for, without the blank that every text begins with."""
+    sizes = pieces.sizes[ids]
+    ends = np.cumsum(sizes)
+    total = int(ends[-1]) if len(ends) else 0
+    at = np.ones(total, dtype=np.int64)  # steps through the pieces' bytes, summed up
+    full = np.flatnonzero(sizes)
+    if len(full):
+        begins = pieces.begins[ids[full]]
+        at[0] = begins[0]
+        at[(ends - sizes)[full[1:]]] = begins[1:] - (begins[:-1] + sizes[full[:-1]] - 1)
+        np.cumsum(at, out=at)
+    data = pieces.bytes_line[at]
+    upto = np.concatenate([[0], ends])[offs]
+    blank = np.zeros(len(offs) - 1, dtype=np.int64)
+    some = np.flatnonzero(np.diff(upto))
+    blank[some] = data[upto[some]] == 0x20
+    keep = np.ones(total, dtype=bool)
+    keep[upto[some][blank[some] > 0]] = False
+    upto = upto - np.concatenate([[0], np.cumsum(blank)])
+    raw = data[keep]
+    try:
+        raw.tobytes().decode()
+    except UnicodeDecodeError:  # bytes that make no characters; no segmentation of a text has them
+        return pa.array([raw[i:j].tobytes().decode("utf-8", "replace") for i, j in zip(upto[:-1].tolist(), upto[1:].tolist())], pa.string())
+    return pa.Array.from_buffers(pa.string(), len(offs) - 1, [None, pa.py_buffer(upto.astype(np.int32)), pa.py_buffer(raw)])
 
 
 def _sampled(path: str, alpha: float, k: int, seed: int):
@@ -391,15 +483,11 @@ def _sampled(path: str, alpha: float, k: int, seed: int):
                 batch = whole.slice(i, j - i)
                 if len(lat.types) > lat.limit:
                     lat.forget()
-                words, sizes = [], []
-                for text in batch["text"].to_pylist():
-                    text = (text or "").replace(_BLANK, _LITERAL)
-                    chunks = _CHUNK.findall(_BLANK + text.replace(" ", _BLANK)) if text else []
-                    words += chunks
-                    sizes.append(len(chunks))
-                offs = np.cumsum([0, *sizes])
+                words, sizes = chunks(batch["text"])
+                types = lat.of(words.dictionary.to_numpy(zero_copy_only=False).tolist(), _spelled)[words.indices.to_numpy()]
+                offs = np.concatenate([[0], np.cumsum(sizes)])
                 seeds = tn.mix(batch["seed"].to_numpy().view(np.uint64) + np.uint64(seed))
-                for rank, result in enumerate(top_segmentations(lat.of(words), offs, seeds, lat, k)):
+                for rank, result in enumerate(top_segmentations(types, offs, seeds, lat, k)):
                     pool, rows = result["pool"], result["row"]
                     s, z = result["start"], result["size"]
                     if len(rows) < len(sizes):  # rows that have no such rank
@@ -407,28 +495,31 @@ def _sampled(path: str, alpha: float, k: int, seed: int):
                         s, z = s[there], z[there]
                     ends = np.cumsum(z)
                     codes = pool[np.arange(ends[-1] if len(z) else 0) + np.repeat(s - ends + z, z)]
-                    words_upto = np.concatenate([[0], np.cumsum(np.array(sizes)[rows])])
-                    upto = np.concatenate([[0], ends])[words_upto]
-                    plain, raw = not (codes < 0).any(), codes.astype("<i4").tobytes()
-                    lists = [raw[4 * x : 4 * y] if plain else _ids(codes[x:y], pieces).tobytes() for x, y in zip(upto[:-1].tolist(), upto[1:].tolist())]
-                    with np.errstate(over="ignore"):
-                        inclusion = -np.expm1(-np.exp(result["log_prob"] - result["threshold"]))
+                    words_upto = np.concatenate([[0], np.cumsum(sizes[rows])])
+                    ids, upto = _ids(codes, np.concatenate([[0], ends])[words_upto], pieces)
+                    x = result["log_prob"] - result["threshold"]
+                    with np.errstate(over="ignore", divide="ignore", invalid="ignore"):
+                        # for very small x, exp(x) is the inclusion itself, and x its logarithm
+                        log_inclusion = np.where(x < -36, x, np.log(-np.expm1(-np.exp(x))))
                     yield pa.RecordBatch.from_arrays(
                         [
-                            batch["key"].take(pa.array(rows)), pa.array(np.full(len(rows), rank)), pa.array(result["log_prob"]),
-                            pa.array(result["perturbed"]), pa.array(inclusion), pa.array(lists, pa.binary()),
+                            batch["key"].take(pa.array(rows)), pa.array(np.full(len(rows), rank)), pa.array(result["log_prob"]), pa.array(result["perturbed"]),
+                            pa.array(np.exp(log_inclusion)), pa.array(log_inclusion),
+                            pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer((4 * upto).astype(np.int32)), pa.py_buffer(ids.astype("<i4"))]),
+                            _texts(ids, upto, pieces),
                         ],
-                        ["key", "rank", "log_prob", "perturbed", "inclusion", "ids"],
+                        ["key", "rank", "log_prob", "perturbed", "inclusion", "log_inclusion", "ids", "text"],
                     )
 
     return run
 
 
 def sample(df: DataFrame, k: int, *, key: str = "doc_id", text: str = "text", model_path: str | None = None, alpha: float = 0.3, seed: int = 3) -> DataFrame:
-    """key, rank, log_prob, perturbed, inclusion, ids: up to ``k`` distinct segmentations of each row's whole text.
+    """key, rank, log_prob, perturbed, inclusion, log_inclusion, ids, text: up to ``k`` distinct segmentations of each row's whole text.
 
     Ranks count from 0 by falling perturbed log probability. inclusion is the probability that the segmentation's
-    own perturbed value exceeds that of the first one left out (1 if none is). ids are little-endian 32-bit. The key
+    own perturbed value exceeds that of the first one left out (1 if none is); it underflows for long texts, its logarithm
+    log_inclusion does not. ids are little-endian 32-bit; text is what they decode to. The key
     seeds the draws: rows of equal key and text get equal samples, wherever and however often they run. A null or
     empty text has one segmentation, of no pieces; a text with fewer than ``k`` has fewer rows. An empty table
     gives an empty result; other columns are ignored.
@@ -437,7 +528,8 @@ def sample(df: DataFrame, k: int, *, key: str = "doc_id", text: str = "text", mo
     rows = df.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"), F.xxhash64(F.col(f"`{key}`")).alias("seed"))
     kind = rows.schema["key"].dataType.simpleString()
     run = _sampled(model_path or vocabulary.default_path("piece_bpe_32k.model"), alpha, k, seed)
-    return rows.mapInArrow(run, f"key {kind}, rank long, log_prob double, perturbed double, inclusion double, ids binary").withColumnRenamed("key", key)
+    schema = f"key {kind}, rank long, log_prob double, perturbed double, inclusion double, log_inclusion double, ids binary, text string"
+    return rows.mapInArrow(run, schema).withColumnRenamed("key", key)
 
 
 def decode(ids: Column, model_path: str | None = None) -> Column:
@@ -446,11 +538,9 @@ def decode(ids: Column, model_path: str | None = None) -> Column:
 
     @F.arrow_udf("string")
     def decoded(ids: pa.Array) -> pa.Array:
-        parts = _pieces(path, 1.0).bytes_
-        out = []
-        for raw in ids.to_pylist():
-            text = None if raw is None else b"".join(map(parts.__getitem__, np.frombuffer(raw, "<i4").tolist())).decode("utf-8", "replace")
-            out.append(text if text is None else text.removeprefix(" "))
-        return pa.array(out, pa.string())
+        pieces, held = _pieces(path, 1.0), ids.fill_null(b"").to_pylist()
+        offs = np.cumsum([0, *(len(raw) // 4 for raw in held)])
+        texts = _texts(np.frombuffer(b"".join(held), "<i4").astype(np.int64), offs, pieces)
+        return pc.if_else(ids.is_null(), pa.scalar(None, pa.string()), texts)
 
     return decoded(ids)

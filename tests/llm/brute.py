@@ -1,6 +1,7 @@
 """Plain versions of the operators' results, for small inputs."""
 
 import hashlib
+import math
 import re
 from collections import Counter
 
@@ -101,3 +102,48 @@ def kneser_ney(texts, order=4):
         return max(v - discounts[n][min(v, 3)], 0) / total + mass / total * lower
 
     return lambda text: -sum(math.log(p(g)) for g in grams(text)) / (len(text) + 1)
+
+
+def piece_weights(path, alpha):
+    """Weights of the pieces that make text, by piece and by id; pieces of bytes weigh as much as the last rank."""
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=path)
+    last = -alpha * math.log(1 + model.get_piece_size())
+    by_piece, by_id = {}, {}
+    for i in range(model.get_piece_size()):
+        if model.is_byte(i):
+            by_id[i] = last
+        elif not (model.is_control(i) or model.is_unknown(i)):
+            by_piece[model.id_to_piece(i)] = by_id[i] = max(-alpha * math.log(1 + max(-model.get_score(i), 0.0)), last)
+    return by_piece, by_id, last
+
+
+def lattice_mass(text, weights):
+    """The logarithm of the summed weights of all segmentations of a text; no piece reaches over a word's beginning."""
+    by_piece, _, last = weights
+    longest = max(map(len, by_piece))
+    whole, mass = [(" " + text)[i] for i in range(len(text) + 1)] if text else [], 0.0
+    words = re.findall(r"\n| +[^ \n]*|[^ \n]+", "".join(whole))
+    known = {}
+    for word in words:
+        if word not in known:
+            total = [0.0]
+            for j in range(1, len(word) + 1):
+                ways = []
+                for i in range(max(0, j - longest), j):
+                    part = word[i:j]
+                    w = None if "\u2581" in part else by_piece.get(part.replace(" ", "\u2581"))
+                    if w is None and j == i + 1:
+                        w = last * len(part.encode())
+                    if w is not None:
+                        ways.append(total[i] + w)
+                top = max(ways)
+                total.append(top + math.log(sum(math.exp(w - top) for w in ways)))
+            known[word] = total[-1]
+        mass += known[word]
+    return mass
+
+
+def spelled(ids, parts):
+    return b"".join(parts[i] for i in ids).decode().removeprefix(" ")

@@ -106,6 +106,32 @@ def test_segmentations_are_distinct_seeded_and_round_trip(spark, docs):
     assert segmentations.sample(docs.limit(0), 2).count() == 0
 
 
+def test_segmentations_query_against_plain_lattices(spark, docs, tmp_path):
+    """Pieces, probabilities, inclusion scores and checksums of whole texts, the long one too."""
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    digests = {(r.doc_id, r.rank): r for r in queries.QUERIES["op2_segmentations"](spark, str(tmp_path)).collect()}
+    samples = {(r.doc_id, r.rank): r for r in segmentations.sample(docs, 4).collect()}  # rank 3 is the first one left out
+    pieces = segmentations._pieces(vocabulary.default_path("piece_bpe_32k.model"), 0.3)
+    weights = brute.piece_weights(vocabulary.default_path("piece_bpe_32k.model"), 0.3)
+    for r in docs.collect():
+        text = r.text or ""
+        total = brute.lattice_mass(text, weights)
+        for rank in range(3):
+            d, s = digests.get((r.doc_id, rank)), samples.get((r.doc_id, rank))
+            assert (d is None) == (s is None) and (rank or d is not None)
+            if d is None:
+                continue
+            ids = np.frombuffer(bytes(s.ids), "<i4").tolist()
+            assert brute.spelled(ids, pieces.bytes_) == text == s.text
+            assert (d.n_pieces, d.ids_crc32, d.text_crc32) == (len(ids), zlib.crc32(bytes(s.ids)), zlib.crc32(text.encode()))
+            assert abs(d.log_prob - (sum(weights[1][i] for i in ids) - total)) < 1e-5 * max(1, len(ids) ** 0.5)
+            out = samples.get((r.doc_id, 3))
+            x = d.log_prob - out.perturbed if out else math.inf
+            want = x if x < -36 else math.log(-math.expm1(-math.exp(x))) if x < 700 else 0.0
+            assert abs(d.log_inclusion - want) < 1e-6 * max(1, abs(want)) and abs(d.inclusion - math.exp(want)) < 1e-6
+    assert min(d.log_inclusion for d in digests.values()) < -745  # where the score itself is 0
+
+
 def test_segmentations_follow_their_distribution():
     pieces = segmentations._pieces(vocabulary.default_path("piece_bpe_32k.model"), 0.3)
     lat = segmentations._Lattices(pieces)
