@@ -1,9 +1,10 @@
 """Operator 6: quality classifier, an interpolated modified Kneser-Ney n-gram model over characters.
 
 The model is trained on all trusted text. Counts, continuation counts, discounts and back-off weights are tables
-that are joined by n-gram, sharded by Spark; no n-gram table is gathered on the driver or broadcast, except for those
-of single symbols, of which there are at most 2^15. Documents are dealt into blocks of text; each block asks for its
-distinct n-grams, gets their probabilities by joins, and scores its documents. A document is kept if its
+that are joined by n-gram, sharded by Spark; no n-gram table is gathered on the driver, and tables of single symbols are
+broadcast only where they have been found to be small. Documents are dealt into blocks of text; each block asks for its
+distinct n-grams, gets their probabilities by joins, and scores its documents. Symbols are code points, 21 bits each: an
+n-gram is its context, a long, and its last symbol, an int. A document is kept if its
 perplexity is at most a quantile of the trusted documents of its language. For that quantile trusted documents are
 scored by models without their own counts: they are dealt into folds by their keys, and beside the model of all trusted
 text there is one for each fold, of the trusted text outside it. All models are rows of the same tables.
@@ -24,66 +25,123 @@ from millrace.llm.common import cut, no_tables, shuffle_width, small_batches
 from millrace.llm.joins import attach, with_few
 
 ORDER = 4
-_BITS = 15
-_BEGIN, _STOP, _FIRST = 1, 2, 3
-#: Code points from here on share what symbols are left: 2^15 in all.
-_SHARED_FROM = 0x7000
-_MASK = [(1 << (_BITS * n)) - 1 for n in range(ORDER + 1)]
-#: Trusted documents are dealt into so many folds, 7 at most: the bits above an n-gram tell its model, 0 for that of
-#: all trusted text, k for that of the text outside fold k.
+_BITS = 21
+_BEGIN, _STOP, _FIRST = 1, 2, 3  # then come the code points
+_MASK = [(1 << (_BITS * n)) - 1 for n in range(ORDER)]
+#: Trusted documents are dealt into so many folds, 7 at most: the bits above an n-gram's last symbol tell its model, 0
+#: for that of all trusted text, k for that of the text outside fold k.
 FOLDS = 5
-_TAG = _BITS * ORDER
-_TAGS = 7 << _TAG
 #: Perplexities are ranked on a scale of this many steps to a factor of e.
 _STEPS = 1000
+#: An n-gram of a text with more symbols than short numbers can tell apart.
+_WIDE = np.dtype([("context", "<i8"), ("last", "<i4")])
+
+
+class _Symbols:
+    """Numbers of 16 bits for the symbols met so far, so that an n-gram of four fits one machine word inside a task."""
+
+    most = 1 << 16
+
+    def __init__(self) -> None:
+        self.number = np.zeros(0x110000 + _FIRST, dtype=np.uint16)
+        self.known = np.array([0, _BEGIN, _STOP], dtype=np.int64)
+        self.number[[_BEGIN, _STOP]] = 1, 2
+
+    def learn(self, symbols: np.ndarray) -> bool:
+        """Whether there are numbers for all of the symbols."""
+        new = symbols[self.number[symbols] == 0]
+        new = np.unique(new[new > 0])
+        if len(self.known) + len(new) > self.most:
+            return False
+        self.number[new] = np.arange(len(self.known), len(self.known) + len(new))
+        self.known = np.concatenate([self.known, new])
+        return True
+
+    def pack(self, line: np.ndarray) -> np.ndarray:
+        """The n-gram that ends in each symbol of a line that has been learnt."""
+        numbers = self.number[line].astype(np.uint64)
+        grams = numbers.copy()
+        for back in range(1, ORDER):
+            grams[back:] |= numbers[:-back] << np.uint64(16 * back)
+        return grams
+
+    def spell(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Contexts and last symbols."""
+        if grams.dtype == _WIDE:
+            return grams["context"].copy(), grams["last"].copy()
+        parts = [self.known[((grams >> np.uint64(16 * k)) & np.uint64(0xFFFF)).astype(np.int64)] for k in range(ORDER)]
+        return parts[3] << 2 * _BITS | parts[2] << _BITS | parts[1], parts[0].astype(np.int32)
+
+    def pack_spelt(self, context: np.ndarray, last: np.ndarray) -> np.ndarray:
+        """The inverse of spell()."""
+        out = self.number[last].astype(np.uint64)
+        for k in range(1, ORDER):
+            out |= self.number[(context >> (k - 1) * _BITS) & _MASK[1]].astype(np.uint64) << np.uint64(16 * k)
+        return out
+
+
+def _wide(line: np.ndarray) -> np.ndarray:
+    out = np.zeros(len(line), dtype=_WIDE)
+    out["last"] = line
+    for back in range(1, ORDER):
+        out["context"][back:] |= line[:-back] << (_BITS * (back - 1))
+    return out
 
 
-def _grams(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The n-gram that ends in each character and in each text's end, and the offsets of documents there."""
+def _line(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The symbols of all documents with beginnings and ends between them, where n-grams end, and documents' offsets there."""
     points = np.frombuffer(data.tobytes().decode("utf-8", "replace").encode("utf-32-le"), np.uint32).astype(np.int64)
     lead = np.zeros(len(data) + 1, dtype=np.int64)
     np.cumsum((data & 0xC0) != 0x80, out=lead[1:])
     ends = lead[offs]  # in characters
     n = len(offs) - 1
-    shared = (1 << _BITS) - _FIRST - _SHARED_FROM
-    symbols = np.where(points < _SHARED_FROM, points, _SHARED_FROM + points % shared) + _FIRST
     pad = ORDER - 1
     size = np.diff(ends) + pad + 1
     at = np.concatenate([[0], np.cumsum(size)])
     line = np.full(at[-1], _BEGIN, dtype=np.int64)
     doc = np.repeat(np.arange(n), np.diff(ends))
-    line[np.arange(len(symbols)) - ends[doc] + at[doc] + pad] = symbols
+    line[np.arange(len(points)) - ends[doc] + at[doc] + pad] = points + _FIRST
     line[at[1:] - 1] = _STOP
-    grams = np.zeros(len(line), dtype=np.int64)
-    for back in range(ORDER):
-        grams[back:] |= line[: len(line) - back] << (_BITS * back)
     take = np.ones(len(line), dtype=bool)
     take[(at[:-1, None] + np.arange(pad)).reshape(-1)] = False
-    return grams[take], np.concatenate([[0], np.cumsum(size - pad)])
+    return line, take, np.concatenate([[0], np.cumsum(size - pad)])
+
+
+def _table(context: np.ndarray, last: np.ndarray, tag: int, **more: np.ndarray) -> pa.RecordBatch:
+    columns = {"context": context, "last": last | np.int32(tag << _BITS), **more}
+    return pa.RecordBatch.from_arrays([pa.array(x) for x in columns.values()], list(columns))
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counts of n-grams, tagged with their text's fold, summed over as many texts as a task can hold together."""
     no_tables()
-    held: list[tuple[np.ndarray, np.ndarray]] = []
-    room = 0
+    symbols, held, room = _Symbols(), {}, 0
 
-    def merged() -> pa.RecordBatch:
-        g, c = (np.concatenate(x) for x in zip(*held))
-        grams, which = np.unique(g, return_inverse=True)
-        return pa.RecordBatch.from_arrays([pa.array(grams), pa.array(np.bincount(which, c, minlength=len(grams)).astype(np.int64))], ["gram", "c"])
+    def merged() -> Iterator[pa.RecordBatch]:
+        for fold, parts in held.items():
+            g, c = (np.concatenate(x) for x in zip(*parts))
+            grams, which = np.unique(g, return_inverse=True)
+            yield _table(*symbols.spell(grams), fold, c=np.bincount(which, c, minlength=len(grams)).astype(np.int64))
 
     for batch in batches:
-        for i, j in tn.slices(batch["text"]):
-            grams, offs = _grams(*tn.buffers(batch["text"].slice(i, j - i)))
-            folds = batch["fold"].slice(i, j - i).to_numpy()
-            held.append(np.unique(grams | np.repeat(folds << _TAG, np.diff(offs)), return_counts=True))
-            room += len(held[-1][0])
-            if room > 4_000_000:
-                yield merged()
-                held, room = [], 0
-    if held:
-        yield merged()
+        folds = batch["fold"].to_numpy()
+        for fold in np.unique(folds).tolist():
+            texts = batch["text"].filter(pa.array(folds == fold))
+            for i, j in tn.slices(texts):
+                line, take, _ = _line(*tn.buffers(texts.slice(i, j - i)))
+                if not symbols.learn(line):
+                    yield from merged()
+                    symbols, held, room = _Symbols(), {}, 0
+                    if not symbols.learn(line):
+                        grams, c = np.unique(_wide(line)[take], return_counts=True)
+                        yield _table(*symbols.spell(grams), fold, c=c)
+                        continue
+                held.setdefault(fold, []).append(np.unique(symbols.pack(line)[take], return_counts=True))
+                room += len(held[fold][-1][0])
+                if room > 4_000_000:
+                    yield from merged()
+                    held, room = {}, 0
+    yield from merged()
 
 
 def fold_of(key: str) -> Column:
@@ -92,17 +150,18 @@ def fold_of(key: str) -> Column:
 
 
 def count_grams(texts: DataFrame) -> DataFrame:
-    """(gram, c) of the column ``text`` for every model; ``fold`` tells whose counts a text is left out of."""
-    folds = texts.select("fold", "text").where("text IS NOT NULL").mapInArrow(_counts, "gram long, c long").groupBy("gram").agg(F.sum("c").alias("c"))
-    fits = F.filter(F.array(*[F.lit(k).cast("long") for k in range(FOLDS + 1)]), lambda k: k != _model(F.col("gram")))
-    tagged = _suffix(F.col("gram"), ORDER, tagged=False).bitwiseOR(F.shiftleft("model", _TAG))
-    return folds.select("gram", "c", F.explode(fits).alias("model")).groupBy(tagged.alias("gram")).agg(F.sum("c").alias("c"))
+    """(context, last, c) of the column ``text`` for every model; ``fold`` tells whose counts a text is left out of."""
+    found = texts.select("fold", "text").where("text IS NOT NULL").mapInArrow(_counts, "context long, last int, c long")
+    folds = found.groupBy("context", "last").agg(F.sum("c").alias("c"))
+    fits = F.filter(F.array(*map(F.lit, range(FOLDS + 1))), lambda k: k != _model(F.col("last")))
+    tagged = F.col("last").bitwiseAND(F.lit(_MASK[1])).bitwiseOR(F.shiftleft("model", _BITS))
+    return folds.select("context", "last", "c", F.explode(fits).alias("model")).groupBy("context", tagged.alias("last")).agg(F.sum("c").alias("c"))
 
 
 def _discounts(counts: DataFrame) -> list[list[float]]:
     """By model: modified Kneser-Ney discounts of counts of 0, 1, 2, and 3 or more; plain ones where counts of counts are missing."""
     seen: list[dict[int, int]] = [{} for _ in range(FOLDS + 1)]
-    for r in counts.where("c <= 4").groupBy(_model(F.col("gram")).alias("model"), "c").agg(F.count("*").alias("n")).collect():
+    for r in counts.where("c <= 4").groupBy(_model(F.col("last")).alias("model"), "c").agg(F.count("*").alias("n")).collect():
         seen[r["model"]][r["c"]] = r["n"]
     out = []
     for n in seen:
@@ -114,81 +173,75 @@ def _discounts(counts: DataFrame) -> list[list[float]]:
     return out
 
 
-def _model(gram: Column) -> Column:
-    return F.shiftright(gram, _TAG)
+def _model(last: Column) -> Column:
+    return F.shiftright(last, _BITS)
 
 
 def _of_model(values: list, model: Column) -> Column:
     return F.element_at(F.array(*map(F.lit, values)), (model + 1).cast("int"))
 
 
-def _suffix(gram: Column, n: int, tagged: bool = True) -> Column:
-    return gram.bitwiseAND(F.lit(_MASK[n] | (_TAGS if tagged else 0)))
-
-
-def _context(gram: Column, n: int) -> Column:
-    """All but the last symbol of an n-gram, with the same model."""
-    return F.shiftright(_suffix(gram, n, tagged=False), _BITS).bitwiseOR(gram.bitwiseAND(F.lit(_TAGS)))
+def _shorter(context: Column, n: int) -> Column:
+    """The context of the n-gram of order ``n``."""
+    return context.bitwiseAND(F.lit(_MASK[n - 1]).cast("long"))
 
 
 def _kinds(single: DataFrame) -> list[int]:
     """By model: the number of symbols, and one for what is unknown."""
-    n = {r["model"]: r["n"] for r in single.groupBy(_model(F.col("gram")).alias("model")).agg(F.count("*").alias("n")).collect()}
+    n = {r["model"]: r["n"] for r in single.groupBy(_model(F.col("last")).alias("model")).agg(F.count("*").alias("n")).collect()}
     return [n.get(k, 0) + 1 for k in range(FOLDS + 1)]
 
 
 def train(texts: DataFrame) -> dict[int, tuple[DataFrame, DataFrame]]:
-    """By order n: (gram, p) for every n-gram seen, and (context, gamma) for every context seen."""
+    """By order n: (context, last, p) for every n-gram seen, and (context, model, gamma) for every context seen."""
     counts = {ORDER: cut(count_grams(texts))}
     for n in range(ORDER - 1, 0, -1):  # in how many distinct symbols' company an n-gram was seen
-        counts[n] = cut(counts[n + 1].groupBy(_suffix(F.col("gram"), n).alias("gram")).agg(F.count("*").alias("c")))
+        counts[n] = cut(counts[n + 1].groupBy(_shorter(F.col("context"), n).alias("context"), "last").agg(F.count("*").alias("c")))
     kinds = _kinds(counts[1])
-    which = _model(F.col("gram"))
+    which = _model(F.col("last"))
     model: dict[int, tuple[DataFrame, DataFrame]] = {}
     for n in range(1, ORDER + 1):
         discounts = _discounts(counts[n])
         d = lambda k, model: _of_model([x[k] for x in discounts], model)  # noqa: B023, E731
         off = F.when(F.col("c") == 1, d(1, which)).when(F.col("c") == 2, d(2, which)).otherwise(d(3, which))
-        rows = counts[n].select("gram", "c", off.alias("off"), _context(F.col("gram"), n).alias("context"))
-        by = rows.groupBy("context").agg(F.sum("c").alias("total"), F.count_if(F.col("c") == 1).alias("n1"), F.count_if(F.col("c") == 2).alias("n2"), F.count_if(F.col("c") > 2).alias("n3"))
+        rows = counts[n].select("context", "last", "c", off.alias("off"), which.alias("model"))
+        by = rows.groupBy("context", "model").agg(F.sum("c").alias("total"), F.count_if(F.col("c") == 1).alias("n1"), F.count_if(F.col("c") == 2).alias("n2"), F.count_if(F.col("c") > 2).alias("n3"))
         # sums of whole numbers, so that the order in which rows arrive cannot change a digit
-        of = _model(F.col("context"))
+        of = F.col("model")
         gamma = (d(1, of) * F.col("n1") + d(2, of) * F.col("n2") + d(3, of) * F.col("n3")) / F.col("total")
-        contexts = cut(by.select("context", "total", gamma.alias("gamma")))
-        rows = attach(rows, contexts, "context")
+        contexts = cut(by.select("context", "model", "total", gamma.alias("gamma")))
+        rows = attach(rows, contexts, ["context", "model"])
         if n == 1:
             below = _of_model([1.0 / k for k in kinds], which)
         else:
-            lower = model[n - 1][0].select(F.col("gram").alias("lower"), F.col("p").alias("below"))
-            rows = attach(rows.withColumn("lower", _suffix(F.col("gram"), n - 1)), lower, "lower")
+            lower = model[n - 1][0].select(F.col("context").alias("lower"), "last", F.col("p").alias("below"))
+            rows = attach(rows.withColumn("lower", _shorter(F.col("context"), n - 1)), lower, ["lower", "last"])
             below = F.col("below")
         p = F.greatest(F.col("c") - F.col("off"), F.lit(0.0)) / F.col("total") + F.col("gamma") * below
-        model[n] = (cut(rows.select("gram", p.alias("p"))), contexts.select("context", "gamma"))
+        model[n] = (cut(rows.select("context", "last", p.alias("p"))), contexts.select("context", "model", "gamma"))
     return model
 
 
 def probabilities(grams: DataFrame, model: dict[int, tuple[DataFrame, DataFrame]]) -> DataFrame:
-    """(gram, logp) for n-grams of the highest order, tagged with their model, seen or not: back off where one is unseen."""
-    q = grams.select("gram")
+    """(context, last, logp) for n-grams of the highest order, tagged with their model, seen or not: back off where one is unseen."""
+    q = grams.select("context", "last", _model(F.col("last")).alias("model"))
     single, start = model[1]
-    unknown = start.select(F.col("context").alias("_key"), F.col("gamma").alias("_start"))
-    q = q.withColumn("_key", F.col("gram").bitwiseAND(F.lit(_TAGS))).join(F.broadcast(unknown), "_key", "left")  # one row of a model: that of the empty context
-    p = F.coalesce("_start", F.lit(1.0)) / _of_model(_kinds(single), _model(F.col("gram")))
+    unknown = start.select("model", F.col("gamma").alias("_start"))
+    q = q.join(F.broadcast(unknown), "model", "left")  # one row of a model: that of the empty context
+    p = F.coalesce("_start", F.lit(1.0)) / _of_model(_kinds(single), F.col("model"))
     for n in range(1, ORDER + 1):
         seen, contexts = model[n]
-        q = q.withColumn("_key", _suffix(F.col("gram"), n))
-        seen = seen.select(F.col("gram").alias("_key"), F.col("p").alias("_seen"))
-        # at most 2^15 single symbols, and contexts of one symbol, exist in each model
-        q = q.join(F.broadcast(seen), "_key", "left") if n == 1 else attach(q, seen, "_key", "left")
+        seen = seen.select(F.col("context").alias("_key"), "last", F.col("p").alias("_seen"))
+        contexts = contexts.select(F.col("context").alias("_key"), "model", "gamma")
+        q = q.withColumn("_key", _shorter(F.col("context"), n))
+        q = with_few(q, seen.drop("_key"), "last", "left") if n == 1 else attach(q, seen, ["_key", "last"], "left")
         value = F.coalesce("_seen", p)
         if n > 1:
-            q = q.withColumn("_key", _context(F.col("gram"), n))
-            contexts = contexts.select(F.col("context").alias("_key"), "gamma")
-            q = q.join(F.broadcast(contexts), "_key", "left") if n == 2 else attach(q, contexts, "_key", "left")
+            q = with_few(q, contexts, ["_key", "model"], "left") if n == 2 else attach(q, contexts, ["_key", "model"], "left")
             value = F.coalesce("_seen", F.coalesce("gamma", F.lit(1.0)) * F.col("_p"))
         q = q.withColumn("_p2", value).drop("_p", "_seen", "gamma", "_key").withColumnRenamed("_p2", "_p")
         p = F.col("_p")
-    return q.select("gram", F.log("_p").alias("logp"))
+    return q.select("context", "last", F.log("_p").alias("logp"))
 
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -210,40 +263,56 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Distinct n-grams of each block, tagged with its model; the input is sorted by block."""
-    held, current = [], None
+    """Distinct n-grams of each block, tagged with its model; the input is sorted by block. One may come twice."""
+    symbols, held, current, tag = _Symbols(), [], None, 0
 
-    def asked() -> pa.RecordBatch:
-        grams = np.unique(np.concatenate(held))
-        return pa.RecordBatch.from_arrays([pa.array(np.full(len(grams), current)), pa.array(grams)], ["block", "gram"])
+    def asked(grams: np.ndarray) -> pa.RecordBatch:
+        return _table(*symbols.spell(grams), tag, block=np.full(len(grams), current))
 
     for batch in batches:
         for block, rows in zip(batch["block"].to_pylist(), batch["rows"]):
-            if block != current and held:
-                yield asked()
-                held = []
-            current = block
+            if block != current:
+                if held:
+                    yield asked(np.unique(np.concatenate(held)))
+                symbols, held, current = _Symbols(), [], block
             table = pa.ipc.open_stream(rows.as_buffer()).read_all()
-            texts, tag = table["text"].combine_chunks(), table["model"][0].as_py() << _TAG
-            held += [np.unique(_grams(*tn.buffers(texts.slice(i, j - i)))[0] | tag) for i, j in tn.slices(texts)]
-            if len(held) > 16:
-                held = [np.unique(np.concatenate(held))]
+            texts, tag = table["text"].combine_chunks(), table["model"][0].as_py()
+            for i, j in tn.slices(texts):
+                line, take, _ = _line(*tn.buffers(texts.slice(i, j - i)))
+                if not symbols.learn(line):
+                    if held:
+                        yield asked(np.unique(np.concatenate(held)))
+                    symbols, held = _Symbols(), []
+                    if not symbols.learn(line):
+                        yield asked(np.unique(_wide(line)[take]))
+                        continue
+                held.append(np.unique(symbols.pack(line)[take]))
+                if len(held) > 16:
+                    held = [np.unique(np.concatenate(held))]
     if held:
-        yield asked()
+        yield asked(np.unique(np.concatenate(held)))
 
 
 def _score(left: pa.Table, right: pa.Table) -> pa.Table:
-    grams, logp = right["gram"].to_numpy(), right["logp"].to_numpy()
+    context, last, logp = (right[c].to_numpy() for c in ("context", "last", "logp"))
+    last = last & _MASK[1]
+    symbols = _Symbols()
+    fits = symbols.learn(np.unique(last).astype(np.int64)) and all(symbols.learn(np.unique((context >> k * _BITS) & _MASK[1])) for k in range(ORDER - 1))
+    if fits:
+        grams = symbols.pack_spelt(context, last)
+    else:
+        grams = np.zeros(len(last), dtype=_WIDE)
+        grams["context"], grams["last"] = context, last
     order = np.argsort(grams)
     grams, logp = grams[order], logp[order]
     out = []
     for rows in left["rows"].combine_chunks():
         table = pa.ipc.open_stream(rows.as_buffer()).read_all()
-        texts, tag = table["text"].combine_chunks(), table["model"][0].as_py() << _TAG
+        texts = table["text"].combine_chunks()
         counts, sums = [], []
         for i, j in tn.slices(texts):
-            g, offs = _grams(*tn.buffers(texts.slice(i, j - i)))
-            distinct, which = np.unique(g | tag, return_inverse=True)
+            line, take, offs = _line(*tn.buffers(texts.slice(i, j - i)))
+            distinct, which = np.unique((symbols.pack(line) if fits else _wide(line))[take], return_inverse=True)
             values = logp[np.searchsorted(grams, distinct)][which]
             counts.append(np.diff(offs))
             sums.append(np.add.reduceat(values, offs[:-1]))
@@ -254,7 +323,7 @@ def _score(left: pa.Table, right: pa.Table) -> pa.Table:
 
 
 def perplexities(docs: DataFrame, model: dict[int, tuple[DataFrame, DataFrame]], block_bytes: int = 32 << 20) -> DataFrame:
-    """doc_id, lang, held, n_symbols, log_perplexity for rows (doc_id, lang, text, model, held) that have a text."""
+    """doc_id, lang, mark, held, n_symbols, log_perplexity for rows (doc_id, lang, text, mark, model, held) that have a text."""
     size = {r["model"]: r["size"] for r in docs.groupBy("model").agg(F.sum(F.octet_length("text")).alias("size")).collect()}
     blocks = [max(1, -(-size.get(k, 0) // block_bytes)) for k in range(FOLDS + 1)]
     first = np.cumsum([0, *blocks]).tolist()[:-1]
@@ -262,10 +331,10 @@ def perplexities(docs: DataFrame, model: dict[int, tuple[DataFrame, DataFrame]],
     block = _of_model(first, F.col("model")) + F.pmod(F.xxhash64("doc_id", F.length("text")), _of_model(blocks, F.col("model")))
     placed = docs.withColumn("block", block.cast("long"))
     packed = placed.mapInArrow(_pack, "block long, rows binary").repartition(shuffle_width(docs.sparkSession), "block")
-    asked = packed.sortWithinPartitions("block").mapInArrow(_ask, "block long, gram long")
-    answers = probabilities(asked.select("gram").distinct(), model)
-    answered = attach(asked, answers, "gram").select("block", "gram", "logp")
-    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, lang string, held boolean, n_symbols long, log_perplexity double"
+    asked = packed.sortWithinPartitions("block").mapInArrow(_ask, "context long, last int, block long")
+    answers = probabilities(asked.select("context", "last").distinct(), model)
+    answered = attach(asked, answers, ["context", "last"]).select("block", "context", "last", "logp")
+    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, lang string, mark long, held boolean, n_symbols long, log_perplexity double"
     return packed.groupBy("block").cogroup(answered.groupBy("block")).applyInArrow(_score, schema)
 
 
@@ -296,6 +365,8 @@ def classify(
 ) -> DataFrame:
     """doc_id, lang, n_symbols, log_perplexity, limit, kept; one row per row of ``df``.
 
+    n_symbols counts the text's code points and its end.
+
     Trusted documents are those whose key has a label row for which ``trusted`` holds; all of them train. A row is kept if
     its perplexity is at most the quantile of its language's trusted rows, each scored by a model of the trusted rows
     outside its fold; if one fold holds all of them, by the model of all. A language without trusted rows, or a null one,
@@ -303,31 +374,59 @@ def classify(
     trusted text there is nothing to compare with, and every other row is kept. Repeated rows are scored alike; null keys
     have no label. An empty table gives an empty result. Other columns are ignored.
     """
+    out = _classified(df, labels, key, text, lang, label_key, trusted, quantile)
+    return out.select("doc_id", "lang", "n_symbols", "log_perplexity", "limit", "kept")
+
+
+def _mark(key: str, text: str, lang: str) -> Column:
+    """What a row's decision depends on, as a number."""
+    return F.xxhash64(F.col(f"`{text}`"), F.coalesce(F.col(f"`{lang}`"), F.lit("")), F.col(f"`{key}`").isNull(), F.col(f"`{key}`"))
+
+
+def _classified(df: DataFrame, labels: DataFrame, key: str, text: str, lang: str, label_key: str, trusted: str, quantile: float) -> DataFrame:
     small_batches(df.sparkSession)
-    docs = df.select(F.col(f"`{key}`").alias("doc_id"), F.col(f"`{lang}`").alias("lang"), F.col(f"`{text}`").alias("text"))
+    docs = df.select(F.col(f"`{key}`").alias("doc_id"), F.col(f"`{lang}`").alias("lang"), F.col(f"`{text}`").alias("text"), _mark(key, text, lang).alias("mark"))
     good = cut(labels.where(trusted).select(F.col(f"`{label_key}`").alias("doc_id")).where("doc_id IS NOT NULL").distinct())
     marked = with_few(docs, good.withColumn("trusted", F.lit(True)), "doc_id", "left").withColumn("trusted", F.coalesce("trusted", F.lit(False)))
-    marked = marked.select("doc_id", "lang", "text", "trusted", fold_of("doc_id").alias("fold"))
+    marked = marked.select("doc_id", "lang", "text", "mark", "trusted", fold_of("doc_id").alias("fold"))
     blank = F.coalesce(F.length("text"), F.lit(0)) == 0
     model = train(marked.where("trusted"))
     known = [k if kinds > 1 else 0 for k, kinds in enumerate(_kinds(model[1][0]))]
     whole = F.struct(F.lit(0).cast("long").alias("model"), F.lit(False).alias("held"))
     without = F.struct(_of_model(known, F.col("fold")).cast("long").alias("model"), F.lit(True).alias("held"))
-    asked = marked.where(~blank).select("doc_id", "lang", "text", F.explode(F.when(F.col("trusted"), F.array(whole, without)).otherwise(F.array(whole))).alias("by"))
-    scored = cut(perplexities(asked.select("doc_id", "lang", "text", "by.model", "by.held"), model))
+    asked = marked.where(~blank).select("doc_id", "lang", "text", "mark", F.explode(F.when(F.col("trusted"), F.array(whole, without)).otherwise(F.array(whole))).alias("by"))
+    scored = cut(perplexities(asked.select("doc_id", "lang", "text", "mark", "by.model", "by.held"), model))
     bound = cut(limits(scored, quantile))
     pooled = bound.where("lang IS NULL").select(F.col("limit").alias("_pooled"))
     own = bound.where("lang IS NOT NULL")
-    empty = marked.where(blank).select("doc_id", "lang", F.lit(0).cast("long").alias("n_symbols"), F.lit(None).cast("double").alias("log_perplexity"))
+    empty = marked.where(blank).select("doc_id", "lang", "mark", F.lit(0).cast("long").alias("n_symbols"), F.lit(None).cast("double").alias("log_perplexity"))
     rows = scored.where("NOT held").drop("held").unionByName(empty)
     rows = with_few(rows, own, "lang", "left")
     rows = rows.join(F.broadcast(pooled.groupBy().agg(F.max("_pooled").alias("_pooled"))))
     limit = F.coalesce("limit", "_pooled")
     kept = F.coalesce(F.col("log_perplexity") <= limit, F.col("log_perplexity").isNotNull())
-    return rows.select("doc_id", "lang", "n_symbols", "log_perplexity", limit.alias("limit"), kept.alias("kept"))
+    return rows.select("doc_id", "lang", "mark", "n_symbols", "log_perplexity", limit.alias("limit"), kept.alias("kept"))
 
 
-def keep(df: DataFrame, labels: DataFrame, *, key: str = "doc_id", **options) -> DataFrame:
-    """The rows of ``df`` that are kept, with its columns. Rows of one key go if any of them is rejected."""
-    rejected = classify(df, labels, key=key, **options).where("NOT kept").select(F.col("doc_id").alias(key)).distinct()
-    return with_few(df, cut(rejected), key, "left_anti").select(*[F.col(f"`{c}`") for c in df.columns])
+def keep(
+    df: DataFrame,
+    labels: DataFrame,
+    *,
+    key: str = "doc_id",
+    text: str = "text",
+    lang: str = "lang",
+    label_key: str = "doc_id",
+    trusted: str = "quality = 1 AND toxic = 0",
+    quantile: float = 0.99,
+) -> DataFrame:
+    """The rows of ``df`` that are kept, with its columns.
+
+    Every row goes or stays by its own text and language, also where its key is null or that of another row; rows that
+    agree in all three go or stay together. Options are those of classify(); an empty table stays empty.
+    """
+    out = _classified(df, labels, key, text, lang, label_key, trusted, quantile)
+    place = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    rejected = out.where("NOT kept").select(F.col("mark").alias("_mark"), place.alias("_place")).distinct()
+    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"), _mark(key, text, lang).alias("_mark"), F.coalesce(F.col(f"`{key}`").cast("string"), F.lit("")).alias("_place"))
+    left = with_few(rows, cut(rejected), ["_mark", "_place"], "left_anti")
+    return left.select(*[F.col("_row")[c].alias(c) for c in df.columns])

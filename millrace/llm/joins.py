@@ -5,28 +5,42 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Rows of a side that may be broadcast after they have been counted: ids and a few numbers, some tens of MB at most.
-BROADCAST_ROWS = 1_000_000
+#: Bytes of a side that may be broadcast once they have been counted, as its columns hold them.
+BROADCAST_BYTES = 32 << 20
 
 
-def attach(big: DataFrame, small: DataFrame, key: str, how: str = "inner") -> DataFrame:
-    """``big`` with the columns of ``small``, which has one row per long or string ``key``.
+def attach(big: DataFrame, small: DataFrame, key: str | list[str], how: str = "inner") -> DataFrame:
+    """``big`` with the columns of ``small``, which has one row per ``key`` of numbers or strings.
 
-    The join is on an invertible expression of the key, so that both sides are exchanged for this join even where
+    The join is on invertible expressions of the key, so that both sides are exchanged for this join even where
     ``small`` comes from an aggregate; adaptive execution can then split a hot key's rows over many tasks.
     """
-    long = dict(big.dtypes)[key] == "bigint"
+    keys, kinds = [key] if isinstance(key, str) else key, dict(big.dtypes)
 
-    def salted(c: Column) -> Column:
-        return c.bitwiseXOR(F.lit(0x5DEECE66D)) if long else F.concat(F.lit("k"), c)
+    def salted(k: str) -> Column:
+        if kinds[k] in ("bigint", "int"):
+            return F.col(k).bitwiseXOR(F.lit(0x5DEECE66D if kinds[k] == "bigint" else 0x2545F491).cast(kinds[k]))
+        return F.concat(F.lit("k"), k)
 
-    left = big.withColumn("_join", salted(F.col(key)))
-    right = small.withColumn("_join", salted(F.col(key))).drop(key)
-    return left.join(right, "_join", how).drop("_join")
+    names = [f"_join{i}" for i in range(len(keys))]
+    left = big.withColumns({n: salted(k) for n, k in zip(names, keys)})
+    right = small.withColumns({n: salted(k) for n, k in zip(names, keys)}).drop(*keys)
+    return left.join(right, names, how).drop(*names)
 
 
-def with_few(big: DataFrame, few: DataFrame, key: str | list[str], how: str = "inner", limit: int = BROADCAST_ROWS) -> DataFrame:
-    """A join with a narrow side that is usually far smaller: counted, and broadcast only if it has at most ``limit`` rows."""
-    if few.limit(limit + 1).count() <= limit:
+def _held(df: DataFrame) -> Column:
+    """Bytes of a row: 8 of each column, and what its strings and lists hold."""
+    size = F.lit(8 * len(df.columns)).cast("long")
+    for name, kind in df.dtypes:
+        if kind in ("string", "binary"):
+            size = size + F.coalesce(F.octet_length(F.col(f"`{name}`")), F.lit(0))
+        elif kind.startswith("array"):
+            size = size + 8 * F.coalesce(F.size(F.col(f"`{name}`")), F.lit(0))
+    return size
+
+
+def with_few(big: DataFrame, few: DataFrame, key: str | list[str], how: str = "inner", limit: int = BROADCAST_BYTES) -> DataFrame:
+    """A join with a narrow side that is usually far smaller: counted, and broadcast only if it has at most ``limit`` bytes."""
+    if (few.agg(F.sum(_held(few))).first()[0] or 0) <= limit:
         return big.join(F.broadcast(few), key, how)
     return big.join(few.hint("merge"), key, how)

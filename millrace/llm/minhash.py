@@ -225,7 +225,18 @@ def near_duplicates(
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
 
 
-def keep(df: DataFrame, *, key: str = "doc_id", **options) -> DataFrame:
-    """The rows of ``df`` that stay, with its columns: one document of each class, that of the smallest key."""
-    copies = near_duplicates(df, key=key, **options).where("NOT kept").select(F.col("doc_id").alias(key)).distinct()
-    return with_few(df, cut(copies), key, "left_anti").select(*[F.col(f"`{c}`") for c in df.columns])
+def keep(df: DataFrame, *, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """The rows of ``df`` that stay, with its columns: one of each class of texts, that of the smallest key.
+
+    Every row is judged by its own text: where keys are null or repeat, rows are numbered in the order of key (null last)
+    and text, so that repeated rows leave one and a row without a copy stays whatever its key. Options are those of
+    near_duplicates(); an empty table stays empty.
+    """
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")
+    docs = df.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"), row)
+    if docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 OR doc_id IS NULL").limit(1).count():
+        docs = docs.orderBy(F.col("doc_id").asc_nulls_last(), F.col("text").asc_nulls_first()).withColumn("doc_id", F.monotonically_increasing_id())
+        docs = cut(docs)
+    copies = near_duplicates(docs.select("doc_id", "text"), **options).where("NOT kept").select("doc_id")
+    left = with_few(docs.select("doc_id", "row"), cut(copies), "doc_id", "left_anti")
+    return left.select(*[F.col("row")[c].alias(c) for c in df.columns])

@@ -27,8 +27,9 @@ def base_counts(text):
     return len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text or "")), lines, len(covered)
 
 
-def passages(docs, span):
-    """doc_id -> (bytes, removed, runs, sha256 of the rest)"""
+def passages(docs, span, text=False):
+    """doc_id -> (bytes, removed, runs, sha256 of the rest), or the rest as text, without characters that were cut"""
+    as_text = text
     seen, out = set(), {}
     for doc_id, text in sorted(docs, key=lambda d: d[0]):
         b = (text or "").encode()
@@ -39,7 +40,8 @@ def passages(docs, span):
                 gone[i : i + span] = [True] * span
             seen.add(w)
         runs = sum(g and (i == 0 or not gone[i - 1]) for i, g in enumerate(gone))
-        out[doc_id] = len(b), sum(gone), runs, hashlib.sha256(bytes(x for x, g in zip(b, gone) if not g)).hexdigest()
+        rest = bytes(x for x, g in zip(b, gone) if not g)
+        out[doc_id] = rest.decode("utf-8", "ignore") if as_text else (len(b), sum(gone), runs, hashlib.sha256(rest).hexdigest())
     return out
 
 
@@ -65,15 +67,14 @@ def classes(ids, linked):
     return {i: top(i) for i in ids}
 
 
-def kneser_ney(texts, order=4):
-    """log p(symbol | up to three symbols before) of an interpolated modified Kneser-Ney model, as a function of tuples"""
-    import math
+def grams(text, order):
+    line = ("begin",) * (order - 1) + tuple(text) + ("end",)
+    return [line[i : i + order] for i in range(len(line) - order + 1)]
 
-    def grams(text):
-        line = ("begin",) * (order - 1) + tuple(text) + ("end",)
-        return [line[i : i + order] for i in range(len(line) - order + 1)]
 
-    counts = {order: Counter(g for t in texts for g in grams(t))}
+def kneser_ney(texts, order=4):
+    """log p(symbol | up to three symbols before) of an interpolated modified Kneser-Ney model, as a function of tuples"""
+    counts = {order: Counter(g for t in texts for g in grams(t, order))}
     for n in range(order - 1, 0, -1):
         counts[n] = Counter(g[1:] for g in counts[n + 1])
     discounts, contexts = {}, {}
@@ -101,7 +102,7 @@ def kneser_ney(texts, order=4):
         v = counts[n][g]
         return max(v - discounts[n][min(v, 3)], 0) / total + mass / total * lower
 
-    return lambda text: -sum(math.log(p(g)) for g in grams(text)) / (len(text) + 1)
+    return lambda text: -sum(math.log(p(g)) for g in grams(text, order)) / (len(text) + 1)
 
 
 def piece_weights(path, alpha):

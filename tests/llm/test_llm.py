@@ -7,6 +7,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -276,6 +277,56 @@ def test_classifier_is_kneser_ney(spark, docs):
     assert classifier.classify(docs, labels.limit(0)).where("kept").count() == docs.where("length(text) > 0").count()
 
 
+def far_apart(n=30, seed=5):
+    """Texts in ideographs, Hangul, emoji and letters."""
+    rng = random.Random(seed)
+    alphabet = "翨迥漢字語文한국어글자🎉🚀😀𠀋𠮟abc "
+    return [(i, "".join(rng.choices(alphabet, k=rng.randint(5, 60))), rng.choice(["zh", "ko", None])) for i in range(n)]
+
+
+@pytest.mark.parametrize("most", [1 << 16, 12, 4])
+def test_classifier_tells_all_symbols_apart(spark, most, monkeypatch):
+    """Also where a task meets more symbols than its short numbers hold: with 12 it starts anew, with 4 it does without them."""
+    rows = far_apart()
+    perplexity = brute.kneser_ney([t for i, t, _ in rows if i % 2])
+    table, labels = pa.table({"text": [t for _, t, _ in rows], "fold": [i % 5 + 1 for i, _, _ in rows]}), {i for i, _, _ in rows if i % 2}
+    monkeypatch.setattr(classifier._Symbols, "most", most)
+    got = collections.Counter()
+    for b in classifier._counts(table.to_batches(max_chunksize=4)):
+        for c, w, k in zip(*(b[x].to_pylist() for x in ("context", "last", "c"))):
+            got[c, w & 0x1FFFFF, w >> 21] += k
+    want = collections.Counter()
+    for i, t, _ in rows:
+        line = [1, 1, 1, *(ord(x) + 3 for x in t), 2]
+        for j in range(3, len(line)):
+            want[line[j - 3] << 42 | line[j - 2] << 21 | line[j - 1], line[j], i % 5 + 1] += 1
+    assert got == want
+    if most > 12:
+        df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+        out = classifier.classify(df, spark.createDataFrame([(i, 1, 0) for i in labels], "doc_id long, quality int, toxic int")).collect()
+        assert all(abs(r.log_perplexity - perplexity(rows[r.doc_id][1])) < 1e-9 for r in out)
+    packed = io.BytesIO()
+    part = pa.table({"doc_id": [1], "lang": ["zh"], "text": [rows[0][1]], "mark": [0], "model": [0], "held": [False]})
+    with pa.ipc.new_stream(packed, part.schema) as w:
+        w.write_table(part)
+    left = pa.table({"block": [0], "rows": pa.array([packed.getvalue()], pa.binary())})
+    asked = pa.Table.from_batches(classifier._ask(iter(left.to_batches())))
+    assert len(set(zip(asked["context"].to_pylist(), asked["last"].to_pylist()))) == len({x for x in brute.grams(rows[0][1], 4)})
+    scored = classifier._score(left, asked.append_column("logp", pa.array(np.full(len(asked), -2.0))))
+    assert scored["log_perplexity"].to_pylist() == [2.0] and scored["n_symbols"].to_pylist() == [len(rows[0][1]) + 1]
+
+
+def test_classifier_keeps_and_drops_by_row(spark):
+    good = "the cat sat on the mat and the dog sat on the log"
+    rows = [(i, good + f" {i}", "en") for i in range(12)] + [(None, "", "en"), (None, "zqxjkv" * 30, "en"), (None, good + " 3", "en"), (3, "QQ##" * 40, "en"), (3, None, None), (20, good + " 4", "en")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumn("mark", F.lit(1)).withColumn("_row", F.lit(2))
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(12) if i != 3], "doc_id long, quality int, toxic int")
+    left = classifier.keep(df, labels, quantile=1.0)
+    assert left.columns == df.columns
+    texts = sorted(((r.doc_id, r.text) for r in left.collect()), key=str)
+    assert texts == sorted([(i, t) for i, t, _ in rows if t and t.startswith("the")], key=str)
+
+
 def test_classifier_rejects_held_out_junk(spark):
     docs = spark.read.parquet(f"{DATA[:-3]}01/documents.parquet")
     labels = spark.read.parquet(f"{DATA[:-3]}01/labels.parquet")
@@ -369,20 +420,29 @@ def test_near_duplicates_of_odd_rows(spark):
     assert minhash.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_near_duplicates_are_dropped_by_row(spark):
+    text, other = " ".join("abcdefgh"), " ".join("stuvwxyz")
+    rows = [(3, text), (3, text), (3, other), (None, other), (None, "x y"), (1, "x y z"), (2, None), (2, None), (2, "")]
+    left = minhash.keep(spark.createDataFrame(rows, "doc_id long, text string").withColumn("row", F.lit(1)))
+    assert left.columns == ["doc_id", "text", "row"]
+    want = [(3, text), (3, other), (None, "x y"), (1, "x y z"), (2, None), (2, None), (2, "")]
+    assert sorted(((r.doc_id, r.text) for r in left.collect()), key=str) == sorted(want, key=str)
+
+
 def test_packing(spark, docs):
     import public_tokenizers
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
-    odd = spark.createDataFrame([(None, "x  y \n z", "en", "a", 0), (1, "it's\x1c 　 a  b", "en", "a", 0)], DOCS)
-    df = docs.unionByName(odd)
+    tokenizer.encode_special_tokens = True  # pack() is told of no added tokens here
+    odd = spark.createDataFrame([(None, "x  y \n z", "en", "a", 0), (1, "it's\x1c 　 a  b", "en", "a", 0)], DOCS)
+    df = docs.unionByName(odd).unionByName(docs.where("doc_id IN (2, 3)"))  # rows that repeat, too
     pieces = packing.pack(clashing(df), length=64).collect()
     sequences, docs_ = collections.defaultdict(list), collections.defaultdict(list)
     for p in pieces:
         assert zlib.crc32(bytes(p.ids)) == p.ids_crc32 and len(p.ids) == 4 * p.length
         sequences[p.sequence_id].append((p.offset, p.length))
-        docs_[p.doc_id, p.doc_tokens].append((p.start, p.length, bytes(p.ids)))
+        docs_[p.doc_id].append((p.start, p.length, bytes(p.ids), p.doc_tokens))
     for spans in sequences.values():
         at = 0
         for offset, length in sorted(spans):
@@ -390,10 +450,17 @@ def test_packing(spark, docs):
             at += length
         assert at <= 64
     assert sum(sum(x[1] for x in s) < 64 for s in sequences.values()) <= 4  # one of each range at most
+    want = collections.defaultdict(list)
     for r in df.collect():
-        ids = np.array([*tokenizer.encode(r.text or "", add_special_tokens=False).ids, 0], dtype="<u4").tobytes()
-        held = sorted(docs_[r.doc_id, len(ids) // 4])
-        assert ids in (b"".join(x[2] for x in held), b"".join(x[2] for x in held[::2]), b"".join(x[2] for x in held[1::2])) or len(held) > 1
+        want[r.doc_id].append(np.array([*tokenizer.encode(r.text or "", add_special_tokens=False).ids, 0], dtype="<u4"))
+    assert set(want) == set(docs_)
+    for key, held in docs_.items():
+        # every piece is where its start says in one of the rows of its key, and the rows are covered once
+        left = collections.Counter()
+        for start, length, raw, total in held:
+            assert any(len(ids) == total and ids[start : start + length].tobytes() == raw for ids in want[key])
+            left.update((total, i) for i in range(start, start + length))
+        assert left == sum((collections.Counter((len(ids), i) for i in range(len(ids))) for ids in want[key]), collections.Counter())
     assert sum(p.length for p in pieces) == sum(len(tokenizer.encode(r.text or "", add_special_tokens=False).ids) + 1 for r in df.collect())
     assert packing.pack(df.limit(0)).count() == 0
 
@@ -474,6 +541,28 @@ def test_pipeline_stages(spark):
     sets = {r.doc_id: brute.shingles(r.text) for r in ruled.collect()}
     links = [(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
     assert ids(single) == set(brute.classes(sets, links).values())
-    rest = brute.passages([(r.doc_id, r.text) for r in single.collect()], 100)
-    assert all(hashlib.sha256(r.text.encode()).hexdigest() == rest[r.doc_id][3] or "�" not in r.text for r in cleaned.collect())
+    _, classified_ = None, classifier.classify(spark.read.parquet(f"{DATA}/documents.parquet"), spark.read.parquet(f"{DATA}/labels.parquet"))
+    assert ids(classified) == ids(classified_.where("kept"))
+    rest = brute.passages([(r.doc_id, r.text) for r in single.collect()], 100, text=True)
+    assert {r.doc_id: r.text for r in cleaned.collect()} == rest
+    assert all(r.n_chars == len(r.text) for r in cleaned.collect())
     assert ids(cleaned) == ids(single) == ids(packed)
+
+
+def test_pipeline_stages_take_odd_rows_and_empty_tables(spark, tmp_path):
+    import corpus_pipeline
+
+    odd = [(None, None, None, None, None), (None, "", "en", "a", 0), (1, " \n", None, None, 0), (2, "short", "xx", "b", 5)]
+    rows = made(40) + odd + made(40)[:5]  # nulls, empty texts, a long text, repeated rows
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(30)] + [(None, 1, 0)], "doc_id long, quality int, toxic int")
+    for name, data in (("odd", rows), ("none", [])):
+        docs = spark.createDataFrame(data, DOCS).withColumn("family", F.lit("x")).withColumn("_row", F.lit(1))
+        docs.coalesce(2).write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        labels.where("true" if data else "false").write.parquet(f"{tmp_path}/{name}/labels.parquet")
+        columns = docs.columns
+        for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+            docs = stage(spark, spark.read.parquet(f"{tmp_path}/{name}/documents.parquet") if k == 0 else docs, f"{tmp_path}/{name}").cache()
+            assert k == len(corpus_pipeline.STAGES) - 1 or docs.columns == columns
+        assert (docs.count() > 0) == bool(data)
+    packed = corpus_pipeline.pack(spark, spark.createDataFrame(odd, DOCS), "")
+    assert sorted((r.doc_id, r.doc_tokens) for r in packed.where("doc_id IS NOT NULL").collect()) == [(1, 3), (2, 2)]
