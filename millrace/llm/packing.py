@@ -14,7 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm import textnum as tn
@@ -148,3 +148,19 @@ def pack(df: DataFrame, *, length: int = 1024, key: str = "doc_id", text: str =
     return ordered.select("doc_id", "n_ids", "ids").mapInArrow(
         _packed(length), f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary"
     )
+
+
+def decode(ids: Column, vocabulary_path: str | None = None, added_path: str | None = None) -> Column:
+    """The text of a document's ids (little-endian unsigned 32-bit), whose last one is its end id. A null stays null."""
+    path, added = vocabulary_path or vocabulary.default_path("byte_bpe_50k.tiktoken"), added_path or vocabulary.default_path("byte_bpe_50k.json")
+
+    @F.arrow_udf("string")
+    def decoded(ids: pa.Array) -> pa.Array:
+        bpe, extra = vocabulary.byte_bpe(path), {i: t.encode() for t, i in vocabulary.added_tokens(added).items()}
+
+        def text(raw: bytes) -> str:
+            return b"".join(extra.get(i) or bpe.decode_single_token_bytes(i) for i in np.frombuffer(raw, "<u4")[:-1].tolist()).decode("utf-8", "replace")
+
+        return pa.array([None if raw is None else text(raw) for raw in ids.to_pylist()], pa.string())
+
+    return decoded(ids)

@@ -143,6 +143,31 @@ def op7_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+OP7_SQL = """
+WITH d AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS x, CAST(strlen(coalesce(text, '')) AS BIGINT) AS n FROM documents
+), chunks AS (
+  SELECT doc_id, n, k, x[1024*k+1:1024*k+1222] AS c FROM (SELECT *, unnest(range((n + 511) // 512)) AS k FROM d)
+), places AS (
+  SELECT doc_id, 512 * k + j AS i, md5_number(c[2*j+1:2*j+200]) AS w FROM (SELECT *, unnest(range(least(512, n - 99 - 512 * k))) AS j FROM chunks)
+), judged AS (
+  SELECT doc_id, i, row_number() OVER (PARTITION BY w ORDER BY doc_id, i) > 1 AS later FROM places
+), edges AS (
+  SELECT doc_id, i, coalesce(i > 100 + lag(i) OVER (PARTITION BY doc_id ORDER BY i), true) AS new FROM judged WHERE later
+), runs AS (
+  SELECT doc_id, min(i) AS lo, max(i) + 100 AS hi FROM (SELECT *, sum(CAST(new AS INT)) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM edges) GROUP BY doc_id, run
+), cuts AS (
+  SELECT doc_id, list(lo ORDER BY lo) AS los, list(hi ORDER BY lo) AS his FROM runs GROUP BY doc_id
+), pieces AS (
+  SELECT d.doc_id, x, n AS n_bytes, [0] || coalesce(his, []) AS froms, coalesce(los, []) || [n] AS tos, coalesce(len(los), 0) AS n_spans
+  FROM d LEFT JOIN cuts USING (doc_id)
+)
+SELECT doc_id, CAST(n_bytes AS BIGINT) AS n_bytes, CAST(n_bytes - list_sum([tos[k] - froms[k] FOR k IN range(1, n_spans + 2)]) AS BIGINT) AS n_removed, CAST(n_spans AS BIGINT) AS n_spans,
+  sha256(unhex(array_to_string([x[2*froms[k]+1:2*tos[k]] FOR k IN range(1, n_spans + 2)], ''))) AS kept_sha256
+FROM pieces
+"""
+
+
 def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(read_table(spark, sf_dir, "documents"), percent=85)
 
@@ -183,6 +208,77 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard", "source")
 
 
+#: The checksum's table of 256 entries, made in SQL one bit at a time.
+_CRC_TABLE = "step0 AS (SELECT i, i AS c FROM range(256) r(i))" + "".join(
+    f", step{k} AS (SELECT i, CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END AS c FROM step{k - 1})" for k in range(1, 9)
+)
+
+OP10_SQL = f"""
+WITH {_CRC_TABLE}, crc AS (SELECT list(c ORDER BY i) AS t FROM step8
+), d AS (
+  SELECT doc_id, source, coalesce(text, '') AS text, hex(encode(coalesce(text, ''))) AS x FROM documents
+), sized AS (
+  SELECT doc_id, source, CAST(strlen(text) + 16 AS BIGINT) AS size,
+    xor(list_reduce(list_transform(regexp_extract_all(x, '..'), lambda h: CAST('0x' || h AS BIGINT)), lambda c, b: xor(c >> 8, t[1 + (xor(c, b) & 255)]), 4294967295), 4294967295) AS text_crc32
+  FROM d, crc
+), hashed AS (
+  SELECT *, CAST('0x' || substr(md5('42|' || coalesce(CAST(doc_id AS VARCHAR), '') || '|' || text_crc32), 1, 15) AS BIGINT) AS h FROM sized
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY h, doc_id, text_crc32, size) - 1 AS r, count(*) OVER (PARTITION BY source) AS n, count(*) OVER () AS total FROM hashed
+), placed AS (
+  SELECT *, row_number() OVER (ORDER BY (2 * r + 1)::HUGEINT * 549755813888 // n, h, source NULLS FIRST, doc_id, text_crc32, size) - 1 AS pos FROM ranked
+), cut AS (SELECT *, pos * 40 // total AS shard FROM placed)
+SELECT doc_id, source, size, text_crc32, 'rows' AS law, CAST(shard AS INTEGER) AS shard, CAST(pos - (shard * total + 39) // 40 AS BIGINT) AS slot, CAST(NULL AS INTEGER) AS grown_shard FROM cut
+"""
+
+
+# What SQL can tell of operators whose tokens it cannot express.
+
+
+def base_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 1's counts of words, lines and windows, and its base rules."""
+    return op1_fertility(spark, sf_dir).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+
+
+BASE_COUNTS_SQL = r"""
+WITH w AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM documents
+), windows AS (
+  SELECT doc_id, i, array_to_string(words[i:i+7], ' ') AS v FROM (SELECT doc_id, words, unnest(range(1, len(words) - 6)) AS i FROM w)
+), twice AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, v) AS n FROM windows) WHERE n > 1
+), covered AS (
+  SELECT doc_id, count(DISTINCT place) AS n FROM (SELECT doc_id, unnest(range(i, i + 8)) AS place FROM twice) GROUP BY 1
+)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
+  CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+  CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words,
+  len(words) < 20 OR 100 * coalesce(n, 0) > 30 * len(words) AS base_failed
+FROM w LEFT JOIN covered USING (doc_id)
+"""
+
+
+def segmentation_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The text that the best of operator 2's segmentations decodes to."""
+    out = segmentations.sample(read_table(spark, sf_dir, "documents").select("doc_id", "text"), 1)
+    return out.select("doc_id", F.sha2(segmentations.decode(F.col("ids")), 256).alias("text_sha256"))
+
+
+def packed_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The text that operator 9's pieces of a document decode to, and whether they cover it without gap or overlap."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    pieces = packing.pack(docs, length=1024, added_path=vocabulary.default_path("byte_bpe_50k.json"))
+    whole = pieces.groupBy("doc_id").agg(
+        F.sort_array(F.collect_list(F.struct("start", "length", "ids"))).alias("p"), F.max("doc_tokens").alias("n"), F.sum("length").alias("covered")
+    )
+    # every piece begins where the one before ends
+    follows = F.forall(F.sequence(F.lit(1), F.size("p")), lambda i: F.when(i == 1, F.get("p", F.lit(0))["start"] == 0).otherwise(F.get("p", i - 1)["start"] == F.get("p", i - 2)["start"] + F.get("p", i - 2)["length"]))
+    ids = F.concat(F.array(), F.transform("p", lambda x: F.hex(x["ids"])))
+    text = packing.decode(F.unhex(F.array_join(ids, "")))
+    return whole.select("doc_id", F.sha2(text, 256).alias("text_sha256"), (follows & (F.col("covered") == F.col("n"))).alias("covered"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fertility": op1_fertility,
     "op2_segmentations": op2_segmentations,
@@ -194,6 +290,19 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_minhash": op8_minhash,
     "op9_packing": op9_packing,
     "op10_sharding": op10_sharding,
+    "base_counts": base_counts,
+    "segmentation_texts": segmentation_texts,
+    "packed_texts": packed_texts,
 }
 
-ORACLES: dict[str, str] = {"op3_vectors": OP3_SQL, "op4_chat": OP4_SQL, "op5_warc": OP5_SQL, "op8_minhash": OP8_SQL}
+ORACLES: dict[str, str] = {
+    "op3_vectors": OP3_SQL,
+    "op4_chat": OP4_SQL,
+    "op5_warc": OP5_SQL,
+    "op7_suffixes": OP7_SQL,
+    "op8_minhash": OP8_SQL,
+    "op10_sharding": OP10_SQL,
+    "base_counts": BASE_COUNTS_SQL,
+    "segmentation_texts": "SELECT doc_id, sha256(coalesce(text, '')) AS text_sha256 FROM documents",
+    "packed_texts": "SELECT doc_id, sha256(coalesce(text, '')) AS text_sha256, true AS covered FROM documents",
+}

@@ -53,12 +53,14 @@ def interleave(
         (F.coalesce(F.octet_length(F.col(f"`{text}`")), F.lit(0)) + 16).cast("long").alias("size"),
         F.crc32(F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary")).alias("text_crc32"),
     )
-    rows = rows.withColumn("_h", F.xxhash64(F.lit(seed), "doc_id", "text_crc32"))
+    # 60 bits of a digest that SQL engines share
+    seeded = F.concat_ws("|", F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "text_crc32")
+    rows = rows.withColumn("_h", F.conv(F.substring(F.md5(seeded.cast("binary")), 1, 15), 16, 10).cast("long"))
     by_source = df.groupBy(F.col(f"`{source}`").alias("_s")).agg(F.count("*").alias("_rows"))
     total = df.count()
     buckets = max(1, -(-total // rows_per_bucket))
     # ranges of the hash, so that the number of buckets does not change the order
-    rows = rows.withColumn("_b", F.floor((F.shiftright("_h", 32) + 2**31) * F.lit(buckets) / F.lit(2**32)).cast("long"))
+    rows = rows.withColumn("_b", F.floor(F.shiftright("_h", 28) * F.lit(buckets) / F.lit(2**32)).cast("long"))
     rows = _ranked(rows, ["source"], "_b", ["_h", "doc_id", "text_crc32", "size"], "_rank")
     rows = rows.join(by_source, F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
     # (rank + 1/2) / rows as an integer on a scale of 2^40, so that equal fractions are equal on every machine

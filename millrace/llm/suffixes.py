@@ -26,12 +26,16 @@ from pyspark.sql import functions as F
 from millrace.llm import textnum as tn
 from millrace.llm.common import cut, no_tables, shuffle_width, small_batches
 
-_END = 255  # no UTF-8 byte
+#: Grams are counted in so many buckets, to find out which are hot.
+_HOT_BITS = 16
 
 
 @dataclass(frozen=True)
 class Layout:
-    """span: bytes of a passage that counts; gram: bytes of an anchor; the limits bound buckets and do not change results."""
+    """span: bytes of a passage that counts; gram: bytes of an anchor; the limits bound buckets and do not change results.
+
+    A gram with more than ``hot_strings`` strings in the corpus, or ``hot_in_batch`` in one batch of rows, is dealt by string as well.
+    """
 
     span: int = 100
     gram: int = 32
@@ -39,6 +43,10 @@ class Layout:
     hot_in_batch: int = 200
     bucket_strings: int = 4_000
 
+    def __post_init__(self) -> None:
+        if not 0 < self.gram <= self.span < 1 << 20:
+            raise ValueError("an anchor has at least one byte and lies in a passage of less than 2^20 bytes")
+
 
 @dataclass
 class _Anchors:
@@ -52,12 +60,12 @@ class _Anchors:
     string: np.ndarray
 
 
-def _anchors(data: np.ndarray, offs: np.ndarray, lay: Layout) -> _Anchors:
+def _anchors(data: np.ndarray, offs: np.ndarray, lay: Layout, strings: bool = True) -> _Anchors:
     n, window = len(data), lay.span - lay.gram + 1
     none = np.zeros(0, np.int64)
     if n < lay.span:
         return _Anchors(none, none, none, none, none, none)
-    prefix, prefix2 = tn.prefix_hash(data, tn.BASE), tn.prefix_hash(data, tn.BASE2)
+    prefix = tn.prefix_hash(data, tn.BASE)
     at = np.arange(n - lay.gram + 1)
     grams = tn.span_hash(prefix, tn.BASE, at, at + lay.gram)
     place_bits = np.uint64(max(1, int(n).bit_length()))
@@ -84,27 +92,54 @@ def _anchors(data: np.ndarray, offs: np.ndarray, lay: Layout) -> _Anchors:
     last[:-1] &= (anchor[1:] != anchor[:-1]) | ~valid[1:]
     hi = np.flatnonzero(last)
     p = anchor[lo]
+    if not strings:
+        return _Anchors(none, lo, hi, p, grams[p].view(np.int64), none)
+    prefix2 = tn.prefix_hash(data, tn.BASE2)
     shape = ((p - lo) << 20 | (hi - lo)).astype(np.uint64)
     string = tn.mix(tn.span_hash(prefix2, tn.BASE2, lo, hi + lay.span) ^ tn.mix(shape))
     doc = np.searchsorted(offs, lo, "right") - 1
     return _Anchors(doc, lo - offs[doc], hi - offs[doc], p - offs[doc], grams[p].view(np.int64), string.view(np.int64))
 
 
-def _first_in_document(a: _Anchors) -> np.ndarray:
-    order = np.lexsort((a.lo, a.string, a.gram, a.doc))
-    d, g, s = a.doc[order], a.gram[order], a.string[order]
-    first = np.ones(len(order), dtype=bool)
-    first[1:] = (d[1:] != d[:-1]) | (g[1:] != g[:-1]) | (s[1:] != s[:-1])
-    out = np.zeros(len(order), dtype=bool)
-    out[order[first]] = True
-    return out
+def _slot(gram: np.ndarray) -> np.ndarray:
+    return (gram.view(np.uint64) >> np.uint64(64 - _HOT_BITS)).astype(np.int64)
+
+
+def _count_anchors(lay: Layout):
+    """slot, n: where a task has more than twice as many anchors as slots have on average; and the sum of all as slot -1."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        no_tables()
+        counts = np.zeros(1 << _HOT_BITS, dtype=np.int64)
+        for batch in batches:
+            for i, j in tn.slices(batch["text"]):
+                a = _anchors(*tn.buffers(batch["text"].slice(i, j - i)), lay, strings=False)
+                counts += np.bincount(_slot(a.gram), minlength=len(counts))
+        many = np.flatnonzero(counts > 2 * counts.mean())
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(many, -1)), pa.array(np.append(counts[many], counts.sum()))], ["slot", "n"])
+
+    return run
+
+
+def hot_slots(texts: DataFrame, lay: Layout) -> list[int]:
+    """The slots with over four times their share of all anchors, and over ``hot_strings``: at most a quarter of 2^16.
+
+    What a task does not report is at most twice a slot's share, so the sum of the reports tells. No other slot, and so no gram
+    outside these, has more than that.
+    """
+    found = texts.select("text").mapInArrow(_count_anchors(lay), "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n"))
+    total = found.where("slot < 0").agg(F.sum("n").alias("n")).select(F.coalesce("n", F.lit(0)).alias("total"))
+    least = F.greatest(F.lit(lay.hot_strings), 2 * F.col("total") / F.lit(1 << _HOT_BITS))
+    return [r["slot"] for r in found.where("slot >= 0").join(F.broadcast(total)).where(F.col("n") > least).select("slot").collect()]
 
 
-def _emit_anchors(lay: Layout):
+def _emit_anchors(lay: Layout, hot_at: list[int]):
     """Distinct strings of a batch: route, gram, string, rid, lo, hot; the earliest document of the batch stands for equal ones."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         no_tables()
+        slots = np.zeros(1 << _HOT_BITS, dtype=bool)
+        slots[hot_at] = True
         for batch in batches:
             ids = batch["rid"].to_numpy()
             parts = []
@@ -120,10 +155,11 @@ def _emit_anchors(lay: Layout):
             first[1:] = (gram[1:] != gram[:-1]) | (string[1:] != string[:-1])
             rid, lo, gram, string = rid[first], lo[first], gram[first], string[first]
             _, which, count = np.unique(gram, return_inverse=True, return_counts=True)
-            hot = count[which] > lay.hot_in_batch if len(gram) else np.zeros(0, bool)
-            # a gram with very many strings is dealt by string as well; one row tells its other strings
+            everywhere = slots[_slot(gram)]
+            hot = (count[which] > lay.hot_in_batch) | everywhere if len(gram) else np.zeros(0, bool)
+            # a gram with very many strings is dealt by string as well; where only this batch knows, one row tells its other strings
             route = np.where(hot, gram ^ (string & np.int64(0xFFF)) ^ np.int64(0x5555), gram)
-            told = np.unique(gram[hot])
+            told = np.unique(gram[hot & ~everywhere])
             nothing = pa.nulls(len(told), pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [pa.concat_arrays([pa.array(x), y]) for x, y in ((route, pa.array(told)), (gram, pa.array(told)), (string, nothing), (rid, nothing), (lo, nothing))]
@@ -186,16 +222,17 @@ def column_order(data: np.ndarray, offs: np.ndarray, at: np.ndarray, most: int)
 
     ``at`` is the place in each string that is lined up. A string joins where it ends, with an empty suffix, ahead of the others.
     """
+    kind = np.uint8 if most < 255 else np.int32
     column = at.max() - at  # of each string's first symbol
     ends = column + np.diff(offs)
     joining = np.argsort(ends, kind="stable")[::-1]
-    order, shared, joined = np.zeros(0, np.int64), np.zeros(0, np.uint8), 0
+    order, shared, joined = np.zeros(0, np.int64), np.zeros(0, kind), 0
     for c in range(int(ends.max()) - 1, -1, -1):
         until = joined
         while until < len(joining) and ends[joining[until]] == c + 1:
             until += 1
         order = np.concatenate([joining[joined:until], order])
-        shared = np.concatenate([np.zeros(until - joined, np.uint8), shared])
+        shared = np.concatenate([np.zeros(until - joined, kind), shared])
         joined = until
         stays = column[order] <= c
         if not stays.all():  # strings that have been read to their first symbol leave
@@ -210,7 +247,7 @@ def column_order(data: np.ndarray, offs: np.ndarray, at: np.ndarray, most: int)
         step = np.argsort(transform, kind="stable")
         symbols = transform[step]
         same = np.flatnonzero(symbols[1:] == symbols[:-1])
-        grown = np.zeros(len(step), dtype=np.uint8)
+        grown = np.zeros(len(step), dtype=kind)
         if len(same):
             grown[same + 1] = np.minimum(_least(shared, step[same] + 1, step[same + 1]) + 1, most)
         order, shared = order[step], grown
@@ -348,7 +385,7 @@ def repeated_passages(df: DataFrame, *, key: str = "doc_id", text: str = "text",
     else:
         docs = docs.withColumn("rid", F.col("doc_id"))
     width = shuffle_width(spark)
-    found = docs.select("rid", "text").mapInArrow(_emit_anchors(lay), "route long, gram long, string long, rid long, lo long, hot boolean")
+    found = docs.select("rid", "text").mapInArrow(_emit_anchors(lay, hot_slots(docs, lay)), "route long, gram long, string long, rid long, lo long, hot boolean")
     dealt = found.repartition(width, "route")
     strings = dealt.groupBy("route", "string").agg(F.min("rid").alias("rid"), F.min_by("lo", "rid").alias("lo"), F.max("hot").alias("hot"))
     beside = Window.partitionBy("route")

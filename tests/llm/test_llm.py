@@ -356,7 +356,7 @@ def test_classifier_limits_leave_own_counts_out(spark, docs):
     assert all(r.kept for r in alone if r.doc_id == good[0].doc_id)
 
 
-@pytest.mark.parametrize("layout", [suffixes.Layout(20, 8), suffixes.Layout(20, 8, hot_strings=2, hot_in_batch=2, bucket_strings=5), suffixes.Layout(60, 16, hot_in_batch=3)])
+@pytest.mark.parametrize("layout", [suffixes.Layout(20, 8), suffixes.Layout(20, 8, hot_strings=2, hot_in_batch=2, bucket_strings=5), suffixes.Layout(60, 16, hot_in_batch=3), suffixes.Layout(), suffixes.Layout(hot_strings=3), suffixes.Layout(300)])
 def test_repeated_passages(spark, docs, layout):
     got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffixes.repeated_passages(clashing(docs), layout=layout).collect()}
     assert got == brute.passages([(r.doc_id, r.text) for r in docs.collect()], layout.span)
@@ -373,6 +373,22 @@ def test_repeated_passages_of_odd_rows(spark):
     assert suffixes.repeated_passages(df.limit(0)).count() == 0
 
 
+def test_strings_of_a_common_gram_are_dealt_out(spark):
+    """A gram in every tenth document: no batch has many of its strings, and yet they do not share a route."""
+    rng = random.Random(9)
+    filler = lambda n: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz ", k=n))
+    common = "the very same forty bytes in every tenth text"
+    df = spark.createDataFrame([(i, filler(150) + (common if i % 10 == 0 else "") + filler(150)) for i in range(4000)], "rid long, text string").repartition(8)
+    lay = suffixes.Layout(60, 16, hot_strings=100)
+    hot = suffixes.hot_slots(df, lay)
+    assert 0 < len(hot) < 50 and suffixes.hot_slots(df, suffixes.Layout(60, 16)) == [] == suffixes.hot_slots(df.limit(0), lay)
+    found = df.mapInArrow(suffixes._emit_anchors(lay, hot), "route long, gram long, string long, rid long, lo long, hot boolean")
+    largest = lambda c: found.groupBy(c).count().agg(F.max("count")).first()[0]
+    assert largest("gram") >= 300 and largest("route") <= lay.hot_strings
+    with pytest.raises(ValueError):
+        suffixes.Layout(20, 32)
+
+
 def test_column_order_sorts_suffixes():
     rng = np.random.default_rng(0)
     strings = [bytes(rng.integers(97, 100, rng.integers(1, 30)).tolist()) for _ in range(50)]
