@@ -13,19 +13,20 @@ def attach(big: DataFrame, small: DataFrame, key: str | list[str], how: str = "i
     """``big`` with the columns of ``small``, which has one row per ``key`` of numbers or strings.
 
     The join is on invertible expressions of the key, so that both sides are exchanged for this join even where
-    ``small`` comes from an aggregate; adaptive execution can then split a hot key's rows over many tasks.
+    ``small`` comes from an aggregate; adaptive execution can then split a hot key's rows over many tasks. The key
+    itself is not moved but made again, and stands last.
     """
     keys, kinds = [key] if isinstance(key, str) else key, dict(big.dtypes)
+    names = {k: f"_join{i}" for i, k in enumerate(keys)}
 
-    def salted(k: str) -> Column:
-        if kinds[k] in ("bigint", "int"):
-            return F.col(k).bitwiseXOR(F.lit(0x5DEECE66D if kinds[k] == "bigint" else 0x2545F491).cast(kinds[k]))
-        return F.concat(F.lit("k"), k)
+    def swapped(k: str, c: str) -> Column:
+        return F.col(c).bitwiseXOR(F.lit(0x5DEECE66D if kinds[k] == "bigint" else 0x2545F491).cast(kinds[k]))
 
-    names = [f"_join{i}" for i in range(len(keys))]
-    left = big.withColumns({n: salted(k) for n, k in zip(names, keys)})
-    right = small.withColumns({n: salted(k) for n, k in zip(names, keys)}).drop(*keys)
-    return left.join(right, names, how).drop(*names)
+    whole = {k for k in keys if kinds[k] in ("bigint", "int")}
+    there = {n: swapped(k, k) if k in whole else F.concat(F.lit("k"), k) for k, n in names.items()}
+    back = {k: swapped(k, n) if k in whole else F.substr(n, F.lit(2)) for k, n in names.items()}
+    left, right = (df.withColumns(there).drop(*keys) for df in (big, small))
+    return left.join(right, list(names.values()), how).withColumns(back).drop(*names.values())
 
 
 def _held(df: DataFrame) -> Column:

@@ -60,7 +60,7 @@ class _Anchors:
     string: np.ndarray
 
 
-def _anchors(data: np.ndarray, offs: np.ndarray, lay: Layout, strings: bool = True) -> _Anchors:
+def _anchors(data: np.ndarray, offs: np.ndarray, lay: Layout) -> _Anchors:
     n, window = len(data), lay.span - lay.gram + 1
     none = np.zeros(0, np.int64)
     if n < lay.span:
@@ -92,8 +92,6 @@ def _anchors(data: np.ndarray, offs: np.ndarray, lay: Layout, strings: bool = Tr
     last[:-1] &= (anchor[1:] != anchor[:-1]) | ~valid[1:]
     hi = np.flatnonzero(last)
     p = anchor[lo]
-    if not strings:
-        return _Anchors(none, lo, hi, p, grams[p].view(np.int64), none)
     prefix2 = tn.prefix_hash(data, tn.BASE2)
     shape = ((p - lo) << 20 | (hi - lo)).astype(np.uint64)
     string = tn.mix(tn.span_hash(prefix2, tn.BASE2, lo, hi + lay.span) ^ tn.mix(shape))
@@ -102,19 +100,22 @@ def _anchors(data: np.ndarray, offs: np.ndarray, lay: Layout, strings: bool = Tr
 
 
 def _slot(gram: np.ndarray) -> np.ndarray:
-    return (gram.view(np.uint64) >> np.uint64(64 - _HOT_BITS)).astype(np.int64)
+    # mixed once more: an anchor is the least hash of its window, so anchors' own high bits are mostly 0
+    return (tn.mix(gram.view(np.uint64)) >> np.uint64(64 - _HOT_BITS)).astype(np.int64)
 
 
 def _count_anchors(lay: Layout):
-    """slot, n: where a task has more than twice as many anchors as slots have on average; and the sum of all as slot -1."""
+    """slot, n: where a task has more than twice as many strings as slots have on average; and the sum of all as slot -1."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         no_tables()
         counts = np.zeros(1 << _HOT_BITS, dtype=np.int64)
         for batch in batches:
-            for i, j in tn.slices(batch["text"]):
-                a = _anchors(*tn.buffers(batch["text"].slice(i, j - i)), lay, strings=False)
-                counts += np.bincount(_slot(a.gram), minlength=len(counts))
+            found = [_anchors(*tn.buffers(batch["text"].slice(i, j - i)), lay) for i, j in tn.slices(batch["text"])]
+            if found:  # copies are told apart from many strings: a batch counts equal strings once
+                gram, string = (np.concatenate(x) for x in zip(*((a.gram, a.string) for a in found)))
+                _, first = np.unique(gram ^ tn.mix(string.view(np.uint64)).view(np.int64), return_index=True)
+                counts += np.bincount(_slot(gram[first]), minlength=len(counts))
         many = np.flatnonzero(counts > 2 * counts.mean())
         yield pa.RecordBatch.from_arrays([pa.array(np.append(many, -1)), pa.array(np.append(counts[many], counts.sum()))], ["slot", "n"])
 
@@ -122,7 +123,7 @@ def _count_anchors(lay: Layout):
 
 
 def hot_slots(texts: DataFrame, lay: Layout) -> list[int]:
-    """The slots with over four times their share of all anchors, and over ``hot_strings``: at most a quarter of 2^16.
+    """The slots with over four times their share of all strings, and over ``hot_strings``: at most a quarter of 2^16.
 
     What a task does not report is at most twice a slot's share, so the sum of the reports tells. No other slot, and so no gram
     outside these, has more than that.
