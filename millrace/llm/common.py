@@ -11,13 +11,16 @@ from pyspark.sql import functions as F
 def shared_dir(spark: SparkSession) -> str:
     """The folder in ``spark.checkpoint.dir``, which all executors share.
 
-    Where the setting is missing (a local session, as in tests) a new temporary folder takes its place.
+    Where the setting is missing, a local session, as in tests, takes a new temporary folder; on a cluster that is an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
     made = getattr(spark, "_millrace_checkpoint_dir", None)
     if made is None:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         made = "file://" + tempfile.mkdtemp(prefix="spark-", dir="/tmp")
         spark._millrace_checkpoint_dir = made
     return made
@@ -53,11 +56,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def narrow(df: DataFrame, **columns: str) -> DataFrame:
-    """Only the named columns, under the operator's own names; other columns, whatever they are called, stay behind."""
-    return df.select(*[F.col(f"`{theirs}`").alias(ours) for ours, theirs in columns.items()])
-
-
 _held: dict[str, object] = {}
 
 

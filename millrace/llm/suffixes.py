@@ -105,7 +105,7 @@ def _slot(gram: np.ndarray) -> np.ndarray:
 
 
 def _count_anchors(lay: Layout):
-    """slot, n: where a task has more than twice as many strings as slots have on average; and the sum of all as slot -1."""
+    """slot, n: where a task has over 32 strings and over twice as many as slots have on average; and the sum of all as slot -1."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         no_tables()
@@ -116,7 +116,7 @@ def _count_anchors(lay: Layout):
                 gram, string = (np.concatenate(x) for x in zip(*((a.gram, a.string) for a in found)))
                 _, first = np.unique(gram ^ tn.mix(string.view(np.uint64)).view(np.int64), return_index=True)
                 counts += np.bincount(_slot(gram[first]), minlength=len(counts))
-        many = np.flatnonzero(counts > 2 * counts.mean())
+        many = np.flatnonzero(counts > max(2 * counts.mean(), 32))
         yield pa.RecordBatch.from_arrays([pa.array(np.append(many, -1)), pa.array(np.append(counts[many], counts.sum()))], ["slot", "n"])
 
     return run
@@ -125,8 +125,8 @@ def _count_anchors(lay: Layout):
 def hot_slots(texts: DataFrame, lay: Layout) -> list[int]:
     """The slots with over four times their share of all strings, and over ``hot_strings``: at most a quarter of 2^16.
 
-    What a task does not report is at most twice a slot's share, so the sum of the reports tells. No other slot, and so no gram
-    outside these, has more than that.
+    What a task does not report is at most twice a slot's share, or 32, so the sum of the reports tells. A gram outside
+    these slots has at most four shares, or ``hot_strings`` and 32 for each task.
     """
     found = texts.select("text").mapInArrow(_count_anchors(lay), "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n"))
     total = found.where("slot < 0").agg(F.sum("n").alias("n")).select(F.coalesce("n", F.lit(0)).alias("total"))
