@@ -1,7 +1,8 @@
 """A training corpus from raw documents: classify, apply rules, remove near-duplicates and repeated passages, pack.
 
-Each stage takes what its predecessor kept. The first four return the columns of documents; the last returns pieces of
-packed sequences.
+Each stage takes what its predecessor kept. The first four return the columns of documents, whatever these are called; the last
+returns pieces of packed sequences. All of them take rows with nulls in any column and whole texts of any length, judge every row by
+itself where keys are null or repeat, and make an empty result of an empty table.
 """
 
 from __future__ import annotations
@@ -16,27 +17,43 @@ from millrace.llm.common import read_table, shared_dir
 
 
 def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose perplexity is near that of trusted ones of their language."""
+    """Documents whose perplexity is near that of trusted ones of their language.
+
+    Null and empty texts go. Rows of a null language are held against all trusted documents, null keys have no label, and repeated
+    rows stay or go together. Without any trusted text all others stay.
+    """
     return classifier.keep(docs, read_table(spark, sf_dir, "labels"))
 
 
 def apply_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the base rules and their language's fertility bands."""
+    """Documents that pass the base rules and their language's fertility bands.
+
+    Null, empty and short texts go; a null or unknown language takes the band of the text's script. Repeated rows stay or go together.
+    """
     return quality_rules.keep(docs)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that is alike in 0.8 or more of its five-word shingles."""
+    """One document of each group that is alike in 0.8 or more of its five-word shingles: that of the smallest key, null last.
+
+    Of exactly repeated rows one stays. Texts without words are alike to none and stay.
+    """
     return minhash.keep(docs, percent=80)
 
 
 def remove_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without passages of 100 bytes that an earlier place holds; n_chars is counted anew."""
+    """Documents without passages of 100 bytes that an earlier place holds; n_chars is counted anew.
+
+    No row goes. A null text becomes an empty one. Earlier is by key, null last, and by text where keys are equal.
+    """
     return suffixes.remove(docs).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences of at most 1024 tokens, as pieces of documents along the curve."""
+    """Sequences of at most 1024 tokens, as pieces of documents along the curve.
+
+    A null or empty text is its end id alone; repeated rows and null keys are documents like others.
+    """
     return packing.pack(docs, length=1024, added_path=vocabulary.default_path("byte_bpe_50k.json"))
 
 

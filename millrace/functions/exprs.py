@@ -20,8 +20,8 @@ def or_empty(c: Column) -> Column:
 
 
 def safe_int(c: Column) -> Column:
-    """Whole number of a messy text: thousands separators dropped, negatives and non-numbers 0."""
-    plain = F.regexp_replace(F.trim(c), ",", "")
+    """Whole number of a messy text: thousands separators and blanks dropped, inner ones too; negatives, nulls and non-numbers are 0."""
+    plain = F.regexp_replace(c, r"[,\s]", "")
     return F.greatest(F.lit(0).cast("long"), F.coalesce(plain.try_cast("double").cast("long"), F.lit(0).cast("long")))
 
 

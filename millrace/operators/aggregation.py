@@ -8,16 +8,20 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.exprs import count_of
+from millrace.operators.joins import small
 from millrace.operators.scanning import days_between
 
 
 def most_common(df: DataFrame, key: str, n: int) -> DataFrame:
-    """The ``n`` most frequent values; ties by value."""
+    """The ``n`` most frequent values; ties by value, null a value like others. An empty table gives none."""
     return df.groupBy(key).agg(F.count("*").alias("n")).orderBy(F.desc("n"), key).limit(n)
 
 
 def top_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], n: int) -> DataFrame:
-    """The first ``n`` rows of each key, with their rank from 1. Spark cuts groups before the exchange (window group limit)."""
+    """The first ``n`` rows of each key, with their rank from 1. Spark cuts groups before the exchange (window group limit).
+
+    A null key is a key; between rows that tie in ``order`` any may come first. A column called rank is replaced, others stay.
+    """
     return df.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where(F.col("rank") <= n)
 
 
@@ -77,9 +81,27 @@ def consistency(events: DataFrame, labels: DataFrame, documents: DataFrame) -> D
 
 
 def tiers(df: DataFrame, category: str, value: str, thresholds: DataFrame, default: tuple[float, float, float]) -> DataFrame:
-    """``df`` with tier S, A, B or C by its category's least values; categories without thresholds take the default ones."""
-    t = thresholds.select(F.col("category").alias(category), "s", "a", "b")
-    joined = df.join(F.broadcast(t), category, "left")
-    least = [F.coalesce(c, F.lit(x)) for c, x in zip(("s", "a", "b"), default)]
-    tier = F.when(F.col(value) >= least[0], "S").when(F.col(value) >= least[1], "A").when(F.col(value) >= least[2], "B").otherwise("C")
-    return joined.withColumn("tier", tier).drop("s", "a", "b")
+    """``df`` with tier S, A, B or C by its category's least values; categories without thresholds, and null ones, take the default ones.
+
+    A null value is of tier C. Columns of ``df`` may have any names; one called tier is replaced. ``thresholds`` (category, s, a, b) has a row
+    per category.
+    """
+    t = thresholds.select(F.col("category").alias("_category"), F.struct("s", "a", "b").alias("_least"))
+    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_row"))
+    joined = rows.join(small(t), F.col("_row")[category] == F.col("_category"), "left")
+    least = [F.coalesce(F.col("_least")[c], F.lit(x)) for c, x in zip(("s", "a", "b"), default)]
+    v = F.col("_row")[value]
+    tier = F.when(v >= least[0], "S").when(v >= least[1], "A").when(v >= least[2], "B").otherwise("C")
+    return joined.select(*[F.col("_row")[c].alias(c) for c in df.columns if c != "tier"], tier.alias("tier"))
+
+
+def joined_in_order(df: DataFrame, key: str, order: str, value: str, width: int = 4096) -> DataFrame:
+    """key, joined: a key's values in ``order``, a whole number, with commas between; nulls are left out.
+
+    Values are first joined in runs of ``width`` of the order, so that no task sorts all rows of a key; only the runs' texts meet.
+    """
+    run = F.floor(F.col(order) / width)
+    listed = F.transform(F.sort_array(F.collect_list(F.struct(F.col(order).alias("o"), F.col(value).alias("v")))), lambda x: x["v"])
+    runs = df.groupBy(key, run.alias("run")).agg(F.array_join(F.array_compact(listed), ",").alias("t")).where("t <> ''")
+    whole = F.transform(F.sort_array(F.collect_list(F.struct("run", "t"))), lambda x: x["t"])
+    return runs.groupBy(key).agg(F.array_join(whole, ",").alias("joined"))

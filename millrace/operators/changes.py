@@ -29,13 +29,19 @@ def capped_history(df: DataFrame, key: str, value: str, order: Sequence[str], mo
     return newest.groupBy(key).agg(F.sort_array(F.collect_list(F.struct(*order, F.col(value).alias("value")))).alias("history"))
 
 
-def upsert(old: DataFrame, updates: DataFrame, key: str) -> DataFrame:
-    """``old`` after the updates: an empty field leaves what there is, a new key comes in whole."""
+def upsert(old: DataFrame, updates: DataFrame, key: str, order: str | None = None) -> DataFrame:
+    """``old`` after the updates: an empty or null field leaves what there is, a new key comes in whole.
+
+    Of several updates of a key every field takes its newest value by ``order`` that is not empty, or the largest without
+    one, so that a key has one row. Updates of a null key name no row and are left out; rows of ``old`` whose key is null stay as they are.
+    Empty tables and extra columns of the updates make no difference.
+    """
     fields = [c for c in old.columns if c != key]
-    right = updates.select(F.col(key).alias("_key"), *[F.col(f).alias(f"_{f}") for f in fields])
+    given = lambda f: F.when(F.col(f).cast("string") != "", F.col(f))
+    newest = lambda f: F.max_by(F.col(f), F.when(given(f).isNotNull(), F.col(order))) if order else F.max(given(f))
+    right = updates.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_key")).agg(F.lit(True).alias("_there"), *[newest(f).alias(f"_{f}") for f in fields])
     joined = old.join(right, F.col(key) == F.col("_key"), "full")
-    given = lambda f: F.when(F.col(f"_{f}").cast("string") != "", F.col(f"_{f}"))
-    return joined.select(F.coalesce(key, "_key").alias(key), *[F.coalesce(given(f), f).alias(f) for f in fields])
+    return joined.select(F.coalesce(key, "_key").alias(key), *[F.coalesce(f"_{f}", f).alias(f) for f in fields])
 
 
 def replace(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -49,6 +55,16 @@ def plan(old: DataFrame, updates: DataFrame, key: str) -> DataFrame:
     return updates.join(known, key, "left").withColumn("action", F.when(F.col("_known"), "update").otherwise("insert")).drop("_known")
 
 
+def valid_entries(entries: DataFrame, key: str, start: str, end: str) -> DataFrame:
+    """key, entries: how many entries (key, value, updated_at) with a value and a time the keys have that have one in [start, end).
+
+    Nothing is gathered: a key's entries are counted where they are. A null key is a key.
+    """
+    inside = (F.col("updated_at") >= F.lit(start).cast("timestamp")) & (F.col("updated_at") < F.lit(end).cast("timestamp"))
+    valid = (F.col("value") != "") & F.col("updated_at").isNotNull()
+    return entries.groupBy(key).agg(F.count_if(valid).alias("entries"), F.bool_or(inside & valid).alias("_inside")).where("_inside").drop("_inside")
+
+
 def with_valid_history(df: DataFrame, history: str, start: str, end: str) -> DataFrame:
     """Rows with an entry in [start, end), their histories without entries that lack a value or a time."""
     valid = F.filter(history, lambda h: (h["value"] != "") & h["updated_at"].isNotNull())

@@ -19,11 +19,17 @@ def compact(fields: Mapping[str, Column]) -> Column:
 
 
 def clean_keys(df: DataFrame, key: str, json: str) -> DataFrame:
-    """key, value of a JSON object with trimmed keys; of equal keys the last with a value wins."""
-    entries = df.select(F.col(key), F.posexplode(F.map_entries(F.from_json(json, "map<string,string>"))).alias("pos", "entry"))
-    filled = F.coalesce(F.trim("entry.value"), F.lit("")) != ""
-    ranked = entries.select(key, F.trim("entry.key").alias("key"), F.col("entry.value").alias("value"), F.struct(filled, "pos").alias("rank"))
-    return ranked.groupBy(key, "key").agg(F.max_by("value", "rank").alias("value"))
+    """key, key, value: each row's JSON object with trimmed keys; of equal keys the last with a value wins, else the last.
+
+    Rows are cleaned one by one, without an exchange, and rows of equal ids stay apart. A text that is null or no object gives no row.
+    """
+    entries = F.transform(
+        F.map_entries(F.from_json(json, "map<string,string>")),
+        lambda e, i: F.struct(F.trim(e["key"]).alias("key"), e["value"].alias("value"), F.struct((F.coalesce(F.trim(e["value"]), F.lit("")) != "").alias("filled"), i.alias("pos")).alias("rank")),
+    )
+    rows = df.select(F.col(key).alias("_id"), entries.alias("_e"))
+    best = F.filter("_e", lambda e: ~F.exists("_e", lambda o: (o["key"] == e["key"]) & (o["rank"] > e["rank"])))
+    return rows.select(F.col("_id").alias(key), F.explode(best).alias("_b")).select(key, F.col("_b.key").alias("key"), F.col("_b.value").alias("value"))
 
 
 def standard_tags(raw: Column, mapping: Mapping[str, str], default: str = "other") -> Column:

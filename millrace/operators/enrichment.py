@@ -9,7 +9,11 @@ from pyspark.sql import functions as F
 
 
 def fill_empty(df: DataFrame, profile: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
-    """``df`` with its empty ``columns`` taken from ``profile``, which has one row per key. What is not empty stays."""
+    """``df`` with its empty ``columns`` taken from ``profile``, which has one row per key. What is not empty stays.
+
+    Null and blank values are empty, and become null where the profile has none. Null keys match no profile. Repeated rows of
+    ``df`` are filled alike, its other columns stay, and those of ``profile`` are ignored.
+    """
     other = profile.select(key, *[F.col(c).alias(f"_{c}") for c in columns])
     out = df.join(other, key, "left")
     for c in columns:
@@ -18,7 +22,10 @@ def fill_empty(df: DataFrame, profile: DataFrame, key: str, columns: Sequence[st
 
 
 def match_in_two_steps(wanted: DataFrame, items: DataFrame, key: str, line: str, value: str) -> DataFrame:
-    """key, line, value, matched_by: by both keys, and for what that leaves by ``key`` alone; the first item wins."""
+    """key, line, value, matched_by: by both keys, and for what that leaves by ``key`` alone; the smallest item wins.
+
+    Null keys match nothing. Repeated pairs that match by both are one row; empty tables give none.
+    """
     exact = wanted.join(items, [key, line]).groupBy(key, line).agg(F.min(value).alias(value)).withColumn("matched_by", F.lit("exact"))
     rest = wanted.join(exact, [key, line], "left_anti")
     first = items.groupBy(key).agg(F.min_by(value, F.struct(line, value)).alias(value))

@@ -6,22 +6,27 @@ import json
 import re
 from collections.abc import Iterable, Mapping, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.operators.joins import small
+
 
 def any_of(text: str, words: Sequence[str]) -> Column:
+    """Whether a text holds one of a short list of words; null for a null text. any_of_many() is for long lists."""
     return F.col(text).rlike("|".join(re.escape(w) for w in words))
 
 
 def matched(text: str, words: Sequence[str]) -> Column:
-    """The words that a text holds, in the order of the list."""
+    """The words that a text holds, in the order of the list; none for a null text."""
     return F.array_compact(F.array(*[F.when(F.contains(text, F.lit(w)), F.lit(w)) for w in words]))
 
 
 def hits(text: str, words: Sequence[str]) -> Column:
+    """How many of the words a text holds, each counted once; null for a null text."""
     total = F.lit(0)
     for w in words:
         total = total + F.contains(text, F.lit(w)).cast("int")
@@ -77,24 +82,86 @@ def normalised(text: Column) -> Column:
     return F.lower(F.regexp_replace(text, r"[^0-9A-Za-z#一-鿿]", ""))
 
 
-def grounded(docs: DataFrame, evidence: DataFrame) -> DataFrame:
-    """item_id, grounded: in how many documents each item's normalised text stands.
+def _gram_hashes(texts: list[str | None], sizes: Sequence[int], wanted: np.ndarray | None) -> list[np.ndarray]:
+    """Hashes of each text's distinct grams of the given sizes; only ``wanted`` ones, if that is not None."""
+    points = np.frombuffer("".join(t or "" for t in texts).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    offs = np.cumsum([0, *(len(t or "") for t in texts)])
+    doc = np.repeat(np.arange(len(texts)), np.diff(offs))
+    found, owner = [], []
+    for n in sizes:
+        if len(points) < n:
+            continue
+        starts = len(points) - n + 1
+        h = np.full(starts, n, dtype=np.uint64)
+        for k in range(n):
+            h = (h ^ points[k : k + starts]) * np.uint64(0x9E3779B97F4A7C15)
+            h ^= h >> np.uint64(29)
+        inside = doc[:starts] == doc[n - 1 :]
+        if wanted is not None:
+            inside &= wanted[np.minimum(np.searchsorted(wanted, h), len(wanted) - 1)] == h
+        found.append(h[inside])
+        owner.append(doc[:starts][inside])
+    if not found:
+        return [np.zeros(0, np.uint64)] * len(texts)
+    pairs = np.unique(np.stack([np.concatenate(owner).astype(np.uint64), np.concatenate(found)], axis=1), axis=0)
+    return np.split(pairs[:, 1], np.searchsorted(pairs[:, 0], np.arange(1, len(texts)).astype(np.uint64)))
+
+
+def _grams(sizes: Sequence[int], wanted: np.ndarray | None):
+    @F.pandas_udf("array<long>")
+    def grams(texts: pd.Series) -> pd.Series:
+        return pd.Series([h.view(np.int64).tolist() for h in _gram_hashes(texts.tolist(), sizes, wanted)])
+
+    return grams
+
+
+#: Distinct gram hashes of items that are sent along with the plan: 8 bytes each.
+_WANTED = 1_000_000
+
+
+def grounded(docs: DataFrame, evidence: DataFrame, head: int = 8) -> DataFrame:
+    """item_id, grounded: in how many documents each item's normalised text stands; items that stand in none have no row.
+
+    Items and documents meet on the hash of an item's first ``head`` characters (of fewer, if it has no more) and are then checked in full; nothing
+    is compared pairwise. Where items have up to a million distinct heads, documents look them up while they are read, and only hits
+    leave the scan; beyond that all of a text's gram hashes are joined. Null and empty items and texts match nothing; repeated
+    documents count each, repeated items add up under their id.
+    """
+    items = evidence.select("item_id", normalised(F.col("text")).alias("e")).where("e <> ''").withColumn("n", F.least(F.length("e"), F.lit(head)))
+    sizes = sorted(r[0] for r in items.select("n").distinct().collect())  # at most ``head`` numbers
+    of_head = lambda n: F.get(_grams([n], None)(F.substring("e", 1, n)), F.lit(0))
+    key = F.coalesce(*[F.when(F.col("n") == n, of_head(n)) for n in sizes]) if sizes else F.lit(None).cast("long")
+    items = items.withColumn("g", key).select("item_id", "e", "g")
+    heads = items.select("g").distinct()
+    few = heads.limit(_WANTED + 1).count() <= _WANTED
+    wanted = np.sort(np.array([r[0] for r in heads.collect()], dtype=np.int64).view(np.uint64)) if few else None
+    if not sizes:
+        return items.groupBy("item_id").agg(F.count("*").alias("grounded"))
+    texts = docs.select(normalised(F.col("text")).alias("t"))
+    hits = texts.select("t", _grams(sizes, wanted)("t").alias("hits")).where(F.size("hits") > 0)
+    found = hits.select("t", F.explode("hits").alias("g")).join(small(items), "g").where(F.contains("t", F.col("e")))
+    return found.groupBy("item_id").agg(F.count("*").alias("grounded"))
+
+
+def grounded_in(source: Column, evidence: Column, least: int = 4) -> Column:
+    """Whether an evidence is grounded in its own source: both normalised, contained in it, or with ``least`` characters in a row in common.
 
-    Items and documents meet on 8-grams (on shorter ones for items of fewer characters, if there are any) and are then
-    checked in full; nothing is compared pairwise.
+    An empty or null evidence is not grounded. A common run of ``least`` characters is a common gram of that size, so texts are not
+    compared place by place.
     """
-    items = evidence.select("item_id", normalised(F.col("text")).alias("e")).where("e <> ''")
-    sizes = [r[0] for r in items.select(F.least(F.length("e"), F.lit(8)).alias("n")).distinct().collect()]
-    texts = docs.select("doc_id", normalised(F.col("text")).alias("t"))
+    s, e = F.coalesce(normalised(source), F.lit("")), F.coalesce(normalised(evidence), F.lit(""))
+    grams = lambda t: F.regexp_extract_all(t, F.lit(f"(?=(.{{{least}}}))"), F.lit(1))
+    return (e != "") & (F.contains(s, e) | F.coalesce(F.arrays_overlap(grams(e), grams(s)), F.lit(False)))
 
-    def grams_of(n: int) -> Column:
-        return F.regexp_extract_all("t", F.lit(f"(?=(.{{{n}}}))"), F.lit(1))  # one pass over the text, matches overlap
 
-    grams = [grams_of(n) for n in sizes]
-    places = texts.select("doc_id", F.explode(F.array_distinct(F.concat(F.array().cast("array<string>"), *grams))).alias("g"))
-    pairs = places.join(items.withColumn("g", F.substring("e", 1, 8)), "g").select("doc_id", "item_id", "e")
-    found = pairs.join(texts, "doc_id").where(F.contains("t", F.col("e")))
-    return found.groupBy("item_id").agg(F.count("*").alias("grounded"))
+def any_of_many(df: DataFrame, key: str, text: str, words: DataFrame, word: str) -> DataFrame:
+    """The keys whose text has one of the words, for lists of any length: tokens are joined with the list, not tried one by one.
+
+    Tokens are runs of ASCII letters in lower case, as the words must be. A key comes once; null texts and words match nothing.
+    """
+    tokens = df.select(key, F.explode(F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit("[a-z]+"), F.lit(0)))).alias("_token"))
+    listed = words.select(F.col(word).alias("_token")).where("_token <> ''").distinct()
+    return tokens.join(small(listed), "_token", "left_semi").select(key).distinct()
 
 
 def longest_common_substring(a: str, b: str) -> int:

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.operators.joins import small
+
 
 def keyset_pages(df: DataFrame, key: str, needed: str, page: int) -> DataFrame:
     """Key ranges of ``page`` keys over the rows whose ``needed`` is not empty: page, n, first_key, last_key.
@@ -16,13 +20,40 @@ def keyset_pages(df: DataFrame, key: str, needed: str, page: int) -> DataFrame:
     return rows.groupBy(F.floor(F.col(key) / page).alias("page")).agg(F.count("*").alias("n"), F.min(key).alias("first_key"), F.max(key).alias("last_key"))
 
 
+def bounded_scan(df: DataFrame, columns: Sequence[str], max_docs: int | None = None, order: str | None = None) -> DataFrame:
+    """The columns of all rows, or of the first ``max_docs`` by ``order``; the projection reaches the scan. A bound over the number of rows takes all."""
+    rows = df.select(*columns)
+    if max_docs is None:
+        return rows
+    return (rows.orderBy(order) if order else rows).limit(max_docs)
+
+
+def row_pages(df: DataFrame, key: str, needed: str, page: int, pages_per_bucket: int = 64) -> DataFrame:
+    """Rows whose ``needed`` is not empty, with the page of ``page`` rows they stand on in the order of ``key``, a whole number, from 0.
+
+    Ranges of the key bound every window, and their counts give each range its first rank; no page waits for the one before. Rows of
+    equal keys may fall on either side of a page's end; a null key comes first. Extra columns stay, one called page is replaced.
+    """
+    rows = df.where(F.col(needed).isNotNull() & (F.col(needed) != ""))
+    ends = rows.agg(F.min(key).alias("a"), F.max(key).alias("b"), F.count("*").alias("n")).first()
+    ranges = max(1, -(-ends["n"] // (page * pages_per_bucket)))
+    width = max(1, -(-((ends["b"] or 0) - (ends["a"] or 0) + 1) // ranges))
+    rows = rows.withColumn("_b", F.coalesce(F.floor((F.col(key) - F.lit(ends["a"] or 0)) / width), F.lit(-1)).cast("long"))
+    counts = rows.groupBy("_b").agg(F.count("*").alias("_n"))
+    before = F.sum("_n").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1))  # over one row per range
+    first = counts.select("_b", F.coalesce(before, F.lit(0)).alias("_first"))
+    inside = F.row_number().over(Window.partitionBy("_b").orderBy(F.col(key).asc_nulls_first())) - 1
+    out = rows.withColumn("_i", inside).join(small(first), "_b")
+    return out.withColumn("page", F.floor((F.col("_first") + F.col("_i")) / page).cast("long")).drop("_b", "_i", "_first")
+
+
 def time_slices(df: DataFrame, ts: str, hours: int) -> DataFrame:
-    """``df`` with the number of its contiguous window of ``hours`` since the epoch."""
+    """``df`` with slice, the number of its contiguous window of ``hours`` since the epoch; null without a time. A column of that name is replaced."""
     return df.withColumn("slice", F.floor(F.unix_timestamp(ts) / (hours * 3600)).cast("long"))
 
 
 def days_between(df: DataFrame, ts: str) -> DataFrame:
-    """Every calendar day from the first to the last row."""
+    """Every calendar day from the first to the last row; none of an empty table, and null times do not count."""
     ends = df.agg(F.min(ts).cast("date").alias("a"), F.max(ts).cast("date").alias("b"))
     return ends.where("a IS NOT NULL").select(F.explode(F.sequence("a", "b")).alias("day"))
 
@@ -47,6 +78,6 @@ def flatten(df: DataFrame) -> DataFrame:
 
 
 def retain(df: DataFrame, ts: str, days: int) -> DataFrame:
-    """Rows no more than ``days`` calendar days older than the newest; the boundary day stays."""
+    """Rows no more than ``days`` calendar days older than the newest; the boundary day stays. Rows without a time go, an empty table stays empty."""
     newest = df.agg(F.max(ts).cast("date").alias("_newest"))
     return df.join(F.broadcast(newest), F.col(ts).cast("date") >= F.date_sub("_newest", days)).drop("_newest")

@@ -26,3 +26,12 @@ def days_left(planned: DataFrame, done: DataFrame, ts: str) -> DataFrame:
     """Days of the planned rows on which nothing is done."""
     day = F.to_date(ts).alias("day")
     return planned.select(day).distinct().join(done.select(day), "day", "left_anti")
+
+
+def latest_change(entries: DataFrame, key: str, start: str, end: str) -> DataFrame:
+    """key, value, updated_at of the newest entry (key, value, updated_at, id) in [start, end) that has a value; ties by id.
+
+    Entries are filtered and reduced where they are; nothing is gathered. Keys without such an entry, and an empty table, give no row.
+    """
+    inside = (F.col("updated_at") >= F.lit(start).cast("timestamp")) & (F.col("updated_at") < F.lit(end).cast("timestamp")) & (F.col("value") != "")
+    return entries.where(inside).groupBy(key).agg(F.max_by("value", F.struct("updated_at", "id")).alias("value"), F.max("updated_at").alias("updated_at"))

@@ -29,6 +29,7 @@ def redact(df: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def term_frequency(df: DataFrame, text: str, n: int) -> DataFrame:
+    """term, n of the ``n`` most frequent lower-case runs of two or more ASCII letters, ties by term. Null texts have none; repeated rows count each."""
     terms = df.select(F.explode(F.regexp_extract_all(F.lower(text), F.lit("[a-z]+"), F.lit(0))).alias("term")).where(F.length("term") > 1)
     return terms.groupBy("term").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "term").limit(n)
 
@@ -40,6 +41,7 @@ def cleaned(text: Column, least: int) -> Column:
 
 
 def lines(df: DataFrame, key: str, text: str) -> DataFrame:
+    """key, chunk (from 1), chunk_text: the lines of each text. An empty text is one empty line, a null one has none; rows of equal keys stay apart."""
     rows = df.select(key, F.posexplode(F.split(text, "\n")).alias("i", "chunk_text"))
     return rows.select(key, (F.col("i") + 1).cast("long").alias("chunk"), "chunk_text")
 

@@ -9,21 +9,24 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.operators.joins import is_small
+
 
 def _unit(values: pd.Series) -> np.ndarray:
     x = np.array(values.tolist(), dtype=np.float64)
     return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300)
 
 
-def top_k(queries: DataFrame, base: DataFrame, key: str, vector: str, k: int, query_block: int = 512, base_blocks: int = 16) -> DataFrame:
+def top_k(queries: DataFrame, base: DataFrame, key: str, vector: str, k: int, query_block: int = 512, base_block: int = 8192) -> DataFrame:
     """query_id, key, rank, score: for every query the ``k`` rows of the largest cosine, itself apart.
 
     Queries and rows meet block by block; a block yields its k best for each query, and the final ranking reads
-    only those. Vectors without length are skipped. Scores are rounded to 5 digits, ties go by key.
+    only those; a block has about ``query_block`` queries and ``base_block`` rows, however many there are. Null vectors and those
+    without length are skipped. Scores are rounded to 5 digits, ties go by key. Repeated keys are rows of their own, and all of
+    them count as the query itself. Empty tables give no row; extra columns are ignored.
     """
     usable = F.exists(vector, lambda x: x != 0)
-    n = queries.count()
-    parts = max(1, -(-n // query_block))
+    parts, base_blocks = max(1, -(-queries.count() // query_block)), max(1, -(-base.count() // base_block))
     q = queries.where(usable).select(F.col(key).alias("id"), F.col(vector).alias("v"), F.pmod(F.xxhash64(key), F.lit(parts)).cast("int").alias("q"))
     q = q.withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(base_blocks - 1)))).withColumn("asks", F.lit(True))
     b = base.where(usable).select(F.col(key).alias("id"), F.col(vector).alias("v"), F.pmod(F.xxhash64(key), F.lit(base_blocks)).cast("int").alias("b"))
@@ -48,12 +51,22 @@ def top_k(queries: DataFrame, base: DataFrame, key: str, vector: str, k: int, qu
 
 
 def nearest_prototype(df: DataFrame, key: str, vector: str, label: str) -> DataFrame:
-    """key, label, score: the label whose mean unit vector is nearest. There is one prototype per label."""
+    """key, label, score: the label whose mean unit vector is nearest; ties by label. There is one prototype per label.
+
+    Null vectors and those without length have none. The prototypes are listed beside every row if they are small; beyond
+    that rows and prototypes meet block by block, as in top_k().
+    """
     usable = df.where(F.exists(vector, lambda x: x != 0))
     norm = F.sqrt(F.aggregate(vector, F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
-    units = usable.select(key, label, F.transform(vector, lambda x: x.cast("double") / norm).alias("u"))
+    units = usable.select(key, label, F.transform(vector, lambda x: F.try_divide(x.cast("double"), norm)).alias("u"))
     means = units.select(label, F.posexplode("u").alias("i", "x")).groupBy(label, "i").agg(F.avg("x").alias("x"))
     prototypes = means.groupBy(label).agg(F.transform(F.sort_array(F.collect_list(F.struct("i", "x"))), lambda s: s["x"]).alias("p"))
+    if not is_small(prototypes):
+        numbered = prototypes.select(F.row_number().over(Window.orderBy(label)).cast("long").alias("_n"), label, "p")  # one row per label
+        rows = units.select(F.monotonically_increasing_id().alias("_n"), key, "u")
+        found = top_k(rows.select((-1 - F.col("_n")).alias("_n"), "u"), numbered.select("_n", F.col("p").alias("u")), "_n", "u", 1)
+        named = found.join(numbered.select("_n", label), "_n").select((-1 - F.col("query_id")).alias("_n"), F.col(label).alias("label"), "score")
+        return rows.select("_n", key).join(named, "_n").select(key, "label", "score")
     listed = prototypes.agg(F.collect_list(F.struct(F.col(label).alias("label"), F.col("p"))).alias("prototypes"))
 
     def cosine(p):

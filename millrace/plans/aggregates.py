@@ -55,8 +55,9 @@ def g6(spark, d):
 @query("g7_engagement", """
 SELECT user_id, round(sum(value), 4) AS total, count(*) AS n, string_agg(event_type, ',' ORDER BY event_id) AS kinds FROM events GROUP BY 1""")
 def g7(spark, d):
-    kinds = F.transform(F.sort_array(F.collect_list(F.struct("event_id", "event_type"))), lambda x: x["event_type"])
-    return table(spark, d, "events").groupBy("user_id").agg(F.round(F.sum("value"), 4).alias("total"), F.count("*").alias("n"), F.array_join(kinds, ",").alias("kinds"))
+    events = table(spark, d, "events")
+    totals = events.groupBy("user_id").agg(F.round(F.sum("value"), 4).alias("total"), F.count("*").alias("n"))
+    return totals.join(A.joined_in_order(events, "user_id", "event_id", "event_type"), "user_id", "left").withColumnRenamed("joined", "kinds")
 
 
 @query("g8_hot_score", """

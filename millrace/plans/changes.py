@@ -75,8 +75,8 @@ def c6(spark, d):
 @query("c7_valid_history", """
 SELECT o_custkey, count(*) AS entries FROM orders WHERE o_orderpriority <> '' AND o_orderdate IS NOT NULL GROUP BY 1 HAVING bool_or(o_orderdate >= TIMESTAMP '1998-01-01' AND o_orderdate < TIMESTAMP '1999-01-01')""")
 def c7(spark, d):
-    history = table(spark, d, "orders").groupBy("o_custkey").agg(F.collect_list(F.struct(F.col("o_orderpriority").alias("value"), F.col("o_orderdate").alias("updated_at"))).alias("history"))
-    return C.with_valid_history(history, "history", "1998-01-01", "1999-01-01").select("o_custkey", F.size("history").cast("long").alias("entries"))
+    entries = table(spark, d, "orders").select("o_custkey", F.col("o_orderpriority").alias("value"), F.col("o_orderdate").alias("updated_at"))
+    return C.valid_entries(entries, "o_custkey", "1998-01-01", "1999-01-01")
 
 
 @query("c8_dry_run", f"""

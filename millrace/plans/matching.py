@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from millrace.operators import matching as M
@@ -32,6 +33,13 @@ def k1(spark, d):
     return table(spark, d, "documents").where(M.any_of("text", WORDS[:3])).select("doc_id")
 
 
+@query("k1_long_list", """
+SELECT DISTINCT doc_id FROM (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[a-z]+')) AS w FROM documents) WHERE w IN (SELECT DISTINCT lower(unnest(string_split(p_name || ' ' || p_type, ' '))) FROM part)""")
+def k1b(spark, d):
+    words = table(spark, d, "part").select(F.explode(F.split(F.lower(F.concat_ws(" ", "p_name", "p_type")), " ")).alias("word"))
+    return M.any_of_many(table(spark, d, "documents"), "doc_id", "text", words, "word")
+
+
 @query("k2_matched_keywords", f"SELECT doc_id, array_to_string(list_filter({_list(WORDS)}, lambda w: contains(text, w)), ',') AS matched FROM documents")
 def k2(spark, d):
     return table(spark, d, "documents").select("doc_id", F.array_join(M.matched("text", WORDS), ",").alias("matched"))
@@ -89,14 +97,30 @@ def k8(spark, d):
     return table(spark, d, "documents").select("doc_id", F.md5(M.normalised(F.col("text")).cast("binary")).alias("digest"))
 
 
-@query("k9_grounding", """
-WITH d AS (SELECT doc_id, lower(regexp_replace(text, '[^0-9A-Za-z#]', '', 'g')) AS t FROM documents),
-b AS (SELECT item_id, lower(regexp_replace(text, '[^0-9A-Za-z#]', '', 'g')) AS e FROM benchmark)
+@query("k9_grounding", r"""
+WITH d AS (SELECT doc_id, lower(regexp_replace(text, '[^0-9A-Za-z#\x{4e00}-\x{9fff}]', '', 'g')) AS t FROM documents),
+b AS (SELECT item_id, lower(regexp_replace(text, '[^0-9A-Za-z#\x{4e00}-\x{9fff}]', '', 'g')) AS e FROM benchmark)
 SELECT item_id, count(*) AS grounded FROM b JOIN d ON e <> '' AND contains(t, e) GROUP BY 1""")
 def k9(spark, d):
     return M.grounded(table(spark, d, "documents"), table(spark, d, "benchmark"))
 
 
+@query("k9_grounded_turns", r"""
+WITH t AS (SELECT conv_id, turn, lower(regexp_replace(text, '[^0-9A-Za-z#\x{4e00}-\x{9fff}]', '', 'g')) AS e,
+  lower(regexp_replace(coalesce(lag(text) OVER (PARTITION BY conv_id ORDER BY turn, role), ''), '[^0-9A-Za-z#\x{4e00}-\x{9fff}]', '', 'g')) AS s FROM conversations)
+SELECT conv_id, turn, e <> '' AND (contains(s, e) OR list_has_any([e[i:i+3] FOR i IN range(1, length(e) - 2)], [s[i:i+3] FOR i IN range(1, length(s) - 2)])) AS grounded FROM t""")
+def k9b(spark, d):
+    before = F.lag("text").over(Window.partitionBy("conv_id").orderBy("turn", "role"))
+    turns = table(spark, d, "conversations").select("conv_id", "turn", "text", before.alias("source"))
+    return turns.select("conv_id", "turn", M.grounded_in(F.col("source"), F.col("text")).alias("grounded"))
+
+
+@query("k9_common_length", """
+SELECT p_partkey, coalesce(list_max([list_max([n FOR n IN range(1, length(p_type) - i + 2) IF contains(p_name, p_type[i:i+n-1])]) FOR i IN range(1, length(p_type) + 1)]), 0) AS common FROM part""")
+def k9c(spark, d):
+    return table(spark, d, "part").select("p_partkey", M.common_length("p_type", "p_name").cast("long").alias("common"))
+
+
 @query("k10_scores", """
 SELECT doc_id, a, b, round(abs(a - b) / (a + b + 1e-6), 6) AS margin FROM (SELECT doc_id,
   CAST(contains(text, 'License') AS INT) + CAST(contains(text, 'http') AS INT) + CAST(contains(text, 'example.com') AS INT) + CAST(contains(text, '@') AS INT) AS a,

@@ -16,6 +16,17 @@ def a1(spark, d):
     return scanning.keyset_pages(table(spark, d, "orders"), "o_orderkey", "o_orderstatus", 1000)
 
 
+@query("a1_row_pages", """
+SELECT o_orderkey, (row_number() OVER (ORDER BY o_orderkey) - 1) // 1000 AS page FROM orders WHERE o_orderstatus IS NOT NULL AND o_orderstatus <> ''""")
+def a1b(spark, d):
+    return scanning.row_pages(table(spark, d, "orders"), "o_orderkey", "o_orderstatus", 1000).select("o_orderkey", "page")
+
+
+@query("a2_bounded_scan", "SELECT doc_id, lang FROM documents ORDER BY doc_id LIMIT 500")
+def a2b(spark, d):
+    return scanning.bounded_scan(table(spark, d, "documents"), ["doc_id", "lang"], 500, "doc_id")
+
+
 @query("a2_projection", "SELECT doc_id, lang, n_chars FROM documents")
 def a2(spark, d):
     return table(spark, d, "documents").select("doc_id", "lang", "n_chars")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from millrace.operators import folds
 from millrace.plans.registry import query
 from millrace.sources.tables import scratch, table
 from millrace.streaming import jobs as J
@@ -38,12 +39,24 @@ def x2b(spark, d):
 
 @query("x3_mark_processed", "SELECT 'dry' AS run, 0 AS marked UNION ALL SELECT 'real', count(DISTINCT user_id) FROM events")
 def x3(spark, d):
-    return J.mark(table(spark, d, "events"), "user_id", scratch(spark, "marks"))
-
-
-@query("x4_short_lived_dedupe")
+    marks, events, counts = scratch(spark, "marks"), table(spark, d, "events"), None
+    events.select("user_id").limit(0).write.parquet(marks)
+    for run, dry in (("dry", True), ("real", False)):
+        J.mark(events, "user_id", marks, dry)
+        one = spark.createDataFrame([(run, spark.read.parquet(marks).count())], "run string, marked long")
+        counts = one if counts is None else counts.unionByName(one)
+    return counts
+
+
+@query("x4_short_lived_dedupe", """
+WITH RECURSIVE e AS (SELECT event_id, ts, user_id, event_type, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS r FROM events),
+t AS (SELECT user_id, event_type, ts, min(r) AS r FROM e GROUP BY 1, 2, 3),
+n AS MATERIALIZED (SELECT e.user_id, e.event_type, e.r, t.r AS next FROM e ASOF JOIN t ON e.user_id = t.user_id AND e.event_type = t.event_type AND e.ts + INTERVAL 20 MINUTE <= t.ts),
+p AS (SELECT user_id, event_type, CAST(1 AS BIGINT) AS r FROM e WHERE r = 1 UNION ALL SELECT p.user_id, p.event_type, n.next FROM p JOIN n USING (user_id, event_type, r))
+SELECT event_id, ts, user_id, event_type FROM e JOIN p USING (user_id, event_type, r)""")
 def x4(spark, d):
-    return J.distinct_within(spark, f"{d}/events.parquet", ["user_id", "event_type"], "20 minutes")
+    events = table(spark, d, "events").select("event_id", "ts", "user_id", "event_type")
+    return folds.expiring_first(events, ["user_id", "event_type"], "ts", "event_id", 20 * 60)
 
 
 @query("x5_micro_batches", "SELECT event_type, count(*) AS n FROM (SELECT DISTINCT event_id, event_type FROM events) GROUP BY 1")
@@ -51,9 +64,29 @@ def x5(spark, d):
     return J.micro_batches(spark, f"{d}/events.parquet", ["event_id"], scratch(spark, "batches")).groupBy("event_type").agg(F.count("*").alias("n"))
 
 
+@query("x5_flushes", """
+WITH RECURSIVE e AS (SELECT user_id % 8 AS shard, event_id, ts, row_number() OVER (PARTITION BY user_id % 8 ORDER BY ts, event_id) AS r, count(*) OVER (PARTITION BY user_id % 8) AS total FROM events),
+t AS (SELECT shard, ts, min(r) AS r FROM e GROUP BY 1, 2),
+n AS MATERIALIZED (SELECT e.shard, e.r, least(e.r + 20, coalesce(t.r, e.total + 1)) AS next, CASE WHEN e.r + 20 <= least(coalesce(t.r, e.total + 1), e.total + 1) THEN 'size' WHEN t.r IS NULL THEN 'end' ELSE 'time' END AS reason
+  FROM e ASOF LEFT JOIN t ON e.shard = t.shard AND e.ts + INTERVAL 1 HOUR <= t.ts),
+b AS (SELECT shard, CAST(1 AS BIGINT) AS r, CAST(0 AS BIGINT) AS batch FROM e WHERE r = 1 UNION ALL SELECT b.shard, n.next, batch + 1 FROM b JOIN n USING (shard, r))
+SELECT shard, batch, event_id AS first, least(next, total + 1) - r AS n, reason FROM b JOIN n USING (shard, r) JOIN e USING (shard, r)""")
+def x5b(spark, d):
+    events = table(spark, d, "events").select("event_id", "ts", F.pmod("user_id", F.lit(8)).alias("shard"))
+    return folds.flushes(events, ["shard"], "ts", "event_id", 20, 3600)
+
+
 @query("x6_shard_writes", "SELECT user_id % 8 AS shard, count(*) AS n FROM events GROUP BY 1")
 def x6(spark, d):
-    return J.shard_writes(spark, f"{d}/events.parquet", "user_id", 8, scratch(spark, "shards")).groupBy("shard").agg(F.count("*").alias("n"))
+    out = scratch(spark, "shards")
+    J.shard_writes(spark, f"{d}/events.parquet", "user_id", 8, out)
+    return spark.read.parquet(f"{out}/rows").groupBy(F.col("shard").cast("long").alias("shard")).agg(F.count("*").alias("n"))
+
+
+@query("x6_write_counts", """
+SELECT user_id % 8 AS shard, count(*) FILTER (event_type <> 'error') AS written, count(*) FILTER (event_type = 'error') AS failed, 1 AS attempts FROM events GROUP BY 1""")
+def x6b(spark, d):
+    return J.shard_writes(spark, f"{d}/events.parquet", "user_id", 8, scratch(spark, "shards"), valid=F.col("event_type") != "error")
 
 
 @query("x7_hour_windows", "SELECT date_trunc('hour', ts) AS start, event_type, count(*) AS n FROM events GROUP BY 1, 2")

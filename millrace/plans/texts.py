@@ -122,3 +122,13 @@ def t14(spark, d):
     found = V.top_k(vectors.where("vec_id % 50 = 0"), vectors, "vec_id", "embedding", 3)
     docs = table(spark, d, "documents").select("doc_id", "source", F.substring("text", 1, 40).alias("head"))
     return found.join(docs, F.col("vec_id") == F.col("doc_id")).select("query_id", "rank", "score", "doc_id", "source", "head")
+
+
+@query("t15_sentences", r"""
+SELECT doc_id, i - 1 AS position, md5(trim(regexp_replace(s, '^[\s]+|[\s]+$', '', 'g'))) AS digest FROM (
+  SELECT doc_id, unnest(l) AS s, generate_subscripts(l, 1) AS i FROM (SELECT doc_id, regexp_extract_all(text, '[^.!?]+[.!?]*[\s]*') AS l FROM documents))""")
+def t15(spark, d):
+    spark.udtf.register("sentences", T.Sentences)
+    table(spark, d, "documents").createOrReplaceTempView("_documents")
+    rows = spark.sql("SELECT doc_id, s.position, s.sentence FROM _documents, LATERAL sentences(text) s")
+    return rows.select("doc_id", F.col("position").cast("long").alias("position"), F.md5(F.col("sentence").cast("binary")).alias("digest"))

@@ -25,15 +25,16 @@ def w2(spark, d):
 @query("w3_latest_change", """
 SELECT o_custkey, arg_max(o_orderpriority, (o_orderdate, o_orderkey)) AS value, max(o_orderdate) AS updated_at FROM orders WHERE o_orderdate >= TIMESTAMP '1996-01-01' AND o_orderdate < TIMESTAMP '1999-01-01' AND o_orderpriority <> '' GROUP BY 1""")
 def w3(spark, d):
-    history = table(spark, d, "orders").groupBy("o_custkey").agg(F.collect_list(F.struct(F.col("o_orderdate").alias("updated_at"), F.col("o_orderkey").alias("id"), F.col("o_orderpriority").alias("value"))).alias("history"))
-    return S.latest_in_history(history, "o_custkey", "history", "1996-01-01", "1999-01-01")
+    orders = table(spark, d, "orders").select("o_custkey", F.col("o_orderpriority").alias("value"), F.col("o_orderdate").alias("updated_at"), F.col("o_orderkey").alias("id"))
+    return S.latest_change(orders, "o_custkey", "1996-01-01", "1999-01-01")
 
 
 @query("w4_first_days", """
 SELECT user_id, string_agg(CAST(day AS VARCHAR), ',' ORDER BY day) AS days FROM (SELECT user_id, day, row_number() OVER (PARTITION BY user_id ORDER BY day) AS r FROM (SELECT DISTINCT user_id, CAST(ts AS DATE) AS day FROM events)) WHERE r <= 5 GROUP BY 1""")
 def w4(spark, d):
     days = table(spark, d, "events").select("user_id", F.to_date("ts").alias("day")).distinct()
-    return days.groupBy("user_id").agg(F.array_join(F.slice(F.sort_array(F.collect_list("day")), 1, 5), ",").alias("days"))
+    first = A.top_per_key(days, ["user_id"], ["day"], 5)
+    return first.groupBy("user_id").agg(F.array_join(F.sort_array(F.collect_list("day")), ",").alias("days"))  # five at most
 
 
 @query("w5_sorted_search", "SELECT o_orderkey, o_orderdate FROM orders WHERE o_orderstatus = 'O' ORDER BY o_orderdate DESC, o_orderkey LIMIT 100")

@@ -13,6 +13,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder; in a local session without one, in a temporary folder."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="spark-", dir="/tmp")
+    """A new path in the shared folder that ``spark.checkpoint.dir`` names.
+
+    Where the setting is missing, a local session, as in tests, takes a temporary folder; a cluster's executors could not see
+    that, so there it is an error.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        base = "file://" + tempfile.mkdtemp(prefix="spark-", dir="/tmp")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4()}"

@@ -1,11 +1,17 @@
-"""Structured Streaming jobs over files, and their batch counterparts."""
+"""Structured Streaming jobs over files, and their batch counterparts.
+
+Jobs that take ``out`` keep their progress and what they have written there: a call with the same folder goes on where the last
+one ended, and a batch that runs again replaces what it wrote. None of them keeps state that grows with the stream in memory.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.sources.tables import scratch
 
@@ -28,10 +34,10 @@ def _is_folder(spark: SparkSession, path: str) -> bool:
     return bool(first) and not first[0][0].endswith("/" + path.rpartition("/")[2])
 
 
-def _run(stream: DataFrame, mode: str = "append", each: Callable[[DataFrame, int], None] | None = None) -> DataFrame | None:
+def _run(stream: DataFrame, mode: str = "append", each: Callable[[DataFrame, int], None] | None = None, out: str | None = None) -> DataFrame | None:
     """Run a stream until its input is used up; return what it wrote, unless ``each`` takes the batches."""
     spark = stream.sparkSession
-    out = scratch(spark, "stream")
+    out = out or scratch(spark, "stream")
     writer = stream.writeStream.outputMode(mode).option("checkpointLocation", f"{out}/state").trigger(availableNow=True)
     q = writer.foreachBatch(each).start() if each else writer.format("parquet").start(f"{out}/rows")
     q.awaitTermination()
@@ -39,7 +45,7 @@ def _run(stream: DataFrame, mode: str = "append", each: Callable[[DataFrame, int
 
 
 def decoded(spark: SparkSession, path: str, schema: str, required: Sequence[str]) -> DataFrame:
-    """JSON lines as rows of ``schema``; lines that do not parse or lack a required field are rejected."""
+    """JSON lines as rows of ``schema``; lines that do not parse or lack a required field are rejected. Empty input gives no row."""
     rows = spark.readStream.text(path).select(F.from_json("value", schema).alias("r")).select("r.*")
     for c in required:
         rows = rows.where(F.col(c).isNotNull())
@@ -47,72 +53,122 @@ def decoded(spark: SparkSession, path: str, schema: str, required: Sequence[str]
 
 
 def routed(spark: SparkSession, path: str, column: str, routes: Sequence[tuple[str, str]]) -> DataFrame:
-    """One row for each task whose term the column equals."""
+    """One row for each task whose term the column equals; a null equals none, repeated rows are routed each."""
     tasks = F.array_compact(F.array(*[F.when(F.col(column) == term, F.lit(task)) for task, term in routes]))
     return _run(_events(spark, path).select("event_id", F.explode(F.array_distinct(tasks)).alias("task")))
 
 
 def unprocessed(df: DataFrame, done: DataFrame, key: str) -> DataFrame:
-    """Rows of keys that no earlier run has processed; exact, where a Bloom filter would lose some."""
+    """Rows of keys that no earlier run has processed; exact, where a Bloom filter would lose some. Null keys are never processed."""
     return df.join(done.select(key), key, "left_anti")
 
 
-def stream_distinct(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
-    """The first row of each key over the whole stream; the keys are its state."""
-    return _run(_events(spark, path).select(*keys).dropDuplicates(list(keys)))
+def stream_distinct(spark: SparkSession, path: str, keys: Sequence[str], out: str | None = None) -> DataFrame:
+    """Each key once over the whole stream, nulls included. What is known lies in files, which every batch is held against."""
+    out = out or scratch(spark, "distinct")
+    stream = _events(spark, path).select(*keys)
+    schema = T.StructType([*stream.schema, T.StructField("batch", T.IntegerType())])
+
+    def write(batch: DataFrame, number: int) -> None:
+        new = batch.distinct()
+        if number:
+            known = batch.sparkSession.read.schema(schema).parquet(f"{out}/rows").where(F.col("batch") < number)
+            same = F.lit(True)
+            for c in keys:
+                same = same & new[c].eqNullSafe(known[c])
+            new = new.join(known, same, "left_anti")
+        new.write.mode("overwrite").parquet(f"{out}/rows/batch={number}")
 
+    _run(stream, each=write, out=out)
+    return spark.read.schema(schema).parquet(f"{out}/rows").drop("batch")
 
-def distinct_within(spark: SparkSession, path: str, keys: Sequence[str], delay: str) -> DataFrame:
-    """Rows whose key was not seen within ``delay`` of event time; older state is dropped."""
-    return _run(_events(spark, path).withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", delay).dropDuplicatesWithinWatermark(list(keys)).select("event_id", "ts", *keys))
 
+def mark(df: DataFrame, key: str, marks: str, dry: bool) -> DataFrame:
+    """The keys this run would process: those without a mark. A real run marks them in the folder ``marks``, a dry one does not.
 
-def mark(df: DataFrame, key: str, path: str) -> DataFrame:
-    """run, marked: a dry run writes no processed keys, a real one all of them."""
+    Null keys are neither processed nor marked; a repeated key is one. The folder must hold a table of keys, which may be empty.
+    """
     spark = df.sparkSession
-    counts = None
-    for run, dry in (("dry", True), ("real", False)):
-        if not dry:
-            df.select(key).distinct().write.parquet(path)
-        n = spark.read.parquet(path).agg(F.count("*").alias("marked")) if not dry else spark.range(1).select(F.lit(0).cast("long").alias("marked"))
-        one = n.select(F.lit(run).alias("run"), "marked")
-        counts = one if counts is None else counts.unionByName(one)
-    return counts
+    known = spark.read.parquet(marks)
+    new = df.select(key).where(F.col(key).isNotNull()).distinct().join(known, key, "left_anti")
+    if not dry:
+        new.write.mode("append").parquet(marks)
+    return new
 
 
 def micro_batches(spark: SparkSession, path: str, keys: Sequence[str], out: str) -> DataFrame:
     """Batches without repeated keys, each written under its number, so that a repeated batch replaces itself."""
 
     def write(batch: DataFrame, number: int) -> None:
-        batch.dropDuplicates(list(keys)).write.mode("overwrite").parquet(f"{out}/batch={number}")
+        batch.dropDuplicates(list(keys)).write.mode("overwrite").parquet(f"{out}/rows/batch={number}")
 
-    _run(_events(spark, path), each=write)
-    return spark.read.parquet(out).drop("batch")
+    _run(_events(spark, path), each=write, out=out)
+    return spark.read.parquet(f"{out}/rows").drop("batch")
 
 
-def shard_writes(spark: SparkSession, path: str, key: str, shards: int, out: str) -> DataFrame:
-    """Each batch's rows by shard, in files of bounded size."""
+def _save(rows: DataFrame, path: str) -> None:
+    rows.repartition("shard").write.mode("overwrite").option("maxRecordsPerFile", 1_000_000).partitionBy("shard").parquet(path)
 
-    def write(batch: DataFrame, number: int) -> None:
-        rows = batch.withColumn("shard", F.col(key) % shards)
-        rows.repartition("shard").write.mode("overwrite").option("maxRecordsPerFile", 1_000_000).partitionBy("shard").parquet(f"{out}/batch={number}")
 
-    _run(_events(spark, path), each=write)
-    return spark.read.parquet(out).withColumn("shard", F.col("shard").cast("long"))
+def shard_writes(
+    spark: SparkSession, path: str, key: str, shards: int, out: str, *, valid: Column | None = None, attempts: int = 3, save: Callable[[DataFrame, str], None] = _save
+) -> DataFrame:
+    """shard, written, failed, attempts: each batch's rows written by shard, in files of bounded size under ``out``/rows.
 
+    A batch whose write fails is tried again, ``attempts`` times at most; then its rows count as failed and stand in ``out``/failed, like
+    those that are not ``valid``. attempts is the most that a batch of the shard took. A null key's shard is null. An empty
+    stream writes and counts nothing.
+    """
+    good = F.lit(True) if valid is None else F.coalesce(valid, F.lit(False))
 
-def hour_windows(spark: SparkSession, path: str) -> DataFrame:
-    """start, event_type, n of tumbling hours. Every batch updates its windows' partial counts, which are then added up."""
-    counts = _events(spark, path).groupBy(F.window("ts", "1 hour").alias("w"), "event_type").agg(F.count("*").alias("n"))
-    out = scratch(spark, "hours")
+    def write(batch: DataFrame, number: int) -> None:
+        rows = batch.withColumn("shard", F.pmod(F.col(key), F.lit(shards)).cast("long"))
+        taken, done = 0, False
+        while not done and taken < attempts:
+            taken += 1
+            try:
+                save(rows.where(good), f"{out}/rows/batch={number}")
+                done = True
+            except (PySparkException, OSError):  # a sink that is away for a while; what is left of it counts as failed
+                continue
+        written = good if done else F.lit(False)
+        rows.where(~written).write.mode("overwrite").parquet(f"{out}/failed/batch={number}")
+        counts = rows.groupBy("shard").agg(F.count_if(written).alias("written"), F.count_if(~written).alias("failed"))
+        counts.withColumn("attempts", F.lit(taken)).write.mode("overwrite").parquet(f"{out}/counts/batch={number}")
+
+    _run(_events(spark, path), each=write, out=out)
+    counts = spark.read.schema("shard long, written long, failed long, attempts int").parquet(f"{out}/counts")
+    return counts.groupBy("shard").agg(F.sum("written").alias("written"), F.sum("failed").alias("failed"), F.max("attempts").alias("attempts"))
+
+
+def hour_windows(spark: SparkSession, path: str, out: str | None = None) -> DataFrame:
+    """start, event_type, n of tumbling hours. Every batch writes partial counts, which are added up; no row is too late for that.
+
+    Null types are a type of their own; rows without a time belong to no window.
+    """
+    out = out or scratch(spark, "hours")
 
     def write(batch: DataFrame, number: int) -> None:
-        batch.select(F.col("w.start").alias("start"), "event_type", "n", F.lit(number).alias("number")).write.mode("overwrite").parquet(f"{out}/batch={number}")
+        counts = batch.groupBy(F.window("ts", "1 hour").alias("w"), "event_type").agg(F.count("*").alias("n"))
+        counts.select(F.col("w.start").alias("start"), "event_type", "n").write.mode("overwrite").parquet(f"{out}/rows/batch={number}")
 
-    _run(counts, "update", write)
-    return spark.read.parquet(out).groupBy("start", "event_type").agg(F.max_by("n", "number").alias("n"))
+    _run(_events(spark, path), each=write, out=out)
+    return spark.read.parquet(f"{out}/rows").groupBy("start", "event_type").agg(F.sum("n").alias("n"))
 
 
 def days_to_do(days: DataFrame, done: DataFrame, fingerprint: str) -> DataFrame:
     """Days that no run with the same parameters has finished."""
     return days.join(done.where(F.col("fingerprint") == fingerprint).select("day"), "day", "left_anti")
+
+
+def run_days(days: DataFrame, done: str, fingerprint: str, work: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """What ``work`` makes of the days that are still to do, which then count as done in the folder ``done`` (day, fingerprint).
+
+    A day is marked after its results have been written by ``work``; a second run with the same parameters has nothing to do.
+    Null days are never done.
+    """
+    spark = days.sparkSession
+    todo = days_to_do(days, spark.read.schema("day date, fingerprint string").parquet(done), fingerprint).distinct()
+    out = work(todo)
+    out.select("day").where("day IS NOT NULL").distinct().withColumn("fingerprint", F.lit(fingerprint)).write.mode("append").parquet(done)
+    return out
