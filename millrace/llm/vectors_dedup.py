@@ -24,27 +24,30 @@ _BLOCK, _TOGETHER = 1024, 4096
 
 
 def _checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A digest of label and vector where the vector can link, and the vector's doubles."""
+    """A digest of label and vector where the vector can link, and the vector's components as they are stored, floats or doubles."""
     for batch in batches:
-        same, raw = [], []
-        for v, label, vec_id in zip(*(batch[c].to_pylist() for c in ("vector", "label", "vec_id"))):
-            a = np.array(v, dtype=np.float64) if v is not None and None not in v else np.zeros(0)
-            if vec_id is None or label is None or not np.isfinite(a).all() or not a.any():
-                same.append(None)
-                raw.append(None)
-            else:
-                a += 0.0  # -0.0 equals 0.0
-                raw.append(a.tobytes())
-                same.append(hashlib.sha1(f"{label}:{len(a)}:".encode() + raw[-1]).hexdigest())
-        yield pa.RecordBatch.from_arrays([batch["vec_id"], batch["label"].cast(pa.string()), pa.array(same, pa.string()), pa.array(raw, pa.binary())], ["vec_id", "label", "same", "vector"])
-
-
-def _hashed(tables: int, projections: int, width: float, seed: int):
+        lists, label = batch["vector"], batch["label"].cast(pa.string())
+        offs = lists.offsets.to_numpy().astype(np.int64)
+        flat = lists.values.to_numpy(zero_copy_only=False)[offs[0] : offs[-1]] + lists.type.value_type.to_pandas_dtype()(0)  # a null is not a number; -0.0 equals 0.0
+        offs = offs - offs[0]
+        odd, some = (np.concatenate([[0], np.cumsum(x)]) for x in (~np.isfinite(flat), flat != 0))
+        known = lists.is_valid().to_numpy(zero_copy_only=False) & label.is_valid().to_numpy(zero_copy_only=False) & batch["vec_id"].is_valid().to_numpy(zero_copy_only=False)
+        links = known & (odd[offs[1:]] == odd[offs[:-1]]) & (some[offs[1:]] > some[offs[:-1]])
+        data, at = memoryview(flat.tobytes()), (offs * flat.itemsize).tolist()
+        raw = [data[at[i] : at[i + 1]] if x else None for i, x in enumerate(links.tolist())]
+        same = [None if v is None else hashlib.sha1(f"{name}:{len(v)}:".encode() + v).hexdigest() for name, v in zip(label.to_pylist(), raw)]
+        vectors = pa.array([None if v is None else v.tobytes() for v in raw], pa.binary())
+        yield pa.RecordBatch.from_arrays([batch["vec_id"], label, pa.array(same, pa.string()), vectors], ["vec_id", "label", "same", "vector"])
+
+
+def _hashed(tables: int, projections: int, width: float, seed: int, kind: type):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         drawn: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         for batch in batches:
-            vectors = [np.frombuffer(v, np.float64) for v in batch["vector"].to_pylist()]
-            labels = np.array([int.from_bytes(hashlib.blake2b(x.encode(), digest_size=8).digest(), "little") for x in batch["label"].to_pylist()], dtype=np.uint64)
+            vectors = [np.frombuffer(v, kind) for v in batch["vector"].to_pylist()]
+            names = batch["label"].dictionary_encode()
+            known = [int.from_bytes(hashlib.blake2b(x.encode(), digest_size=8).digest(), "little") for x in names.dictionary.to_pylist()]
+            labels = np.array(known, dtype=np.uint64)[names.indices.to_numpy()]
             sizes = np.array([len(v) for v in vectors])
             keys = np.zeros((len(vectors), tables), dtype=np.uint64)
             for d in np.unique(sizes).tolist():
@@ -53,7 +56,7 @@ def _hashed(tables: int, projections: int, width: float, seed: int):
                     drawn[d] = rng.standard_normal((d, tables * projections)), rng.uniform(0, width, tables * projections)
                 direction, shift = drawn[d]
                 at = np.flatnonzero(sizes == d)
-                x = np.stack([vectors[i] for i in at])
+                x = np.stack([vectors[i] for i in at]).astype(np.float64)
                 x = x / np.abs(x).max(axis=1)[:, None]  # so that squares neither vanish nor overflow
                 x /= np.linalg.norm(x, axis=1)[:, None]
                 cells = np.floor((x @ direction + shift) / width).astype(np.int64).view(np.uint64).reshape(len(at), tables, projections)
@@ -67,7 +70,7 @@ def _hashed(tables: int, projections: int, width: float, seed: int):
     return run
 
 
-def _compare(threshold: float):
+def _compare(threshold: float, kind: type):
     """Links of the buckets in a group: the number of vectors each one links with, and a forest of the links."""
 
     def run(table: pa.Table) -> pa.Table:
@@ -75,7 +78,8 @@ def _compare(threshold: float):
         bucket, table_no, side = table["bucket"].to_numpy(), table["place"].to_numpy(), table["side"].to_numpy()
         rep, weight = table["rep"].to_numpy(), table["weight"].to_numpy()
         raw = table["vector"].to_pylist()
-        keys = table["keys"].combine_chunks().flatten().to_numpy().reshape(len(rep), -1) if len(rep) else np.zeros((0, 1))
+        before = table["keys"].combine_chunks()  # a row's buckets in the tables ahead of its own
+        keys, at = before.values.to_numpy(), before.offsets.to_numpy().astype(np.int64)
         order = np.lexsort((side, bucket))
         edges = np.flatnonzero(np.diff(bucket[order])) + 1
         links = np.zeros(len(rep), dtype=np.int64)
@@ -91,18 +95,18 @@ def _compare(threshold: float):
             if len(rows) < 2:
                 continue
             left, right = rows[side[rows] < 2], rows[side[rows] > 0]  # side 1: both
-            x = np.stack([np.frombuffer(raw[i], np.float64) for i in left])
-            y = np.stack([np.frombuffer(raw[i], np.float64) for i in right])
+            x = np.stack([np.frombuffer(raw[i], kind) for i in left]).astype(np.float64)
+            y = np.stack([np.frombuffer(raw[i], kind) for i in right]).astype(np.float64)
             x, y = x / np.abs(x).max(axis=1)[:, None], y / np.abs(y).max(axis=1)[:, None]
             cosine = (x @ y.T) / (np.linalg.norm(x, axis=1)[:, None] * np.linalg.norm(y, axis=1))
             one, two = np.nonzero(cosine >= threshold)
             a, b = left[one], right[two]
             fresh = (a != b) if side[rows[0]] != 1 else (a < b)
             a, b = a[fresh], b[fresh]
-            t = int(table_no[rows[0]])
+            ahead = np.arange(int(table_no[rows[0]]))
             for i in range(0, len(a), 100_000):
                 p, q = a[i : i + 100_000], b[i : i + 100_000]
-                first = ~(keys[p, :t] == keys[q, :t]).any(axis=1)
+                first = ~(keys[at[p, None] + ahead] == keys[at[q, None] + ahead]).any(axis=1)
                 p, q = p[first], q[first]
                 np.add.at(links, p, weight[q])
                 np.add.at(links, q, weight[p])
@@ -144,18 +148,22 @@ def near_vectors(
     their own, but where one key has several different vectors, n_links of its rows adds up over them. ``key`` must be a long. An empty table gives an empty result; other columns are ignored.
 
     At distance c two vectors share a projection's cell with probability p(c / width); p is 0.85 at a cosine of 0.93, where a pair
-    goes unseen in all tables with probability 7e-5, and 0.49 for unrelated vectors. Large buckets are compared in blocks.
+    goes unseen in all tables with probability 7e-5, and 0.49 for unrelated vectors. Large buckets are compared in blocks. Vectors move
+    as they are stored, floats or doubles, and are compared in double precision.
     """
-    rows = df.select(F.col(f"`{key}`").cast("long").alias("vec_id"), F.col(f"`{label}`").alias("label"), F.col(f"`{vector}`").alias("vector"))
+    kind = np.float32 if df.select(f"`{vector}`").dtypes[0][1] == "array<float>" else np.float64
+    values = F.col(f"`{vector}`").cast("array<float>" if kind is np.float32 else "array<double>")
+    rows = df.select(F.col(f"`{key}`").cast("long").alias("vec_id"), F.col(f"`{label}`").alias("label"), values.alias("vector"))
     checked = cut(rows.mapInArrow(_checked, "vec_id long, label string, same string, vector binary"))
     alike = checked.where("same IS NOT NULL").groupBy("same")
     sets = cut(alike.agg(F.min("vec_id").alias("rep"), F.count("*").alias("weight"), F.min("label").alias("label"), F.min("vector").alias("vector")))
-    hashed = sets.select("rep", "weight", "label", "vector").mapInArrow(_hashed(tables, projections, width, seed), "rep long, weight long, vector binary, keys array<long>")
+    hashed = sets.select("rep", "weight", "label", "vector").mapInArrow(_hashed(tables, projections, width, seed, kind), "rep long, weight long, vector binary, keys array<long>")
     hashed = cut(hashed)
     sizes = hashed.select(F.explode("keys").alias("bucket")).groupBy("bucket").agg(F.count("*").alias("size"))
     large = cut(sizes.where(F.col("size") > _BLOCK).select("bucket", F.ceil(F.col("size") / _BLOCK).cast("int").alias("blocks")))
     groups = max(1, -(-hashed.count() * tables // _TOGETHER))
     placed = hashed.select("rep", "weight", "vector", "keys", F.posexplode("keys").alias("place", "bucket"))
+    placed = placed.withColumn("keys", F.slice("keys", F.lit(1), F.col("place")))
     placed = with_few(placed, large, "bucket", "left")
     mine = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
     # a block meets itself (side 1) and, as the left or right side (0, 2), every other block of its bucket
@@ -167,7 +175,7 @@ def near_vectors(
     dealt = placed.withColumn("m", F.explode(F.coalesce(meets, alone)))
     group = F.when(F.col("blocks").isNull(), F.pmod(F.col("bucket"), F.lit(groups))).otherwise(F.col("bucket"))
     dealt = dealt.select("rep", "weight", "vector", "keys", "place", "bucket", group.alias("group"), "m.i", "m.j", "m.side")
-    found = cut(dealt.groupBy("group", "i", "j").applyInArrow(_compare(threshold), "a long, b long, n long"))
+    found = cut(dealt.groupBy("group", "i", "j").applyInArrow(_compare(threshold, kind), "a long, b long, n long"))
     links = found.where("b IS NULL").groupBy(F.col("a").alias("rep")).agg(F.sum("n").alias("n"))
     classes = components(found.where("b IS NOT NULL").select("a", "b")).withColumnRenamed("node", "rep")
     named = sets.select("same", "rep", "weight").join(links, "rep", "left").join(classes, "rep", "left")
