@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,6 +36,17 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """A frame written as Parquet to the shared folder and read again.
+
+    For loops: a checkpointed frame keeps the constraints that the optimizer has inferred for it, and these multiply
+    where every round joins the result of the one before; a table that is read has none.
+    """
+    path = f"{shared_dir(df.sparkSession)}/table-{uuid.uuid4()}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 #: Rows of whole texts that one Arrow batch holds; Spark's default of 10,000 would be as many MB as a text has hundreds of characters.
 TEXT_ROWS = 1000
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import cut
+from millrace.llm.common import stored
 from millrace.llm.joins import attach
 
 
@@ -13,7 +13,7 @@ def _chase(parents: DataFrame) -> DataFrame:
     """Follow parents (node, parent) to the end of every chain; the distance doubles each time."""
     while True:
         above = parents.select(F.col("node").alias("parent"), F.col("parent").alias("above"))
-        parents = cut(attach(parents, above, "parent", "left").select("node", F.coalesce("above", "parent").alias("parent"), F.col("above").isNotNull().alias("moved")))
+        parents = stored(attach(parents, above, "parent", "left").select("node", F.coalesce("above", "parent").alias("parent"), F.col("above").isNotNull().alias("moved")))
         if not parents.where("moved").limit(1).count():
             return parents.drop("moved")
 
@@ -27,7 +27,7 @@ def components(edges: DataFrame) -> DataFrame:
     """
     e = edges.where("a IS NOT NULL AND b IS NOT NULL")
     nodes = e.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    left = cut(e.where("a <> b").select(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi")).distinct())
+    left = stored(e.where("a <> b").select(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi")).distinct())
     rounds = []
     while left.limit(1).count():
         parents = _chase(left.groupBy(F.col("hi").alias("node")).agg(F.min("lo").alias("parent")))
@@ -35,7 +35,7 @@ def components(edges: DataFrame) -> DataFrame:
         a = attach(left, parents.withColumnRenamed("node", "lo").withColumnRenamed("parent", "_lo"), "lo", "left")
         both = attach(a, parents.withColumnRenamed("node", "hi").withColumnRenamed("parent", "_hi"), "hi")
         ends = both.select(F.coalesce("_lo", "lo").alias("x"), F.col("_hi").alias("y")).where("x <> y")
-        left = cut(ends.select(F.least("x", "y").alias("lo"), F.greatest("x", "y").alias("hi")).distinct())
+        left = stored(ends.select(F.least("x", "y").alias("lo"), F.greatest("x", "y").alias("hi")).distinct())
     out = nodes.withColumn("component", F.col("node"))
     for parents in rounds:
         step = parents.withColumnRenamed("node", "component")
