@@ -7,6 +7,7 @@ Vectors that share a bucket are compared exactly. A pair that meets in several t
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -128,6 +129,25 @@ def _compare(threshold: float, kind: type):
     return run
 
 
+def _cell(distance: float, width: float) -> float:
+    """The probability that two vectors at a distance share a projection's cell."""
+    if distance == 0:
+        return 1.0
+    r = width / distance
+    return math.erf(r / math.sqrt(2)) - math.sqrt(2 / math.pi) / r * (1 - math.exp(-r * r / 2))
+
+
+def settings(largest: int, threshold: float, width: float, mates: int = _BLOCK, least: int = 6) -> tuple[int, int]:
+    """Tables and projections for a label of ``largest`` different vectors.
+
+    As many projections, ``least`` or more, as leave at most ``mates`` unrelated (orthogonal) ones in a vector's bucket on average, and as
+    many tables as leave a pair at ``threshold`` unseen with probability 1e-4 at most.
+    """
+    projections = max(least, math.ceil(math.log(max(1, largest) / mates) / -math.log(_cell(math.sqrt(2), width))))
+    meet = _cell(math.sqrt(2 - 2 * threshold), width) ** projections
+    return 1 if meet >= 1 else math.ceil(math.log(1e-4) / math.log1p(-meet)), projections
+
+
 def near_vectors(
     df: DataFrame,
     *,
@@ -135,8 +155,8 @@ def near_vectors(
     vector: str = "embedding",
     label: str = "label",
     threshold: float = 0.93,
-    tables: int = 20,
-    projections: int = 6,
+    tables: int | None = None,
+    projections: int | None = None,
     width: float = 2.0,
     seed: int = 5,
 ) -> DataFrame:
@@ -147,9 +167,10 @@ def near_vectors(
     vectors are represented by one of them and link with each other; rows that repeat a key count as vectors of
     their own, but where one key has several different vectors, n_links of its rows adds up over them. ``key`` must be a long. An empty table gives an empty result; other columns are ignored.
 
-    At distance c two vectors share a projection's cell with probability p(c / width); p is 0.85 at a cosine of 0.93, where a pair
-    goes unseen in all tables with probability 7e-5, and 0.49 for unrelated vectors. Large buckets are compared in blocks. Vectors move
-    as they are stored, floats or doubles, and are compared in double precision.
+    At distance c two vectors share a projection's cell with probability p(c / width); p is 0.85 at a cosine of 0.93 and 0.49 for
+    unrelated vectors. Unless given, projections and tables follow the largest label, see settings(): 6 and 20 up to 77,000 vectors, 10 and
+    42 at a million. So what unrelated vectors cost grows with about the 1.2th power of a label, not with its square. Large buckets are
+    compared in blocks. Vectors move as they are stored, floats or doubles, and are compared in double precision.
     """
     kind = np.float32 if df.select(f"`{vector}`").dtypes[0][1] == "array<float>" else np.float64
     values = F.col(f"`{vector}`").cast("array<float>" if kind is np.float32 else "array<double>")
@@ -157,11 +178,14 @@ def near_vectors(
     checked = cut(rows.mapInArrow(_checked, "vec_id long, label string, same string, vector binary"))
     alike = checked.where("same IS NOT NULL").groupBy("same")
     sets = cut(alike.agg(F.min("vec_id").alias("rep"), F.count("*").alias("weight"), F.min("label").alias("label"), F.min("vector").alias("vector")))
+    total, largest = sets.groupBy("label").agg(F.count("*").alias("n")).agg(F.sum("n"), F.max("n")).first()
+    by_size = settings(largest or 0, threshold, width) if projections is None else settings(0, threshold, width, least=projections)
+    tables, projections = tables or by_size[0], by_size[1]
     hashed = sets.select("rep", "weight", "label", "vector").mapInArrow(_hashed(tables, projections, width, seed, kind), "rep long, weight long, vector binary, keys array<long>")
     hashed = cut(hashed)
     sizes = hashed.select(F.explode("keys").alias("bucket")).groupBy("bucket").agg(F.count("*").alias("size"))
     large = cut(sizes.where(F.col("size") > _BLOCK).select("bucket", F.ceil(F.col("size") / _BLOCK).cast("int").alias("blocks")))
-    groups = max(1, -(-hashed.count() * tables // _TOGETHER))
+    groups = max(1, -(-(total or 0) * tables // _TOGETHER))
     placed = hashed.select("rep", "weight", "vector", "keys", F.posexplode("keys").alias("place", "bucket"))
     placed = placed.withColumn("keys", F.slice("keys", F.lit(1), F.col("place")))
     placed = with_few(placed, large, "bucket", "left")
