@@ -4,6 +4,7 @@ import io
 import itertools
 import math
 import random
+import time
 import zlib
 
 import numpy as np
@@ -172,7 +173,8 @@ def test_segmentations_follow_their_distribution():
     assert abs(weights.mean() - 1) < 0.02  # inclusion scores make sums over samples unbiased
 
 
-def test_near_vectors(spark):
+@pytest.mark.parametrize("projections", [None, 9])
+def test_near_vectors(spark, projections):
     rng = np.random.default_rng(3)
     base = rng.standard_normal((40, 16))
     rows = []
@@ -183,7 +185,7 @@ def test_near_vectors(spark):
     df = spark.createDataFrame(rows + odd, "vec_id long, embedding array<float>, label int")
     vectors_dedup._BLOCK, old = 8, vectors_dedup._BLOCK
     try:
-        found = {r.vec_id: r for r in vectors_dedup.near_vectors(df.withColumn("keys", F.lit(1))).collect()}
+        found = {r.vec_id: r for r in vectors_dedup.near_vectors(df.withColumn("keys", F.lit(1)), projections=projections).collect()}
     finally:
         vectors_dedup._BLOCK = old
     x = np.array([r[1] for r in rows])
@@ -198,6 +200,19 @@ def test_near_vectors(spark):
     assert vectors_dedup.near_vectors(df.limit(0)).count() == 0
 
 
+def test_vector_settings_follow_the_label():
+    rng = np.random.default_rng(7)
+    for distance in (0.1, 0.3742, 2**0.5, 2.0):
+        shift, gap = rng.uniform(0, 2, 200_000), rng.standard_normal(200_000) * distance
+        assert abs((np.floor((gap + shift) / 2) == 0).mean() - vectors_dedup._cell(distance, 2.0)) < 0.005
+    assert vectors_dedup.settings(0, 0.93, 2.0) == vectors_dedup.settings(50_000, 0.93, 2.0) == (20, 6)
+    for n in (10**5, 10**7, 10**9):
+        tables, projections = vectors_dedup.settings(n, 0.93, 2.0)
+        assert n * vectors_dedup._cell(2**0.5, 2.0) ** projections <= vectors_dedup._BLOCK
+        assert (1 - vectors_dedup._cell(0.14**0.5, 2.0) ** projections) ** tables <= 1e-4
+    assert vectors_dedup.settings(10**7, 1.0, 2.0)[0] == 1
+
+
 def test_components(spark):
     rng = random.Random(2)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)] + [(1000 + i, 1001 + i) for i in range(40)] + [(5, 5), (None, 3)]
@@ -206,6 +221,13 @@ def test_components(spark):
     assert got == brute.classes({x for e in real for x in e}, real)
 
 
+def test_components_of_a_long_chain(spark):
+    """Rounds that grow with the logarithm of a chain, and plans that do not grow with the rounds."""
+    began = time.monotonic()
+    got = {r.node: r.component for r in components.components(spark.range(1500).selectExpr("id AS a", "id + 1 AS b")).collect()}
+    assert got == dict.fromkeys(range(1501), 0) and time.monotonic() - began < 60
+
+
 def test_chat_folding_and_round_trip(spark):
     events = [
         (1, 3, "b", "delta", "assistant", "lo"), (1, 1, "a", "delta", "user", "hi"), (1, 2, "b", "delta", "assistant", "wrong"), (1, 2, "b", "regenerate", "assistant", "hel"),
@@ -464,6 +486,22 @@ def test_near_duplicates_just_at_the_threshold_are_seen(spark):
     assert minhash.bands_for(85, 6) == 20
 
 
+def test_near_duplicates_of_a_chain_meet_in_buckets(spark, monkeypatch):
+    """A family far wider than a chunk, where few link with the centre: every link is still found."""
+    monkeypatch.setattr(minhash, "_CHUNK", 20)
+    monkeypatch.setattr(minhash, "_QUERIES", 15)
+    seen = []
+    mates = minhash._bucket_mates
+    monkeypatch.setattr(minhash, "_bucket_mates", lambda *a: seen.append(1) or mates(*a))
+    texts = {i: " ".join(f"w{j}" for j in range(3 * i, 3 * i + 60)) for i in range(150) if i % 40 < 37}  # each is like its neighbours alone
+    texts |= {1000 + i: " ".join(f"c{j}" for j in range(60)) + f" x{i}" for i in range(70)}  # all alike, and in the same buckets
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(df, percent=80).collect()}
+    sets = {i: brute.shingles(t) for i, t in texts.items()}
+    links = [(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    assert got == brute.classes(sets, links) and len(set(got.values())) == 5 and seen
+
+
 def test_near_duplicates_of_odd_rows(spark):
     text = " ".join("abcdefgh")
     df = spark.createDataFrame([(3, text), (None, text), (5, text.upper()), (5, text), (6, None), (7, " \n"), (8, "a b"), (9, "A\tb")], "doc_id long, text string")
