@@ -39,8 +39,8 @@ def cut(df: DataFrame) -> DataFrame:
 def stored(df: DataFrame) -> DataFrame:
     """A frame written as Parquet to the shared folder and read again.
 
-    For loops: a checkpointed frame keeps the constraints that the optimizer has inferred for it, and these multiply
-    where every round joins the result of the one before; a table that is read has none.
+    For loops in which every round joins the result of the one before: with checkpointed frames rounds were measured to
+    take longer and longer, probably for the constraints that the optimizer keeps for these; a table that is read has none.
     """
     path = f"{shared_dir(df.sparkSession)}/table-{uuid.uuid4()}"
     df.write.parquet(path)
