@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, classifier, minhash, packing, quality_rules, segmentations, sharding, suffixes, vectors_dedup, vocabulary, warc
+from millrace.llm import chat, classifier, divergence, infill, minhash, packing, quality_rules, segmentations, sharding, suffixes, url_rules, vectors_dedup, vocabulary, warc
 from millrace.llm.common import read_table
 
 
@@ -232,6 +232,123 @@ SELECT doc_id, source, size, text_crc32, 'rows' AS law, CAST(shard AS INTEGER) A
 """
 
 
+#: Verdict, host and path of each rule.
+HOST_RULES = [
+    url_rules.HostRule("allow", "com", "/"),
+    url_rules.HostRule("block", "example.com", "/en/"),
+    url_rules.HostRule("allow", "www.example.com", "/en/"),
+    url_rules.HostRule("block", "net", "/es/"),
+    url_rules.HostRule("block", "net", "/fr/"),
+]
+
+
+def op11_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bad = (F.coalesce(F.col("quality") == 0, F.lit(False)) | F.coalesce(F.col("toxic") == 1, F.lit(False))).alias("bad")
+    labels = read_table(spark, sf_dir, "labels").select("doc_id", bad)
+    return url_rules.judge(read_table(spark, sf_dir, "pages"), labels, HOST_RULES, support=0.002, least=5, confidence=0.5, longest=16)
+
+
+#: Rules are all token sets with enough support and confidence; those that contain another one change no verdict.
+OP11_SQL = r"""
+WITH u AS (
+  SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS a FROM pages
+), s AS (
+  SELECT row_number() OVER () AS r, page_id, translate(regexp_extract(a, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(a, '^[^/?#]*([^?#]*)', 1) AS path,
+    translate(substr(a, length(regexp_extract(a, '^[^?#]*')) + 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS rest FROM u
+), t AS MATERIALIZED (
+  SELECT *, list_sort(list_distinct([kind || ':' || w FOR w IN ws]
+    || [ 'p:' || w FOR w IN regexp_extract_all(translate(path, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') IF NOT regexp_full_match(w, '[0-9]+')]
+    || [ 'q:' || w FOR w IN regexp_extract_all(rest, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') IF NOT regexp_full_match(w, '[0-9]+')])) AS tokens
+  FROM (SELECT *, 'h' AS kind, [w FOR w IN regexp_extract_all(host, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') IF NOT regexp_full_match(w, '[0-9]+')] AS ws FROM s)
+), marks AS (
+  SELECT doc_id, bool_or(coalesce(quality = 0, false) OR coalesce(toxic = 1, false)) AS bad FROM labels GROUP BY doc_id
+), labelled AS MATERIALIZED (
+  SELECT r, tokens, bad FROM t JOIN marks ON doc_id = TRY_CAST(regexp_extract(path, '/([0-9]{1,18})(?:/|\.[^/]*)?$', 1) AS BIGINT)
+), least AS (SELECT greatest(5, CAST(ceil(0.002 * count(*)) AS BIGINT)) AS n FROM labelled
+), known AS (
+  SELECT token FROM (SELECT r, unnest(tokens) AS token FROM labelled WHERE bad) GROUP BY token HAVING count(*) >= (SELECT n FROM least)
+), items AS (
+  SELECT r, list(token ORDER BY token) AS items FROM (SELECT r, unnest(tokens) AS token FROM labelled WHERE bad) JOIN known USING (token) GROUP BY r
+), sets AS (
+  SELECT [items[k + 1] FOR k IN range(len(items)) IF (bits >> k) & 1 = 1] AS rule FROM (SELECT items, unnest(range(1, 1 << len(items))) AS bits FROM items)
+), often AS (
+  SELECT rule, count(*) AS n_bad FROM sets GROUP BY rule HAVING count(*) >= (SELECT n FROM least)
+), rules AS MATERIALIZED (
+  SELECT rule FROM often JOIN labelled ON list_has_all(tokens, rule) GROUP BY rule, n_bad HAVING n_bad >= 0.5 * count(*)
+), fixed(verdict, host, path) AS (
+  VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'), ('block', 'net', '/es/'), ('block', 'net', '/fr/')
+), fits AS (
+  SELECT r, max_by(f.host || f.path, length(f.host || f.path)) AS rule, max_by(f.verdict, length(f.host || f.path)) AS verdict
+  FROM t JOIN fixed f ON (t.host = f.host OR ends_with(t.host, '.' || f.host)) AND starts_with(t.path, f.path) GROUP BY r
+), mined AS (SELECT DISTINCT r FROM t JOIN rules ON list_has_all(tokens, rules.rule))
+SELECT page_id, host, path, fits.rule, coalesce(fits.verdict, CASE WHEN mined.r IS NULL THEN 'allow' ELSE 'block' END) AS verdict
+FROM t LEFT JOIN fits USING (r) LEFT JOIN mined USING (r)
+"""
+
+
+def op12_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = infill.transform(read_table(spark, sf_dir, "documents"), seed=42, percent=50, spm_percent=80)
+    return out.select(
+        "doc_id", "n", "form", F.length("prefix").cast("long").alias("prefix_chars"), F.length("middle").cast("long").alias("middle_chars"),
+        F.sha2("output", 256).alias("output_sha256"), F.sha2(infill.restore(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
+OP12_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS s,
+    regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u FROM documents
+), h AS (
+  SELECT *, len(u) AS n, [CAST('0x' || substr(s, 8 * k + 1, 8) AS BIGINT) FOR k IN range(4)] AS h FROM d
+), c AS (
+  SELECT *, least(h[1] % (n + 1), h[2] % (n + 1)) AS a, greatest(h[1] % (n + 1), h[2] % (n + 1)) AS b,
+    CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h[3] % 100 >= 50 THEN 'plain' WHEN h[4] % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM h
+), p AS (
+  SELECT *, array_to_string(u[1:a], '') AS prefix, array_to_string(u[a+1:b], '') AS middle, array_to_string(u[b+1:], '') AS suffix FROM c
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM p
+"""
+
+
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(read_table(spark, sf_dir, "documents"), least_docs=10, top=10)
+
+
+OP13_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents
+), words AS (
+  SELECT r, lang, source, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d
+), kept AS MATERIALIZED (
+  SELECT lang, term, count(*) AS n FROM words GROUP BY lang, term HAVING count(DISTINCT r) >= 10
+), langs AS (
+  SELECT lang, CAST(count(*) AS HUGEINT) AS v, sum(n) AS total FROM kept GROUP BY lang
+), counts AS MATERIALIZED (
+  SELECT lang, source, term, count(*) AS n FROM words SEMI JOIN kept USING (lang, term) GROUP BY ALL
+), groups AS (
+  SELECT g.lang, source, v, langs.total AS lang_total, coalesce(c.total, 0) AS total
+  FROM (SELECT DISTINCT lang, source FROM d) g LEFT JOIN langs USING (lang) LEFT JOIN (SELECT lang, source, sum(n) AS total FROM counts GROUP BY ALL) c USING (lang, source)
+), shares AS MATERIALIZED (
+  SELECT lang, source, term, coalesce(c.n, 0) AS n, CAST(1 + (1000000000 * (coalesce(c.n, 0) + 2)::HUGEINT) // (total + 2 * v) AS BIGINT) AS p,
+    CAST(1 + (1000000000 * (kept.n + 2)::HUGEINT) // (lang_total + 2 * v) AS BIGINT) AS q
+  FROM groups JOIN kept USING (lang) LEFT JOIN counts c USING (lang, source, term)
+), pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value FROM shares a JOIN shares b USING (lang, term) WHERE a.source <> b.source GROUP BY ALL
+), parts AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value
+  FROM groups a JOIN groups b USING (lang) LEFT JOIN pairs ON pairs.lang = a.lang AND pairs.source = a.source AND pairs.item = b.source WHERE a.source <> b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM shares WHERE n > 0 AND p > q
+)
+SELECT lang, source, part, item, value, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+FROM parts QUALIFY part = 'pair' OR rank <= 10
+"""
+
+
 # What SQL can tell of operators whose tokens it cannot express.
 
 
@@ -290,6 +407,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_minhash": op8_minhash,
     "op9_packing": op9_packing,
     "op10_sharding": op10_sharding,
+    "op11_urls": op11_urls,
+    "op12_infill": op12_infill,
+    "op13_divergence": op13_divergence,
     "base_counts": base_counts,
     "segmentation_texts": segmentation_texts,
     "packed_texts": packed_texts,
@@ -302,6 +422,9 @@ ORACLES: dict[str, str] = {
     "op7_suffixes": OP7_SQL,
     "op8_minhash": OP8_SQL,
     "op10_sharding": OP10_SQL,
+    "op11_urls": OP11_SQL,
+    "op12_infill": OP12_SQL,
+    "op13_divergence": OP13_SQL,
     "base_counts": BASE_COUNTS_SQL,
     "segmentation_texts": "SELECT doc_id, sha256(coalesce(text, '')) AS text_sha256 FROM documents",
     "packed_texts": "SELECT doc_id, sha256(coalesce(text, '')) AS text_sha256, true AS covered FROM documents",
