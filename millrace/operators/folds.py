@@ -107,3 +107,46 @@ def flushes(df: DataFrame, keys: Sequence[str], ts: str, tie: str, size: int, se
 
     schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in keys), "batch long", f"first {kinds[tie]}", "n long", "reason string"])
     return _in_order(known, keys, ts, tie).mapInPandas(run, schema)
+
+
+def buffers(df: DataFrame, keys: Sequence[str], ts: str, tie: str, item: str, size: int, seconds: int) -> DataFrame:
+    """keys, began, first, n, dropped, reason: the flushes of a buffer per key that holds no item twice.
+
+    Rows come in order of time and ``tie``. A row whose item the buffer holds is dropped and counted; any other is put in. A buffer is flushed when it holds ``size``
+    rows ("size"), or ``seconds`` after its first one whether or not a row comes ("time"). began and first are the time and the
+    ``tie`` of its first row. Rows with a null key or time belong to no buffer and are left out, a null item is an item; an empty
+    table has no flush. Extra columns are ignored.
+    """
+    known, _ = _split(df.select(*dict.fromkeys([*keys, ts, tie, item])), [*keys, ts])
+    timeout, kinds = seconds * 1_000_000, dict(known.dtypes)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        key, first, start, began, dropped, seen = None, None, None, 0, 0, set()
+        for rows in batches:
+            if rows.empty:
+                continue
+            out, held = [], key
+            new, key = _new_keys(rows, keys, key)
+            items = rows[item].astype(object).where(rows[item].notna(), None)
+            for i, (begins, t, mark, what) in enumerate(zip(new.tolist(), _micros(rows[ts]).tolist(), rows[tie].tolist(), items.tolist())):
+                if seen and (begins or t - began >= timeout):
+                    out.append((*held, start, first, len(seen), dropped, "time"))
+                    seen = set()
+                if begins:
+                    held = tuple(rows[c].iloc[i] for c in keys)
+                if what in seen:
+                    dropped += 1
+                    continue
+                if not seen:
+                    first, start, began, dropped = mark, rows[ts].iloc[i], t, 0
+                seen.add(what)
+                if len(seen) == size:
+                    out.append((*held, start, first, size, dropped, "size"))
+                    seen = set()
+            yield pd.DataFrame(out, columns=names)
+        if seen:
+            yield pd.DataFrame([(*key, start, first, len(seen), dropped, "time")], columns=names)
+
+    names = [*keys, "began", "first", "n", "dropped", "reason"]
+    schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in keys), f"began {kinds[ts]}, first {kinds[tie]}, n long, dropped long, reason string"])
+    return _in_order(known, keys, ts, tie).mapInPandas(run, schema)

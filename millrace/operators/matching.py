@@ -4,14 +4,17 @@ from __future__ import annotations
 
 import json
 import re
+import uuid
 from collections.abc import Iterable, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.operators.automaton import dealt, text_bytes
 from millrace.operators.joins import small
 
 
@@ -122,12 +125,16 @@ _WANTED = 1_000_000
 def grounded(docs: DataFrame, evidence: DataFrame, head: int = 8) -> DataFrame:
     """item_id, grounded: in how many documents each item's normalised text stands; items that stand in none have no row.
 
-    Items and documents meet on the hash of an item's first ``head`` characters (of fewer, if it has no more) and are then checked in full; nothing
+    Items of up to 8 MB are found all at once by an automaton, in one pass over the texts. Of more, items and documents meet on the hash of an item's first ``head`` characters (of fewer, if it has no more) and are then checked in full; nothing
     is compared pairwise. Where items have up to a million distinct heads, documents look them up while they are read, and only hits
     leave the scan; beyond that all of a text's gram hashes are joined. Null and empty items and texts match nothing; repeated
     documents count each, repeated items add up under their id.
     """
     items = evidence.select("item_id", normalised(F.col("text")).alias("e")).where("e <> ''").withColumn("n", F.least(F.length("e"), F.lit(head)))
+    texts = docs.select(normalised(F.col("text")).alias("t"))
+    if (items.agg(F.sum(F.octet_length("e"))).first()[0] or 0) <= _LIST_BYTES:
+        standing = listed(texts.select(F.lit(0).alias("one"), "t"), "one", "t", items, "e").groupBy("word").agg(F.count("*").alias("n"))
+        return items.select("item_id", "e").join(standing, F.col("e") == F.col("word")).groupBy("item_id").agg(F.sum("n").alias("grounded"))
     sizes = sorted(r[0] for r in items.select("n").distinct().collect())  # at most ``head`` numbers
     of_head = lambda n: F.get(_grams([n], None)(F.substring("e", 1, n)), F.lit(0))
     key = F.coalesce(*[F.when(F.col("n") == n, of_head(n)) for n in sizes]) if sizes else F.lit(None).cast("long")
@@ -137,7 +144,6 @@ def grounded(docs: DataFrame, evidence: DataFrame, head: int = 8) -> DataFrame:
     wanted = np.sort(np.array([r[0] for r in heads.collect()], dtype=np.int64).view(np.uint64)) if few else None
     if not sizes:
         return items.groupBy("item_id").agg(F.count("*").alias("grounded"))
-    texts = docs.select(normalised(F.col("text")).alias("t"))
     hits = texts.select("t", _grams(sizes, wanted)("t").alias("hits")).where(F.size("hits") > 0)
     found = hits.select("t", F.explode("hits").alias("g")).join(small(items), "g").where(F.contains("t", F.col("e")))
     return found.groupBy("item_id").agg(F.count("*").alias("grounded"))
@@ -154,6 +160,64 @@ def grounded_in(source: Column, evidence: Column, least: int = 4) -> Column:
     return (e != "") & (F.contains(s, e) | F.coalesce(F.arrays_overlap(grams(e), grams(s)), F.lit(False)))
 
 
+#: Bytes of a word list that tasks may look through at once; longer lists are dealt over several passes.
+_LIST_BYTES = 8 << 20
+
+_automata: dict[str, list] = {}
+
+
+def _automata_of(name: str, words: Sequence[str]) -> list:
+    """The automata of a list, built once in each Python worker; only the last list's are kept."""
+    if name not in _automata:
+        _automata.clear()
+        _automata[name] = list(dealt(words))
+    return _automata[name]
+
+
+def _finder(words: Sequence[str], most_bytes: int = 1 << 22):
+    name = uuid.uuid4().hex
+
+    @F.arrow_udf("array<string>")
+    def found(texts: pa.Array) -> pa.Array:
+        machines, offsets, values = _automata_of(name, words), [np.zeros(1, np.int64)], [np.zeros(0, np.int64)]
+        i, n = 0, len(texts)
+        while i < n:  # as many texts at a time as fit into ``most_bytes``, and one at least
+            data, offs = text_bytes(texts.slice(i))
+            j = max(1, int(np.searchsorted(offs, most_bytes, "right")) - 1)
+            pairs = [(owner, first + word) for first, m in machines for owner, word in [m.find(data[: offs[j]], offs[: j + 1])]]
+            owner, word = (np.concatenate([p[k] for p in pairs] or [np.zeros(0, np.int64)]) for k in (0, 1))
+            order = np.lexsort((word, owner))
+            values.append(word[order])
+            offsets.append(offsets[-1][-1] + np.searchsorted(owner[order], np.arange(1, j + 1)))
+            i += j
+        return pa.ListArray.from_arrays(pa.array(np.concatenate(offsets), pa.int32()), pa.array(words, pa.string()).take(pa.array(np.concatenate(values))))
+
+    return found
+
+
+def listed(df: DataFrame, key: str, text: str, words: DataFrame, word: str) -> DataFrame:
+    """key, word: the words of a list of any length that each text holds, each once; words may be of any script and hold blanks.
+
+    The list is part of the plan, 8 MB of it at a time, as an automaton that tasks build once and walk over their texts; a longer
+    list takes a pass over the texts for every 8 MB. Upper and lower case differ, as do repeated rows, which are searched each; null texts and
+    null or empty words match nothing. An empty table or list gives no row and extra columns are ignored.
+    """
+    rows = words.select(F.col(word).alias("word")).where("word <> ''").distinct()
+    parts, size = [[]], 0
+    for batch in rows.toArrow().to_batches():  # the list is part of the plan, so the driver holds it
+        for w in batch["word"].to_pylist():
+            if size > _LIST_BYTES:
+                parts.append([])
+                size = 0
+            parts[-1].append(w)
+            size += len(w.encode())
+    passes = [df.select(F.col(key).alias("_key"), F.explode(_finder(part)(F.col(text))).alias("word")) for part in parts]
+    out = passes[0]
+    for p in passes[1:]:
+        out = out.unionByName(p)
+    return out.withColumnRenamed("_key", key)
+
+
 def any_of_many(df: DataFrame, key: str, text: str, words: DataFrame, word: str) -> DataFrame:
     """The keys whose text has one of the words, for lists of any length: tokens are joined with the list, not tried one by one.
 
@@ -164,19 +228,61 @@ def any_of_many(df: DataFrame, key: str, text: str, words: DataFrame, word: str)
     return tokens.join(small(listed), "_token", "left_semi").select(key).distinct()
 
 
-def longest_common_substring(a: str, b: str) -> int:
-    best, row = 0, [0] * (len(b) + 1)
-    for x in a:
+class SuffixAutomaton:
+    """All substrings of a text in at most twice as many states as it has characters."""
+
+    def __init__(self, text: str) -> None:
+        self.next: list[dict[str, int]] = [{}]
+        self.link, self.length = [-1], [0]
         last = 0
-        for j, y in enumerate(b, 1):
-            last, row[j] = row[j], last + 1 if x == y else 0
-            best = max(best, row[j])
-    return best
+        for c in text:
+            state = self._state({}, self.length[last] + 1)
+            at = last
+            while at >= 0 and c not in self.next[at]:
+                self.next[at][c] = state
+                at = self.link[at]
+            self.link[state] = 0 if at < 0 else self._split(at, c)
+            last = state
+
+    def _state(self, follows: dict[str, int], length: int) -> int:
+        self.next.append(follows)
+        self.link.append(0)
+        self.length.append(length)
+        return len(self.length) - 1
+
+    def _split(self, at: int, c: str) -> int:
+        """The state of the longest suffix that ends at ``at`` and goes on with ``c``, which gets one of its own if it shares one with longer ones."""
+        old = self.next[at][c]
+        if self.length[old] == self.length[at] + 1:
+            return old
+        own = self._state(dict(self.next[old]), self.length[at] + 1)
+        self.link[own], self.link[old] = self.link[old], own
+        while at >= 0 and self.next[at].get(c) == old:
+            self.next[at][c] = own
+            at = self.link[at]
+        return own
+
+    def longest_in(self, source: str) -> int:
+        """Length of the longest run of ``source`` that stands in the text; each character is read once."""
+        best = state = size = 0
+        for c in source:
+            while state and c not in self.next[state]:
+                state = self.link[state]
+                size = self.length[state]
+            if c in self.next[state]:
+                state, size = self.next[state][c], size + 1
+                best = max(best, size)
+        return best
+
+
+def longest_common_substring(a: str, b: str) -> int:
+    short, long = sorted((a, b), key=len)
+    return SuffixAutomaton(short).longest_in(long)
 
 
 @F.pandas_udf(T.IntegerType())
 def common_length(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Length of the longest common substring of short texts."""
+    """Length of the longest common substring of two texts of any length, in characters; 0 for a null or empty one."""
     return pd.Series([0 if x is None or y is None else longest_common_substring(x, y) for x, y in zip(a, b)])
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.operators.joins import small
+from millrace.sources.tables import scratch
 
 
 def keyset_pages(df: DataFrame, key: str, needed: str, page: int) -> DataFrame:
@@ -28,23 +29,28 @@ def bounded_scan(df: DataFrame, columns: Sequence[str], max_docs: int | None = N
     return (rows.orderBy(order) if order else rows).limit(max_docs)
 
 
-def row_pages(df: DataFrame, key: str, needed: str, page: int, pages_per_bucket: int = 64) -> DataFrame:
-    """Rows whose ``needed`` is not empty, with the page of ``page`` rows they stand on in the order of ``key``, a whole number, from 0.
+def row_pages(df: DataFrame, key: str, needed: str, page: int, pages_per_range: int = 64) -> DataFrame:
+    """Rows whose ``needed`` is not empty, with the page of ``page`` rows they stand on in the order of ``key``, from 0.
 
-    Ranges of the key bound every window, and their counts give each range its first rank; no page waits for the one before. Rows of
-    equal keys may fall on either side of a page's end; a null key comes first. Extra columns stay, one called page is replaced.
+    Rows are sorted in ranges of about ``pages_per_range`` pages that Spark chooses from a sample of the keys, and ties are dealt out by their place in the
+    input, so that neither far-off keys nor one that most rows have fill a range. The ranges' counts give each its first rank; no page waits for the
+    one before. Rows of equal keys may fall on either side of a page's end; a null key comes first. Extra columns stay whatever they are called, one called page is
+    replaced, and an empty table has no page.
     """
-    rows = df.where(F.col(needed).isNotNull() & (F.col(needed) != ""))
-    ends = rows.agg(F.min(key).alias("a"), F.max(key).alias("b"), F.count("*").alias("n")).first()
-    ranges = max(1, -(-ends["n"] // (page * pages_per_bucket)))
-    width = max(1, -(-((ends["b"] or 0) - (ends["a"] or 0) + 1) // ranges))
-    rows = rows.withColumn("_b", F.coalesce(F.floor((F.col(key) - F.lit(ends["a"] or 0)) / width), F.lit(-1)).cast("long"))
-    counts = rows.groupBy("_b").agg(F.count("*").alias("_n"))
-    before = F.sum("_n").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1))  # over one row per range
-    first = counts.select("_b", F.coalesce(before, F.lit(0)).alias("_first"))
-    inside = F.row_number().over(Window.partitionBy("_b").orderBy(F.col(key).asc_nulls_first())) - 1
-    out = rows.withColumn("_i", inside).join(small(first), "_b")
-    return out.withColumn("page", F.floor((F.col("_first") + F.col("_i")) / page).cast("long")).drop("_b", "_i", "_first")
+    spark = df.sparkSession
+    rows = df.where(F.col(needed).isNotNull() & (F.col(needed) != "")).select(F.struct(*[F.col(f"`{c}`") for c in df.columns if c != "page"]).alias("row"), F.col(key).alias("k"))
+    ranges = max(1, -(-rows.count() // (page * pages_per_range)))
+    order = [F.col("k").asc_nulls_first(), F.col("tie")]
+    spread = rows.withColumn("tie", F.monotonically_increasing_id()).repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+    inside = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))  # the place in the partition
+    path = scratch(spark, "pages")
+    spread.select("row", F.spark_partition_id().alias("range"), inside.alias("place")).write.parquet(path)  # ranges are chosen anew with each run
+    spread = spark.read.parquet(path)
+    counts = spread.groupBy("range").agg(F.count("*").alias("n"))
+    before = F.sum("n").over(Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1))  # over one row per range
+    first = counts.select("range", F.coalesce(before, F.lit(0)).alias("first"))
+    number = F.floor((F.col("first") + F.col("place")) / page).cast("long")
+    return spread.join(small(first), "range").select("row.*", number.alias("page"))
 
 
 def time_slices(df: DataFrame, ts: str, hours: int) -> DataFrame:

@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from millrace.operators import changes as C
 from millrace.plans.registry import query
-from millrace.sources.tables import table
+from millrace.sources.tables import scratch, table
+from millrace.streaming import jobs as J
+from millrace.streaming import merges
 
 _V2 = """(SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN 'X' ELSE o_orderstatus END AS o_orderstatus, CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_orderpriority END AS o_orderpriority FROM orders)"""
 _CHANGES = " UNION ALL ".join(
@@ -60,6 +62,26 @@ def c4(spark, d):
     return C.upsert(*_updates(spark, d), "c_custkey")
 
 
+@query("c4_bucket_merge", f"""
+SELECT coalesce(c_custkey, k) AS c_custkey, coalesce(nullif(name, ''), c_name) AS c_name, coalesce(nullif(segment, ''), c_mktsegment) AS c_mktsegment FROM customer FULL JOIN {_UPDATES} ON c_custkey = k""")
+def c4b(spark, d):
+    old, updates = _updates(spark, d)
+    target, out = scratch(spark, "target"), scratch(spark, "merge")
+    merges.create(old, target, "c_custkey", 16)
+    turns = J.spooled_in_turn([updates.where(F.pmod("c_custkey", F.lit(2)) == k) for k in range(2)], scratch(spark, "updates"))
+    merges.merge_stream(spark, turns, target, "c_custkey", 16, out, files=1)
+    return merges.read(spark, target)
+
+
+@query("c6_bucket_counts", f"SELECT CASE WHEN c_custkey IS NULL THEN 'insert' ELSE 'update' END AS action, count(*) AS n FROM {_UPDATES} LEFT JOIN customer ON c_custkey = k GROUP BY 1")
+def c6b(spark, d):
+    old, updates = _updates(spark, d)
+    target = scratch(spark, "target")
+    merges.create(old, target, "c_custkey", 16)
+    turns = J.spooled_in_turn([updates], scratch(spark, "updates"))
+    return merges.merge_stream(spark, turns, target, "c_custkey", 16, scratch(spark, "merge"))
+
+
 @query("c5_replace", """
 SELECT o_orderkey, arg_max(o_orderstatus, v) AS o_orderstatus FROM (SELECT o_orderkey, o_orderstatus, 1 AS v FROM orders UNION ALL SELECT o_orderkey, 'X', 2 FROM orders WHERE o_orderkey % 5 = 0) GROUP BY 1""")
 def c5(spark, d):

@@ -52,9 +52,10 @@ def j3(spark, d):
     return out.withColumn("ratio", F.round(X.share(F.col("present"), F.col("customers")), 6))
 
 
-@query("j3_absent", "SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL)")
+@query("j3_absent", "SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL AND o_orderdate >= TIMESTAMP '1998-01-01')")
 def j3b(spark, d):
-    return table(spark, d, "customer").join(table(spark, d, "orders"), F.col("c_custkey") == F.col("o_custkey"), "left_anti").select("c_custkey")
+    recent = table(spark, d, "orders").where("o_orderdate >= TIMESTAMP '1998-01-01'")
+    return table(spark, d, "customer").join(recent, F.col("c_custkey") == F.col("o_custkey"), "left_anti").select("c_custkey")
 
 
 @query("j4_distinct_per_shard", "SELECT o_custkey % 16 AS shard, count(DISTINCT o_custkey) AS entities, count(*) AS n FROM orders GROUP BY 1")

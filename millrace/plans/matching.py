@@ -34,12 +34,28 @@ def k1(spark, d):
 
 
 @query("k1_long_list", """
-SELECT DISTINCT doc_id FROM (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[a-z]+')) AS w FROM documents) WHERE w IN (SELECT DISTINCT lower(unnest(string_split(p_name || ' ' || p_type, ' '))) FROM part)""")
+SELECT DISTINCT doc_id FROM (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[a-z]+')) AS w FROM documents)
+WHERE w IN (SELECT w FROM (SELECT lower(unnest(string_split(text, ' '))) AS w FROM benchmark) WHERE length(w) > 11)""")
 def k1b(spark, d):
-    words = table(spark, d, "part").select(F.explode(F.split(F.lower(F.concat_ws(" ", "p_name", "p_type")), " ")).alias("word"))
+    words = table(spark, d, "benchmark").select(F.explode(F.split(F.lower("text"), " ")).alias("word")).where(F.length("word") > 11)
     return M.any_of_many(table(spark, d, "documents"), "doc_id", "text", words, "word")
 
 
+# Documents in which letters stand for characters of other scripts, and phrases of two to five words of the same.
+_SCRIPTS = ("aeiouns", "漢字仮名文жд")
+
+
+@query("k1_phrases", f"""
+WITH d AS (SELECT doc_id, translate(text, '{_SCRIPTS[0]}', '{_SCRIPTS[1]}') AS t FROM documents),
+w AS (SELECT DISTINCT translate(array_to_string(string_split(text, ' ')[2:k + 1], ' '), '{_SCRIPTS[0]}', '{_SCRIPTS[1]}') AS phrase FROM benchmark, (VALUES (2), (3), (5)) AS n(k))
+SELECT doc_id, phrase FROM d JOIN w ON contains(t, phrase)""")
+def k1c(spark, d):
+    words = F.split(F.translate("text", *_SCRIPTS), " ")
+    phrases = table(spark, d, "benchmark").select(F.explode(F.array(*[F.array_join(F.slice(words, 2, k), " ") for k in (2, 3, 5)])).alias("phrase"))
+    docs = table(spark, d, "documents").select("doc_id", F.translate("text", *_SCRIPTS).alias("t"))
+    return M.listed(docs, "doc_id", "t", phrases, "phrase").withColumnRenamed("word", "phrase")
+
+
 @query("k2_matched_keywords", f"SELECT doc_id, array_to_string(list_filter({_list(WORDS)}, lambda w: contains(text, w)), ',') AS matched FROM documents")
 def k2(spark, d):
     return table(spark, d, "documents").select("doc_id", F.array_join(M.matched("text", WORDS), ",").alias("matched"))

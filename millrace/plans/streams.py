@@ -9,6 +9,7 @@ from millrace.operators import folds
 from millrace.plans.registry import query
 from millrace.sources.tables import scratch, table
 from millrace.streaming import jobs as J
+from millrace.streaming import state as S
 
 
 @query("a14_stream_decode", "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events WHERE event_id % 10 <> 0")
@@ -48,17 +49,48 @@ def x3(spark, d):
     return counts
 
 
-@query("x4_short_lived_dedupe", """
+_X4_SQL = """
 WITH RECURSIVE e AS (SELECT event_id, ts, user_id, event_type, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS r FROM events),
 t AS (SELECT user_id, event_type, ts, min(r) AS r FROM e GROUP BY 1, 2, 3),
 n AS MATERIALIZED (SELECT e.user_id, e.event_type, e.r, t.r AS next FROM e ASOF JOIN t ON e.user_id = t.user_id AND e.event_type = t.event_type AND e.ts + INTERVAL 20 MINUTE <= t.ts),
 p AS (SELECT user_id, event_type, CAST(1 AS BIGINT) AS r FROM e WHERE r = 1 UNION ALL SELECT p.user_id, p.event_type, n.next FROM p JOIN n USING (user_id, event_type, r))
-SELECT event_id, ts, user_id, event_type FROM e JOIN p USING (user_id, event_type, r)""")
+SELECT event_id, ts, user_id, event_type FROM e JOIN p USING (user_id, event_type, r)"""
+
+
+@query("x4_short_lived_dedupe", _X4_SQL)
 def x4(spark, d):
     events = table(spark, d, "events").select("event_id", "ts", "user_id", "event_type")
     return folds.expiring_first(events, ["user_id", "event_type"], "ts", "event_id", 20 * 60)
 
 
+def _mixed(spark, d):
+    """The events in two files, without regard to their time."""
+    events = table(spark, d, "events")
+    return J.spooled_in_turn([events.where(F.pmod(F.xxhash64("event_id"), F.lit(2)) == k) for k in range(2)], scratch(spark, "mixed"))
+
+
+@query("x4_stream_expiring", _X4_SQL)
+def x4b(spark, d):
+    return S.expiring_first(spark, _mixed(spark, d), ["user_id", "event_type"], "ts", "event_id", 20 * 60, scratch(spark, "expiring"), delay="40 days", files=1, complete=True)
+
+
+@query("x5_stream_buffers", """
+WITH RECURSIVE e AS (SELECT user_id, event_id, ts, event_type, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS r, count(*) OVER (PARTITION BY user_id) AS total FROM events),
+s AS (SELECT user_id, r, total, ts AS began, event_id AS first, [event_type] AS seen, 0 AS dropped, false AS brim, NULL::STRUCT(began TIMESTAMP, first BIGINT, n BIGINT, dropped BIGINT, reason VARCHAR)[] AS out FROM e WHERE r = 1
+  UNION ALL SELECT e.user_id, e.r, e.total, CASE WHEN fresh THEN ts ELSE began END, CASE WHEN fresh THEN event_id ELSE first END,
+    CASE WHEN fresh THEN [event_type] WHEN list_contains(seen, event_type) THEN seen ELSE list_append(seen, event_type) END,
+    CASE WHEN fresh THEN 0 WHEN list_contains(seen, event_type) THEN dropped + 1 ELSE dropped END,
+    NOT fresh AND NOT list_contains(seen, event_type) AND len(seen) + 1 = 4,
+    CASE WHEN brim THEN NULL WHEN fresh THEN [{'began': began, 'first': first, 'n': len(seen), 'dropped': dropped, 'reason': 'time'}] END
+  FROM (SELECT s.user_id AS u, s.r AS q, began, first, seen, dropped, s.brim FROM s) JOIN e ON e.user_id = u AND e.r = q + 1, LATERAL (SELECT brim OR ts >= began + INTERVAL 6 HOUR AS fresh)),
+f AS (SELECT user_id, unnest(out, recursive := true) FROM s WHERE out IS NOT NULL
+  UNION ALL SELECT user_id, began, first, len(seen), dropped, 'size' FROM s WHERE brim
+  UNION ALL SELECT user_id, began, first, len(seen), dropped, 'time' FROM s WHERE r = total AND NOT brim)
+SELECT user_id, began, first, n, dropped, reason FROM f""")
+def x5c(spark, d):
+    return S.buffers(spark, _mixed(spark, d), ["user_id"], "ts", "event_id", "event_type", 4, 6 * 3600, scratch(spark, "buffers"), delay="40 days", files=1, complete=True)
+
+
 @query("x5_micro_batches", "SELECT event_type, count(*) AS n FROM (SELECT DISTINCT event_id, event_type FROM events) GROUP BY 1")
 def x5(spark, d):
     return J.micro_batches(spark, f"{d}/events.parquet", ["event_id"], scratch(spark, "batches")).groupBy("event_type").agg(F.count("*").alias("n"))
@@ -94,6 +126,36 @@ def x7(spark, d):
     return J.hour_windows(spark, f"{d}/events.parquet")
 
 
+@query("x7_closed_windows", """
+WITH e AS (SELECT *, CASE WHEN event_id % 20 = 7 THEN 3 ELSE least(day(ts) // 10, 2) END AS file, date_trunc('hour', ts) AS start FROM events),
+m AS (SELECT f.file, (SELECT max(date_trunc('millisecond', ts)) - INTERVAL 1 DAY FROM e WHERE e.file < f.file) AS mark FROM (SELECT DISTINCT file FROM e) f)
+SELECT CASE WHEN coalesce(start + INTERVAL 1 HOUR <= mark, false) THEN 'late' ELSE 'window' END AS kind, start, event_type, count(*) AS n FROM e JOIN m USING (file) GROUP BY ALL""")
+def x7c(spark, d):
+    events, out = table(spark, d, "events"), scratch(spark, "windows")
+    late = F.col("event_id") % 20 == 7  # these come last, most of them too late
+    third = F.least(F.floor(F.dayofmonth("ts") / 10), F.lit(2))
+    source = J.spooled_in_turn([*[events.where(~late & (third == k)) for k in range(3)], events.where(late)], scratch(spark, "turns"))
+    closed = J.closed_windows(spark, source, "ts", ["event_type"], "1 hour", "1 day", out, files=1, complete=True)
+    missed = J.written(spark, f"{out}/late", events.schema).groupBy(F.date_trunc("hour", "ts").cast(dict(events.dtypes)["ts"]).alias("start"), "event_type").agg(F.count("*").alias("n"))
+    rows = [x.select(F.lit(kind).alias("kind"), "start", "event_type", "n") for x, kind in ((closed, "window"), (missed, "late"))]
+    return rows[0].unionByName(rows[1])
+
+
+@query("x7_run_days", """
+SELECT CAST(ts AS DATE) AS day, count(*) AS n, count(DISTINCT user_id) AS users FROM events WHERE event_type = 'error' GROUP BY 1""")
+def x7d(spark, d):
+    events, out = table(spark, d, "events").withColumn("day", F.to_date("ts")), scratch(spark, "days")
+
+    def work(todo):
+        errors = events.where("event_type = 'error'").join(todo, "day", "left_semi")
+        return errors.groupBy("day").agg(F.count("*").alias("n"), F.countDistinct("user_id").alias("users"))
+
+    days = events.select("day").distinct()
+    J.run_days(days.where(F.dayofmonth("day") % 2 == 0), out, {"kind": "error"}, work)
+    J.run_days(days, out, {"kind": "error"}, work)
+    return J.written(spark, f"{out}/rows", "n long, users long, day date").select("day", "n", "users")
+
+
 @query("x7_days_to_do", """
 SELECT DISTINCT CAST(ts AS DATE) AS day FROM events WHERE CAST(ts AS DATE) NOT IN (SELECT DISTINCT CAST(ts AS DATE) FROM events WHERE day(ts) % 2 = 0)""")
 def x7b(spark, d):

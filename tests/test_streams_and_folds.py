@@ -111,17 +111,24 @@ def test_a_dry_run_marks_nothing(spark, tmp_path):
 
 
 def test_days_are_done_once_for_the_same_parameters(spark, tmp_path):
-    done, made = f"file://{tmp_path}/done", f"file://{tmp_path}/made"
-    days = spark.createDataFrame([(datetime.date(2024, 1, d % 3 + 1),) for d in range(9)] + [(None,)], "day date")
-    days.withColumn("fingerprint", F.lit("x")).limit(0).write.parquet(done)
+    out, days = f"file://{tmp_path}/out", spark.createDataFrame([(datetime.date(2024, 1, d % 3 + 1),) for d in range(9)] + [(None,)], "day date")
+    worked, fails = [], [True]
 
     def work(todo):
-        todo.write.mode("overwrite").parquet(made)
-        return spark.read.schema("day date").parquet(made)
+        worked.append(sorted(r.day.day for r in todo.collect()))
+        if fails.pop() if fails else False:
+            raise OSError("away")
+        return todo.where(F.dayofmonth("day") != 2).withColumn("n", F.lit(1))  # nothing comes of the second
 
-    assert jobs.run_days(days.where("day IS NOT NULL"), done, "x", work).count() == 3
-    assert jobs.run_days(days.where("day IS NOT NULL"), done, "x", work).count() == 0
-    assert jobs.run_days(days.where("day IS NOT NULL"), done, "y", work).count() == 3
+    with pytest.raises(OSError):
+        jobs.run_days(days, out, {"hours": 6, "sites": ["a"]}, work)
+    assert sorted(r.day.day for r in jobs.run_days(days.where("day < '2024-01-03'"), out, {"hours": 6, "sites": ["a"]}, work).collect()) == [1]
+    assert [r.day.day for r in jobs.run_days(days, out, {"sites": ["a"], "hours": 6}, work).collect()] == [3]
+    assert jobs.run_days(days, out, {"hours": 6, "sites": ["a"]}, work).count() == 0
+    assert worked == [[1, 2, 3], [1, 2], [3], []] and spark.read.parquet(f"{out}/rows").count() == 2
+    with pytest.raises(ValueError, match=r"hours: 6 then, 12 now; more: not set then, true now"):
+        jobs.run_days(days, out, {"hours": 12, "sites": ["a"], "more": True}, work)
+    assert len(worked) == 4
 
 
 def test_upsert_takes_the_newest_of_several_updates(spark):
@@ -161,9 +168,10 @@ def test_numbers_with_inner_blanks(spark):
     assert [r.i for r in rows] == [1234, 1234, 0, 0]
 
 
-@pytest.mark.parametrize("wanted", [1_000_000, 0])
-def test_grounding_against_plain_search(spark, wanted, monkeypatch):
+@pytest.mark.parametrize(("wanted", "listed"), [(1_000_000, 8 << 20), (1_000_000, -1), (2, -1)])
+def test_grounding_against_plain_search(spark, wanted, listed, monkeypatch):
     monkeypatch.setattr(matching, "_WANTED", wanted)
+    monkeypatch.setattr(matching, "_LIST_BYTES", listed)
     texts = ["The cat, sat on the MAT!", "漢字 かな 漢字を書く #1", "", None, "cat", "the cat sat on the mat", "xx"]
     items = ["cat sat on", "漢字漢字を", "C a T", "書く#1", "", None, "absent from all", "x"]
     plain = lambda t: "".join(c for c in (t or "") if c in "#" or (c.isascii() and c.isalnum()) or "一" <= c <= "鿿").lower()
