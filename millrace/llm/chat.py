@@ -91,13 +91,32 @@ def assemble(rendered: DataFrame) -> DataFrame:
     return grouped.select("conv_id", F.array_join(F.transform("t", lambda x: x["rendered"]), "").alias("formatted"), spans.alias("loss_spans"))
 
 
-def read_back(formatted: DataFrame, loss_roles: tuple[str, ...] = ("assistant",)) -> DataFrame:
-    """conv_id, turns array<struct<role, text>>, loss_text, parsed from the formatted text alone."""
-    pieces = F.filter(F.split("formatted", r"<\|turn\|>"), lambda _, i: i > 0)
-    turn = lambda x: F.struct(
-        unescape(F.replace(F.substring_index(x, "\n", 1), F.lit(NEWLINE), F.lit("\n"))).alias("role"),
-        unescape(F.regexp_extract(x, r"(?s)^[^\n]*\n(.*)<\|end\|>\n$", 1)).alias("text"),
+def read_back(formatted: DataFrame) -> DataFrame:
+    """conv_id, formatted, loss_spans, turns array<struct<role, text>>, loss_text, all from the formatted text and its spans.
+
+    loss_text is what stands under the spans, unescaped and joined in their order; a span ends with the turn in which it starts. Turns and
+    spans are rows while they are matched by their places, so that a long conversation is read once and not once for each span.
+    """
+    none = lambda kind: F.lit(None).cast(kind)
+    pieces = F.transform(F.split("formatted", r"(?=<\|turn\|>)"), lambda x, i: F.struct(F.lit(0).alias("kind"), i.alias("i"), x.alias("piece"), none("long").alias("start"), none("long").alias("end")))
+    spans = F.transform("loss_spans", lambda s, i: F.struct(F.lit(1).alias("kind"), i.alias("i"), none("string").alias("piece"), s["start"].cast("long").alias("start"), s["end"].cast("long").alias("end")))
+    rows = formatted.select("conv_id", F.explode(F.concat(pieces, spans)).alias("x")).select("conv_id", "x.*")
+    own, is_turn = Window.partitionBy("conv_id"), F.col("kind") == 0
+    before = F.coalesce(F.sum(F.length("piece")).over(own.orderBy("kind", "i").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    rows = rows.withColumn("at", F.when(is_turn, before).otherwise(F.col("start")))
+    around = F.last(F.when(is_turn, F.struct("at", "piece")), ignorenulls=True).over(own.orderBy("at", "kind", "i").rowsBetween(Window.unboundedPreceding, 0))
+    rows = rows.withColumn("turn", around)
+    inside = F.substring("turn.piece", F.col("start") - F.col("turn.at") + 1, F.col("end") - F.col("start"))
+    head = F.substring_index(F.substring("piece", len(TURN) + 1, 2**31 - 1), "\n", 1)
+    role = unescape(F.replace(head, F.lit(NEWLINE), F.lit("\n")))
+    text = unescape(F.regexp_extract("piece", r"(?s)^[^\n]*\n(.*)<\|end\|>\n$", 1))
+    turn = F.when(is_turn, F.struct("i", "piece", role.alias("role"), text.alias("text")))
+    span = F.when(~is_turn, F.struct("i", "start", "end", unescape(inside).alias("text")))
+    read = rows.groupBy("conv_id").agg(F.sort_array(F.collect_list(turn)).alias("t"), F.sort_array(F.collect_list(span)).alias("s"))
+    return read.select(
+        "conv_id",
+        F.array_join(F.transform("t", lambda x: x["piece"]), "").alias("formatted"),
+        F.transform("s", lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"))).alias("loss_spans"),
+        F.transform("t", lambda x: F.struct(x["role"].alias("role"), x["text"].alias("text"))).alias("turns"),
+        F.array_join(F.transform("s", lambda x: x["text"]), "").alias("loss_text"),
     )
-    turns = formatted.select("conv_id", "formatted", "loss_spans", F.transform(pieces, turn).alias("turns"))
-    under_loss = F.filter("turns", lambda x: x["role"].isin(*loss_roles))
-    return turns.withColumn("loss_text", F.array_join(F.transform(under_loss, lambda x: x["text"]), ""))

@@ -245,12 +245,13 @@ def probabilities(grams: DataFrame, model: dict[int, tuple[DataFrame, DataFrame]
 
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The batch's rows by block, compressed: text moves between machines at a third of its size."""
+    """The batch's texts by block, each once and compressed: they move between machines at a third of their size."""
     no_tables()
     for batch in batches:
         table = pa.Table.from_batches([batch])
         block = batch["block"].to_numpy()
-        order = np.argsort(block, kind="stable")
+        named = np.stack([block, batch["text_hash"].to_numpy()], axis=1)
+        _, order = np.unique(named, axis=0, return_index=True)  # a text's hash and model decide its block
         edges = np.flatnonzero(np.diff(block[order], prepend=-1))
         out = []
         for i, j in zip(edges.tolist(), [*edges[1:].tolist(), len(order)]):
@@ -305,9 +306,11 @@ def _score(left: pa.Table, right: pa.Table) -> pa.Table:
         grams["context"], grams["last"] = context, last
     order = np.argsort(grams)
     grams, logp = grams[order], logp[order]
-    out = []
+    out, seen = [], np.zeros(0, np.int64)
     for rows in left["rows"].combine_chunks():
         table = pa.ipc.open_stream(rows.as_buffer()).read_all()
+        new = ~np.isin(table["text_hash"].to_numpy(), seen)  # all copies of a text are in this block
+        table, seen = table.filter(pa.array(new)), np.concatenate([seen, table["text_hash"].to_numpy()[new]])
         texts = table["text"].combine_chunks()
         counts, sums = [], []
         for i, j in tn.slices(texts):
@@ -318,24 +321,29 @@ def _score(left: pa.Table, right: pa.Table) -> pa.Table:
             sums.append(np.add.reduceat(values, offs[:-1]))
         join = lambda x: np.concatenate(x) if x else np.zeros(0)
         n = join(counts).astype(np.int64)
-        out.append(table.drop_columns(["text", "model"]).append_column("n_symbols", pa.array(n)).append_column("log_perplexity", pa.array(-join(sums) / np.maximum(n, 1))))
+        out.append(table.drop_columns(["text"]).append_column("n_symbols", pa.array(n)).append_column("log_perplexity", pa.array(-join(sums) / np.maximum(n, 1))))
     return pa.concat_tables(out)
 
 
 def perplexities(docs: DataFrame, model: dict[int, tuple[DataFrame, DataFrame]], block_bytes: int = 32 << 20) -> DataFrame:
-    """doc_id, lang, mark, held, n_symbols, log_perplexity for rows (doc_id, lang, text, mark, model, held) that have a text."""
+    """doc_id, lang, mark, held, n_symbols, log_perplexity for rows (doc_id, lang, text, mark, model, held) that have a text.
+
+    Equal texts are scored once for each model, and their rows, however many, take the result in a join. Texts are told by 64-bit hashes.
+    """
+    hashed = docs.withColumn("text_hash", F.xxhash64("text"))
     size = {r["model"]: r["size"] for r in docs.groupBy("model").agg(F.sum(F.octet_length("text")).alias("size")).collect()}
     blocks = [max(1, -(-size.get(k, 0) // block_bytes)) for k in range(FOLDS + 1)]
     first = np.cumsum([0, *blocks]).tolist()[:-1]
     # a block holds texts for one model
-    block = _of_model(first, F.col("model")) + F.pmod(F.xxhash64("doc_id", F.length("text")), _of_model(blocks, F.col("model")))
-    placed = docs.withColumn("block", block.cast("long"))
+    block = _of_model(first, F.col("model")) + F.pmod(F.xxhash64("text_hash"), _of_model(blocks, F.col("model")))
+    placed = hashed.select("text_hash", "text", "model", block.cast("long").alias("block"))
     packed = placed.mapInArrow(_pack, "block long, rows binary").repartition(shuffle_width(docs.sparkSession), "block")
     asked = packed.sortWithinPartitions("block").mapInArrow(_ask, "context long, last int, block long")
     answers = probabilities(asked.select("context", "last").distinct(), model)
     answered = attach(asked, answers, ["context", "last"]).select("block", "context", "last", "logp")
-    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, lang string, mark long, held boolean, n_symbols long, log_perplexity double"
-    return packed.groupBy("block").cogroup(answered.groupBy("block")).applyInArrow(_score, schema)
+    scored = packed.groupBy("block").cogroup(answered.groupBy("block")).applyInArrow(_score, "text_hash long, model long, n_symbols long, log_perplexity double")
+    rows = hashed.select("doc_id", "lang", "mark", "held", "text_hash", "model")
+    return attach(rows, scored, ["text_hash", "model"]).select("doc_id", "lang", "mark", "held", "n_symbols", "log_perplexity")
 
 
 def limits(scored: DataFrame, quantile: float) -> DataFrame:

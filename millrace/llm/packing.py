@@ -131,18 +131,19 @@ def _packed(length: int):
     return run
 
 
-def pack(df: DataFrame, *, length: int = 1024, key: str = "doc_id", text: str = "text", vocabulary_path: str | None = None, added_path: str | None = None, end_id: int = 0, seed: int = 7, ids_per_range: int = 1 << 25) -> DataFrame:
+def pack(df: DataFrame, *, length: int = 1024, key: str = "doc_id", text: str = "text", vocabulary_path: str | None = None, added_path: str | None = None, end_id: int = 0, seed: int = 7, ids_per_range: int = 1 << 24, sequences_per_range: int = 256) -> DataFrame:
     """Sequences of at most ``length`` ids, as pieces of documents.
 
     One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, ids (little-endian
     unsigned 32-bit). Each id of a document, its end id included, lies in exactly one piece. A null or empty text
     is its end id alone; repeated rows and null keys are documents like others, and ties on the curve are ordered by
-    key and ids. An empty table gives no piece. Other columns are ignored. A range holds about ``ids_per_range`` ids at
-    most, so that its task stays small however large the corpus is.
+    key and ids. An empty table gives no piece. Other columns are ignored. There are as many ranges as the shuffle has partitions, but so many
+    that a range holds about ``ids_per_range`` ids at most, and so few that it fills about ``sequences_per_range`` sequences at least: one of these is padded.
     """
     encoded = cut(encode(df, key=key, text=text, vocabulary_path=vocabulary_path, added_path=added_path, end_id=end_id, seed=seed))
     total = encoded.agg(F.sum("n_ids")).first()[0] or 0
-    ranges = shuffle_width(df.sparkSession, -(-total // ids_per_range))
+    most = max(1, total // (length * sequences_per_range))
+    ranges = max(min(shuffle_width(df.sparkSession), most), -(-total // ids_per_range))
     ordered = encoded.withColumn("tie", F.xxhash64("ids")).repartitionByRange(ranges, "curve", "doc_id", "tie").sortWithinPartitions("curve", "doc_id", "tie")
     kind = encoded.schema["doc_id"].dataType.simpleString()
     return ordered.select("doc_id", "n_ids", "ids").mapInArrow(

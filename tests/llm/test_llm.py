@@ -263,6 +263,47 @@ def test_chat_loss_spans_mark_what_is_read_back(spark):
     assert collections.Counter((c, t.role, t.text) for c, r in back.items() for t in r.turns) == want
 
 
+def test_chat_loss_text_is_what_the_spans_mark(spark):
+    rows = [(1, 0, "user", "hi [x]"), (1, 1, "assistant", "hel<lo"), (1, 2, "assistant", "é🎉"), (2, 0, "user", "no")]
+    formatted = chat.assemble(chat.render(spark.createDataFrame(rows, "conv_id long, t long, role string, text string"), order="t")).cache()
+    read = lambda df: {r.conv_id: r for r in chat.read_back(df).collect()}
+    right = read(formatted)
+    assert right[1].loss_text == "hel<loé🎉" and right[2].loss_text == "" and [t.text for t in right[1].turns] == ["hi [x]", "hel<lo", "é🎉"]
+    assert {r.conv_id: (r.formatted, r.loss_spans) for r in formatted.collect()} == {c: (r.formatted, r.loss_spans) for c, r in right.items()}
+    moved = formatted.withColumn("loss_spans", F.transform("loss_spans", lambda s: F.struct((s["start"] + 1).alias("start"), (s["end"] + 1).alias("end"))))
+    assert read(moved)[1].loss_text == "el<lo<🎉<"
+    assert read(formatted.withColumn("loss_spans", F.slice("loss_spans", 1, 1)))[1].loss_text == "hel<lo"
+    assert chat.read_back(formatted.limit(0)).count() == 0
+
+
+def test_chat_of_a_long_conversation(spark):
+    rows = spark.range(30_000).select(F.lit(1).alias("conv_id"), F.col("id").alias("t"), F.when(F.col("id") % 2 == 0, "user").otherwise("assistant").alias("role"), F.concat(F.lit("é<"), F.col("id").cast("string")).alias("text"))
+    began = time.time()
+    r = chat.read_back(chat.assemble(chat.render(rows, order="t"))).first()
+    assert len(r.turns) == 30_000 and r.loss_text == "".join(f"é<{k}" for k in range(1, 30_000, 2)) and time.time() - began < 60
+
+
+def test_packing_pads_little_with_many_partitions(spark, docs):
+    few = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    try:
+        ids, sequences = packing.pack(few).agg(F.sum("length"), F.countDistinct("sequence_id")).first()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert ids > 900_000 and sequences * 1024 < 1.01 * ids
+
+
+def test_classifier_scores_a_repeated_text_once(spark, monkeypatch):
+    rows = spark.range(2000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("en").alias("lang"), F.lit("the same text").alias("text"), F.lit(1).cast("long").alias("mark"), (F.col("id") % 2).alias("model"), F.lit(False).alias("held"))
+    monkeypatch.setattr(classifier, "probabilities", lambda grams, model: grams.select("context", "last", F.lit(-1.0).alias("logp")))
+    out = classifier.perplexities(rows.repartition(4), {}, block_bytes=1000).collect()
+    assert len(out) == 2000 and {(r.n_symbols, r.log_perplexity) for r in out} == {(14, 1.0)}
+    batches = pa.table({"text_hash": [7] * 500 + [8], "text": ["a b"] * 500 + ["c"], "model": [0] * 501, "block": [3] * 501}).to_batches(250)
+    packed = [pa.ipc.open_stream(rows).read_all().num_rows for b in classifier._pack(iter(batches)) for rows in b["rows"].to_pylist()]
+    assert packed == [1, 1, 1]
+
+
 def test_near_vectors_of_repeated_keys(spark):
     rows = [(1, [1.0, 0.0], 1), (1, [1.0, 0.0], 1), (1, [0.0, 1.0], 1), (2, [1.0, 0.01], 1), (3, [0.0, 1.0], 2), (4, [0.01, 1.0], 1)]
     out = sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in vectors_dedup.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect())
@@ -365,7 +406,7 @@ def test_classifier_tells_all_symbols_apart(spark, most, monkeypatch):
         out = classifier.classify(df, spark.createDataFrame([(i, 1, 0) for i in labels], "doc_id long, quality int, toxic int")).collect()
         assert all(abs(r.log_perplexity - perplexity(rows[r.doc_id][1])) < 1e-9 for r in out)
     packed = io.BytesIO()
-    part = pa.table({"doc_id": [1], "lang": ["zh"], "text": [rows[0][1]], "mark": [0], "model": [0], "held": [False]})
+    part = pa.table({"text_hash": [1], "text": [rows[0][1]], "model": [0]})
     with pa.ipc.new_stream(packed, part.schema) as w:
         w.write_table(part)
     left = pa.table({"block": [0], "rows": pa.array([packed.getvalue()], pa.binary())})
