@@ -1,4 +1,4 @@
-"""Byte-level BPE of whole texts, with the tokens of frequent words kept."""
+"""Byte-level BPE of whole texts."""
 
 from __future__ import annotations
 
@@ -8,55 +8,26 @@ from array import array
 from millrace.llm import vocabulary
 from millrace.llm.common import of_worker
 
-# A blank between two characters that are no white space always begins a new pre-token of the byte-level BPE's
-# pattern, so texts can be cut there and their parts encoded apart, with the same tokens.
-_BLANK_BESIDE_SPACE = re.compile(r" \s|\s ")
-_CUT = re.compile(r"(?<=\S)(?= \S)")
-
-
-class _Parts(dict):
-    """Tokens of text parts, as the bytes of unsigned 16 or 32 bit numbers; missing ones are encoded."""
-
-    def __init__(self, encode, code: str, before: str) -> None:
-        self.encode, self.code, self.before = encode, code, before
-
-    def __missing__(self, part: str) -> bytes:
-        ids = self[part] = array(self.code, self.encode(self.before + part)).tobytes()
-        return ids
-
 
 class WordEncoder:
-    """Encodes whole texts; at most about ``limit`` parts are remembered between texts.
-
-    Texts are first split at ``added`` tokens, the longest where several begin, and what lies between is encoded apart.
-    """
+    """Encodes whole texts. They are first split at ``added`` tokens, the longest where several begin, and what lies between is encoded apart."""
 
-    def __init__(self, path: str, added: dict[str, int] | None = None, limit: int = 120_000) -> None:
-        bpe = vocabulary.byte_bpe(path)
+    def __init__(self, path: str, added: dict[str, int] | None = None) -> None:
+        self.bpe = vocabulary.byte_bpe(path)
         added = added or {}
-        self.dtype = "<u2" if max([bpe.n_vocab, *(i + 1 for i in added.values())]) <= 1 << 16 else "<u4"
-        self.limit = limit
-        code = "H" if self.dtype == "<u2" else "I"
-        self.added = {t: array(code, [i]).tobytes() for t, i in added.items()}
+        self.dtype = "<u2" if max([self.bpe.n_vocab, *(i + 1 for i in added.values())]) <= 1 << 16 else "<u4"
+        self.code = "H" if self.dtype == "<u2" else "I"
+        self.added = {t: array(self.code, [i]).tobytes() for t, i in added.items()}
         self.at_added = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")") if added else None
-        self.heads, self.words = _Parts(bpe.encode_ordinary, code, ""), _Parts(bpe.encode_ordinary, code, " ")
 
     def encode(self, text: str) -> bytes:
         """The ids as little-endian numbers of type ``dtype``."""
-        if self.at_added is None or not self.at_added.search(text):
+        if not any(t in text for t in self.added):
             return self._plain(text)
         return b"".join(self.added[t] if k % 2 else self._plain(t) for k, t in enumerate(self.at_added.split(text)))
 
     def _plain(self, text: str) -> bytes:
-        if not text:
-            return b""
-        if len(self.words) + len(self.heads) > self.limit:
-            self.words.clear()
-            self.heads.clear()
-        if text[0] == " " or text[-1] == " " or _BLANK_BESIDE_SPACE.search(text):
-            return b"".join(map(self.heads.__getitem__, _CUT.split(text)))
-        head, *words = text.split(" ")
-        return self.heads[head] + b"".join(map(self.words.__getitem__, words))
+        return array(self.code, self.bpe.encode_ordinary(text)).tobytes()
 
 
 def encoder(path: str, added_path: str | None = None) -> WordEncoder:
