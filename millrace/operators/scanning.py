@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -87,3 +87,16 @@ def retain(df: DataFrame, ts: str, days: int) -> DataFrame:
     """Rows no more than ``days`` calendar days older than the newest; the boundary day stays. Rows without a time go, an empty table stays empty."""
     newest = df.agg(F.max(ts).cast("date").alias("_newest"))
     return df.join(F.broadcast(newest), F.col(ts).cast("date") >= F.date_sub("_newest", days)).drop("_newest")
+
+
+def written_with_counts(df: DataFrame, path: str, before: Mapping[str, Column], keep: Column, after: Mapping[str, Column]) -> dict[str, object]:
+    """Write the rows that ``keep`` holds for, and return measures of all rows and of the written ones, taken in that one pass.
+
+    Measures are aggregates by name. A null ``keep`` drops the row. An empty table writes no rows and gives the measures of none. ``df`` should
+    be a scan without a shuffle: rows of a stage that is run again after a loss would be measured again.
+    """
+    given, written = Observation(), Observation()
+    seen = df.observe(given, *[c.alias(f"before_{n}") for n, c in before.items()])
+    kept = seen.where(F.coalesce(keep, F.lit(False))).observe(written, *[c.alias(f"after_{n}") for n, c in after.items()])
+    kept.write.parquet(path)
+    return {n: given.get[f"before_{n}"] for n in before} | {n: written.get[f"after_{n}"] for n in after}

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from millrace.functions import exprs as X
 from millrace.operators import aggregation as A
+from millrace.operators import intervals, sketches
 from millrace.plans.registry import query
-from millrace.sources.tables import table
+from millrace.sources.tables import scratch, table
 
 
 @query("g1_most_common", "SELECT user_id, count(*) AS n FROM events GROUP BY 1 ORDER BY n DESC, user_id LIMIT 20")
@@ -32,6 +33,31 @@ def g3b(spark, d):
     return table(spark, d, "events").groupBy("event_type").agg(F.approx_count_distinct(F.concat_ws("|", "user_id", F.to_date("ts")), 0.01).alias("entities"))
 
 
+def _week_sketches(spark, d):
+    """Stored sketches of the users of every day and kind, and what they say of the seven days up to each."""
+    path = scratch(spark, "sketches")
+    sketches.store(sketches.day_sketches(table(spark, d, "events"), ["event_type"], F.to_date("ts"), F.col("user_id")), path)
+    return sketches.trailing(spark.read.parquet(path), ["event_type"], 7)
+
+
+@query("g3_sketched_weeks")
+def g3c(spark, d):
+    return _week_sketches(spark, d)
+
+
+@query("g3_sketched_weeks_exact", """
+WITH u AS (SELECT DISTINCT event_type, CAST(ts AS DATE) AS day, user_id FROM events), e AS (SELECT DISTINCT event_type, day FROM u)
+SELECT e.event_type, e.day, count(DISTINCT user_id) AS entities, true AS within FROM e JOIN u ON u.event_type = e.event_type AND u.day BETWEEN e.day - 6 AND e.day GROUP BY 1, 2""")
+def g3d(spark, d):
+    """What the sketches say, held against exact counts: within four standard errors."""
+    users = table(spark, d, "events").select("event_type", F.to_date("ts").alias("there"), "user_id").distinct()
+    ends = users.select("event_type", "user_id", F.explode(F.sequence("there", F.date_add("there", 6))).alias("day"))
+    exact = ends.groupBy("event_type", "day").agg(F.countDistinct("user_id").alias("entities"))
+    both = exact.join(_week_sketches(spark, d).withColumnRenamed("entities", "estimate"), ["event_type", "day"])
+    near = F.abs(F.col("estimate") - F.col("entities")) <= F.greatest(F.lit(1.0), 4 * sketches.STANDARD_ERROR * F.col("entities"))
+    return both.select("event_type", "day", "entities", near.alias("within"))
+
+
 @query("g4_strata_counts", """
 SELECT lang, count(*) AS n, count(*) FILTER (n_chars < 500) AS short, count(*) FILTER (n_chars >= 5000) AS long, round(avg(CASE WHEN contains(text, 'License') THEN n_chars END), 4) AS licensed_chars FROM documents GROUP BY 1""")
 def g4(spark, d):
@@ -213,6 +239,21 @@ def r1(spark, d):
     return A.tiers(table(spark, d, "customer"), "c_mktsegment", "c_acctbal", spark.createDataFrame(TIERS, "category string, s double, a double, b double"), DEFAULT_TIER).select("c_custkey", "tier")
 
 
+@query("r1_interval_tiers", """
+WITH b AS (SELECT s_nationkey AS n, s_acctbal AS low, lead(s_acctbal) OVER (PARTITION BY s_nationkey ORDER BY s_acctbal, s_suppkey) AS high, s_suppkey FROM supplier),
+a AS (SELECT * FROM b UNION ALL SELECT s_nationkey, NULL, min(s_acctbal), -1 FROM supplier GROUP BY 1)
+SELECT c_custkey, s_suppkey AS tier FROM customer JOIN a ON n = c_nationkey AND (low IS NULL OR low <= c_acctbal) AND (high IS NULL OR c_acctbal < high)""")
+def r1b(spark, d):
+    """The balances of a nation's suppliers are its thresholds; the tier is the supplier at or below a customer's balance, -1 below all."""
+    s = table(spark, d, "supplier")
+    above = F.lead("s_acctbal").over(Window.partitionBy("s_nationkey").orderBy("s_acctbal", "s_suppkey"))
+    bands = s.select(F.col("s_nationkey").alias("category"), F.col("s_acctbal").alias("low"), above.alias("high"), F.col("s_suppkey").alias("label"))
+    lowest = s.groupBy(F.col("s_nationkey").alias("category")).agg(F.min("s_acctbal").alias("high"))
+    bands = bands.unionByName(lowest.select("category", F.lit(None).cast("double").alias("low"), "high", F.lit(-1).cast("long").alias("label")))
+    out = intervals.in_intervals(table(spark, d, "customer").select("c_custkey", "c_nationkey", "c_acctbal"), "c_nationkey", "c_acctbal", bands)
+    return out.select("c_custkey", F.col("label").alias("tier"))
+
+
 @query("r2_default_tier", "SELECT c_mktsegment, c_mktsegment NOT IN ('MACHINERY', 'FURNITURE') AS by_default, count(*) AS n FROM customer GROUP BY 1, 2")
 def r2(spark, d):
     known = spark.createDataFrame([(t[0],) for t in TIERS], "c_mktsegment string").withColumn("known", F.lit(True))

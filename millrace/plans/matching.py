@@ -6,8 +6,9 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from millrace.operators import matching as M
+from millrace.operators import relevance
 from millrace.plans.registry import query
-from millrace.sources.tables import table
+from millrace.sources.tables import scratch, table
 
 # Words to look for, and a rule table over documents.
 WORDS = ("License", "rights reserved", "example.com", "und", "the")
@@ -162,6 +163,30 @@ def k12(spark, d):
     return best.orderBy(F.desc("best"), F.desc("n"), "source").limit(10)
 
 
+#: Searches, by name.
+SEARCHES = {"licence": "MIT License granted", "place": "src1 example com", "words": "the und que"}
+
+_TOKENS = "list_transform(regexp_extract_all(coalesce({0}, ''), '[0-9A-Za-z]+'), lambda t: lower(t))"
+
+
+@query("k12_bm25", f"""
+WITH f AS (SELECT doc_id, 'text' AS field, {_TOKENS.format("text")} AS t FROM documents UNION ALL SELECT doc_id, 'source', {_TOKENS.format("source")} FROM documents),
+s AS (SELECT field, count(*) AS docs, avg(len(t)) AS mean FROM f WHERE len(t) > 0 GROUP BY 1), p AS (SELECT doc_id, field, len(t) AS length, unnest(t) AS term FROM f),
+q AS (SELECT DISTINCT query, unnest(string_split(terms, ' ')) AS term FROM (VALUES ('licence', 'mit license granted'), ('place', 'src1 example com'), ('words', 'the und que')) v(query, terms)),
+c AS (SELECT doc_id, field, length, term, count(*) AS tf FROM p WHERE term IN (SELECT term FROM q) GROUP BY 1, 2, 3, 4), n AS (SELECT field, term, count(*) AS df FROM c GROUP BY 1, 2),
+r AS (SELECT query, doc_id, round(sum(CASE field WHEN 'text' THEN 1.0::DOUBLE ELSE 2.0::DOUBLE END * ln(1 + (docs - df + 0.5::DOUBLE) / (df + 0.5::DOUBLE)) * tf * 2.2::DOUBLE / (tf + 1.2::DOUBLE * (0.25::DOUBLE + 0.75::DOUBLE * length / mean))), 4) AS score
+  FROM c JOIN n USING (field, term) JOIN s USING (field) JOIN q USING (term) GROUP BY 1, 2)
+SELECT query, source, max(score) AS best, count(*) AS n, arg_min(r.doc_id, (-score, r.doc_id)) AS sample FROM r JOIN documents d ON d.doc_id = r.doc_id GROUP BY 1, 2""")
+def k12b(spark, d):
+    """For each search and source: the best score, the documents found and the best of them."""
+    docs, path = table(spark, d, "documents"), scratch(spark, "index")
+    relevance.build(docs, "doc_id", ["text", "source"], path)
+    found = relevance.search(spark, path, SEARCHES, {"text": 1.0, "source": 2.0}).select("query", F.col("key").alias("doc_id"), F.round("score", 4).alias("score"))
+    return found.join(docs.select("doc_id", "source"), "doc_id").groupBy("query", "source").agg(
+        F.max("score").alias("best"), F.count("*").alias("n"), F.max_by("doc_id", F.struct("score", -F.col("doc_id"))).alias("sample")
+    )
+
+
 @query("k13_phrase_any_field", "SELECT doc_id FROM documents WHERE contains(concat_ws(' ', source, lang, text), 'src7 en') OR contains(concat_ws(' ', source, lang, text), 'MIT License')")
 def k13(spark, d):
     every = F.concat_ws(" ", "source", "lang", "text")

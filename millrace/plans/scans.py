@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.operators import scanning
+from millrace.operators import scanning, variants
 from millrace.plans.registry import query
 from millrace.sources.tables import scratch, table
 
@@ -51,6 +51,17 @@ def a5(spark, d):
     return table(spark, d, "documents").agg(F.count_if(empty).alias("skipped"), F.count_if(~empty).alias("used"))
 
 
+@query("a5_counted_on_the_way", """
+SELECT count(*) AS given, count(*) FILTER (coalesce(text, '') = '') AS skipped, count(*) FILTER (coalesce(text, '') <> '') AS written, sum(length(text)) AS chars FROM documents""")
+def a5b(spark, d):
+    empty = F.coalesce("text", F.lit("")) == ""
+    counts = scanning.written_with_counts(
+        table(spark, d, "documents").select("doc_id", "text"), scratch(spark, "used"), {"given": F.count("*"), "skipped": F.count_if(empty)}, ~empty,
+        {"written": F.count("*"), "chars": F.sum(F.length("text"))},
+    )
+    return spark.createDataFrame([counts], "given long, skipped long, written long, chars long")
+
+
 @query("a6_suffix_drop", "SELECT page_id, url FROM pages WHERE NOT (lower(url) LIKE '%#top' OR lower(url) LIKE '%.pdf')")
 def a6(spark, d):
     u = F.lower("url")
@@ -136,6 +147,33 @@ def a17(spark, d):
     return scanning.flatten(nested)
 
 
+def _shapes(spark, d):
+    """Events as JSON of three shapes, and every thirteenth as no JSON at all."""
+    k = F.get_json_object("props", "$.k").cast("long")
+    flat = F.to_json(F.struct(F.col("value").cast("string").alias("amount"), k.alias("k")))
+    deep = F.to_json(F.struct(F.struct(F.col("user_id").alias("id"), F.struct(F.col("event_type").alias("kind")).alias("last")).alias("user")))
+    listed = F.to_json(F.struct(F.array(k, "user_id").alias("ids"), (F.col("user_id") % 2 == 0).alias("even")))
+    shape = F.when(F.col("event_id") % 13 == 0, F.lit("{no")).when(F.col("event_id") % 3 == 0, flat).when(F.col("event_id") % 3 == 1, deep).otherwise(listed)
+    return table(spark, d, "events").select("event_id", shape.alias("raw"))
+
+
+@query("a17_any_shape", """
+SELECT event_id, CASE WHEN s = 0 THEN k END AS k, CASE WHEN s = 1 THEN user_id END AS user_id, CASE WHEN s = 1 THEN event_type END AS last_kind,
+  CASE WHEN s = 2 THEN '[' || k || ',' || user_id || ']' END AS ids, CASE WHEN s = 2 THEN user_id % 2 = 0 END AS even
+FROM (SELECT *, CASE WHEN event_id % 13 = 0 THEN -1 ELSE event_id % 3 END AS s, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events)""")
+def a17b(spark, d):
+    out = variants.one_table(_shapes(spark, d), "event_id", "raw")
+    return out.select("event_id", "k", F.col("`user.id`").alias("user_id"), F.col("`user.last.kind`").alias("last_kind"), "ids", "even")
+
+
+@query("a17_paths", """
+SELECT path, kind, count(*) AS n FROM (SELECT unnest(CASE WHEN event_id % 3 = 0 THEN [{'path': 'amount', 'kind': 'STRING'}, {'path': 'k', 'kind': 'BIGINT'}]
+  WHEN event_id % 3 = 1 THEN [{'path': 'user.id', 'kind': 'BIGINT'}, {'path': 'user.last.kind', 'kind': 'STRING'}]
+  ELSE [{'path': 'ids', 'kind': 'ARRAY'}, {'path': 'even', 'kind': 'BOOLEAN'}] END, recursive := true) FROM events WHERE event_id % 13 <> 0) GROUP BY 1, 2""")
+def a17c(spark, d):
+    return variants.leaves(_shapes(spark, d), "event_id", "raw").groupBy("path", "kind").agg(F.count("*").alias("n"))
+
+
 @query("a18_phrase_and_terms", "SELECT doc_id, source FROM documents WHERE contains(text, 'License') AND source IN ('src0', 'src1', 'src2')")
 def a18(spark, d):
     return table(spark, d, "documents").where(F.contains("text", F.lit("License")) & F.col("source").isin("src0", "src1", "src2")).select("doc_id", "source")
