@@ -3,14 +3,13 @@
 Two permutations of the 64-bit space make every signature coordinate: the first scatters a text's word
 shingles, the second, shifted circularly by k, gives coordinate k. Bands of coordinates bucket the texts, the
 buckets' links make families, and every link is confirmed on the full shingle sets: with the family's centre, and where
-that is not alike with the family if it is small, else with the mates in each bucket.
+that is not alike with the mates in each bucket.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -158,11 +157,8 @@ def _against(percent: int):
     return run
 
 
-def _bucket_mates(buckets: DataFrame, apart: DataFrame) -> list[DataFrame]:
-    """Blocks in which the texts of ``apart`` meet all that share a bucket with them; of buckets that hold the same texts one is taken.
-
-    A bucket stands for the family here. Its part is -1 and less, so that it meets no family of the same number.
-    """
+def _bucket_mates(buckets: DataFrame, apart: DataFrame) -> DataFrame:
+    """Blocks in which the texts of ``apart`` meet all that share a bucket with them; of buckets that hold the same texts one is taken."""
     stuck = attach(buckets, apart, "rep")
     asking = stuck.groupBy("bucket").agg(F.count("*").alias("asking"))
     held = attach(buckets, asking, "bucket").groupBy("bucket", "asking")
@@ -170,20 +166,16 @@ def _bucket_mates(buckets: DataFrame, apart: DataFrame) -> list[DataFrame]:
     one = held.groupBy("asking", "mates", "mix", "low", "high").agg(F.min("bucket").alias("bucket"))
     groups, chunks = F.ceil(F.col("asking") / _QUERIES).cast("int"), F.ceil(F.col("mates") / _CHUNK).cast("int")
     one = cut(one.select("bucket", groups.alias("groups"), chunks.alias("chunks")))
-    seat = F.xxhash64("rep")
-    base = attach(buckets, one, "bucket").select(
-        F.col("bucket").alias("family"), F.explode(F.sequence(-F.col("groups"), F.lit(-1))).alias("part"), F.pmod(seat, F.col("chunks")).cast("int").alias("chunk"), "rep", F.lit(False).alias("asks")
-    )
-    asks = attach(stuck, one, "bucket").select(
-        F.col("bucket").alias("family"), (-1 - F.pmod(seat, F.col("groups"))).cast("int").alias("part"), F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), "rep", F.lit(True).alias("asks")
-    )
-    return [base, asks]
+    seat, all_of = F.xxhash64("rep"), lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    base = attach(buckets, one, "bucket").select("bucket", all_of("groups").alias("part"), F.pmod(seat, F.col("chunks")).cast("int").alias("chunk"), "rep", F.lit(False).alias("asks"))
+    asks = attach(stuck, one, "bucket").select("bucket", F.pmod(seat, F.col("groups")).cast("int").alias("part"), all_of("chunks").alias("chunk"), "rep", F.lit(True).alias("asks"))
+    return base.unionByName(asks)
 
 
 def bands_for(percent: int, rows: int) -> int:
-    """The least number of bands with which a pair alike in ``percent`` shares none with probability 1e-4 at most."""
+    """The least number of bands with which a pair alike in ``percent`` shares none with probability 1e-6 at most."""
     agree = (percent / 100) ** rows
-    return 1 if agree >= 1 else math.ceil(math.log(1e-4) / math.log1p(-agree))
+    return 1 if agree >= 1 else math.ceil(math.log(1e-6) / math.log1p(-agree))
 
 
 def near_duplicates(
@@ -198,9 +190,9 @@ def near_duplicates(
 
     Equal sets are grouped first and one of each represents them; then every representative with a bucket mate
     goes to its family, in chunks that bound what a task holds. There it is compared with the family's
-    centre. What does not link with the centre is compared with all of a family that fits one chunk, and in larger ones
-    with its mates in every bucket, in blocks. Unless ``bands``
-    is given, a pair at ``percent`` goes unseen with probability 1e-4 at most: 20 bands of 6 at 85, 31 at 80.
+    centre. What does not link with the centre is compared with its mates in every bucket, in blocks; that rule holds for
+    families of any size. Unless ``bands`` is given, a pair at ``percent`` shares no bucket with probability 1e-6 at most: 30
+    bands of 6 at 85, 46 at 80.
     """
     small_batches(df.sparkSession)
     bands = bands or bands_for(percent, rows)
@@ -228,23 +220,17 @@ def near_duplicates(
     shingles = _full_sets(width)("text").alias("shingles")
 
     def with_sets(seats: DataFrame) -> DataFrame:
-        return with_few(docs, seats.withColumnRenamed("rep", "doc_id"), "doc_id").withColumnRenamed("doc_id", "rep").select(*seats.columns, shingles)
+        """The seats with their texts' shingles, which are made once for each text however many seats it has."""
+        places = [c for c in seats.columns if c != "rep"]
+        by_text = cut(seats.groupBy(F.col("rep").alias("doc_id")).agg(F.collect_list(F.struct(*places)).alias("seats")))
+        made = with_few(docs, by_text, "doc_id").select(F.col("doc_id").alias("rep"), "seats", shingles)
+        return made.select("rep", F.explode("seats").alias("seat"), "shingles").select("rep", "seat.*", "shingles")
 
-    star = with_sets(cut(seats.unionByName(middle))).groupBy("family", "chunk").applyInArrow(_star(percent), "family long, rep long, linked boolean")
+    star = with_sets(seats.unionByName(middle)).groupBy("family", "chunk").applyInArrow(_star(percent), "family long, rep long, linked boolean")
     star = cut(star)
     direct = attach(star.where("linked"), centres.select("family", "centre"), "family").select(F.col("centre").alias("a"), F.col("rep").alias("b"))
-    apart = star.where("NOT linked").select("family", "rep")
-    open_ = cut(apart.groupBy("family").agg(F.count("*").alias("asking")).join(centres, "family").select("family", "asking", "chunks"))
-    near = open_.where("chunks = 1").select("family")
-    asked = [
-        attach(members.select("rep", "family"), near, "family").select("family", F.lit(0).alias("part"), F.lit(0).alias("chunk"), "rep", F.lit(False).alias("asks")),
-        attach(apart, near, "family").select("family", F.lit(0).alias("part"), F.lit(0).alias("chunk"), "rep", F.lit(True).alias("asks")),
-    ]
-    wide = open_.where("chunks > 1").select("family")
-    if wide.limit(1).count():
-        asked += _bucket_mates(buckets, cut(attach(apart, wide, "family").select("rep")))
-    asked = reduce(DataFrame.unionByName, asked)
-    rest = with_sets(cut(asked)).groupBy("family", "part", "chunk").applyInArrow(_against(percent), "a long, b long")
+    asked = _bucket_mates(buckets, cut(star.where("NOT linked").select("rep")))
+    rest = with_sets(asked).groupBy("bucket", "part", "chunk").applyInArrow(_against(percent), "a long, b long")
     classes = components(cut(direct.unionByName(rest)))
     named = sets.select("same", "rep").join(classes.withColumnRenamed("node", "rep"), "rep", "left").select("same", F.coalesce("component", "rep").alias("component"))
     out = attach(features.drop("bands"), named, "same", "left")
