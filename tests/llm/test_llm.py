@@ -88,6 +88,44 @@ def test_quality_rules(spark, docs):
     assert quality_rules.measure(docs.limit(0), "q").count() == 0
 
 
+def plain_fertility(text):
+    """Characters a token, share of byte pieces, bits of entropy, tokens and script of a text with words, word by word."""
+    words = brute.words(text)
+    bpe = vocabulary.byte_bpe(vocabulary.default_path("byte_bpe_multi_50k.tiktoken"))
+    model = vocabulary.piece_model(vocabulary.default_path("piece_bpe_32k.model"))
+    tokens = [t for w in words for t in bpe.encode_ordinary(" " + w)]
+    pieces = [p for w in words for p in model.encode(w)]
+    entropy = -sum(c / len(tokens) * math.log2(c / len(tokens)) for c in collections.Counter(tokens).values())
+    script = "latin" if 2 * sum(ord(c) < 0x250 for c in text) >= len(text) else "other"
+    return sum(map(len, words)) / len(tokens), sum(map(model.is_byte, pieces)) / len(pieces), entropy, len(tokens), script
+
+
+def test_verdicts_of_the_fertility_bands(spark):
+    rng, real = random.Random(9), spark.read.parquet(f"{DATA}/documents.parquet").select("text", "lang").limit(60).collect()
+    runs = ["".join(rng.choices("qxzjkvw0123456789", k=9)) for _ in range(60)]  # few characters a token
+    odd = ["".join(chr(rng.randrange(0x13000, 0x13400)) for _ in range(3)) for _ in range(60)]  # bytes instead of pieces
+    same = [" ".join(["word", "other"] * 10 + [f"tail{i}" for i in range(60)]) for _ in range(1)]
+    texts = [(r.text, r.lang) for r in real]
+    texts += [(" ".join(t), lang) for t in (runs, odd, [c for w in odd for c in w]) for lang in ("en", "xx", None)]
+    texts += [(same[0], "de"), (" ".join("漢字仮名文章試験"[i % 8] + chr(0x4E00 + i) for i in range(80)), None), (" ".join(["a"] * 30), "en"), (None, "en"), ("", None), (" \n", "fr")]
+    df = spark.createDataFrame([(i, t, lang) for i, (t, lang) in enumerate(texts)], "doc_id long, text string, lang string")
+    rows = quality_rules.measure(df, "q").collect()
+    seen = collections.Counter()
+    for r in rows:
+        if not brute.words(r.text):
+            assert r.q.chars_per_token is None and r.q.byte_share is None and not r.q.kept and r.q.base_failed
+            continue
+        chars, share, entropy, n, script = plain_fertility(r.text)
+        assert r.q.script == script and abs(r.q.chars_per_token - chars) < 1e-9 and abs(r.q.byte_share - share) < 1e-9
+        b = quality_rules.BANDS.get(r.lang) or quality_rules.BANDS[script]
+        faults = [not b.least_chars <= chars <= b.most_chars, share > b.byte_share, entropy < min(b.entropy, b.entropy_share * math.log2(n))]
+        assert r.q.kept == (not r.q.base_failed and not any(faults))
+        seen.update(["kept" if r.q.kept else "failed" if r.q.base_failed else "chars" if faults[0] else "bytes" if faults[1] else "entropy"])
+    assert seen["kept"] and seen["failed"] and seen["chars"] and sum(seen.values()) == len(rows) - 3
+    kept = {r.doc_id for r in rows if r.q.kept}
+    assert {r.doc_id for r in quality_rules.keep(df).collect()} == kept
+
+
 def test_segmentations_are_distinct_seeded_and_round_trip(spark, docs):
     small = docs.where(F.coalesce(F.length("text"), F.lit(0)) < 2000)
     out = segmentations.sample(clashing(small), 4).withColumn("back", segmentations.decode(F.col("ids"))).collect()
