@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.exprs import count_of
-from millrace.operators.joins import small
+from millrace.operators.joins import small, unused
 from millrace.operators.scanning import days_between
 
 
@@ -26,13 +26,18 @@ def top_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str
 
 
 def _since_last(df: DataFrame, ts: str, hours: int, strict: bool) -> DataFrame:
-    newest = df.agg(F.max(ts).alias("_newest"))
-    bound = F.col("_newest") - F.make_dt_interval(hours=F.lit(hours))
-    return df.join(F.broadcast(newest), F.col(ts) > bound if strict else F.col(ts) >= bound).drop("_newest")
+    name = unused("_newest", df)
+    newest = df.agg(F.max(ts).alias(name))
+    bound = F.col(name) - F.make_dt_interval(hours=F.lit(hours))
+    return df.join(F.broadcast(newest), F.col(ts) > bound if strict else F.col(ts) >= bound).drop(name)
 
 
 def hot(df: DataFrame, key: str, hours: int, weights: Mapping[str, int], value_weight: float) -> DataFrame:
-    """key, score over the last ``hours`` before the newest row: weighted counts by kind plus the weighted sum of values."""
+    """key, score over the last ``hours`` before the newest row: weighted counts by kind plus the weighted sum of values.
+
+    Rows without a time are in no window; null values and kinds without a weight add nothing, and a key whose values are all null
+    has a null score. A null key is a key, repeated rows count each, and an empty table gives none.
+    """
     score = value_weight * F.sum("value")
     for kind, weight in weights.items():
         score = score + weight * F.count_if(F.col("event_type") == kind)
@@ -40,7 +45,11 @@ def hot(df: DataFrame, key: str, hours: int, weights: Mapping[str, int], value_w
 
 
 def trending(df: DataFrame, key: str, ts: str, value: str, hours: int, n: int) -> DataFrame:
-    """key, n, total of the last ``hours``; the ``n`` of the largest total."""
+    """key, n, total of the last ``hours``; the ``n`` of the largest total; ties by key.
+
+    Rows with a null or empty key, or without a time, are left out. A total of null values alone is null and comes last. Repeated
+    rows count each, extra columns are ignored, and an empty table gives none.
+    """
     recent = _since_last(df, ts, hours, True).where(F.col(key) != "")
     out = recent.groupBy(key).agg(F.count("*").alias("n"), F.round(F.sum(value), 4).alias("total"))
     return out.orderBy(F.desc("total"), key).limit(n)

@@ -8,23 +8,34 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.exprs import or_empty
+from millrace.operators.joins import unused
 
 
 def field_changes(old: DataFrame, new: DataFrame, key: str, fields: Sequence[str], uptime: str | None = None) -> DataFrame:
-    """id, field, before, after (and uptime): the fields in which two versions of a row differ; null and '' are equal."""
-    right = new.select(key, *[or_empty(F.col(f)).alias(f"_{f}") for f in fields])
+    """id, field, before, after (and uptime): the fields in which two versions of a row differ; null and '' are equal.
+
+    Rows of a null key, and of a key that one side lacks, have no other version and give nothing. Where a key repeats, each of
+    its rows meets each of the other side's. Columns beside the fields may have any names; empty tables give no row.
+    """
+    given = unused("_new", old)
+    right = new.select(key, F.struct(*[or_empty(F.col(f)).alias(f) for f in fields]).alias(given))
     both = old.join(right, key)
-    pairs = F.array(*[F.struct(F.lit(f).alias("field"), or_empty(F.col(f)).alias("before"), F.col(f"_{f}").alias("after")) for f in fields])
+    pairs = F.array(*[F.struct(F.lit(f).alias("field"), or_empty(F.col(f)).alias("before"), F.col(given)[f].alias("after")) for f in fields])
     more = [F.col(uptime).alias("uptime")] if uptime else []
     rows = both.select(F.col(key).alias("id"), *more, F.explode(F.filter(pairs, lambda p: p["before"] != p["after"])).alias("p"))
     return rows.select("id", "p.field", "p.before", "p.after", *["uptime"] * bool(uptime))
 
 
 def capped_history(df: DataFrame, key: str, value: str, order: Sequence[str], most: int) -> DataFrame:
-    """key, history: the newest ``most`` changes of a value, oldest first. Runs of one value are one change, at their first row."""
+    """key, history: the newest ``most`` changes of a value, oldest first. Runs of one value are one change, at their first row.
+
+    A null value is no change, but the same value after it is one again. A null key is a key; between rows that tie in ``order`` any may come
+    first. Extra columns are ignored whatever they are called, and an empty table gives none.
+    """
+    df = df.select(*dict.fromkeys([key, value, *order]))
     w = Window.partitionBy(key).orderBy(*order)
     before = F.lag(value).over(w)
-    changed = df.withColumn("_before", before).where(F.col("_before").isNull() | (F.col("_before") != F.col(value)))
+    changed = df.withColumn("_before", before).where(F.col(value).isNotNull() & (F.col("_before").isNull() | (F.col("_before") != F.col(value))))
     newest = changed.withColumn("_r", F.row_number().over(Window.partitionBy(key).orderBy(*[F.desc(o) for o in order]))).where(F.col("_r") <= most)
     return newest.groupBy(key).agg(F.sort_array(F.collect_list(F.struct(*order, F.col(value).alias("value")))).alias("history"))
 

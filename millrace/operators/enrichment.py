@@ -7,18 +7,21 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.operators.joins import unused
+
 
 def fill_empty(df: DataFrame, profile: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
     """``df`` with its empty ``columns`` taken from ``profile``, which has one row per key. What is not empty stays.
 
     Null and blank values are empty, and become null where the profile has none. Null keys match no profile. Repeated rows of
-    ``df`` are filled alike, its other columns stay, and those of ``profile`` are ignored.
+    ``df`` are filled alike, its other columns stay whatever they are called, and those of ``profile`` are ignored.
     """
-    other = profile.select(key, *[F.col(c).alias(f"_{c}") for c in columns])
+    there = unused("_profile", df)
+    other = profile.select(key, F.struct(*columns).alias(there))
     out = df.join(other, key, "left")
     for c in columns:
-        out = out.withColumn(c, F.coalesce(F.nullif(F.trim(c), F.lit("")), F.col(f"_{c}")))
-    return out.drop(*[f"_{c}" for c in columns])
+        out = out.withColumn(c, F.coalesce(F.nullif(F.trim(c), F.lit("")), F.col(there)[c]))
+    return out.drop(there)
 
 
 def match_in_two_steps(wanted: DataFrame, items: DataFrame, key: str, line: str, value: str) -> DataFrame:

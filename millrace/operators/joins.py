@@ -9,6 +9,14 @@ from pyspark.sql import functions as F
 BROADCAST_BYTES = 32 << 20
 
 
+def unused(name: str, *frames: DataFrame) -> str:
+    """``name``, with underscores added until no column of the frames is called so, in upper or lower case."""
+    taken = {c.lower() for df in frames for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def held_bytes(df: DataFrame) -> Column:
     """Bytes of a row: 8 of each column, and what its strings hold; lists and structs by their JSON."""
     size = F.lit(8 * len(df.columns)).cast("long")

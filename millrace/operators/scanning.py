@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.operators.joins import small
+from millrace.operators.joins import small, unused
 from millrace.sources.tables import scratch
 
 
@@ -85,8 +85,9 @@ def flatten(df: DataFrame) -> DataFrame:
 
 def retain(df: DataFrame, ts: str, days: int) -> DataFrame:
     """Rows no more than ``days`` calendar days older than the newest; the boundary day stays. Rows without a time go, an empty table stays empty."""
-    newest = df.agg(F.max(ts).cast("date").alias("_newest"))
-    return df.join(F.broadcast(newest), F.col(ts).cast("date") >= F.date_sub("_newest", days)).drop("_newest")
+    name = unused("_newest", df)
+    newest = df.agg(F.max(ts).cast("date").alias(name))
+    return df.join(F.broadcast(newest), F.col(ts).cast("date") >= F.date_sub(name, days)).drop(name)
 
 
 def written_with_counts(df: DataFrame, path: str, before: Mapping[str, Column], keep: Column, after: Mapping[str, Column]) -> dict[str, object]:

@@ -105,7 +105,7 @@ SENTENCE = re.compile(r"[^.!?]+[.!?]*\s*")
 
 @F.udtf(returnType=T.StructType([T.StructField("position", T.IntegerType()), T.StructField("sentence", T.StringType())]))
 class Sentences:
-    """Table function: the sentences of a text."""
+    """Table function: position (from 0) and sentence, trimmed. A null or empty text, or one of stops alone, has none."""
 
     def eval(self, text: str):
         for i, m in enumerate(SENTENCE.finditer(text or "")):

@@ -128,7 +128,5 @@ def t14(spark, d):
 SELECT doc_id, i - 1 AS position, md5(trim(regexp_replace(s, '^[\s]+|[\s]+$', '', 'g'))) AS digest FROM (
   SELECT doc_id, unnest(l) AS s, generate_subscripts(l, 1) AS i FROM (SELECT doc_id, regexp_extract_all(text, '[^.!?]+[.!?]*[\s]*') AS l FROM documents))""")
 def t15(spark, d):
-    spark.udtf.register("sentences", T.Sentences)
-    table(spark, d, "documents").createOrReplaceTempView("_documents")
-    rows = spark.sql("SELECT doc_id, s.position, s.sentence FROM _documents, LATERAL sentences(text) s")
+    rows = table(spark, d, "documents").lateralJoin(T.Sentences(F.col("text").outer()))
     return rows.select("doc_id", F.col("position").cast("long").alias("position"), F.md5(F.col("sentence").cast("binary")).alias("digest"))

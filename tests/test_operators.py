@@ -6,7 +6,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from millrace.functions import exprs as X
-from millrace.operators import changes, estimation, matching, scanning, text
+from millrace.operators import aggregation, changes, enrichment, estimation, matching, scanning, text
 
 
 def test_shard_is_md5_modulo(spark):
@@ -89,3 +89,25 @@ def test_sentences_table_function(spark):
     spark.udtf.register("sentences", text.Sentences)
     rows = spark.sql("SELECT * FROM sentences('One. Two! Three')").collect()
     assert [r.sentence for r in rows] == ["One.", "Two!", "Three"]
+
+
+def test_columns_with_the_names_of_helpers_stay(spark):
+    t = datetime.datetime(2024, 1, 2)
+    rows = [(1, "a", t, 1.0, "x", "y", "p"), (1, "a", t, 2.0, "x", "y", "p"), (2, None, None, None, None, None, None), (None, "", t - datetime.timedelta(days=9), 5.0, "x", "y", "p")]
+    df = spark.createDataFrame(rows, "k int, f string, ts timestamp, value double, _newest string, _NEW string, _profile string")
+    kept = scanning.retain(df, "ts", 3)
+    assert kept.columns == df.columns and [(r.k, r["_newest"]) for r in kept.collect()] == [(1, "x"), (1, "x")]
+    assert [tuple(r) for r in aggregation.trending(df, "f", "ts", "value", 24, 5).collect()] == [("a", 2, 3.0)]
+    assert aggregation.trending(df.where("false"), "f", "ts", "value", 24, 5).count() == 0
+    new = spark.createDataFrame([(1, "b", "z"), (2, "", "z"), (3, "c", "z"), (None, "c", "z")], "k int, f string, _f string")
+    assert [tuple(r) for r in changes.field_changes(df, new, "k", ["f"]).collect()] == [(1, "f", "a", "b")] * 2
+    filled = enrichment.fill_empty(df, new, "k", ["f"])
+    assert filled.columns == df.columns and sorted(((r.k or 0, r.f, r["_profile"]) for r in filled.collect()), key=str) == [(0, None, "p"), (1, "a", "p"), (1, "a", "p"), (2, "", None)]
+
+
+def test_history_of_nulls_and_ties(spark):
+    rows = [(1, "a", 1), (1, None, 2), (1, "a", 3), (1, "a", 4), (1, "b", 5), (None, None, 1), (None, "c", 2)]
+    df = spark.createDataFrame([(*r, "x", "y") for r in rows], "k int, v string, o int, _before string, _r string")
+    out = {r.k: [(h.o, h.value) for h in r.history] for r in changes.capped_history(df, "k", "v", ["o"], 2).collect()}
+    assert out == {1: [(3, "a"), (5, "b")], None: [(2, "c")]}
+    assert changes.capped_history(df.where("false"), "k", "v", ["o"], 2).count() == 0
