@@ -2,7 +2,8 @@
 
 A URL is a set of tokens: the words of its host, path and query, each with the part it stands in; numbers are none. FP-growth over
 the labelled URLs finds the token sets that go with bad labels often enough (support) and mostly (confidence). A rule that contains
-another one's tokens adds nothing and goes. The rules are indexed by their rarest token: a URL asks the index for its tokens and
+another one's tokens adds nothing and goes. Where a URL has many tokens FP-growth would list all their subsets; the sets are then grown
+level by level, of which only those are kept that can be part of such a smallest rule. The rules are indexed by their rarest token: a URL asks the index for its tokens and
 compares what it finds with its whole set, and equal token sets ask once.
 """
 
@@ -82,13 +83,56 @@ def _matches(shapes: DataFrame, index: DataFrame) -> DataFrame:
     return with_few(asked, index, "token").where(F.size(F.array_except("antecedent", "has")) == 0).select("shape", "antecedent")
 
 
+def _grown(kept: DataFrame, total: int, floor: int, confidence: float) -> DataFrame:
+    """antecedent, n_bad, confidence: the smallest rules over ``kept`` (shape, n, n_bad, items), level by level.
+
+    A set goes on while it is no rule, has ``floor`` bad URLs, and each of its tokens makes it rarer: a set as frequent as one of its
+    subsets has that one's confidence, and so has what holds either, so that no smallest rule holds it. All subsets of a set that goes on
+    go on themselves. A shape's sets of one level meet by their common tokens; a level is a table.
+    """
+    sums = [F.sum("n").alias("n"), F.sum("n_bad").alias("n_bad")]
+    is_rule = F.col("n_bad") / F.col("n") >= confidence
+    holds = kept.select("shape", "n", "n_bad", F.lit("").alias("head"), F.explode("items").alias("last"))
+    sets = stored(holds.groupBy("head", "last").agg(*sums).where(F.col("n_bad") >= floor))
+    rules = sets.where(is_rule)
+    sets = sets.where(~is_rule & (F.col("n") < total))
+    name = F.concat_ws(" ", "head", "last")
+    while sets.limit(2).count() > 1:
+        holds = stored(with_few(holds, sets.select("head", "last"), ["head", "last"]))
+        after = holds.select("shape", "head", F.col("last").alias("next"))
+        pairs = holds.join(after, ["shape", "head"]).where(F.col("last") < F.col("next"))
+        holds = pairs.select("shape", "n", "n_bad", F.ltrim(name).alias("head"), F.col("next").alias("last"))
+        found = stored(holds.groupBy("head", "last").agg(*sums).where(F.col("n_bad") >= floor))
+        tokens_of = _tokens_of(name)
+        one_less = F.transform(tokens_of, lambda t: F.array_join(F.array_remove(tokens_of, t), " "))
+        parts = found.select("head", "last", F.col("n").alias("of_all"), F.size(tokens_of).alias("size"), F.explode(one_less).alias("part"))
+        known = sets.select(F.ltrim(name).alias("part"), F.col("n").alias("of_part"))
+        free = with_few(parts, known, "part").where("of_part > of_all").groupBy("head", "last", "size").agg(F.count("*").alias("parts")).where("parts = size")
+        sets = stored(found.join(free.select("head", "last"), ["head", "last"]))
+        rules = rules.unionByName(sets.where(is_rule))
+        sets = sets.where(~is_rule)
+    return stored(rules.select(F.array_sort(_tokens_of(name)).alias("antecedent"), "n_bad", (F.col("n_bad") / F.col("n")).alias("confidence")))
+
+
+def _by_growth(labelled: DataFrame, kept: DataFrame, count: int, floor: int, confidence: float) -> DataFrame:
+    """antecedent, n_bad, confidence: the rules over ``kept`` by FP-growth."""
+    spark = labelled.sparkSession
+    rows = attach(labelled, kept.select("shape", "items"), "shape")
+    rows = rows.select(F.when(F.col("bad"), F.concat("items", F.array(F.lit(_BAD)))).otherwise(F.col("items")).alias("items"))
+    # half a row less than the floor, so that rounding cannot move it
+    model = FPGrowth(itemsCol="items", minSupport=(floor - 0.5) / count, minConfidence=confidence, numPartitions=shuffle_width(spark)).fit(rows)
+    rules = model.associationRules.where(F.element_at("consequent", 1) == _BAD)
+    return rules.select(F.array_sort("antecedent").alias("antecedent"), F.round(F.col("support") * count).cast("long").alias("n_bad"), "confidence")
+
+
 def mine(labelled: DataFrame, *, support: float, least: int, confidence: float, longest: int) -> DataFrame:
     """antecedent, n_bad, confidence, token: the rules, each under its rarest token.
 
     ``labelled`` has shape and bad. A rule's tokens occur together in at least ``least`` bad URLs and in at least a share ``support`` of
     all labelled ones, and of the URLs that have them at least a share ``confidence`` is bad. Tokens that are not in that many bad
-    URLs are in no such rule and are left out before; of the others a URL gives FP-growth the ``longest`` that go most with bad
-    labels, since a set of n tokens has 2**n subsets. Without labelled URLs there is no rule.
+    URLs are in no such rule and are left out before. FP-growth lists all subsets of what is left, 2**n of n tokens; so it is taken where
+    no URL has more than ``longest`` of them, and else the sets are grown level by level, which finds the same smallest rules. Without
+    labelled URLs there is no rule.
     """
     spark = labelled.sparkSession
     shapes = stored(labelled.groupBy("shape").agg(F.count("*").alias("n"), F.count_if("bad").alias("n_bad")))
@@ -96,19 +140,12 @@ def mine(labelled: DataFrame, *, support: float, least: int, confidence: float,
     floor = max(least, math.ceil(support * total))
     each = shapes.select("shape", "n", "n_bad", F.explode(_tokens_of("shape")).alias("token"))
     known = stored(each.groupBy("token").agg(F.sum("n").alias("n"), F.sum("n_bad").alias("n_bad")).where(F.col("n_bad") >= floor))
-    ranked = F.sort_array(F.collect_list(F.struct((-F.col("k.n_bad") / F.col("k.n")).alias("share"), F.col("k.n").alias("n"), "token")))
-    few = known.select("token", F.struct("n", "n_bad").alias("k"))
-    kept = stored(with_few(each, few, "token").groupBy("shape", F.col("n")).agg(F.slice(ranked, 1, longest)["token"].alias("items")))
-    count = kept.agg(F.sum("n")).first()[0] or 0
+    kept = stored(with_few(each, known.select("token"), "token").groupBy("shape", "n", "n_bad").agg(F.collect_list("token").alias("items")))
+    count, widest = kept.agg(F.coalesce(F.sum("n"), F.lit(0)), F.max(F.size("items"))).first()
     schema = "antecedent array<string>, n_bad long, confidence double, token string"
     if not count:
         return spark.createDataFrame([], schema)
-    rows = attach(labelled, kept.drop("n"), "shape")
-    rows = rows.select(F.when(F.col("bad"), F.concat("items", F.array(F.lit(_BAD)))).otherwise(F.col("items")).alias("items"))
-    # half a row less than the floor, so that rounding cannot move it
-    model = FPGrowth(itemsCol="items", minSupport=(floor - 0.5) / count, minConfidence=confidence, numPartitions=shuffle_width(spark)).fit(rows)
-    rules = model.associationRules.where(F.element_at("consequent", 1) == _BAD)
-    rules = rules.select(F.array_sort("antecedent").alias("antecedent"), F.round(F.col("support") * count).cast("long").alias("n_bad"), "confidence")
+    rules = _by_growth(labelled, kept, count, floor, confidence) if widest <= longest else _grown(kept, total, floor, confidence)
     rules = rules.withColumn("shape", F.array_join("antecedent", " "))
     rarest = with_few(rules.select("shape", F.explode("antecedent").alias("token")), known.select("token", "n"), "token")
     rules = stored(rules.join(rarest.groupBy("shape").agg(F.min(F.struct("n", "token"))["token"].alias("token")), "shape"))

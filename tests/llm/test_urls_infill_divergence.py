@@ -165,6 +165,29 @@ def test_mined_rules_are_the_smallest(spark):
     assert all(r.token in r.antecedent and 0.8 <= r.confidence <= 1 and r.n_bad >= 5 for r in rules)
 
 
+@pytest.mark.parametrize("longest", [1, 16])
+def test_tokens_of_long_urls_are_all_mined(spark, longest):
+    """Tokens that each go less with bad labels than 16 others of their URL, and only together always."""
+    rng = random.Random(3)
+    words = [f"p:w{chr(97 + k)}" for k in range(18)]
+    rows = [(" ".join(sorted([*words, "p:ya", "p:yb", f"q:u{chr(97 + k)}"])), True) for k in range(6)]
+    rows += [(" ".join(sorted([y, *(w for w in words if rng.random() < 0.6)])), False) for y in ("p:ya", "p:yb") for _ in range(40)]
+    rows += [(" ".join(sorted(rng.sample(words, 4))), k % 2 == 0) for k in range(60)]
+    sets = [(frozenset(s.split()), bad) for s, bad in rows]
+    found = url_rules.mine(spark.createDataFrame(rows, "shape string, bad boolean"), support=0.0, least=5, confidence=0.8, longest=longest).collect()
+    counts = {frozenset(r.antecedent): r for r in found}
+    assert frozenset({"p:ya", "p:yb"}) in counts and len(counts) == len(found)
+    tokens = sorted({t for s, _ in sets for t in s})
+    want = set()
+    for size in range(1, 4):
+        level = [frozenset(c) for c in itertools.combinations(tokens, size) if sum(bad for s, bad in sets if s >= set(c)) >= 5]
+        want |= {c for c in level if sum(b for s, b in sets if s >= c) >= 0.8 * sum(s >= c for s, _ in sets) and not any(w < c for w in want)}
+    assert {c for c in counts if len(c) < 4} == want
+    for c, r in counts.items():
+        assert r.n_bad == sum(b for s, b in sets if s >= c) and r.confidence == r.n_bad / sum(s >= c for s, _ in sets) and r.token in c
+        assert not any(w < c for w in counts)
+
+
 def test_long_equal_urls_do_not_make_all_their_subsets(spark):
     url = "http://h.org/" + "/".join(f"w{chr(97 + k // 26)}{chr(97 + k % 26)}" for k in range(60)) + "/"
     pages = spark.createDataFrame([(k, url + str(k)) for k in range(40)], "page_id long, url string")
