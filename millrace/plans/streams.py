@@ -63,15 +63,19 @@ def x4(spark, d):
     return folds.expiring_first(events, ["user_id", "event_type"], "ts", "event_id", 20 * 60)
 
 
+#: Files of a part of a stream that is taken in two parts.
+_FILES = 8
+
+
 def _mixed(spark, d):
-    """The events in two files, without regard to their time."""
-    events = table(spark, d, "events")
-    return J.spooled_in_turn([events.where(F.pmod(F.xxhash64("event_id"), F.lit(2)) == k) for k in range(2)], scratch(spark, "mixed"))
+    """The events in two parts, without regard to their time."""
+    events = table(spark, d, "events").select("event_id", "ts", "user_id", "event_type")
+    return J.spooled_in_turn([events.where(F.pmod(F.xxhash64("event_id"), F.lit(2)) == k) for k in range(2)], scratch(spark, "mixed"), _FILES)
 
 
 @query("x4_stream_expiring", _X4_SQL)
 def x4b(spark, d):
-    return S.expiring_first(spark, _mixed(spark, d), ["user_id", "event_type"], "ts", "event_id", 20 * 60, scratch(spark, "expiring"), delay="40 days", files=1, complete=True)
+    return S.expiring_first(spark, _mixed(spark, d), ["user_id", "event_type"], "ts", "event_id", 20 * 60, scratch(spark, "expiring"), delay="40 days", files=_FILES, complete=True)
 
 
 @query("x5_stream_buffers", """
@@ -88,7 +92,7 @@ f AS (SELECT user_id, unnest(out, recursive := true) FROM s WHERE out IS NOT NUL
   UNION ALL SELECT user_id, began, first, len(seen), dropped, 'time' FROM s WHERE r = total AND NOT brim)
 SELECT user_id, began, first, n, dropped, reason FROM f""")
 def x5c(spark, d):
-    return S.buffers(spark, _mixed(spark, d), ["user_id"], "ts", "event_id", "event_type", 4, 6 * 3600, scratch(spark, "buffers"), delay="40 days", files=1, complete=True)
+    return S.buffers(spark, _mixed(spark, d), ["user_id"], "ts", "event_id", "event_type", 4, 6 * 3600, scratch(spark, "buffers"), delay="40 days", files=_FILES, complete=True)
 
 
 @query("x5_micro_batches", "SELECT event_type, count(*) AS n FROM (SELECT DISTINCT event_id, event_type FROM events) GROUP BY 1")

@@ -25,10 +25,10 @@ def spooled(df: DataFrame, path: str, kind: str) -> str:
     return path
 
 
-def spooled_in_turn(parts: Sequence[DataFrame], path: str) -> str:
-    """A folder with a file for each of the parts, in this order: with ``files=1`` a stream takes them one by one."""
+def spooled_in_turn(parts: Sequence[DataFrame], path: str, files: int = 1) -> str:
+    """A folder with ``files`` files for each of the parts, in this order: with the same ``files`` a stream takes them one by one."""
     for part in parts:
-        part.coalesce(1).write.mode("append").parquet(path)
+        (part.coalesce(1) if files == 1 else part.repartition(files)).write.mode("append").parquet(path)
     return path
 
 

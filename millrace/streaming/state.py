@@ -4,11 +4,19 @@ Rows may come in any order and any batches. A key's rows wait until the watermar
 passed them, and are then taken in order of time, so that results do not depend on how the stream was cut. Rows that come after the
 watermark has passed their time are dropped, as Spark does. What a key waits for is bounded by its rate times ``delay``, and a key
 that has nothing more to wait for leaves no state behind. Each call goes on where the last one with the same ``out`` ended.
+
+Every access to the state is a message between Python and the JVM, and so is every timer. Keys are therefore dealt over ``buckets`` by
+their hash, and a bucket's rows and states are read, written and woken together: a number of messages for each bucket and batch, not for
+each key. A task holds one bucket's waiting rows.
 """
 
 from __future__ import annotations
 
+import pickle
+from collections import defaultdict
 from collections.abc import Iterator, Sequence
+from itertools import islice
+from operator import itemgetter
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -20,51 +28,80 @@ _STORE = "spark.sql.streaming.stateStore.providerClass"
 _ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
+#: Rows that one value of a bucket's list of waiting rows holds.
+_LOT = 5000
+
+
 class InOrder(StatefulProcessor):
-    """Hands a key's rows to ``take`` in order of ``at`` and ``tie`` once the watermark has passed them.
+    """Hands each key's rows to ``take`` in order of ``at`` and ``tie`` once the watermark has passed them; state and timers are a bucket's.
 
-    ``held`` is the fold's state, a tuple or None; ``take`` returns it after a row and adds to ``out``. ``wake`` tells what becomes of it when nothing has
-    come up to the watermark, and the time (microseconds) at which it should be asked again.
+    ``columns`` are ``at``, the ``keys`` and the rest. ``held`` is the fold's state, a tuple or None; ``take`` returns it after a row and adds to ``out``. ``wake`` tells
+    what becomes of it when nothing has come up to the watermark, and the time (microseconds) at which it should be asked again.
     """
 
-    waiting_schema = held_schema = ""
     columns: Sequence[str] = ()
+    keys: Sequence[str] = ()
     tie = 0
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", self.waiting_schema)
-        self.held = handle.getValueState("held", self.held_schema)
+        self.waiting = handle.getListState("waiting", "rows binary")
+        self.held = handle.getValueState("held", "states binary")
 
     def _timer(self, micros: int) -> None:
         self.handle.registerTimer(-(-micros // 1000))
 
+    def _wait(self, rows: Iterator[tuple]) -> int | None:
+        """Add rows to those that wait; the time of the first of them."""
+        first = None
+        while lot := list(islice(rows, _LOT)):
+            self.waiting.appendList([(pickle.dumps(lot),)])
+            first = min(first or lot[0], min(lot, key=itemgetter(0)), key=itemgetter(0))
+        return first and first[0]
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        new = [tuple(r[c] for c in self.columns) for r in rows if r["_data"]]
-        if new:
-            self.waiting.appendList(new)
-            self._timer(min(r[0] for r in new))
+        def data() -> Iterator[tuple]:
+            places = None
+            for r in rows:
+                places = places or [r.__fields__.index(c) for c in (*self.columns, "_data")]
+                *row, there = map(tuple(r).__getitem__, places)
+                if there:
+                    yield tuple(row)
+
+        first = self._wait(data())
+        if first is not None:
+            self._timer(first)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        now, out = timerValues.getCurrentWatermarkInMs() * 1000, []
-        waiting = list(self.waiting.get())
-        due = sorted((r for r in waiting if r[0] <= now), key=lambda r: (r[0], r[self.tie]))
-        before = held = self.held.get()
-        for row in due:
-            held = self.take(key, held, row, out)
-        held, wake = self.wake(key, held, now, out)
-        if held != before:
-            self.held.clear() if held is None else self.held.update(held)
-        if len(due) < len(waiting):
-            rest = [r for r in waiting if r[0] > now]
-            if due:
-                self.waiting.put(rest)
-            self._timer(min(r[0] for r in rest))
-        elif waiting:
+        now, out, due, rest = timerValues.getCurrentWatermarkInMs() * 1000, [], defaultdict(list), []
+        until = 1 + len(self.keys)
+        for (lot,) in self.waiting.get():
+            for row in pickle.loads(lot):
+                (due[row[1:until]] if row[0] <= now else rest).append(row)
+        known = self.held.get()
+        states = pickle.loads(known[0]) if known else {}
+        for k, rows in due.items():
+            held = states.get(k)
+            for row in sorted(rows, key=lambda r: (r[0], r[self.tie])):
+                held = self.take(k, held, row, out)
+            states[k] = held
+        after, wakes = {}, [min(r[0] for r in rest)] if rest else []
+        for k, held in states.items():
+            held, wake = self.wake(k, held, now, out)
+            if held is not None:
+                after[k] = held
+            if wake is not None:
+                wakes.append(wake)
+        if after:
+            self.held.update((pickle.dumps(after),))
+        elif known:
+            self.held.clear()
+        if due:
             self.waiting.clear()
-        if wake is not None:
-            self._timer(wake)
+            self._wait(iter(rest))
+        if wakes:
+            self._timer(min(wakes))
         return iter(out)
 
     def take(self, key, held: tuple | None, row: tuple, out: list[Row]) -> tuple | None:
@@ -80,10 +117,8 @@ class InOrder(StatefulProcessor):
 class Expiring(InOrder):
     """A row that passes holds its key for ``lifetime`` microseconds; the timer lets go of it."""
 
-    held_schema = "since long"
-
-    def __init__(self, columns: Sequence[str], schema: str, tie: str, lifetime: int) -> None:
-        self.columns, self.waiting_schema, self.tie, self.lifetime = columns, schema, columns.index(tie), lifetime
+    def __init__(self, keys: Sequence[str], columns: Sequence[str], tie: str, lifetime: int) -> None:
+        self.keys, self.columns, self.tie, self.lifetime = keys, columns, columns.index(tie), lifetime
 
     def take(self, key, held, row, out):
         if held is not None and row[0] - held[0] < self.lifetime:
@@ -100,10 +135,8 @@ class Expiring(InOrder):
 class Buffers(InOrder):
     """A buffer without repeated items that is flushed when full or ``timeout`` microseconds after its first row."""
 
-    held_schema = "began long, first string, n long, dropped long, seen array<string>"
-
-    def __init__(self, keys: Sequence[str], columns: Sequence[str], schema: str, tie: str, item: str, size: int, timeout: int) -> None:
-        self.keys, self.columns, self.waiting_schema, self.tie = keys, columns, schema, columns.index(tie)
+    def __init__(self, keys: Sequence[str], columns: Sequence[str], tie: str, item: str, size: int, timeout: int) -> None:
+        self.keys, self.columns, self.tie = keys, columns, columns.index(tie)
         self.item, self.size, self.timeout = columns.index(item), size, timeout
 
     def _flush(self, key, held, reason, out):
@@ -131,7 +164,7 @@ class Buffers(InOrder):
         return held, None if held is None else held[0] + self.timeout
 
 
-def _run(spark: SparkSession, path: str, keys: Sequence[str], ts: str, columns: Sequence[str], delay: str, out: str, files: int, closing: str | None, processor, result: str) -> DataFrame:
+def _run(spark: SparkSession, path: str, keys: Sequence[str], ts: str, columns: Sequence[str], delay: str, out: str, files: int, closing: str | None, processor: InOrder, result: str, buckets: int) -> DataFrame:
     """Run ``processor`` over the rows of the table at ``path`` that have all of ``keys`` and ``ts``.
 
     Their time is the long ``at``. With ``closing``, an interval, the input counts as complete: a row that is no data, ``closing`` after the last
@@ -148,7 +181,8 @@ def _run(spark: SparkSession, path: str, keys: Sequence[str], ts: str, columns:
         there = there & F.col(k).isNotNull()
     # a mark goes as far as the processor: a filter would be moved in front of the watermark
     rows = rows.where(there | ~F.col("_data")).withColumn("at", F.unix_micros(ts))
-    folded = rows.groupBy(*keys).transformWithState(processor, result, "append", "eventTime")
+    rows = rows.withColumn("_bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+    folded = rows.groupBy("_bucket").transformWithState(processor, result, "append", "eventTime")
     before = spark.conf.get(_STORE)
     spark.conf.set(_STORE, _ROCKS)
     try:
@@ -164,18 +198,19 @@ def _run(spark: SparkSession, path: str, keys: Sequence[str], ts: str, columns:
 
 
 def expiring_first(
-    spark: SparkSession, path: str, keys: Sequence[str], ts: str, tie: str, seconds: int, out: str, *, columns: Sequence[str] = (), delay: str = "0 seconds", files: int = 64, complete: bool = False
+    spark: SparkSession, path: str, keys: Sequence[str], ts: str, tie: str, seconds: int, out: str, *, columns: Sequence[str] = (), delay: str = "0 seconds", files: int = 64, complete: bool = False, buckets: int = 1024
 ) -> DataFrame:
     """ts, keys, tie and columns of the rows whose key is not held, over a stream; see folds.expiring_first() for the rule.
 
     Rows with a null key or time hold nothing and always pass; repeated rows are held back by the first. An empty table gives no row. Rows that are
     later than ``delay`` allows are dropped. With ``complete`` the input has ended and nothing waits any longer; rows that come afterwards are late.
+    ``buckets`` must stay the same for an ``out``.
     """
     kept = list(dict.fromkeys([*keys, tie, *columns]))
     kinds = dict(spark.read.parquet(path).dtypes)
     schema = ", ".join(["at long", *(f"`{c}` {kinds[c]}" for c in kept)])
-    processor = Expiring(["at", *kept], schema, tie, seconds * 1_000_000)
-    found = _run(spark, path, keys, ts, kept, delay, f"{out}/known", files, "1 second" if complete else None, processor, schema)
+    processor = Expiring(keys, ["at", *kept], tie, seconds * 1_000_000)
+    found = _run(spark, path, keys, ts, kept, delay, f"{out}/known", files, "1 second" if complete else None, processor, schema, buckets)
     some = F.col(ts).isNull()
     for k in keys:
         some = some | F.col(k).isNull()
@@ -184,17 +219,16 @@ def expiring_first(
 
 
 def buffers(
-    spark: SparkSession, path: str, keys: Sequence[str], ts: str, tie: str, item: str, size: int, seconds: int, out: str, *, delay: str = "0 seconds", files: int = 64, complete: bool = False
+    spark: SparkSession, path: str, keys: Sequence[str], ts: str, tie: str, item: str, size: int, seconds: int, out: str, *, delay: str = "0 seconds", files: int = 64, complete: bool = False, buckets: int = 1024
 ) -> DataFrame:
     """keys, began, first, n, dropped, reason: the flushes of a buffer per key over a stream; see folds.buffers() for the rule.
 
     A buffer is flushed by its timer even if no row comes. Rows with a null key or time belong to none, a null item is an item. With ``complete`` the
-    input has ended and all buffers run out.
+    input has ended and all buffers run out. ``buckets`` must stay the same for an ``out``.
     """
     kept = list(dict.fromkeys([*keys, tie, item]))
     kinds = dict(spark.read.parquet(path).dtypes)
-    schema = ", ".join(["at long", *(f"`{c}` {kinds[c]}" for c in kept)])
     result = ", ".join([*(f"`{c}` {kinds[c]}" for c in keys), "at long, first string, n long, dropped long, reason string"])
-    processor = Buffers(keys, ["at", *kept], schema, tie, item, size, seconds * 1_000_000)
-    found = _run(spark, path, keys, ts, kept, delay, out, files, f"{seconds + 1} seconds" if complete else None, processor, result)
+    processor = Buffers(keys, ["at", *kept], tie, item, size, seconds * 1_000_000)
+    found = _run(spark, path, keys, ts, kept, delay, out, files, f"{seconds + 1} seconds" if complete else None, processor, result, buckets)
     return found.select(*keys, F.timestamp_micros("at").cast(kinds[ts]).alias("began"), F.col("first").cast(kinds[tie]).alias("first"), "n", "dropped", "reason")

@@ -6,6 +6,7 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from millrace.operators import automaton, changes, folds, matching, scanning
@@ -244,3 +245,43 @@ def test_pages_of_one_hot_and_one_far_off_key(spark):
     assert out.where("k IS NULL").first().page == 0 and out.where("k > 5").first().page == 90
     files = data_files(out.inputFiles()[0].removeprefix("file://").rpartition("/")[0])
     assert len(files) > 30  # no range holds them all
+
+
+class _Handle:
+    """State in lists, with a count of the messages that a real handle would send."""
+
+    def __init__(self):
+        self.n, self.held = 0, {"waiting": [], "held": []}
+
+    def _state(self, name, schema):
+        def called(change=None):
+            self.n += 1
+            if change is not None:
+                self.held[name] = change
+            return self.held[name]
+
+        each = type("State", (), {})()
+        each.appendList = lambda values: called(self.held[name] + values)
+        each.update = lambda value: called([value])
+        each.clear = lambda: called([])
+        each.get = lambda: iter(called()) if name == "waiting" else next(iter(called()), None)
+        return each
+
+    getListState = getValueState = _state
+
+    def registerTimer(self, at):
+        self.n += 1
+
+
+def test_messages_of_keyed_state_do_not_grow_with_keys():
+    def messages(n):
+        handle, processor = _Handle(), state.Expiring(["k"], ["at", "k", "id"], "id", 1000)
+        processor.init(handle)
+        mark = type("Mark", (), {"getCurrentWatermarkInMs": lambda self: 1 if n > 5 else 2})()
+        rows = [Row(id=i, k=i % n, at=i, _data=True) for i in range(2 * n)]
+        assert list(processor.handleInputRows((0,), iter(rows), mark)) == []
+        assert sorted(r.id for r in processor.handleExpiredTimer((0,), mark, None)) == list(range(n))
+        assert len(handle.held["waiting"]) == (n > 5)
+        return handle.n
+
+    assert messages(3) <= 8 and messages(900) <= 8
