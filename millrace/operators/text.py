@@ -5,11 +5,15 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.llm.common import small_batches
+
 
 def counts(df: DataFrame, key: str, text: str) -> DataFrame:
     """key, chars, words, ideographs, lines, paragraphs."""
@@ -62,15 +66,36 @@ def split_text(text: str, size: int) -> list[str]:
     return out
 
 
-def chunks(df: DataFrame, key: str, text: str, size: int) -> DataFrame:
-    """key, chunk (from 1), chunk_text: a text in pieces that add up to it. Null and empty texts have none."""
+#: Characters of the texts whose pieces a Python worker holds at once, unless one text has more.
+_HELD = 1 << 20
 
-    @F.pandas_udf("array<string>")
-    def pieces(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: split_text(t, size) if t else [])
 
-    rows = df.select(key, F.posexplode(pieces(text)).alias("i", "chunk_text"))
-    return rows.select(key, (F.col("i") + 1).cast("long").alias("chunk"), "chunk_text")
+def _pieces(batches: Iterator[pa.RecordBatch], size: int, held: int = _HELD) -> Iterator[pa.RecordBatch]:
+    """key, chunk, chunk_text of batches of (key, text), in batches of few texts."""
+    for batch in batches:
+        begin, n, sizes, out = 0, 0, [], []
+        for i, text in enumerate(batch.column(1), 1):
+            found = split_text(text.as_py() or "", size)
+            sizes.append(len(found))
+            out += found
+            n += sum(map(len, found))
+            if out and (n >= held or i == batch.num_rows):
+                many = np.array(sizes)
+                keys = batch.column(0).slice(begin, len(sizes)).take(pa.array(np.repeat(np.arange(len(sizes)), many)))
+                chunk = np.arange(len(out)) - np.repeat(np.cumsum(many) - many, many) + 1
+                yield pa.RecordBatch.from_arrays([keys, pa.array(chunk, pa.int64()), pa.array(out, pa.string())], ["key", "chunk", "chunk_text"])
+                begin, n, sizes, out = i, 0, [], []
+
+
+def chunks(df: DataFrame, key: str, text: str, size: int) -> DataFrame:
+    """key, chunk (from 1), chunk_text: a text in pieces that add up to it. Null and empty texts have none.
+
+    A worker holds a batch of whole texts and the pieces of about a million characters.
+    """
+    small_batches(df.sparkSession)
+    rows = df.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"))
+    schema = f"key {rows.schema['key'].dataType.simpleString()}, chunk long, chunk_text string"
+    return rows.mapInArrow(lambda batches: _pieces(batches, size), schema).withColumnRenamed("key", key)
 
 
 def overlapping(df: DataFrame, key: str, order: str, text: str, overlap: int) -> DataFrame:

@@ -1,6 +1,7 @@
 import datetime
 import hashlib
 
+import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -111,3 +112,21 @@ def test_history_of_nulls_and_ties(spark):
     out = {r.k: [(h.o, h.value) for h in r.history] for r in changes.capped_history(df, "k", "v", ["o"], 2).collect()}
     assert out == {1: [(3, "a"), (5, "b")], None: [(2, "c")]}
     assert changes.capped_history(df.where("false"), "k", "v", ["o"], 2).count() == 0
+
+
+def test_pieces_of_a_batch_come_in_small_batches():
+    texts = ["one two. " * 400, None, "", "x" * 2500, "a\n\nb " * 300] * 20
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts, pa.string())], ["key", "text"])
+    found = list(text._pieces(iter([batch]), 500, held=5000))
+    assert max(sum(map(len, b["chunk_text"].to_pylist())) for b in found) <= 5000 + 3600 and len(found) > 10
+    rows = [tuple(r.values()) for b in found for r in b.to_pylist()]
+    assert rows == [(k, i, piece) for k, t in enumerate(texts) for i, piece in enumerate(text.split_text(t or "", 500), 1)]
+
+
+def test_chunks_hold_small_arrow_batches(spark):
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    df = spark.createDataFrame([(1, "a b " * 300), (None, "c"), (2, None), (1, "")], "doc_id long, text string")
+    found = text.chunks(df, "doc_id", "text", 500)
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= 1000
+    want = [(k, i, p) for k, t in ((1, "a b " * 300), (None, "c")) for i, p in enumerate(text.split_text(t, 500), 1)]
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(want, key=str)
