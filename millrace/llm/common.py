@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
+import time
 import uuid
+from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -69,6 +74,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 _held: dict[str, object] = {}
+_let_go: list[Callable[[], None]] = []
+
+
+def let_go_with_tables(*caches: Callable[[], None]) -> None:
+    """Functions that empty what the tables of of_worker() are made with."""
+    _let_go.extend(caches)
 
 
 def of_worker(name: str, make):
@@ -77,11 +88,29 @@ def of_worker(name: str, make):
     Workers outlive stages; so only the tables of the operator at work take memory.
     """
     if name not in _held:
-        _held.clear()
+        no_tables()
         _held[name] = make()
     return _held[name]
 
 
+_trimmed = 0.0
+
+
 def no_tables() -> None:
-    """Let go of what of_worker() holds; for operators that keep no tables of their own."""
-    _held.clear()
+    """Let go of what of_worker() holds, for operators that keep no tables of their own, and hand freed memory back to the system.
+
+    Allocators keep it otherwise, and workers outlive stages. Memory is handed back once a second at most.
+    """
+    global _trimmed
+    if _held:
+        _held.clear()
+        for empty in _let_go:
+            empty()
+        gc.collect()
+    elif time.monotonic() - _trimmed < 1:
+        return
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc
+    if trim is not None:
+        trim(0)
+    _trimmed = time.monotonic()

@@ -110,6 +110,7 @@ def _star(percent: int):
     """Which members of a chunk link with the family's centre."""
 
     def run(table: pa.Table) -> pa.Table:
+        no_tables()
         centre = np.array(table["centre"].to_pylist(), dtype=bool)
         sets, n = _sets(table)
         c = sets[int(np.flatnonzero(centre)[0])]
@@ -126,6 +127,7 @@ def _against(percent: int):
     """Links of a chunk's members with texts that are not linked with their centre, thinned to a forest."""
 
     def run(table: pa.Table) -> pa.Table:
+        no_tables()
         asks = np.array(table["asks"].to_pylist(), dtype=bool)
         sets, n = _sets(table)
         reps = table["rep"].to_numpy()

@@ -1,4 +1,4 @@
-"""Public tokenizers, loaded once in each Python worker. Their files stay where they are; paths are parameters."""
+"""Public tokenizers, loaded once in each Python worker and let go with the tables made of them. Their files stay where they are; paths are parameters."""
 
 from __future__ import annotations
 
@@ -8,6 +8,8 @@ import json
 
 import public_tokenizers
 
+from millrace.llm.common import let_go_with_tables
+
 
 @functools.lru_cache(maxsize=1)
 def byte_bpe(path: str):
@@ -44,5 +46,8 @@ def byte_pieces(path: str) -> frozenset[int]:
     return frozenset(i for i in range(model.get_piece_size()) if model.is_byte(i))
 
 
+let_go_with_tables(byte_bpe.cache_clear, piece_model.cache_clear)
+
+
 def default_path(name: str) -> str:
     return public_tokenizers.path(name)

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from millrace.llm import (
     chat,
     classifier,
+    common,
     components,
     minhash,
     packing,
@@ -736,3 +737,11 @@ def test_pipeline_stages_take_odd_rows_and_empty_tables(spark, tmp_path):
         assert (docs.count() > 0) == bool(data)
     packed = corpus_pipeline.pack(spark, spark.createDataFrame(odd, DOCS), "")
     assert sorted((r.doc_id, r.doc_tokens) for r in packed.where("doc_id IS NOT NULL").collect()) == [(1, 3), (2, 2)]
+
+
+def test_tokenizers_are_let_go_with_the_tables():
+    path = vocabulary.default_path("byte_bpe_multi_50k.tiktoken")
+    common.of_worker("first", lambda: vocabulary.byte_bpe(path))
+    assert vocabulary.byte_bpe.cache_info().currsize == 1
+    common.no_tables()
+    assert vocabulary.byte_bpe.cache_info().currsize == 0 and not common._held
