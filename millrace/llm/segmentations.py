@@ -16,7 +16,6 @@ from __future__ import annotations
 import functools
 import math
 import random
-from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -115,34 +114,94 @@ def _pieces(path: str, alpha: float) -> _Pieces:
     return _Pieces(path, alpha)
 
 
+def _ranges(begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers from each beginning on, as many as its size, one after another."""
+    ends = np.cumsum(sizes)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(begins - ends + sizes, sizes)
+
+
+class _Column:
+    """Numbers that grow in place."""
+
+    def __init__(self, dtype: type) -> None:
+        self.room, self.size = np.empty(1024, dtype), 0
+
+    def grow(self, more: int) -> np.ndarray:
+        """The places of ``more`` new numbers, to be filled in."""
+        if self.size + more > len(self.room):
+            wider = np.empty(max(2 * len(self.room), self.size + more), self.room.dtype)
+            wider[: self.size] = self.all()
+            self.room = wider
+        self.size += more
+        return self.room[self.size - more : self.size]
+
+    def keep(self, numbers: np.ndarray) -> None:
+        """Replace the numbers by no more others."""
+        self.size = len(numbers)
+        self.room[: self.size] = numbers
+
+    def all(self) -> np.ndarray:
+        return self.room[: self.size]
+
+
 class _Lattices:
-    """Word lattices as flat tables. A node's edges stand together, with their probabilities summed up and offset by the node's number."""
+    """Word lattices as flat tables. A node's edges stand together, each with the probability of those before it.
 
-    def __init__(self, pieces: _Pieces, limit: int = 100_000) -> None:
-        self.pieces, self.limit = pieces, limit
-        self.forget()
+    Beyond ``limit`` words only those stay that come again and again: most distinct words of a corpus are seen once or twice.
+    """
 
-    def forget(self) -> None:
+    def __init__(self, pieces: _Pieces, limit: int = 150_000) -> None:
+        self.pieces, self.limit = pieces, limit
         self.types: dict[str, int] = {}
-        self.first, self.last = array("q"), array("q")  # nodes of each type
-        self.begin = array("q", [0])  # of each node's edges, and where the last one's end
-        self.upto, self.to, self.piece, self.logp, self.rest = array("d"), array("i"), array("i"), array("d"), array("f")
+        self.uses = np.zeros(0, dtype=np.int32)  # of each type, in calls of of()
+        self.first, self.last = _Column(np.int64), _Column(np.int64)  # nodes of each type
+        self.begin = _Column(np.int64)  # of each node's edges, and where the last one's end
+        self.begin.keep(np.zeros(1, dtype=np.int64))
+        self.below, self.logp, self.rest = _Column(np.float64), _Column(np.float64), _Column(np.float32)
+        self.to, self.piece = _Column(np.int32), _Column(np.int32)
 
     def of(self, words: list[str], spell: Callable[[str], str] = str) -> np.ndarray:
-        """The types of words; the lattices of new ones, as ``spell`` spells them, are built together."""
-        new = [w for w in dict.fromkeys(words) if w not in self.types]
+        """The types of distinct words; the lattices of new ones are built together. ``spell`` replaces characters, one by one."""
+        known = list(map(self.types.get, words))
+        new = [i for i, t in enumerate(known) if t is None]
         if new:
-            self.types.update(zip(new, range(len(self.first), len(self.first) + len(new))))
-            self._build(list(map(spell, new)))
-        return np.fromiter(map(self.types.__getitem__, words), np.int64, len(words))
-
-    def _build(self, words: list[str]) -> None:
+            fresh = [words[i] for i in new]
+            for i, w in zip(new, fresh):
+                known[i] = self.types[w] = len(self.types)
+            self.uses = np.concatenate([self.uses, np.zeros(len(new), dtype=np.int32)])
+            self._build(spell("".join(fresh)), np.fromiter(map(len, fresh), np.int64, len(fresh)))
+        types = np.array(known, dtype=np.int64)
+        self.uses[types] += 1
+        return types
+
+    def make_room(self) -> None:
+        """Beyond the limit, keep the types used more than once, up to half of it by their uses, and count these half from then on."""
+        if len(self.types) <= self.limit:
+            return
+        often = np.argsort(-self.uses, kind="stable")[: self.limit // 2]
+        often = np.sort(often[self.uses[often] > 1])
+        names = list(self.types)
+        self.types = {names[t]: k for k, t in enumerate(often.tolist())}
+        self.uses = self.uses[often] >> 1
+        # a word's nodes stand together, and so do its edges
+        first, last, begin = self.first.all()[often], self.last.all()[often], self.begin.all()
+        nodes, edges = last + 1 - first, begin[last + 1] - begin[first]
+        less = first - (np.cumsum(nodes) - nodes)
+        kept = _ranges(begin[first], edges)
+        self.begin.keep(np.concatenate([[0], np.cumsum(np.diff(begin)[_ranges(first, nodes)])]))
+        self.first.keep(first - less)
+        self.last.keep(last - less)
+        self.to.keep(self.to.all()[kept] - np.repeat(less, edges))
+        for held in (self.below, self.piece, self.logp, self.rest):
+            held.keep(held.all()[kept])
+
+    def _build(self, line: str, sizes: np.ndarray) -> None:
+        """Lattices of words that stand in one line, by their sizes."""
         p = self.pieces
-        points = _points("".join(words))
-        n = len(points)
-        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        points = _points(line)
+        n, words = len(points), len(sizes)
         ends = np.cumsum(sizes)
-        word = np.repeat(np.arange(len(words)), sizes)
+        word = np.repeat(np.arange(words), sizes)
         left = ends[word] - np.arange(n)  # characters from here to the word's end
         node = np.arange(n) + word  # every word has one node more than characters
         classes = p.classes[np.minimum(points, len(p.classes) - 1)]
@@ -155,7 +214,9 @@ class _Lattices:
             where, ends_in = at[made], state[made]
             weight, piece = p.node_weights[ends_in], p.node_ids[ends_in]
             if size == 1:  # where no piece makes a character its bytes do
-                bare = np.setdiff1d(np.arange(n), where, assume_unique=True)
+                bare = np.ones(n, dtype=bool)
+                bare[where] = False
+                bare = np.flatnonzero(bare)
                 character = np.where(points[bare] == ord(_LITERAL), ord(_BLANK), points[bare]).astype(np.int64)
                 cost = p.last * (1 + (character > 0x7F) + (character > 0x7FF) + (character > 0xFFFF))
                 ids = np.where(character < 0x80, np.array(p.byte_ids)[np.minimum(character, 0x7F)], -1 - character)
@@ -172,7 +233,7 @@ class _Lattices:
             place = heads[where] + rank
             length[place], weight[place], piece[place] = size, w, ids
         onward = node[at] + length
-        total = np.zeros(n + len(words))
+        total = np.zeros(n + words)
         # by distance from the word's end: every node comes after those it leads to
         order = np.argsort(left.astype(np.uint16) if left.max() < 1 << 16 else left, kind="stable")
         many = count[order]
@@ -190,27 +251,28 @@ class _Lattices:
         share = np.exp(logp)
         running = np.cumsum(share)
         upto = np.minimum(running - np.repeat(running[heads] - share[heads], count), 1.0)
-        upto[heads + count - 1] = 1.0
+        below = np.concatenate([[0.0], upto[:-1]]) if edges else upto
+        below[heads] = 0.0
         # what the other edges have: for a large share they are summed up, as 1 - share would lose its digits
         large = share > 0.5
         others = np.repeat(np.add.reduceat(np.where(large, 0.0, share), heads), count)
         rest = np.where(large, others, 1.0 - share)
         # in the order of nodes; a word's last node has a place among the edges, but no edge
-        base = len(self.begin) - 1
+        base = self.begin.size - 1
         place = np.arange(edges) + word[at]
-        last = np.cumsum(np.bincount(word, count, minlength=len(words)).astype(np.int64)) + np.arange(len(words))
-        ends_at = ends + np.arange(len(words))
+        last = np.cumsum(np.bincount(word, count, minlength=words).astype(np.int64)) + np.arange(words)
+        ends_at = ends + np.arange(words)
         per_node = np.ones(len(total), dtype=np.int64)
         per_node[node] = count
-        self.begin.frombytes((np.cumsum(per_node) + self.begin[-1]).tobytes())
+        until = self.begin.all()[-1]
+        self.begin.grow(len(per_node))[:] = np.cumsum(per_node) + until
         for held, values, finals in (
-            (self.upto, upto + node[at] + base, ends_at + base + 1.0), (self.to, onward + base, ends_at + base), (self.piece, piece, 0), (self.logp, logp, 0.0), (self.rest, rest, 0.0)
+            (self.below, below, 0.0), (self.to, onward + base, ends_at + base), (self.piece, piece, 0), (self.logp, logp, 0.0), (self.rest, rest, 0.0)
         ):
-            column = np.zeros(edges + len(words), dtype=held.typecode)
+            column = held.grow(edges + words)
             column[place], column[last] = values, finals
-            held.frombytes(column.tobytes())
-        self.first.frombytes((ends - sizes + np.arange(len(words)) + base).tobytes())
-        self.last.frombytes((ends + np.arange(len(words)) + base).tobytes())
+        self.first.grow(words)[:] = ends - sizes + np.arange(words) + base
+        self.last.grow(words)[:] = ends + np.arange(words) + base
 
 
 def chunks(texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
@@ -234,14 +296,14 @@ def chunks(texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
 
 
 def _spelled(word: str) -> str:
-    """A text's word as pieces spell it: a blank is U+2581, and what is a U+2581 already matches no piece."""
+    """Words of a text as pieces spell them: a blank is U+2581, and what is a U+2581 already matches no piece."""
     return word.replace(_BLANK, _LITERAL).replace(" ", _BLANK)
 
 
 def _uniform(seeds: np.ndarray, number: int) -> np.ndarray:
     """Numbers in (0, 1), the ``number``-th of each seed."""
     h = tn.mix(seeds + np.uint64(number * 0x9E3779B97F4A7C15 & (1 << 64) - 1))
-    return ((h >> np.uint64(11)).astype(np.float64) + 0.5) / (1 << 53)
+    return ((h >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53
 
 
 #: Numbers of the draws of a word: 2^20 steps for each path, then the bounds of its regions.
@@ -252,10 +314,9 @@ class _Sampler:
     """Draws words' segmentations. The edges of what has been drawn stand in a pool; a segmentation is a range of it."""
 
     def __init__(self, lat: _Lattices) -> None:
-        self.lat = lat
-        # views: the tables must not grow while a sampler lives
-        tables = (lat.first, lat.last, lat.begin, lat.to, lat.upto, lat.logp, lat.rest)
-        self.first, self.last, self.begin, self.to, self.upto, self.logp, self.rest = (np.frombuffer(x, x.typecode) for x in tables)
+        # views: the tables must not change while a sampler lives
+        tables = (lat.first, lat.last, lat.begin, lat.to, lat.below, lat.logp, lat.rest)
+        self.first, self.last, self.begin, self.to, self.below, self.logp, self.rest = (x.all() for x in tables)
         self.pools: list[np.ndarray] = []
         self.held = 0
 
@@ -265,12 +326,12 @@ class _Sampler:
 
     def _edge(self, node: np.ndarray, u: np.ndarray) -> np.ndarray:
         """The edge of each node at ``u``. The longest pieces, which come last, are the likeliest, so the search goes backwards."""
-        e, first, key = self.begin[node + 1] - 1, self.begin[node], node + u
-        open_ = np.arange(len(node))
+        e = self.begin[node + 1] - 1
+        open_ = np.flatnonzero(u <= self.below[e])
         while len(open_):
             before = e[open_] - 1
-            open_ = open_[(before >= first[open_]) & (key[open_] <= self.upto[before])]
-            e[open_] -= 1
+            e[open_] = before
+            open_ = open_[u[open_] <= self.below[before]]
         return e
 
     def draw(self, types: np.ndarray, seeds: np.ndarray, path: int) -> tuple[np.ndarray, ...]:
@@ -281,17 +342,23 @@ class _Sampler:
         # so that the search walks through the tables in order
         by_type = np.sort((types << 32) | np.arange(n)) & 0xFFFFFFFF
         types, seeds = types[by_type], seeds[by_type]
-        node, end = self.first[types].copy(), self.last[types]
+        node, end = self.first[types], self.last[types]
         logp, rest, size = np.zeros(n), np.zeros(n), np.zeros(n, dtype=np.int64)
-        active, steps = np.flatnonzero(node != end), []
-        while len(active):
-            e = self._edge(node[active], _uniform(seeds[active], path * _STEPS + len(steps)))
-            node[active] = self.to[e]
-            rest[active] += np.exp(logp[active]) * self.rest[e]
-            logp[active] += self.logp[e]
-            size[active] += 1
-            steps.append((active, e))
-            active = active[node[active] != end[active]]
+        who, steps = np.flatnonzero(node != end), []
+        # of the words that are not through yet
+        node, end, seeds, gone, others = node[who], end[who], seeds[who], np.zeros(len(who)), np.zeros(len(who))
+        while len(who):
+            e = self._edge(node, _uniform(seeds, path * _STEPS + len(steps)))
+            node = self.to[e]
+            others += np.exp(gone) * self.rest[e]
+            gone += self.logp[e]
+            steps.append((who, e))
+            on = node != end
+            through = np.flatnonzero(~on)
+            w = who[through]
+            logp[w], rest[w], size[w] = gone[through], others[through], len(steps)
+            on = np.flatnonzero(on)
+            who, node, end, seeds, gone, others = (x[on] for x in (who, node, end, seeds, gone, others))
         inside = np.cumsum(size) - size
         grown = np.zeros(int(size.sum()), dtype=np.int64)
         for k, (who, e) in enumerate(steps):
@@ -310,34 +377,38 @@ class _Sampler:
             start -= len(pool)
         return ()
 
+    def _edges_of(self, node: int) -> tuple[int, list[float]]:
+        """A node's first edge, and the log probabilities of all."""
+        begin, end = self.begin[node : node + 2].tolist()
+        return begin, self.logp[begin:end].tolist()
+
     def _trie(self, word: int, excluded: list[tuple[int, ...]]) -> list[list]:
         """Nodes of the excluded segmentations' trie: lattice node, next trie node by edge, probability of what is not excluded."""
-        lat = self.lat
-        trie: list[list] = [[lat.first[word], {}, 0.0]]
+        trie: list[list] = [[int(self.first[word]), {}, 0.0]]
         for path in excluded:
             at = 0
             for e in path:
                 onward = trie[at][1]
                 if e not in onward:
                     onward[e] = len(trie)
-                    trie.append([lat.to[e], {}, 0.0])
+                    trie.append([int(self.to[e]), {}, 0.0])
                 at = onward[e]
         for entry in reversed(trie):  # children come after their parents
             node, onward, _ = entry
             if onward:
-                shares = [(e, math.exp(lat.logp[e])) for e in range(lat.begin[node], lat.begin[node + 1])]
-                entry[2] = sum(p * trie[onward[e]][2] if e in onward else p for e, p in shares)
+                begin, logp = self._edges_of(node)
+                entry[2] = sum(math.exp(x) * trie[onward[e]][2] if e in onward else math.exp(x) for e, x in enumerate(logp, begin))
         return trie
 
     def other(self, word: int, excluded: list[tuple[int, ...]], rng: random.Random) -> tuple[tuple[int, ...], float, float]:
         """A segmentation that is none of the excluded, its log probability, and the probability of all that are then left."""
-        lat, trie = self.lat, self._trie(word, excluded)
-        node, end, at = lat.first[word], lat.last[word], 0
+        trie = self._trie(word, excluded)
+        node, end, at = int(self.first[word]), int(self.last[word]), 0
         path, logp = [], 0.0
         while node != end:
             onward = trie[at][1] if at >= 0 else {}
-            edges = range(lat.begin[node], lat.begin[node + 1])
-            shares = [math.exp(lat.logp[e]) * (trie[onward[e]][2] if e in onward else 1.0) for e in edges]
+            begin, steps = self._edges_of(node)
+            shares = [math.exp(x) * (trie[onward[e]][2] if e in onward else 1.0) for e, x in enumerate(steps, begin)]
             u = rng.random() * sum(shares)
             chosen = max(range(len(shares)), key=shares.__getitem__)  # should rounding leave u over
             for k, p in enumerate(shares):
@@ -345,10 +416,10 @@ class _Sampler:
                     chosen = k
                     break
                 u -= p
-            e = edges[chosen]
+            e = begin + chosen
             path.append(e)
-            logp += lat.logp[e]
-            node, at = lat.to[e], onward.get(e, -1)
+            logp += steps[chosen]
+            node, at = int(self.to[e]), onward.get(e, -1)
         return tuple(path), logp, self._trie(word, [*excluded, tuple(path)])[0][2]
 
 
@@ -427,9 +498,9 @@ def top_segmentations(types: np.ndarray, offs: np.ndarray, rows: np.ndarray, lat
         for p in range(r + 1):
             at = np.flatnonzero(alive[row] & (parent[row] == p) & (bound[p] == value[row]))
             since[row[at][::-1]] = index[at][::-1]  # the first, should two be equal
-    pool = np.concatenate(sampler.pools)
+    pool = lat.piece.all()[np.concatenate(sampler.pools)].astype(np.int64)
     for result in results:
-        result["threshold"], result["pool"] = top[result["row"]], np.frombuffer(lat.piece, lat.piece.typecode)[pool].astype(np.int64)
+        result["threshold"], result["pool"] = top[result["row"]], pool
     return results
 
 
@@ -481,8 +552,7 @@ def _sampled(path: str, alpha: float, k: int, seed: int):
         for whole in batches:
             for i, j in tn.slices(whole["text"]):
                 batch = whole.slice(i, j - i)
-                if len(lat.types) > lat.limit:
-                    lat.forget()
+                lat.make_room()
                 words, sizes = chunks(batch["text"])
                 types = lat.of(words.dictionary.to_numpy(zero_copy_only=False).tolist(), _spelled)[words.indices.to_numpy()]
                 offs = np.concatenate([[0], np.cumsum(sizes)])

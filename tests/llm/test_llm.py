@@ -212,6 +212,24 @@ def test_segmentations_follow_their_distribution():
     assert abs(weights.mean() - 1) < 0.02  # inclusion scores make sums over samples unbiased
 
 
+def test_frequent_words_keep_their_lattices():
+    """Beyond the limit the words of many calls stay and are not built again; what stays draws as if it stood alone."""
+    pieces = segmentations._pieces(vocabulary.default_path("piece_bpe_32k.model"), 0.3)
+    lat, alone = segmentations._Lattices(pieces, limit=40), segmentations._Lattices(pieces)
+    often, built, build = ["▁the", "☃an", "▁straße", "ab", "▁"], [], lat._build
+    lat._build = lambda line, sizes: built.append(line) or build(line, sizes)
+    for i in range(30):
+        lat.make_room()
+        lat.of([f"once{i}a", *often[i % 2 :], f"▁once{i}b", f"x{i}漢字"])
+        assert len(lat.types) <= 40 + 8
+    assert sum("▁straße" in line for line in built) == 1 and sum(line.count("once") for line in built) == 60
+    lat.make_room()
+    offs, seeds = np.array([0, 3, 5]), segmentations.tn.mix(np.arange(2, dtype=np.uint64))
+    for x, y in zip(*(segmentations.top_segmentations(t.of(often), offs, seeds, t, 3) for t in (lat, alone))):
+        pick = [[r["pool"][s : s + z].tolist() for s, z in zip(r["start"], r["size"])] for r in (x, y)]
+        assert pick[0] == pick[1] and x["log_prob"].tolist() == y["log_prob"].tolist() and x["threshold"].tolist() == y["threshold"].tolist()
+
+
 @pytest.mark.parametrize("projections", [None, 9])
 def test_near_vectors(spark, projections):
     rng = np.random.default_rng(3)
