@@ -13,10 +13,12 @@ from millrace.operators.joins import small
 #: Folders over which an index deals its terms.
 PARTS = 64
 
+_TOKEN = "[0-9A-Za-z]+"
+
 
 def tokens(text: Column) -> Column:
     """Runs of ASCII letters and digits in lower case."""
-    return F.transform(F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit("[0-9A-Za-z]+"), F.lit(0)), lambda t: F.lower(t))
+    return F.transform(F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(_TOKEN), F.lit(0)), lambda t: F.lower(t))
 
 
 def _counted(terms: Column) -> Column:
@@ -35,6 +37,18 @@ def _part(term: Column, parts: int) -> Column:
     return F.pmod(F.xxhash64(term), F.lit(parts)).cast("int")
 
 
+def postings(df: DataFrame, key: str, fields: Sequence[str], parts: int = PARTS) -> DataFrame:
+    """field, term, key, tf, length, part: a row for each field of a row and each of its terms.
+
+    The length is taken beside the counts, before these become rows; taken after, every row would carry all tokens of its text.
+    """
+    each = [df.select(F.col(f"`{key}`").alias("key"), F.lit(f).alias("field"), tokens(F.col(f"`{f}`")).alias("t")) for f in fields]
+    rows = reduce(DataFrame.unionByName, each).where("key IS NOT NULL")
+    rows = rows.select("key", "field", F.size("t").alias("length"), "t")
+    rows = rows.select("key", "field", "length", F.explode(_counted(F.col("t"))).alias("p"))  # of a column Spark would count twice, to drop empty ones
+    return rows.select("field", "p.term", "key", "p.tf", "length", _part(F.col("p.term"), parts).alias("part"))
+
+
 def build(df: DataFrame, key: str, fields: Sequence[str], path: str, parts: int = PARTS) -> None:
     """Write an index of the fields: postings (field, term, key, tf, length) in folders by term, and the fields' sizes.
 
@@ -42,13 +56,11 @@ def build(df: DataFrame, key: str, fields: Sequence[str], path: str, parts: int
     term are written by several tasks. Rows of a null key, and null or wordless fields, have no postings and do not count. Extra
     columns are ignored, and an empty table makes an index that finds nothing.
     """
-    each = [df.select(F.col(f"`{key}`").alias("key"), F.lit(f).alias("field"), tokens(F.col(f"`{f}`")).alias("t")) for f in fields]
-    rows = reduce(DataFrame.unionByName, each).where("key IS NOT NULL")
-    rows = rows.select("key", "field", F.size("t").alias("length"), F.explode(_counted(F.col("t"))).alias("p"))
-    postings = rows.select("field", "p.term", "key", "p.tf", "length", _part(F.col("p.term"), parts).alias("part"))
-    postings.hint("rebalance", "part").write.partitionBy("part").parquet(f"{path}/postings")
-    sizes = reduce(DataFrame.unionByName, each).where("key IS NOT NULL AND size(t) > 0")
-    sizes = sizes.groupBy("field").agg(F.count("*").alias("docs"), F.avg(F.size("t")).alias("mean"), F.min("key").alias("first_key"))
+    postings(df, key, fields, parts).hint("rebalance", "part").write.partitionBy("part").parquet(f"{path}/postings")
+    many = lambda f: F.coalesce(F.regexp_count(F.col(f"`{f}`"), F.lit(_TOKEN)), F.lit(0))
+    each = [df.select(F.col(f"`{key}`").alias("key"), F.lit(f).alias("field"), many(f).alias("length")) for f in fields]
+    sizes = reduce(DataFrame.unionByName, each).where("key IS NOT NULL AND length > 0")
+    sizes = sizes.groupBy("field").agg(F.count("*").alias("docs"), F.avg("length").alias("mean"), F.min("key").alias("first_key"))
     sizes.coalesce(1).write.parquet(f"{path}/sizes")  # a row for each field
 
 

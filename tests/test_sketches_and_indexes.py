@@ -155,3 +155,12 @@ def test_postings_count_every_token(spark):
     found = spark.read.parquet(f"{path}/postings").agg(F.sum("tf"), F.countDistinct("key")).first()
     texts = [re.findall("[0-9A-Za-z]+", r.text or "") for r in docs.select("text").collect()]
     assert tuple(found) == (sum(map(len, texts)), sum(map(bool, texts)))
+
+
+def test_postings_do_not_carry_the_tokens_of_their_text(spark):
+    df = spark.createDataFrame([(1, "b A a"), (2, None), (None, "c")], "k int, t string")
+    out = relevance.postings(df, "k", ["t"], parts=4)
+    assert rows_of(out.drop("part")) == [("t", "a", 1, 2, 3), ("t", "b", 1, 1, 3)]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    generate = next(line for line in plan.split("\n") if "Generate explode" in line)
+    assert re.search(r"\[key#\d+, length#\d+\], false, \[p#\d+\]$", generate.strip()) and plan.count("array_sort") == 1
