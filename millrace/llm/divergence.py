@@ -17,6 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -151,8 +152,8 @@ def _corrected(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if held.num_rows < _BLOCK:
             continue
         last = held.slice(held.num_rows - 1)
-        same = pa.compute.and_(pa.compute.equal(held["lang"], last["lang"][0]), pa.compute.equal(held["term"], last["term"][0]))
-        whole = held.num_rows - pa.compute.sum(same).as_py()  # a term's rows stand together, and the last term may go on
+        same = pc.and_(pc.equal(held["lang"], last["lang"][0]), pc.equal(held["term"], last["term"][0]))
+        whole = held.num_rows - pc.sum(same).as_py()  # a term's rows stand together, and the last term may go on
         if whole:
             add(held.slice(0, whole))
             held = held.slice(whole)

@@ -3,6 +3,9 @@ import hashlib
 import itertools
 import random
 import re
+import subprocess
+import sys
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -267,6 +270,26 @@ def test_divergence_when_tasks_hold_little(spark, monkeypatch):
     assert counts[0] == counts[1]
 
 
+def test_corrections_in_a_new_worker():
+    """A worker that has run nothing else has no more of pyarrow than this module imports; rows come to it as an Arrow stream."""
+    ones = pa.table({"lang": ["en"] * 5, "source": ["s", "t", "u", "s", "t"], "term": ["a", "a", "a", "b", "b"], "p": pa.array([50, 30, 10, 20, 90], pa.int64()), "p0": pa.array([10] * 5, pa.int64())})
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, ones.schema) as writer:
+        writer.write_table(ones, max_chunksize=2)
+    code = """if True:
+        import sys
+        import pyarrow as pa
+        from millrace.llm import divergence
+        divergence._BLOCK = 4
+        batches = pa.ipc.open_stream(sys.stdin.buffer)
+        print(sorted(tuple(row.values()) for b in divergence._corrected(batches) for row in b.to_pylist()))"""
+    ran = subprocess.run([sys.executable, "-c", code], input=sink.getvalue().to_pybytes(), capture_output=True, cwd=Path(__file__).parents[2], timeout=120)
+    assert ran.returncode == 0, ran.stderr.decode()[-2000:]
+    f = lambda a, b: (a - b) ** 2 // (a + b)
+    more = lambda a, b: f(a, b) - f(a, 10) - f(10, b)
+    assert ran.stdout.decode().strip() == str([("en", "s", "t", more(50, 30) + more(20, 90)), ("en", "s", "u", more(50, 10)), ("en", "t", "u", more(30, 10))])
+
+
 def test_ties_are_ranked_by_bytes(spark):
     rows = [(1, "é z a Ω", "en", "s", 0), (2, "é z a Ω", "en", "s", 0), (3, "é z a Ω q", "en", "t", 0), (4, "q", "en", "t", 0)]
     found = divergence.audit(spark.createDataFrame(rows, DOCS), least_docs=2, top=3).where("part = 'term' AND source = 's'").orderBy("rank")
